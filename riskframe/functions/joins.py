@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskframe.session import ensure_checkpoint_dir
+
 # Rows above which a side is never broadcast; overridable per session with
 # the conf key below.  At ~100 bytes a row this keeps a broadcast under ~100 MB.
 DEFAULT_BROADCAST_ROWS = 1_000_000
@@ -17,11 +19,17 @@ def broadcast_limit(df: DataFrame) -> int:
 
 
 def sized_broadcast(df: DataFrame, max_rows: int | None = None, key_hint: str | None = None) -> DataFrame:
-    """Return ``broadcast(df)`` when it has at most ``max_rows`` rows, else ``df``.
+    """``broadcast`` of ``df`` when it has at most ``max_rows`` rows, else ``df``.
 
-    The count is one cheap job over the small side; beyond the bound the
-    caller's join stays a shuffle join (sort-merge, with AQE skew splitting).
+    At most ``max_rows + 1`` rows are computed once and checkpointed to the
+    shared checkpoint folder; if that is the whole table the join broadcasts
+    the checkpointed copy (no recomputation of an expensive small side),
+    otherwise the caller's join stays a shuffle join (sort-merge, with AQE
+    skew splitting) on the original plan.
     """
     limit = broadcast_limit(df) if max_rows is None else max_rows
-    n = df.limit(limit + 1).count()
-    return F.broadcast(df) if n <= limit else df
+    ensure_checkpoint_dir(df.sparkSession)
+    head = df.limit(limit + 1).checkpoint(eager=True)
+    if head.count() <= limit:
+        return F.broadcast(head)
+    return df

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from riskframe.functions.joins import sized_broadcast
 from riskframe.operators.features import CATEGORICAL_COLUMNS, LABEL
+from riskframe.session import ensure_checkpoint_dir
 
 # Encoder defaults (samples before the weight reaches 1/2, and slope).
 MIN_SAMPLES_LEAF = 20
@@ -27,7 +28,7 @@ def sigmoid_weight(n, min_samples_leaf: float = MIN_SAMPLES_LEAF, smoothing: flo
 
 def fit_target_encoder(df: DataFrame, cols: list[str] | None = None, label: str = LABEL,
                        min_samples_leaf: float = MIN_SAMPLES_LEAF, smoothing: float = SMOOTHING,
-                       method: str = "sigmoid") -> DataFrame:
+                       method: str = "sigmoid", materialize: bool = True) -> DataFrame:
     """Fitted encoder table ``(feature, value, n, mean, enc, prior)``.
 
     ``enc = prior*(1-w) + mean*w`` with ``w = 1/(1+exp(-(n-min_samples_leaf)/smoothing))``;
@@ -47,7 +48,13 @@ def fit_target_encoder(df: DataFrame, cols: list[str] | None = None, label: str
         w = n / (n + F.lit(float(smoothing)))
     else:
         w = sigmoid_weight(n, min_samples_leaf, smoothing)
-    return stats.withColumn("enc", F.col("prior") * (F.lit(1.0) - w) + F.col("mean") * w)
+    fitted = stats.withColumn("enc", F.col("prior") * (F.lit(1.0) - w) + F.col("mean") * w)
+    if materialize:
+        # fitting is an action, like any estimator: the small table is written
+        # once to the shared checkpoint folder and reused by every apply
+        ensure_checkpoint_dir(df.sparkSession)
+        fitted = fitted.checkpoint(eager=True)
+    return fitted
 
 
 def encoder_prior(encoder: DataFrame) -> DataFrame:

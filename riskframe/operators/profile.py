@@ -129,8 +129,7 @@ def class_histogram(df: DataFrame, value: str = "age", label: str = LABEL, bins:
     b = F.when(hi == lo, F.lit(0)).otherwise(b)
     h = (df.where(F.col(value).isNotNull())
          .groupBy(label, b.alias("bin")).agg(F.count("*").alias("n")))
-    # one row per class
-    h = h.join(F.broadcast(ncls), label)
+    h = h.join(sized_broadcast(ncls), label)
     w = F.when(hi == lo, F.lit(1.0)).otherwise((hi - lo) / F.lit(float(bins)))
     return h.select(label, "bin",
                     (lo + F.col("bin") * w).alias("bin_lo"),

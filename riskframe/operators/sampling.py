@@ -34,7 +34,7 @@ def approximate_mode(counts: dict, n_draws: int) -> dict:
     """
     total = sum(counts.values())
     keys = sorted(counts)
-    cont = {k: counts[k] * n_draws / total for k in keys}
+    cont = {k: float(counts[k]) * n_draws / total for k in keys}
     alloc = {k: math.floor(cont[k]) for k in keys}
     need = n_draws - sum(alloc.values())
     order = sorted(keys, key=lambda k: (-(cont[k] - alloc[k]), k))

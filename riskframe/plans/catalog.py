@@ -194,3 +194,139 @@ def q_merchant_pool(spark, sf_dir):
     "WHERE city IS NOT NULL AND lat IS NOT NULL AND long IS NOT NULL"))
 def q_city_tuples(spark, sf_dir):
     return pr.distinct_tuples(transactions(spark, sf_dir), ["city", "lat", "long"])
+
+
+# ---------------------------------------------------------------- sampling
+from riskframe.operators import encode as en  # noqa: E402
+from riskframe.operators import metrics as me  # noqa: E402
+from riskframe.operators import sampling as sm  # noqa: E402
+from riskframe.plans.inputs import heuristic_predictions, year_halves  # noqa: E402
+from riskframe.plans.oracle_sql import PRED_CTE, md5_key, quota_cte, split_ctes  # noqa: E402
+
+SAMPLE_N = 5000
+
+
+@register("sample_n", with_views(
+    f"SELECT trans_num, is_fraud FROM feats QUALIFY row_number() OVER (ORDER BY {md5_key('trans_num')}, trans_num) <= {SAMPLE_N}"))
+def q_sample_n(spark, sf_dir):
+    """Seeded uniform sample of n rows without replacement."""
+    return sm.sample_n(feats(spark, sf_dir), SAMPLE_N, "trans_num", 42).select("trans_num", "is_fraud")
+
+
+@register("test_mode_sample", with_views(
+    f"SELECT trans_num, split FROM sp QUALIFY row_number() OVER (PARTITION BY split ORDER BY {md5_key('trans_num')}, "
+    f"trans_num) <= CASE WHEN split = 'train' THEN {SAMPLE_N} ELSE {SAMPLE_N // 4} END", split_ctes()))
+def q_test_mode_sample(spark, sf_dir):
+    """Quick-run mode: 5000 training rows and 1250 test rows of a split."""
+    sp = sm.stratified_split(feats(spark, sf_dir), "trans_num")
+    tr, te = sm.test_mode_samples(sp.where("split = 'train'"), sp.where("split = 'test'"), "trans_num", SAMPLE_N)
+    return tr.unionByName(te).select("trans_num", "split")
+
+
+@register("stratified_split", with_views("SELECT trans_num, is_fraud, split FROM sp", split_ctes()))
+def q_stratified_split(spark, sf_dir):
+    """80/20 split stratified on the label, exact class counts."""
+    return sm.stratified_split(feats(spark, sf_dir), "trans_num").select("trans_num", "is_fraud", "split")
+
+
+@register("stratified_subset", with_views(
+    f"SELECT f.trans_num, f.is_fraud FROM feats f JOIN q USING (is_fraud) "
+    f"QUALIFY row_number() OVER (PARTITION BY f.is_fraud ORDER BY {md5_key('f.trans_num')}, f.trans_num) > q.quota",
+    quota_cte("q", "feats", "CAST(floor(CAST(0.95 AS DOUBLE) * sum(n)) AS BIGINT)").replace(
+        "sum(n) - (CAST(floor", "(CAST(floor", 1).replace("AS BIGINT)) AS n_keep", "AS BIGINT)) AS n_keep", 1)))
+def q_stratified_subset(spark, sf_dir):
+    """Stratified 95 % subset (fine-tune training rows)."""
+    return sm.stratified_subset(feats(spark, sf_dir), "trans_num").select("trans_num", "is_fraud")
+
+
+@register("rare_class_sample", ORACLE.get("stratified_subset"))
+def q_rare_class_sample(spark, sf_dir):
+    """Fine-tune sampling: all positives + negatives when positives are rare,
+    else the stratified 95 % subset (the branch taken on these tables)."""
+    return sm.rare_class_sample(feats(spark, sf_dir), "trans_num").select("trans_num", "is_fraud")
+
+
+@register("balanced_reference", with_views(
+    f"SELECT trans_num FROM r QUALIFY row_number() OVER (ORDER BY {md5_key('trans_num')}, trans_num) <= "
+    "(SELECT least((SELECT count(*) FROM r), 5 * (SELECT count(*) FROM c)))",
+    "r AS (SELECT * FROM tx WHERE year(trans_date_trans_time) % 2 = 0), "
+    "c AS (SELECT * FROM tx WHERE year(trans_date_trans_time) % 2 = 1)"))
+def q_balanced_reference(spark, sf_dir):
+    """Reference side down-sampled to at most 5x the current side."""
+    ref, cur = year_halves(transactions(spark, sf_dir))
+    return sm.balanced_reference(ref, cur, "trans_num").select("trans_num")
+
+
+# ---------------------------------------------------------------- encoder
+_ENC_COLS = fe.CATEGORICAL_COLUMNS
+_UNPIVOT_SQL = " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, CAST({c} AS VARCHAR) AS value, is_fraud FROM sp WHERE split = 'train'" for c in _ENC_COLS)
+_ENC_CTE = (split_ctes() + ", "
+            f"pri AS (SELECT avg(is_fraud) AS prior FROM sp WHERE split = 'train'), "
+            f"st AS (SELECT feature, value, count(*) AS n, avg(is_fraud) AS mean FROM ({_UNPIVOT_SQL}) u "
+            "WHERE value IS NOT NULL GROUP BY 1, 2), "
+            "enc AS (SELECT st.*, pri.prior, pri.prior * (1 - 1 / (1 + exp(-(n - 20.0) / 10.0))) "
+            "+ mean * (1 / (1 + exp(-(n - 20.0) / 10.0))) AS enc FROM st, pri)")
+
+
+def _split_feats(spark, sf_dir):
+    return sm.stratified_split(feats(spark, sf_dir), "trans_num")
+
+
+@register("encoder_fit", with_views(
+    f"SELECT feature, value, n, {r6('mean')} AS mean, {r6('prior')} AS prior, {r6('enc')} AS enc FROM enc", _ENC_CTE))
+def q_encoder_fit(spark, sf_dir):
+    """Target encoder fitted on the training split only."""
+    sp = _split_feats(spark, sf_dir)
+    return en.fit_target_encoder(sp.where("split = 'train'")).select("feature", "value", "n", "mean", "prior", "enc")
+
+
+@register("encoder_apply", with_views(
+    "SELECT t.trans_num, " + ", ".join(
+        f"{r6(f'coalesce(e_{c}.enc, (SELECT prior FROM pri))')} AS {c}" for c in _ENC_COLS)
+    + " FROM sp t " + " ".join(
+        f"LEFT JOIN (SELECT value, enc FROM enc WHERE feature = '{c}') e_{c} ON CAST(t.{c} AS VARCHAR) = e_{c}.value"
+        for c in _ENC_COLS) + " WHERE t.split = 'test'", _ENC_CTE))
+def q_encoder_apply(spark, sf_dir):
+    """Test split encoded with the train-only encoder; unseen -> prior."""
+    sp = _split_feats(spark, sf_dir)
+    enc = en.fit_target_encoder(sp.where("split = 'train'"))
+    return en.apply_target_encoder(sp.where("split = 'test'"), enc).select("trans_num", *_ENC_COLS)
+
+
+# ---------------------------------------------------------------- metrics
+@register("classification_report", with_views(
+    "SELECT label, precision, recall, f1, support FROM ("
+    f"SELECT CAST(cls AS VARCHAR) AS label, {r6('CASE WHEN n_pred = 0 THEN 0 ELSE tp / n_pred END')} AS precision, "
+    f"{r6('CASE WHEN support = 0 THEN 0 ELSE tp / support END')} AS recall, "
+    f"{r6('CASE WHEN p + r = 0 THEN 0 ELSE 2 * p * r / (p + r) END')} AS f1, CAST(support AS BIGINT) AS support FROM pc "
+    f"UNION ALL SELECT 'accuracy', NULL, NULL, {r6('sum(tp) / sum(support)')}, CAST(sum(support) AS BIGINT) FROM pc "
+    f"UNION ALL SELECT 'macro avg', {r6('avg(p)')}, {r6('avg(r)')}, {r6('avg(f)')}, CAST(sum(support) AS BIGINT) FROM pc "
+    f"UNION ALL SELECT 'weighted avg', {r6('sum(p * support) / sum(support)')}, {r6('sum(r * support) / sum(support)')}, "
+    f"{r6('sum(f * support) / sum(support)')}, CAST(sum(support) AS BIGINT) FROM pc) z",
+    PRED_CTE + ", "
+    "cf AS (SELECT y_true, y_pred_binary, count(*) AS c FROM preds GROUP BY 1, 2), "
+    "ca AS (SELECT y_true AS cls, sum(c) AS support, sum(CASE WHEN y_true = y_pred_binary THEN c ELSE 0 END) AS tp FROM cf GROUP BY 1), "
+    "cb AS (SELECT y_pred_binary AS cls, sum(c) AS n_pred FROM cf GROUP BY 1), "
+    "pc0 AS (SELECT coalesce(ca.cls, cb.cls) AS cls, coalesce(support, 0) AS support, coalesce(tp, 0) AS tp, "
+    "coalesce(n_pred, 0) AS n_pred FROM ca FULL JOIN cb ON ca.cls = cb.cls), "
+    "pc1 AS (SELECT *, CASE WHEN n_pred = 0 THEN 0.0 ELSE tp / n_pred END AS p, "
+    "CASE WHEN support = 0 THEN 0.0 ELSE tp / support END AS r FROM pc0), "
+    "pc AS (SELECT *, CASE WHEN p + r = 0 THEN 0.0 ELSE 2 * p * r / (p + r) END AS f FROM pc1)"))
+def q_classification_report(spark, sf_dir):
+    """Per-class precision/recall/F1/support, accuracy, macro and weighted averages."""
+    return me.classification_report(heuristic_predictions(transactions(spark, sf_dir)))
+
+
+_AUC_SQL = (PRED_CTE + ", s AS (SELECT y_pred_proba AS s, CAST(sum(CASE WHEN y_true = 1 THEN 1 ELSE 0 END) AS BIGINT) AS pos, "
+            "CAST(sum(CASE WHEN y_true = 1 THEN 0 ELSE 1 END) AS BIGINT) AS neg FROM preds GROUP BY 1), "
+            "rs AS (SELECT *, sum(neg) OVER (ORDER BY s) AS cum_neg FROM s), "
+            "au AS (SELECT sum(pos * (cum_neg - neg + 0.5 * neg)) AS u, sum(pos) AS n_pos, sum(neg) AS n_neg FROM rs)")
+
+
+@register("roc_auc", with_views(
+    f"SELECT {r6('CASE WHEN n_pos = 0 OR n_neg = 0 THEN NULL ELSE u / (n_pos * n_neg) END')} AS roc_auc, "
+    "CAST(n_pos AS BIGINT) AS n_pos, CAST(n_neg AS BIGINT) AS n_neg FROM au", _AUC_SQL))
+def q_roc_auc(spark, sf_dir):
+    """Exact ROC AUC of pre-computed scores (ties count one half)."""
+    return me.roc_auc(heuristic_predictions(transactions(spark, sf_dir)))

@@ -35,3 +35,39 @@ def with_views(body: str, extra: str = "") -> str:
 
 def r6(expr: str) -> str:
     return f"round(CAST({expr} AS DOUBLE), 6)"
+
+
+def md5_key(key: str, seed: int = 42) -> str:
+    return f"md5(concat(CAST({key} AS VARCHAR), '-{seed}'))"
+
+
+def quota_cte(name: str, src: str, held_out: str, label: str = "is_fraud") -> str:
+    """CTE ``name(label, quota)``: held-out rows per class, largest-remainder
+    allocation of the kept side (``held_out`` is SQL for the held-out total
+    given ``N``)."""
+    return (
+        f"{name}_c AS (SELECT {label}, count(*) AS n FROM {src} GROUP BY 1), "
+        f"{name}_t AS (SELECT sum(n) AS N, sum(n) - ({held_out}) AS n_keep FROM {name}_c), "
+        f"{name}_a AS (SELECT c.{label}, c.n, CAST(c.n AS DOUBLE) * t.n_keep / t.N AS cont, t.n_keep "
+        f"FROM {name}_c c, {name}_t t), "
+        f"{name}_b AS (SELECT {label}, n, floor(cont) AS fl, cont - floor(cont) AS rem, "
+        f"n_keep - sum(floor(cont)) OVER () AS need FROM {name}_a), "
+        f"{name} AS (SELECT {label}, CAST(n - fl - CASE WHEN row_number() OVER (ORDER BY rem DESC, {label}) <= need "
+        f"THEN 1 ELSE 0 END AS BIGINT) AS quota FROM {name}_b)")
+
+
+def split_ctes(test_size: float = 0.2, seed: int = 42) -> str:
+    """``q`` quotas and ``sp``: features with split in {'train','test'}."""
+    held = f"CAST(ceil(CAST({test_size} AS DOUBLE) * sum(n)) AS BIGINT)"
+    return (quota_cte("q", "feats", held) + ", "
+            f"sp AS (SELECT f.*, CASE WHEN row_number() OVER (PARTITION BY f.is_fraud ORDER BY "
+            f"{md5_key('f.trans_num', seed)}, f.trans_num) <= q.quota THEN 'test' ELSE 'train' END AS split "
+            f"FROM feats f JOIN q USING (is_fraud))")
+
+
+# Deterministic scorer used to build a pre-computed prediction table.
+SCORE_SQL = ("round(1.0 / (1.0 + exp(-(ln(1 + amt) - 12.5) * 3.0)) * "
+             "CASE WHEN category = '1-URGENT' THEN 1.0 ELSE 0.5 END, 6)")
+PRED_CTE = (f"pred AS (SELECT trans_num, is_fraud AS y_true, {SCORE_SQL} AS y_pred_proba FROM tx), "
+            "preds AS (SELECT trans_num, y_true, y_pred_proba, "
+            "CAST(CASE WHEN y_pred_proba >= 0.5 THEN 1 ELSE 0 END AS INTEGER) AS y_pred_binary FROM pred)")

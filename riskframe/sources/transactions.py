@@ -36,8 +36,10 @@ def derive_transactions(orders: DataFrame, customer: DataFrame, nation: DataFram
     o = orders.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority")
     c = customer.select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     n = nation.select("n_nationkey", "n_name")
-    j = (o.join(sized_broadcast(c, key_hint="customer"), o.o_custkey == c.c_custkey)
-          .join(F.broadcast(n), c.c_nationkey == n.n_nationkey))
+    cb = sized_broadcast(c, key_hint="customer")
+    # nation is the fixed 25-row dimension: a proven size bound
+    j = (o.join(cb, o["o_custkey"] == cb["c_custkey"])
+          .join(F.broadcast(n), F.col("c_nationkey") == F.col("n_nationkey")))
     ok, ck = F.col("o_orderkey"), F.col("c_custkey")
     hours = ((ok * 7) % 24).cast("int")
     ts = F.timestamp_add("HOUR", hours, F.col("o_orderdate").cast("timestamp"))
