@@ -330,3 +330,107 @@ _AUC_SQL = (PRED_CTE + ", s AS (SELECT y_pred_proba AS s, CAST(sum(CASE WHEN y_t
 def q_roc_auc(spark, sf_dir):
     """Exact ROC AUC of pre-computed scores (ties count one half)."""
     return me.roc_auc(heuristic_predictions(transactions(spark, sf_dir)))
+
+
+# ---------------------------------------------------------------- drift
+from riskframe.operators import drift as dr  # noqa: E402
+from riskframe.plans.oracle_sql import drift_ctes  # noqa: E402
+
+_DRIFT_NUM = ["cc_num", "amt", "zip", "city_pop", "age", "hour", "dayofweek", "month", "distance_km"]
+_DRIFT_CAT = ["merchant", "category", "gender", "state", "job"]
+_DRIFT_COLS = [c for c in fe.FEATURE_COLUMNS]
+_YEAR_FEATS = ("fy AS (SELECT f.*, year(t.trans_date_trans_time) AS yr FROM feats f JOIN tx t USING (trans_num)), "
+               "fr AS (SELECT * FROM fy WHERE yr % 2 = 0), fc AS (SELECT * FROM fy WHERE yr % 2 = 1)")
+
+
+def _drift_sql(body: str, stattest: str | None = None) -> str:
+    return with_views(body, _YEAR_FEATS + ", " + drift_ctes(_DRIFT_NUM, _DRIFT_CAT, "fr", "fc", stattest))
+
+
+def _year_feature_pair(spark, sf_dir):
+    ref, cur = year_halves(transactions(spark, sf_dir))
+    return fe.build_features(ref), fe.build_features(cur)
+
+
+def _vc(spark, sf_dir):
+    ref, cur = _year_feature_pair(spark, sf_dir)
+    return ref, cur, dr.value_counts(ref, cur, _DRIFT_COLS)
+
+
+_TABLE_BODY = (
+    "SELECT s.column_name, s.kind AS column_type, CASE s.test WHEN 'wasserstein' THEN 'Wasserstein distance (normed)' "
+    "WHEN 'jensenshannon' THEN 'Jensen-Shannon distance' WHEN 'ks' THEN 'K-S p_value' WHEN 'chisquare' THEN "
+    "'chi-square p_value' ELSE 'Z-test p_value' END AS stattest_name, 0.1 AS stattest_threshold, "
+    f"{r6('coalesce(wd.score, js.score)')} AS drift_score, coalesce(coalesce(wd.score, js.score) >= 0.1, false) AS drift_detected "
+    "FROM summ s LEFT JOIN wd USING (column_name) LEFT JOIN js USING (column_name)")
+
+
+@register("drift_table", _drift_sql(_TABLE_BODY))
+def q_drift_table(spark, sf_dir):
+    """Per-column drift (test chosen per column) between even and odd years."""
+    ref, cur, vc = _vc(spark, sf_dir)
+    return dr.drift_table(ref, cur, _DRIFT_COLS, vc=vc)
+
+
+@register("drift_wasserstein", _drift_sql(f"SELECT column_name, {r6('score')} AS score FROM wd"))
+def q_drift_wasserstein(spark, sf_dir):
+    """Normed Wasserstein distance of the numeric columns."""
+    ref, cur, vc = _vc(spark, sf_dir)
+    plan = dr.choose_test(dr.column_summary(vc))
+    return dr.wasserstein_scores(vc, plan)
+
+
+@register("drift_js", _drift_sql(f"SELECT column_name, {r6('score')} AS score FROM js"))
+def q_drift_js(spark, sf_dir):
+    """Jensen-Shannon distance of the text columns."""
+    ref, cur, vc = _vc(spark, sf_dir)
+    plan = dr.choose_test(dr.column_summary(vc))
+    return dr.js_scores(vc, plan)
+
+
+@register("drift_js_numeric", _drift_sql(f"SELECT column_name, {r6('score')} AS score FROM js", "jensenshannon"))
+def q_drift_js_numeric(spark, sf_dir):
+    """Jensen-Shannon on every column (numeric ones on 30 common bins)."""
+    ref, cur, vc = _vc(spark, sf_dir)
+    plan = dr.choose_test(dr.column_summary(vc), "jensenshannon")
+    return dr.js_scores(vc, plan)
+
+
+@register("drift_ks_stat", _drift_sql(f"SELECT column_name, {r6('stat')} AS stat FROM ks", "ks"))
+def q_drift_ks_stat(spark, sf_dir):
+    """Two-sample KS statistic (max CDF gap) of the numeric columns."""
+    ref, cur, vc = _vc(spark, sf_dir)
+    plan = dr.choose_test(dr.column_summary(vc), "ks")
+    return dr.ks_statistics(vc, plan)
+
+
+@register("drift_verdict", _drift_sql(
+    f"SELECT CAST(count(*) AS INTEGER) AS n_columns, CAST(sum(CAST(d AS INTEGER)) AS INTEGER) AS n_drifted, "
+    f"{r6('sum(CAST(d AS INTEGER)) / count(*)')} AS share, 0.2 AS drift_share, "
+    "sum(CAST(d AS INTEGER)) / count(*) >= 0.2 AS dataset_drift, "
+    "coalesce(string_agg(CASE WHEN d THEN column_name END, ',' ORDER BY column_name), '') AS drifted_columns "
+    "FROM (SELECT column_name, coalesce(coalesce(wd.score, js.score) >= 0.1, false) AS d FROM summ "
+    "LEFT JOIN wd USING (column_name) LEFT JOIN js USING (column_name)) z"))
+def q_drift_verdict(spark, sf_dir):
+    """Dataset drift verdict (share of drifted columns >= 0.2)."""
+    ref, cur, vc = _vc(spark, sf_dir)
+    v = dr.drift_verdict(dr.drift_table(ref, cur, _DRIFT_COLS, vc=vc))
+    return v.withColumn("drifted_columns", F.array_join("drifted_columns", ","))
+
+
+@register("drift_hist", _drift_sql(
+    f"SELECT column_name, side, bin, {r6('lo + bin * (hi - lo) / 10')} AS bin_lo, "
+    f"{r6('lo + (bin + 1) * (hi - lo) / 10')} AS bin_hi, {r6('coalesce(k, 0) / (n * (hi - lo) / 10)')} AS density "
+    "FROM (SELECT g.*, h.k FROM (SELECT rg.*, CAST(unnest(range(0, 10)) AS INTEGER) AS bin FROM rg) g "
+    "LEFT JOIN h USING (column_name, side, bin)) z",
+) .replace("SELECT column_name, side, bin", "SELECT column_name, side, bin", 1)
+    .replace("js AS (", "sd AS (SELECT column_name, num, 'reference' AS side, n_ref AS c FROM vc WHERE kind = 'num' AND n_ref > 0 "
+             "UNION ALL SELECT column_name, num, 'current', n_cur FROM vc WHERE kind = 'num' AND n_cur > 0), "
+             "rg AS (SELECT column_name, side, sum(c) AS n, CASE WHEN min(num) = max(num) THEN min(num) - 0.5 ELSE min(num) END AS lo, "
+             "CASE WHEN min(num) = max(num) THEN max(num) + 0.5 ELSE max(num) END AS hi FROM sd GROUP BY 1, 2), "
+             "h AS (SELECT column_name, side, CAST(least(floor((num - lo) / (hi - lo) * 10), 9) AS INTEGER) AS bin, sum(c) AS k "
+             "FROM sd JOIN rg USING (column_name, side) GROUP BY 1, 2, 3), js AS (", 1))
+def q_drift_hist(spark, sf_dir):
+    """10-bin density histograms per numeric column and side."""
+    ref, cur, vc = _vc(spark, sf_dir)
+    return dr.drift_histograms(vc)

@@ -71,3 +71,42 @@ SCORE_SQL = ("round(1.0 / (1.0 + exp(-(ln(1 + amt) - 12.5) * 3.0)) * "
 PRED_CTE = (f"pred AS (SELECT trans_num, is_fraud AS y_true, {SCORE_SQL} AS y_pred_proba FROM tx), "
             "preds AS (SELECT trans_num, y_true, y_pred_proba, "
             "CAST(CASE WHEN y_pred_proba >= 0.5 THEN 1 ELSE 0 END AS INTEGER) AS y_pred_binary FROM pred)")
+
+
+def drift_ctes(num_cols: list[str], cat_cols: list[str], ref: str, cur: str, stattest: str | None = None) -> str:
+    """CTEs ``vc`` (value counts), ``summ`` (per-column summary + chosen test),
+    ``wd`` (normed Wasserstein), ``js`` (Jensen-Shannon), ``ks`` (KS statistic)."""
+    parts = []
+    for side, src in ((1, ref), (0, cur)):
+        for c in num_cols:
+            parts.append(f"SELECT {side} AS r, '{c}' AS column_name, 'num' AS kind, CAST({c} AS DOUBLE) AS num, "
+                         f"CAST(NULL AS VARCHAR) AS cat FROM {src}")
+        for c in cat_cols:
+            parts.append(f"SELECT {side} AS r, '{c}' AS column_name, 'cat' AS kind, CAST(NULL AS DOUBLE) AS num, "
+                         f"CAST({c} AS VARCHAR) AS cat FROM {src}")
+    test = (f"'{stattest}'" if stattest else
+            "CASE WHEN kind = 'num' THEN (CASE WHEN n_distinct <= 5 THEN (CASE WHEN tot_ref > 1000 THEN 'jensenshannon' "
+            "WHEN n_distinct > 2 THEN 'chisquare' ELSE 'z' END) ELSE (CASE WHEN tot_ref > 1000 THEN 'wasserstein' "
+            "ELSE 'ks' END) END) ELSE (CASE WHEN tot_ref > 1000 THEN 'jensenshannon' WHEN n_distinct > 2 THEN 'chisquare' "
+            "ELSE 'z' END) END")
+    return (
+        f"lng AS ({' UNION ALL '.join(parts)}), "
+        "vc AS (SELECT column_name, kind, num, cat, CAST(sum(r) AS BIGINT) AS n_ref, CAST(sum(1 - r) AS BIGINT) AS n_cur "
+        "FROM lng WHERE num IS NOT NULL OR cat IS NOT NULL GROUP BY 1, 2, 3, 4), "
+        "s0 AS (SELECT column_name, kind, sum(n_ref) AS tot_ref, sum(n_cur) AS tot_cur, count(*) AS n_distinct, "
+        "min(num) AS lo, max(num) AS hi, sum(num * n_ref) / sum(n_ref) AS mean_ref FROM vc GROUP BY 1, 2), "
+        "s1 AS (SELECT column_name, sqrt(sum(n_ref * pow(num - mean_ref, 2)) / sum(n_ref)) AS std_ref "
+        "FROM vc JOIN s0 USING (column_name) GROUP BY 1), "
+        f"summ AS (SELECT s0.*, s1.std_ref, {test} AS test FROM s0 JOIN s1 USING (column_name)), "
+        "cdf AS (SELECT v.column_name, v.num, abs(sum(v.n_ref) OVER w / s.tot_ref - sum(v.n_cur) OVER w / s.tot_cur) AS gap, "
+        "lead(v.num) OVER w AS nxt, s.test, s.std_ref FROM vc v JOIN summ s USING (column_name) WHERE v.kind = 'num' "
+        "WINDOW w AS (PARTITION BY v.column_name ORDER BY v.num ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)), "
+        "wd AS (SELECT column_name, sum(gap * (nxt - num)) / greatest(max(std_ref), 0.001) AS score FROM cdf "
+        "WHERE test = 'wasserstein' GROUP BY 1), "
+        "ks AS (SELECT column_name, max(gap) AS stat FROM cdf WHERE test = 'ks' GROUP BY 1), "
+        "jk AS (SELECT v.column_name, CASE WHEN v.kind = 'num' THEN CAST(CASE WHEN s.hi = s.lo THEN 15 ELSE "
+        "least(floor((v.num - s.lo) / (s.hi - s.lo) * 30), 29) END AS VARCHAR) ELSE v.cat END AS key, "
+        "sum(v.n_ref) / max(s.tot_ref) AS p, sum(v.n_cur) / max(s.tot_cur) AS q FROM vc v JOIN summ s USING (column_name) "
+        "WHERE s.test = 'jensenshannon' GROUP BY 1, 2), "
+        "js AS (SELECT column_name, sqrt(greatest(sum(CASE WHEN p > 0 THEN p * ln(p / ((p + q) / 2)) ELSE 0 END "
+        "+ CASE WHEN q > 0 THEN q * ln(q / ((p + q) / 2)) ELSE 0 END) / 2, 0)) AS score FROM jk GROUP BY 1)")
