@@ -434,3 +434,56 @@ def q_drift_hist(spark, sf_dir):
     """10-bin density histograms per numeric column and side."""
     ref, cur, vc = _vc(spark, sf_dir)
     return dr.drift_histograms(vc)
+
+
+# ---------------------------------------------------------------- models
+from riskframe.operators import model as mo  # noqa: E402
+
+
+@register("validate_predictions", with_views(
+    f"SELECT {r6('CASE WHEN n_pos = 0 OR n_neg = 0 THEN NULL ELSE u / (n_pos * n_neg) END')} AS roc_auc, "
+    "CAST(n_pos AS BIGINT) AS n_pos, CAST(n_neg AS BIGINT) AS n_neg, "
+    f"{r6('(SELECT CASE WHEN sum(y_pred_binary) = 0 THEN 0 ELSE sum(y_true * y_pred_binary) / sum(y_pred_binary) END FROM preds)')} AS precision_1, "
+    f"{r6('(SELECT CASE WHEN sum(y_true) = 0 THEN 0 ELSE sum(y_true * y_pred_binary) / sum(y_true) END FROM preds)')} AS recall_1, "
+    f"{r6('(SELECT CASE WHEN sum(y_true) + sum(y_pred_binary) = 0 THEN 0 ELSE 2 * sum(y_true * y_pred_binary) / (sum(y_true) + sum(y_pred_binary)) END FROM preds)')} AS f1_1, "
+    f"{r6('(SELECT avg(CASE WHEN y_true = y_pred_binary THEN 1 ELSE 0 END) FROM preds)')} AS accuracy, "
+    f"{r6('CASE WHEN n_pos = 0 OR n_neg = 0 THEN NULL ELSE u / (n_pos * n_neg) END - 0.74')} AS auc_delta FROM au",
+    _AUC_SQL))
+def q_validate_predictions(spark, sf_dir):
+    """Production validation of pre-computed predictions: AUC, class-1 metrics, accuracy, AUC delta."""
+    return me.evaluate_predictions(heuristic_predictions(transactions(spark, sf_dir)))
+
+
+def _encoded_splits(spark, sf_dir):
+    sp = _split_feats(spark, sf_dir).checkpoint(eager=True)
+    enc = en.fit_target_encoder(sp.where("split = 'train'"))
+    out = en.apply_target_encoder(sp, enc).checkpoint(eager=True)
+    return out.where("split = 'train'").drop("split"), out.where("split = 'test'").drop("split")
+
+
+@register("train_evaluate")
+def q_train_evaluate(spark, sf_dir):
+    """Fit boosted trees (test preset) on the encoded train split, report on the test split."""
+    train, test = _encoded_splits(spark, sf_dir)
+    model = mo.fit_gbt(train, fe.FEATURE_COLUMNS, preset="test")
+    report, _ = mo.evaluate_scored(mo.score(model, test))
+    return report
+
+
+@register("batch_score")
+def q_batch_score(spark, sf_dir):
+    """Score every test-split row: predicted class and probability of fraud."""
+    train, test = _encoded_splits(spark, sf_dir)
+    model = mo.fit_gbt(train, fe.FEATURE_COLUMNS, preset="test")
+    return mo.score(model, test).select("trans_num", "is_fraud", "is_fraud_pred", "fraud_score")
+
+
+@register("fine_tune")
+def q_fine_tune(spark, sf_dir):
+    """Continue a fitted model for a few rounds on the stratified 95 % subset; summary row."""
+    train, test = _encoded_splits(spark, sf_dir)
+    base = mo.fit_gbt(train, fe.FEATURE_COLUMNS, preset="test")
+    subset = sm.rare_class_sample(train, "trans_num").checkpoint(eager=True)
+    cont, info = mo.fine_tune(base, subset, test, learning_rate=0.1, epochs=3)
+    _, summary = mo.evaluate_scored(mo.score(cont, test))
+    return mo.fit_summary(summary, {"learning_rate": 0.1, "epochs": 3, "rounds_kept": info["rounds_kept"]}).drop("params")
