@@ -28,6 +28,19 @@ from riskframe.functions.joins import sized_broadcast
 DEFAULT_BUCKET_BITS = 8
 
 
+def _order_surrogate(df: DataFrame, order_col: str):
+    """A double that never decreases along ``order_col`` (ties allowed):
+    the value itself for numbers; for text, its first 6 UTF-8 bytes read as
+    a base-256 number (byte order is Spark's string order)."""
+    t = dict(df.dtypes)[order_col]
+    if t == "string":
+        hx = F.rpad(F.substring(F.hex(F.col(order_col)), 1, 12), 12, "0")
+        return F.conv(hx, 16, 10).cast("double")
+    if t in ("date", "timestamp", "timestamp_ntz"):
+        return F.unix_micros(F.col(order_col).cast("timestamp")).cast("double")
+    return F.col(order_col).cast("double")
+
+
 def running_totals(df: DataFrame, group_cols: list[str], order_col: str, sum_cols: list[str],
                    bucket_bits: int = DEFAULT_BUCKET_BITS, accuracy: int = 10000,
                    next_col: str | None = None) -> DataFrame:
@@ -37,8 +50,9 @@ def running_totals(df: DataFrame, group_cols: list[str], order_col: str, sum_col
     n_b = 1 << bucket_bits
     probs = [i / n_b for i in range(1, n_b)]
     gkeys = list(group_cols)
+    v = _order_surrogate(df, order_col)
     cuts = (df.groupBy(*gkeys) if gkeys else df.groupBy())
-    cuts = cuts.agg(F.percentile_approx(F.col(order_col).cast("double"), probs, accuracy).alias("_cuts"))
+    cuts = cuts.agg(F.percentile_approx(v, probs, accuracy).alias("_cuts"))
     if not gkeys:
         cuts = cuts.withColumn("_g", F.lit(0))
         df = df.withColumn("_g", F.lit(0))
@@ -48,7 +62,6 @@ def running_totals(df: DataFrame, group_cols: list[str], order_col: str, sum_col
     # the step-wise search is materialised level by level to keep the tree small
     pos = "_b"
     b = b.withColumn(pos, F.lit(0))
-    v = F.col(order_col).cast("double")
     for lvl in range(bucket_bits - 1, -1, -1):
         step = 1 << lvl
         probe = F.element_at(F.col("_cuts"), F.col(pos) + F.lit(step))

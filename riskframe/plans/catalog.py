@@ -487,3 +487,67 @@ def q_fine_tune(spark, sf_dir):
     cont, info = mo.fine_tune(base, subset, test, learning_rate=0.1, epochs=3)
     _, summary = mo.evaluate_scored(mo.score(cont, test))
     return mo.fit_summary(summary, {"learning_rate": 0.1, "epochs": 3, "rounds_kept": info["rounds_kept"]}).drop("params")
+
+
+# ---------------------------------------------------------------- augmentation
+from riskframe.operators import augment as ag  # noqa: E402
+
+_U = "CAST(('0x' || substr(md5(concat(CAST(trans_num AS VARCHAR), '-{tag}')), 1, 13)) AS BIGINT) / 4503599627370496.0"
+
+
+def _u(tag: str) -> str:
+    return _U.format(tag=tag)
+
+
+def _g(tag: str) -> str:
+    return (f"(sqrt(-2.0 * ln(greatest({_u(tag + '-a')}, 1e-300))) * cos(2 * pi() * {_u(tag + '-b')}))")
+
+
+@register("weighted_draw", with_views(
+    "SELECT t.trans_num, dd.value AS drawn FROM (SELECT trans_num, " + _u("42-category") + " AS u FROM tx) t "
+    "JOIN dd ON t.u >= dd.lo AND t.u < dd.hi",
+    "d AS (SELECT category AS value, count(*) AS n FROM tx WHERE category IS NOT NULL GROUP BY 1), "
+    "dd AS (SELECT value, (sum(n) OVER (ORDER BY value ROWS UNBOUNDED PRECEDING) - n) / (SELECT sum(n) FROM d) AS lo, "
+    "sum(n) OVER (ORDER BY value ROWS UNBOUNDED PRECEDING) / (SELECT sum(n) FROM d) AS hi FROM d)"))
+def q_weighted_draw(spark, sf_dir):
+    """Per row, a category drawn from the observed category distribution (hash-seeded)."""
+    tx = transactions(spark, sf_dir)
+    drawn = ag.weighted_draw(tx.select("trans_num"), ag.distribution(tx, "category"), "trans_num", 42, "category", "drawn")
+    return drawn
+
+
+_V = 0.5
+
+
+@register("jitter", with_views(
+    f"SELECT trans_num, {r6('lat2')} AS lat, {r6('long2')} AS long, {r6('amt2')} AS amt, city_pop2 AS city_pop, "
+    f"{r6('lat2 + (' + _u('42-merch_lat') + ' * 2 - 1) * 0.001')} AS merch_lat, "
+    f"{r6('long2 + (' + _u('42-merch_long') + ' * 2 - 1) * 0.001')} AS merch_long FROM ("
+    f"SELECT trans_num, lat + {_g('42-lat')} * 0.0005 AS lat2, long + {_g('42-long')} * 0.0005 AS long2, "
+    f"round(greatest(0.01, amt + {_g('42-amt')} * 5.0), 2) AS amt2, "
+    f"CAST(trunc(city_pop + {_g('42-city_pop')} * 500.0) AS BIGINT) AS city_pop2 FROM tx) z"))
+def q_jitter(spark, sf_dir):
+    """Numeric jitter at variability 0.5 (coordinates, amount, population, merchant point)."""
+    tx = transactions(spark, sf_dir)
+    return ag.jitter(tx, _V, "trans_num", 42).select("trans_num", "lat", "long", "amt", "city_pop", "merch_lat", "merch_long")
+
+
+@register("synthetic_like")
+def q_synthetic_like(spark, sf_dir):
+    """1000 synthetic-like rows (variability 0.5) drawn from the whole table."""
+    tx = transactions(spark, sf_dir)
+    return ag.synthesize(tx, 1000, 0.5, "trans_num", 42, as_of=F.lit("2024-01-01 00:00:00").cast("timestamp"))
+
+
+@register("synthetic_random")
+def q_synthetic_random(spark, sf_dir):
+    """1000 fully random rows (variability 1) over the table's value pools."""
+    tx = transactions(spark, sf_dir)
+    return ag.synthesize(tx, 1000, 1.0, "trans_num", 42, as_of=F.lit("2024-01-01 00:00:00").cast("timestamp"))
+
+
+@register("synthetic_mix")
+def q_synthetic_mix(spark, sf_dir):
+    """1000 rows: a seeded real share plus fully synthetic rows, flagged."""
+    tx = transactions(spark, sf_dir)
+    return ag.mix_real_synthetic(tx, 1000, "trans_num", 42)
