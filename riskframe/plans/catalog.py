@@ -551,3 +551,33 @@ def q_synthetic_mix(spark, sf_dir):
     """1000 rows: a seeded real share plus fully synthetic rows, flagged."""
     tx = transactions(spark, sf_dir)
     return ag.mix_real_synthetic(tx, 1000, "trans_num", 42)
+
+
+# ---------------------------------------------------------------- streaming
+import uuid  # noqa: E402
+
+from riskframe.streaming import jobs as st  # noqa: E402
+
+
+def _scratch(spark, name: str) -> str:
+    from riskframe.session import ensure_checkpoint_dir
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/{name}-{uuid.uuid4().hex}"
+
+
+@register("features_stream", ORACLE["features"])
+def q_features_stream(spark, sf_dir):
+    """The feature builder run as a stream (orders stream x static dimensions)."""
+    root = _scratch(spark, "features")
+    st.run_available_now(st.features_stream(spark, sf_dir), f"{root}/out", f"{root}/ckpt")
+    return spark.read.parquet(f"{root}/out")
+
+
+@register("events_daily_stream",
+          "SELECT CAST(date_trunc('day', ts) AS DATE) AS day, event_type, count(*) AS n, "
+          f"{r6('sum(value)')} AS value_sum FROM events GROUP BY 1, 2")
+def q_events_daily_stream(spark, sf_dir):
+    """Watermarked daily event counts per type, as a stream over the events table."""
+    root = _scratch(spark, "events")
+    ev = st.table_stream(spark, sf_dir, "events")
+    st.run_updates_available_now(st.daily_event_counts(ev), f"{root}/changes", f"{root}/ckpt")
+    return st.latest_state(spark.read.parquet(f"{root}/changes"), ["day", "event_type"])
