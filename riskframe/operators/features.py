@@ -17,6 +17,7 @@ KEY = "trans_num"
 FEATURE_COLUMNS = ["cc_num", "merchant", "category", "amt", "gender", "state", "zip", "city_pop",
                    "job", "age", "hour", "dayofweek", "month", "distance_km"]
 INDEX_PREFIX = "Unnamed:"
+NUMERIC_CASTS = {"cc_num": "bigint", "zip": "int"}
 
 
 def drop_index_columns(df: DataFrame) -> DataFrame:
@@ -62,6 +63,11 @@ def build_features(df: DataFrame, log_amt: bool = True, keep_key: bool = True,
         "month": F.month(ts),
         "distance_km": haversine_km("lat", "long", "merch_lat", "merch_long"),
     }).drop("trans_date_trans_time", "dob", *GEO_COLUMNS)
+    # card number and zip are numeric features (text in the raw API schema)
+    types = dict(df.dtypes)
+    casts = {c: F.col(c).cast(t) for c, t in NUMERIC_CASTS.items() if types.get(c) == "string"}
+    if casts:
+        df = df.withColumns(casts)
     if log_amt:
         df = df.withColumn("amt", F.log1p("amt"))
     return df

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskframe.operators.features import drop_index_columns
+from riskframe.operators.features import INDEX_PREFIX, drop_index_columns
 
 # Version format and pattern.
 VERSION_FORMAT = "%Y%m%d_%H%M%S"
@@ -67,20 +67,18 @@ def check_version(v: str | None) -> str | None:
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = TX_SCHEMA, header: bool = True,
              infer: bool = False) -> DataFrame:
-    """CSV scan with a pinned schema (inference only on request); index
-    columns written by pandas (``Unnamed: 0``) are dropped."""
+    """CSV scan with a pinned schema (inference only on request).  A leading
+    index column written by pandas (empty or ``Unnamed: 0`` header) is
+    recognised from the header line and dropped."""
     r = spark.read.option("header", header)
-    if schema is not None and not infer:
-        # a leading index column is tolerated: read the header first
-        head = spark.read.option("header", header).csv(path).columns if header else []
-        if head and head[0].startswith("Unnamed:") or (head and head[0] == ""):
-            full = T.StructType([T.StructField(head[0] or "Unnamed: 0", T.StringType())] + list(schema.fields))
-            df = r.schema(full).csv(path)
-        else:
-            df = r.schema(schema).csv(path)
-    else:
+    if schema is None or infer:
         df = r.option("inferSchema", True).csv(path)
-    return drop_index_columns(df.withColumnsRenamed({"_c0": "Unnamed: 0"}) if "_c0" in df.columns else df)
+        return drop_index_columns(df.withColumnRenamed("_c0", "Unnamed: 0"))
+    names = r.csv(path).columns if header else []
+    lead = bool(names) and (names[0] in ("_c0", "") or names[0].startswith(INDEX_PREFIX)) \
+        and len(names) == len(schema.fields) + 1
+    full = T.StructType([T.StructField("Unnamed: 0", T.StringType())] + list(schema.fields)) if lead else schema
+    return drop_index_columns(r.schema(full).csv(path))
 
 
 def read_table_any(spark: SparkSession, path: str, fmt: str = "parquet", **opts) -> DataFrame:
