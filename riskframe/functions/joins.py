@@ -18,16 +18,22 @@ def broadcast_limit(df: DataFrame) -> int:
     return int(v) if v else DEFAULT_BROADCAST_ROWS
 
 
-def sized_broadcast(df: DataFrame, max_rows: int | None = None, key_hint: str | None = None) -> DataFrame:
+def sized_broadcast(df: DataFrame, max_rows: int | None = None, key_hint: str | None = None,
+                    materialize: bool = True) -> DataFrame:
     """``broadcast`` of ``df`` when it has at most ``max_rows`` rows, else ``df``.
 
     At most ``max_rows + 1`` rows are computed once and checkpointed to the
     shared checkpoint folder; if that is the whole table the join broadcasts
     the checkpointed copy (no recomputation of an expensive small side),
     otherwise the caller's join stays a shuffle join (sort-merge, with AQE
-    skew splitting) on the original plan.
+    skew splitting) on the original plan.  ``materialize=False`` is for cheap
+    sides such as a dimension table scan: count only, broadcast the plan.
     """
     limit = broadcast_limit(df) if max_rows is None else max_rows
+    if not materialize:
+        # a plain table scan: counting reads no columns, and broadcasting the
+        # scan itself keeps column pruning and filter pushdown on it
+        return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
     ensure_checkpoint_dir(df.sparkSession)
     head = df.limit(limit + 1).checkpoint(eager=True)
     if head.count() <= limit:

@@ -36,7 +36,7 @@ def derive_transactions(orders: DataFrame, customer: DataFrame, nation: DataFram
     o = orders.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority")
     c = customer.select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     n = nation.select("n_nationkey", "n_name")
-    cb = sized_broadcast(c, key_hint="customer")
+    cb = sized_broadcast(c, key_hint="customer", materialize=False)
     # nation is the fixed 25-row dimension: a proven size bound
     j = (o.join(cb, o["o_custkey"] == cb["c_custkey"])
           .join(F.broadcast(n), F.col("c_nationkey") == F.col("n_nationkey")))
