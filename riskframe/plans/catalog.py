@@ -343,7 +343,7 @@ _YEAR_FEATS = ("fy AS (SELECT f.*, year(t.trans_date_trans_time) AS yr FROM feat
                "fr AS (SELECT * FROM fy WHERE yr % 2 = 0), fc AS (SELECT * FROM fy WHERE yr % 2 = 1)")
 
 
-def _drift_sql(body: str, stattest: str | None = None) -> str:
+def _drift_sql(body: str, stattest: str | dict | None = None) -> str:
     return with_views(body, _YEAR_FEATS + ", " + drift_ctes(_DRIFT_NUM, _DRIFT_CAT, "fr", "fc", stattest))
 
 
@@ -581,3 +581,90 @@ def q_events_daily_stream(spark, sf_dir):
     ev = st.table_stream(spark, sf_dir, "events")
     st.run_updates_available_now(st.daily_event_counts(ev), f"{root}/changes", f"{root}/ckpt")
     return st.latest_state(spark.read.parquet(f"{root}/changes"), ["day", "event_type"])
+
+
+# ---------------------------------------------------------------- more checks
+@register("shape", with_views("SELECT count(*) AS n_rows, 22 AS n_columns FROM tx"))
+def q_shape(spark, sf_dir):
+    """Row and column counts of the raw transaction table."""
+    tx = transactions(spark, sf_dir)
+    return tx.agg(F.count("*").alias("n_rows")).withColumn("n_columns", F.lit(len(tx.columns)))
+
+
+@register("split_class_freq", with_views(
+    f"SELECT split, is_fraud, count(*) AS n, {r6('count(*) / sum(count(*)) OVER (PARTITION BY split)')} AS freq "
+    "FROM sp GROUP BY split, is_fraud", split_ctes()))
+def q_split_class_freq(spark, sf_dir):
+    """Label balance of each split (normalised value counts per split)."""
+    sp = _split_feats(spark, sf_dir)
+    c = sp.groupBy("split", "is_fraud").agg(F.count("*").alias("n"))
+    tot = sp.groupBy("split").agg(F.count("*").alias("_t"))
+    return c.join(F.broadcast(tot), "split").select("split", "is_fraud", "n", (F.col("n") / F.col("_t")).alias("freq"))
+
+
+_FULL_UNPIVOT = " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, CAST({c} AS VARCHAR) AS value, is_fraud FROM feats" for c in _ENC_COLS)
+_FULL_ENC = (f"pri AS (SELECT avg(is_fraud) AS prior FROM feats), "
+             f"st AS (SELECT feature, value, count(*) AS n, avg(is_fraud) AS mean FROM ({_FULL_UNPIVOT}) u "
+             "WHERE value IS NOT NULL GROUP BY 1, 2), "
+             "enc AS (SELECT st.*, pri.prior, pri.prior * (1 - 1 / (1 + exp(-(n - 20.0) / 10.0))) "
+             "+ mean * (1 / (1 + exp(-(n - 20.0) / 10.0))) AS enc FROM st, pri)")
+
+
+@register("encode_full", with_views(
+    "SELECT t.trans_num, " + ", ".join(f"{r6(f'coalesce(e_{c}.enc, (SELECT prior FROM pri))')} AS {c}" for c in _ENC_COLS)
+    + " FROM feats t " + " ".join(
+        f"LEFT JOIN (SELECT value, enc FROM enc WHERE feature = '{c}') e_{c} ON CAST(t.{c} AS VARCHAR) = e_{c}.value"
+        for c in _ENC_COLS), _FULL_ENC))
+def q_encode_full(spark, sf_dir):
+    """Prediction-mode encoding: encoder refitted on all rows, then applied."""
+    f = feats(spark, sf_dir).checkpoint(eager=True)
+    return en.apply_target_encoder(f, en.fit_target_encoder(f)).select("trans_num", *_ENC_COLS)
+
+
+_CAT_FEATS = ("fy AS (SELECT * FROM feats), fr AS (SELECT * FROM feats WHERE category IN ('1-URGENT', '2-HIGH')), "
+              "fc AS (SELECT * FROM feats WHERE category NOT IN ('1-URGENT', '2-HIGH'))")
+_STRONG_NUM = _DRIFT_NUM + ["is_fraud"]
+_STRONG_CAT = [c for c in _DRIFT_CAT if c != "category"]
+
+
+def _category_pair(spark, sf_dir):
+    f = feats(spark, sf_dir)
+    hi = F.col("category").isin("1-URGENT", "2-HIGH")
+    return f.where(hi), f.where(~hi)
+
+
+@register("drift_strong", with_views(_TABLE_BODY, _CAT_FEATS + ", " + drift_ctes(_STRONG_NUM, _STRONG_CAT, "fr", "fc")))
+def q_drift_strong(spark, sf_dir):
+    """Drift table for a strong shift: urgent/high-priority rows against the rest."""
+    ref, cur = _category_pair(spark, sf_dir)
+    return dr.drift_table(ref, cur, _STRONG_NUM + _STRONG_CAT)
+
+
+_CHI_TESTS = {c: "chisquare" for c in _DRIFT_CAT}
+_Z_TESTS = {c: "z" for c in _DRIFT_CAT}
+
+
+@register("drift_chi2_stat", _drift_sql(f"SELECT column_name, {r6('stat')} AS stat, CAST(dof AS BIGINT) AS dof FROM chi",
+                                        _CHI_TESTS))
+def q_drift_chi2_stat(spark, sf_dir):
+    """Chi-square goodness-of-fit statistic per text column (current vs scaled reference counts)."""
+    ref, cur, vc = _vc(spark, sf_dir)
+    return dr.chi2_statistics(vc, dr.choose_test(dr.column_summary(vc), _CHI_TESTS)).withColumn(
+        "dof", F.col("dof").cast("long"))
+
+
+@register("drift_z_stat", _drift_sql(f"SELECT column_name, {r6('stat')} AS stat FROM zt", _Z_TESTS))
+def q_drift_z_stat(spark, sf_dir):
+    """Two-proportion z statistic of each text column's smallest value."""
+    ref, cur, vc = _vc(spark, sf_dir)
+    return dr.z_statistics(vc, dr.choose_test(dr.column_summary(vc), _Z_TESTS))
+
+
+@register("drift_small_sample")
+def q_drift_small_sample(spark, sf_dir):
+    """p-value tests (KS for numeric, chi-square / Z for text) forced on every column."""
+    ref, cur, vc = _vc(spark, sf_dir)
+    tests = {c: "ks" for c in _DRIFT_NUM}
+    tests.update({c: ("z" if c == "gender" else "chisquare") for c in _DRIFT_CAT})
+    return dr.drift_table(ref, cur, _DRIFT_COLS, stattest=tests, vc=vc)

@@ -73,7 +73,7 @@ PRED_CTE = (f"pred AS (SELECT trans_num, is_fraud AS y_true, {SCORE_SQL} AS y_pr
             "CAST(CASE WHEN y_pred_proba >= 0.5 THEN 1 ELSE 0 END AS INTEGER) AS y_pred_binary FROM pred)")
 
 
-def drift_ctes(num_cols: list[str], cat_cols: list[str], ref: str, cur: str, stattest: str | None = None) -> str:
+def drift_ctes(num_cols: list[str], cat_cols: list[str], ref: str, cur: str, stattest: str | dict | None = None) -> str:
     """CTEs ``vc`` (value counts), ``summ`` (per-column summary + chosen test),
     ``wd`` (normed Wasserstein), ``js`` (Jensen-Shannon), ``ks`` (KS statistic)."""
     parts = []
@@ -84,11 +84,16 @@ def drift_ctes(num_cols: list[str], cat_cols: list[str], ref: str, cur: str, sta
         for c in cat_cols:
             parts.append(f"SELECT {side} AS r, '{c}' AS column_name, 'cat' AS kind, CAST(NULL AS DOUBLE) AS num, "
                          f"CAST({c} AS VARCHAR) AS cat FROM {src}")
-    test = (f"'{stattest}'" if stattest else
-            "CASE WHEN kind = 'num' THEN (CASE WHEN n_distinct <= 5 THEN (CASE WHEN tot_ref > 1000 THEN 'jensenshannon' "
+    auto = ("CASE WHEN kind = 'num' THEN (CASE WHEN n_distinct <= 5 THEN (CASE WHEN tot_ref > 1000 THEN 'jensenshannon' "
             "WHEN n_distinct > 2 THEN 'chisquare' ELSE 'z' END) ELSE (CASE WHEN tot_ref > 1000 THEN 'wasserstein' "
             "ELSE 'ks' END) END) ELSE (CASE WHEN tot_ref > 1000 THEN 'jensenshannon' WHEN n_distinct > 2 THEN 'chisquare' "
             "ELSE 'z' END) END")
+    if isinstance(stattest, str):
+        test = f"'{stattest}'"
+    elif stattest:
+        test = "CASE column_name " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in stattest.items()) + f" ELSE {auto} END"
+    else:
+        test = auto
     return (
         f"lng AS ({' UNION ALL '.join(parts)}), "
         "vc AS (SELECT column_name, kind, num, cat, CAST(sum(r) AS BIGINT) AS n_ref, CAST(sum(1 - r) AS BIGINT) AS n_cur "
@@ -109,4 +114,13 @@ def drift_ctes(num_cols: list[str], cat_cols: list[str], ref: str, cur: str, sta
         "sum(v.n_ref) / max(s.tot_ref) AS p, sum(v.n_cur) / max(s.tot_cur) AS q FROM vc v JOIN summ s USING (column_name) "
         "WHERE s.test = 'jensenshannon' GROUP BY 1, 2), "
         "js AS (SELECT column_name, sqrt(greatest(sum(CASE WHEN p > 0 THEN p * ln(p / ((p + q) / 2)) ELSE 0 END "
-        "+ CASE WHEN q > 0 THEN q * ln(q / ((p + q) / 2)) ELSE 0 END) / 2, 0)) AS score FROM jk GROUP BY 1)")
+        "+ CASE WHEN q > 0 THEN q * ln(q / ((p + q) / 2)) ELSE 0 END) / 2, 0)) AS score FROM jk GROUP BY 1), "
+        "chi AS (SELECT v.column_name, sum(CASE WHEN v.n_ref = 0 THEN (CASE WHEN v.n_cur > 0 THEN 'inf'::DOUBLE ELSE 0 END) "
+        "ELSE pow(v.n_cur - v.n_ref * (s.tot_cur / s.tot_ref), 2) / (v.n_ref * (s.tot_cur / s.tot_ref)) END) AS stat, "
+        "max(s.n_distinct) - 1 AS dof FROM vc v JOIN summ s USING (column_name) WHERE s.test = 'chisquare' GROUP BY 1), "
+        "zt AS (SELECT column_name, CASE WHEN n_distinct = 1 THEN 0.0 ELSE (a / tot_ref - b / tot_cur) / sqrt(((a + b) / (tot_ref + tot_cur)) "
+        "* (1 - (a + b) / (tot_ref + tot_cur)) * (1 / tot_ref + 1 / tot_cur)) END AS stat FROM (SELECT s.column_name, s.n_distinct, "
+        "s.tot_ref, s.tot_cur, arg_min(v.n_ref, coalesce(v.num, 0)) FILTER (WHERE v.kind = 'num') AS an, "
+        "arg_min(v.n_cur, coalesce(v.num, 0)) FILTER (WHERE v.kind = 'num') AS bn, arg_min(v.n_ref, v.cat) FILTER (WHERE v.kind = 'cat') AS ac, "
+        "arg_min(v.n_cur, v.cat) FILTER (WHERE v.kind = 'cat') AS bc, coalesce(an, ac) AS a, coalesce(bn, bc) AS b "
+        "FROM vc v JOIN summ s USING (column_name) WHERE s.test = 'z' GROUP BY 1, 2, 3, 4) zz)")
