@@ -10,7 +10,7 @@ from tests.conftest import SF_SMALL
 
 # With under 1000 reference rows the drift table picks p-value tests, which the
 # SQL text does not compute; these two are checked at sf0.01 instead.
-LARGE_SAMPLE_ONLY = {"drift_table", "drift_verdict"}
+LARGE_SAMPLE_ONLY = {"drift_table", "drift_verdict", "drift_strong"}
 NAMES = sorted(k for k in E.oracle_sql() if k not in LARGE_SAMPLE_ONLY)
 
 
