@@ -668,3 +668,27 @@ def q_drift_small_sample(spark, sf_dir):
     tests = {c: "ks" for c in _DRIFT_NUM}
     tests.update({c: ("z" if c == "gender" else "chisquare") for c in _DRIFT_CAT})
     return dr.drift_table(ref, cur, _DRIFT_COLS, stattest=tests, vc=vc)
+
+
+@register("encode_stream", ORACLE["encode_full"])
+def q_encode_stream(spark, sf_dir):
+    """Encoder fitted on the batch table, applied to the transaction stream."""
+    f = feats(spark, sf_dir)
+    enc = en.fit_target_encoder(f)
+    root = _scratch(spark, "encode")
+    out = st.encode_stream(st.features_stream(spark, sf_dir), enc).select("trans_num", *_ENC_COLS)
+    st.run_available_now(out, f"{root}/out", f"{root}/ckpt")
+    return spark.read.parquet(f"{root}/out")
+
+
+@register("score_stream")
+def q_score_stream(spark, sf_dir):
+    """Model fitted on the encoded train split scores the encoded transaction stream."""
+    train, _ = _encoded_splits(spark, sf_dir)
+    model = mo.fit_gbt(train, fe.FEATURE_COLUMNS, preset="test")
+    enc = en.fit_target_encoder(feats(spark, sf_dir))
+    root = _scratch(spark, "score")
+    scored = st.score_stream(st.encode_stream(st.features_stream(spark, sf_dir), enc), model)
+    st.run_available_now(scored.select("trans_num", "is_fraud", "is_fraud_pred", "fraud_score"),
+                         f"{root}/out", f"{root}/ckpt")
+    return spark.read.parquet(f"{root}/out")

@@ -81,3 +81,16 @@ def latest_state(changes: DataFrame, keys: list[str]) -> DataFrame:
     """Last written row per key of an update change log."""
     w = Window.partitionBy(*keys).orderBy(F.desc("_batch"))
     return changes.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn", "_batch")
+
+
+def encode_stream(stream: DataFrame, encoder: DataFrame, cols: list[str] | None = None) -> DataFrame:
+    """Apply a batch-fitted encoder table to a stream (stream-static joins;
+    the encoder is size-checked and broadcast, or shuffle-joined if large)."""
+    from riskframe.operators.encode import apply_target_encoder
+    return apply_target_encoder(stream, encoder, cols)
+
+
+def score_stream(stream: DataFrame, model) -> DataFrame:
+    """Score a stream with a fitted model (stateless ``transform``)."""
+    from riskframe.operators.model import score
+    return score(model, stream)
