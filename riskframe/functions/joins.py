@@ -18,6 +18,14 @@ def broadcast_limit(df: DataFrame) -> int:
     return int(v) if v else DEFAULT_BROADCAST_ROWS
 
 
+def materialize_if_small(df: DataFrame, max_rows: int | None = None) -> DataFrame | None:
+    """The whole of ``df`` checkpointed, if it has at most ``max_rows`` rows; else None."""
+    limit = broadcast_limit(df) if max_rows is None else max_rows
+    ensure_checkpoint_dir(df.sparkSession)
+    head = df.limit(limit + 1).checkpoint(eager=True)
+    return head if head.count() <= limit else None
+
+
 def sized_broadcast(df: DataFrame, max_rows: int | None = None, key_hint: str | None = None,
                     materialize: bool = True) -> DataFrame:
     """``broadcast`` of ``df`` when it has at most ``max_rows`` rows, else ``df``.
@@ -34,8 +42,5 @@ def sized_broadcast(df: DataFrame, max_rows: int | None = None, key_hint: str |
         # a plain table scan: counting reads no columns, and broadcasting the
         # scan itself keeps column pruning and filter pushdown on it
         return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
-    ensure_checkpoint_dir(df.sparkSession)
-    head = df.limit(limit + 1).checkpoint(eager=True)
-    if head.count() <= limit:
-        return F.broadcast(head)
-    return df
+    head = materialize_if_small(df, limit)
+    return F.broadcast(head) if head is not None else df

@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskframe.functions.joins import sized_broadcast
+from riskframe.session import ensure_checkpoint_dir
 
 DEFAULT_BUCKET_BITS = 8
 
@@ -43,10 +44,18 @@ def _order_surrogate(df: DataFrame, order_col: str):
 
 def running_totals(df: DataFrame, group_cols: list[str], order_col: str, sum_cols: list[str],
                    bucket_bits: int = DEFAULT_BUCKET_BITS, accuracy: int = 10000,
-                   next_col: str | None = None) -> DataFrame:
+                   next_col: str | None = None, materialize: bool = True) -> DataFrame:
     """Add ``cum_<c>`` (inclusive running sum of ``c`` within the group, in
     ``order_col`` order) and, if ``next_col`` is given, the next larger
-    ``order_col`` value of the group (NULL for the last row)."""
+    ``order_col`` value of the group (NULL for the last row).
+
+    The input is read three times (cut points, range totals, final window);
+    ``materialize`` checkpoints it first so an aggregate feeding it is
+    computed once.  Pass ``False`` when the input is already cheap to read.
+    """
+    if materialize:
+        ensure_checkpoint_dir(df.sparkSession)
+        df = df.checkpoint(eager=True)
     n_b = 1 << bucket_bits
     probs = [i / n_b for i in range(1, n_b)]
     gkeys = list(group_cols)

@@ -19,6 +19,7 @@ from riskframe.functions.columns import col_, hash_unit, rank_hash
 from riskframe.functions.joins import sized_broadcast
 from riskframe.functions.prefix import running_totals
 from riskframe.operators.sampling import sample_n
+from riskframe.session import ensure_checkpoint_dir
 
 DRAW_BUCKETS = 1024
 # Jitter scales per unit of variability and fully random ranges.
@@ -44,7 +45,9 @@ def distributions(df: DataFrame, fields: list[str], weighted: bool | dict = True
     uniform = [f for f in fields if not wmap.get(f, True)]
     if uniform:
         vc = vc.withColumn("n", F.when(F.col("field").isin(*uniform), F.lit(1)).otherwise(F.col("n")).cast("long"))
-    rt = running_totals(vc, ["field"], "value", ["n"])
+    ensure_checkpoint_dir(df.sparkSession)
+    vc = vc.checkpoint(eager=True)  # read by the running counts and the field totals
+    rt = running_totals(vc, ["field"], "value", ["n"], materialize=False)
     totals = vc.groupBy("field").agg(F.sum("n").alias("_tot"))
     # one row per field
     rt = rt.join(F.broadcast(totals), "field")

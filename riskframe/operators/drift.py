@@ -114,7 +114,8 @@ def choose_test(summary: DataFrame, stattest: str | dict | None = None) -> DataF
 def _cdf_rows(vc: DataFrame, plan: DataFrame, test: str) -> DataFrame:
     sel = plan.where(F.col("test") == test).select("column_name", "tot_ref", "tot_cur", "std_ref")
     rows = vc.where(F.col("kind") == "num").join(F.broadcast(sel), "column_name")
-    rt = running_totals(rows, ["column_name"], "num", ["n_ref", "n_cur"], next_col="nxt")
+    # rows come from the checkpointed value counts plus a broadcast join: cheap to re-read
+    rt = running_totals(rows, ["column_name"], "num", ["n_ref", "n_cur"], next_col="nxt", materialize=False)
     gap = F.abs(F.col("cum_n_ref") / F.col("tot_ref") - F.col("cum_n_cur") / F.col("tot_cur"))
     return rt.withColumn("gap", gap)
 

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.functions.joins import sized_broadcast
+from riskframe.functions.joins import materialize_if_small, sized_broadcast
 from riskframe.operators.features import CATEGORICAL_COLUMNS, LABEL
 from riskframe.session import ensure_checkpoint_dir
 
@@ -66,10 +66,13 @@ def apply_target_encoder(df: DataFrame, encoder: DataFrame, cols: list[str] | No
     """Replace each categorical column by its encoding; unseen/NULL -> prior."""
     cols = cols or CATEGORICAL_COLUMNS
     prior_col = F.lit(float(prior)) if prior is not None else encoder_prior(encoder).scalar()
+    # one size check for the whole table: if it fits, every per-column slice does
+    small = materialize_if_small(encoder.where(F.col("feature").isin(*cols)))
     out = df
     for c in cols:
-        m = encoder.where(F.col("feature") == c).select(
+        m = (small if small is not None else encoder).where(F.col("feature") == c).select(
             F.col("value").alias(f"_v_{c}"), F.col("enc").alias(f"_e_{c}"))
-        out = out.join(sized_broadcast(m), out[c].cast("string") == F.col(f"_v_{c}"), "left")
+        m = F.broadcast(m) if small is not None else sized_broadcast(m)
+        out = out.join(m, out[c].cast("string") == F.col(f"_v_{c}"), "left")
         out = out.withColumn(c, F.coalesce(F.col(f"_e_{c}"), prior_col)).drop(f"_v_{c}", f"_e_{c}")
     return out

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from riskframe.functions.joins import sized_broadcast
 from riskframe.functions.prefix import running_totals
 from riskframe.operators.features import LABEL
+from riskframe.session import ensure_checkpoint_dir
 
 Z_95 = 1.959963984540054  # two-sided 95 % normal quantile
 
@@ -53,6 +54,9 @@ def daily_counts(df: DataFrame, ts: str = "trans_date_trans_time", label: str =
     day = F.to_date(F.col(ts))
     daily = df.groupBy(day.alias("day")).agg(F.sum(F.col(label)).cast("long").alias("n_pos"),
                                               F.count("*").alias("n_rows"))
+    # one row per day: materialised once, read by the span and the join
+    ensure_checkpoint_dir(df.sparkSession)
+    daily = daily.checkpoint(eager=True)
     span = daily.agg(F.min("day").alias("lo"), F.max("day").alias("hi"))
     cal = span.select(F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 DAY"))).alias("day"))
     # calendar and daily table both have one row per day of the span
@@ -67,7 +71,9 @@ def exact_quantiles(df: DataFrame, value: str, group: str, probs: list[float]) -
     counts (``running_totals``), then pick the two ranks around
     ``(n-1)*q`` by an equi-join on the group plus a range predicate."""
     vc = df.groupBy(group, value).agg(F.count("*").alias("c")).where(F.col(value).isNotNull())
-    rt = running_totals(vc, [group], value, ["c"])
+    ensure_checkpoint_dir(df.sparkSession)
+    vc = vc.checkpoint(eager=True)  # read by the running counts and the group totals
+    rt = running_totals(vc, [group], value, ["c"], materialize=False)
     ntot = vc.groupBy(group).agg(F.sum("c").alias("_n"))
     qs = F.array(*[F.lit(float(p)) for p in probs])
     tgt = (ntot.select(group, "_n", F.posexplode(qs).alias("qi", "q"))

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskframe.functions.columns import rank_hash
-from riskframe.functions.joins import sized_broadcast
+from riskframe.session import ensure_checkpoint_dir
 
 HASH_BUCKET_HEX = 5  # 20 bits
 
@@ -59,20 +59,30 @@ def check_classes(counts: dict, min_per_class: int = 2) -> None:
 
 
 def mark_by_hash_rank(df: DataFrame, key: str, seed: int, quota, by: str | None = None,
-                      flag: str = "_selected") -> DataFrame:
+                      flag: str = "_selected", max_strata: int = 10_000) -> DataFrame:
     """Add boolean ``flag``: rank of (md5(key-seed), key) within ``by`` < quota.
 
-    ``quota`` is an int (no strata) or a dict stratum -> int.
+    ``quota`` is an int (no strata), a dict stratum -> int, or a callable
+    mapping the stratum sizes (dict) to such a dict; the sizes come from the
+    bucket counts, so no extra pass over ``df`` is needed for them.
     """
     spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
     g = by or "_stratum"
     d = df if by else df.withColumn(g, F.lit(0))
-    quotas = quota if isinstance(quota, dict) else {0: int(quota)}
     d = d.withColumn("_h", rank_hash(key, seed))
     d = d.withColumn("_hb", F.conv(F.substring("_h", 1, HASH_BUCKET_HEX), 16, 10).cast("int"))
+    # at most strata x 2**20 rows, whatever the input size
+    cnt = d.groupBy(g, "_hb").count().checkpoint(eager=True)
+    if callable(quota):
+        sizes = cnt.groupBy(g).agg(F.sum("count").alias("n")).limit(max_strata + 1).collect()
+        if len(sizes) > max_strata:
+            raise ValueError(f"more than {max_strata} strata in {g}")
+        quotas = quota({r[g]: r["n"] for r in sizes})
+    else:
+        quotas = quota if isinstance(quota, dict) else {0: int(quota)}
     gtype = dict(d.dtypes)[g]
     qdf = spark.createDataFrame([(k, int(v)) for k, v in quotas.items()], f"{g} {gtype}, _quota long")
-    cnt = d.groupBy(g, "_hb").count()
     w = Window.partitionBy(g).orderBy("_hb").rowsBetween(Window.unboundedPreceding, 0)
     cum = cnt.withColumn("_cum", F.sum("count").over(w)).join(F.broadcast(qdf), g)
     bound = (cum.where(F.col("_cum") >= F.col("_quota"))
@@ -84,8 +94,9 @@ def mark_by_hash_rank(df: DataFrame, key: str, seed: int, quota, by: str | None
     info = qdf.join(bound, g, "left").select(
         g, F.when(F.col("_quota") <= 0, F.lit(-1)).otherwise(F.col("_bound")).alias("_bound"),
         F.when(F.col("_quota") <= 0, F.lit(0)).otherwise(F.col("_need")).alias("_need"))
-    # one row per stratum: the quota dict already lives on the driver, so it is small
-    j = d.join(sized_broadcast(info), g, "left")
+    # one row per stratum, and the strata are bounded (checked above / given by the caller)
+    info = F.broadcast(info.checkpoint(eager=True))
+    j = d.join(info, g, "left")
     inner = j.where(F.col("_bound").isNull() | (F.col("_hb") != F.col("_bound"))).withColumn(
         flag, F.col("_bound").isNull() | (F.col("_hb") < F.col("_bound")))
     edge = j.where(F.col("_hb") == F.col("_bound"))
@@ -123,21 +134,21 @@ def split_quotas(counts: dict, test_size: float | None = None, train_size: int |
 def stratified_split(df: DataFrame, key: str, label: str = "is_fraud", test_size: float = 0.2,
                      seed: int = 42, split_col: str = "split", counts: dict | None = None) -> DataFrame:
     """Add ``split`` in {'train','test'}; class counts are exact per stratum."""
-    counts = counts or class_counts_small(df, label)
-    check_classes(counts)
-    q = split_quotas(counts, test_size=test_size)
-    m = mark_by_hash_rank(df, key, seed, q, by=label, flag="_t")
+    def quotas(sizes: dict) -> dict:
+        check_classes(sizes)
+        return split_quotas(sizes, test_size=test_size)
+    m = mark_by_hash_rank(df, key, seed, split_quotas(counts, test_size=test_size) if counts else quotas,
+                          by=label, flag="_t")
     return m.withColumn(split_col, F.when(F.col("_t"), "test").otherwise("train")).drop("_t")
 
 
 def stratified_subset(df: DataFrame, key: str, label: str = "is_fraud", fraction: float = 0.95,
                       seed: int = 42, counts: dict | None = None) -> DataFrame:
     """Keep ``int(fraction * n)`` rows, stratified on ``label`` (the 'train' side)."""
-    counts = counts or class_counts_small(df, label)
-    n = sum(counts.values())
-    q = split_quotas(counts, train_size=int(fraction * n))
+    def quotas(sizes: dict) -> dict:
+        return split_quotas(sizes, train_size=int(fraction * sum(sizes.values())))
     # as in ``stratified_split`` the lowest ranks form the held-out side
-    m = mark_by_hash_rank(df, key, seed, q, by=label, flag="_t")
+    m = mark_by_hash_rank(df, key, seed, quotas(counts) if counts else quotas, by=label, flag="_t")
     return m.where(~F.col("_t")).drop("_t")
 
 
