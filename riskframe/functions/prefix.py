@@ -27,6 +27,10 @@ from riskframe.functions.joins import sized_broadcast
 from riskframe.session import ensure_checkpoint_dir
 
 DEFAULT_BUCKET_BITS = 8
+# Inputs with at most this many rows take one window per group (bounded by
+# construction); larger inputs are range-split.  Conf key overrides it.
+SMALL_INPUT_ROWS = 2_000_000
+SMALL_CONF_KEY = "riskframe.window.maxRows"
 
 
 def _order_surrogate(df: DataFrame, order_col: str):
@@ -42,6 +46,17 @@ def _order_surrogate(df: DataFrame, order_col: str):
     return F.col(order_col).cast("double")
 
 
+def _direct(df: DataFrame, group_cols: list[str], order_col: str, sum_cols: list[str],
+            next_col: str | None) -> DataFrame:
+    """One ordered window per group: used only when the whole input is small."""
+    w = Window.partitionBy(*group_cols).orderBy(order_col) if group_cols else Window.orderBy(order_col)
+    out = df.withColumns({f"cum_{c}": F.sum(c).over(w.rowsBetween(Window.unboundedPreceding, 0))
+                          for c in sum_cols})
+    if next_col:
+        out = out.withColumn(next_col, F.lead(order_col).over(w))
+    return out
+
+
 def running_totals(df: DataFrame, group_cols: list[str], order_col: str, sum_cols: list[str],
                    bucket_bits: int = DEFAULT_BUCKET_BITS, accuracy: int = 10000,
                    next_col: str | None = None, materialize: bool = True) -> DataFrame:
@@ -56,6 +71,10 @@ def running_totals(df: DataFrame, group_cols: list[str], order_col: str, sum_col
     if materialize:
         ensure_checkpoint_dir(df.sparkSession)
         df = df.checkpoint(eager=True)
+    conf = df.sparkSession.conf.get(SMALL_CONF_KEY, None)
+    small = int(conf) if conf else SMALL_INPUT_ROWS
+    if df.limit(small + 1).count() <= small:
+        return _direct(df, group_cols, order_col, sum_cols, next_col)
     n_b = 1 << bucket_bits
     probs = [i / n_b for i in range(1, n_b)]
     gkeys = list(group_cols)

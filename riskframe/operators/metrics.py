@@ -82,11 +82,16 @@ def evaluate_predictions(df: DataFrame, y: str = "y_true", score: str = "y_pred_
                          pred: str = "y_pred_binary", baseline_auc: float = BASELINE_AUC) -> DataFrame:
     """Summary row: roc_auc, class-1 precision/recall/f1, accuracy, AUC delta to a baseline."""
     rep = classification_report(df, y, pred)
+    cols = ["roc_auc", "n_pos", "n_neg", "precision_1", "recall_1", "f1_1", "accuracy"]
+
+    def pad(frame, have):
+        return frame.select(*[F.col(c) if c in have else F.lit(None).cast("double").alias(c) for c in cols])
     one = rep.where(F.col("label") == "1").select(
         F.col("precision").alias("precision_1"), F.col("recall").alias("recall_1"), F.col("f1").alias("f1_1"))
-    acc = rep.where(F.col("label") == "accuracy").select(F.col("f1").alias("accuracy"), F.col("support").alias("n"))
+    acc = rep.where(F.col("label") == "accuracy").select(F.col("f1").alias("accuracy"))
     auc = roc_auc(df, y, score)
-    out = auc.withColumns({
-        "precision_1": one.select("precision_1").scalar(), "recall_1": one.select("recall_1").scalar(),
-        "f1_1": one.select("f1_1").scalar(), "accuracy": acc.select("accuracy").scalar()})
+    # one-row results folded into one row (no product join)
+    parts = pad(auc, auc.columns).unionByName(pad(one, one.columns)).unionByName(pad(acc, acc.columns))
+    out = parts.agg(*[F.max(c).alias(c) for c in cols]).withColumns(
+        {"n_pos": F.col("n_pos").cast("long"), "n_neg": F.col("n_neg").cast("long")})
     return out.withColumn("auc_delta", F.col("roc_auc") - F.lit(float(baseline_auc)))

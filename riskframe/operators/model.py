@@ -74,11 +74,12 @@ def evaluate_scored(scored: DataFrame, label: str = LABEL) -> tuple[DataFrame, D
     """(classification report, one-row summary: roc_auc, precision/recall/f1 of class 1)."""
     t = scored.select(F.col(label).alias("y_true"), F.col("is_fraud_pred").alias("y_pred_binary"),
                       F.col("fraud_score").alias("y_pred_proba"))
-    rep = classification_report(t).cache()
-    one = rep.where(F.col("label") == "1")
-    summary = roc_auc(t).select("roc_auc").withColumns({
-        "precision": one.select("precision").scalar(), "recall": one.select("recall").scalar(),
-        "f1": one.select("f1").scalar()})
+    rep = classification_report(t)
+    one = rep.where(F.col("label") == "1").select(
+        F.lit(None).cast("double").alias("roc_auc"), "precision", "recall", "f1")
+    auc = roc_auc(t).select("roc_auc", *[F.lit(None).cast("double").alias(c) for c in ("precision", "recall", "f1")])
+    # two one-row results folded into one row (no product join)
+    summary = auc.unionByName(one).agg(*[F.max(c).alias(c) for c in ("roc_auc", "precision", "recall", "f1")])
     return rep, summary
 
 

@@ -40,7 +40,7 @@ def _wasserstein(u, v):
     return tot
 
 
-def test_wasserstein_normed_brute_force(spark):
+def test_wasserstein_normed_brute_force(spark, force_range_split):
     u = [float((i * 7) % 50) for i in range(1200)]
     v = [float((i * 11) % 60) + 0.5 for i in range(900)]
     ref = spark.createDataFrame([(x,) for x in u], "x double")
@@ -91,7 +91,7 @@ def test_histograms_and_monitor(spark):
     assert res["verdict"].first()["n_columns"] == 1
 
 
-def test_stattest_override_and_results_independent_of_partitions(spark):
+def test_stattest_override_and_results_independent_of_partitions(spark, force_range_split):
     a = spark.range(3000).select(((F.col("id") * 13) % 101).cast("double").alias("x"))
     b = spark.range(2500).select(((F.col("id") * 7) % 89).cast("double").alias("x"))
     s1 = _table(dr.drift_table(a.repartition(1), b.repartition(1), stattest="ks"))["x"]["drift_score"]

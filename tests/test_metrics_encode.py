@@ -38,7 +38,7 @@ def _brute_auc(ys, ss):
     return tot / (len(pos) * len(neg))
 
 
-def test_roc_auc_exact_with_ties(spark):
+def test_roc_auc_exact_with_ties(spark, force_range_split):
     rnd = random.Random(3)
     ys = [1 if rnd.random() < 0.2 else 0 for _ in range(700)]
     ss = [round(rnd.random() * 0.5 + 0.4 * y, 2) for y in ys]  # many ties

@@ -32,3 +32,11 @@ def test_query_matches_oracle(spark, con, name):
     assert sorted(sdf.columns) == sorted(rel.columns)
     assert len(srows) == len(drows)
     assert digest(sdf.columns, srows)[0] == digest(rel.columns, drows)[0]
+
+
+RANGE_SPLIT = ["roc_auc", "amount_box", "drift_wasserstein", "drift_ks_stat", "weighted_draw", "validate_predictions"]
+
+
+@pytest.mark.parametrize("name", RANGE_SPLIT)
+def test_range_split_path_matches_oracle(spark, con, force_range_split, name):
+    test_query_matches_oracle(spark, con, name)

@@ -14,7 +14,7 @@ def _naive_running(pdf, group, order, col):
     return pdf
 
 
-def test_running_totals_matches_naive_window(spark):
+def test_running_totals_matches_naive_window(spark, force_range_split):
     rnd = random.Random(7)
     rows = []
     for g in range(3):
@@ -30,7 +30,19 @@ def test_running_totals_matches_naive_window(spark):
         assert ((m["nxt_x"] == m["nxt_y"]) | (m["nxt_x"].isna() & m["nxt_y"].isna())).all()
 
 
-def test_running_totals_text_order_and_no_group(spark):
+def test_running_totals_small_path_equals_split_path(spark):
+    df = spark.range(3000).select((F.col("id") % 3).alias("g"), (F.col("id") * 7 % 1000).cast("double").alias("v"),
+                                  F.lit(1).alias("c")).dropDuplicates(["g", "v"])
+    a = running_totals(df, ["g"], "v", ["c"], next_col="n").orderBy("g", "v").collect()
+    spark.conf.set("riskframe.window.maxRows", "1")
+    try:
+        b = running_totals(df, ["g"], "v", ["c"], next_col="n").orderBy("g", "v").collect()
+    finally:
+        spark.conf.unset("riskframe.window.maxRows")
+    assert [tuple(r) for r in a] == [tuple(r) for r in b]
+
+
+def test_running_totals_text_order_and_no_group(spark, force_range_split):
     words = sorted({"".join(random.Random(i).choices("abcxyz", k=5)) for i in range(300)})
     df = spark.createDataFrame([(w, 1) for w in words], "w string, c long")
     got = running_totals(df, [], "w", ["c"], bucket_bits=4).orderBy("w").collect()
