@@ -15,7 +15,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.functions.columns import col_, hash_unit, rank_hash
+from riskframe.functions.columns import col_, hash_unit
 from riskframe.functions.joins import sized_broadcast
 from riskframe.functions.prefix import running_totals
 from riskframe.operators.sampling import sample_n
@@ -162,4 +162,4 @@ def mix_real_synthetic(df: DataFrame, n: int, key: str = "trans_num", seed=42, v
             .unionByName(fake.withColumn(key, F.col(key).cast("string")).withColumn("is_synthetic", F.lit(True))))
 
 
-__all__ = ["distribution", "weighted_draw", "jitter", "synthesize", "mix_real_synthetic", "rank_hash"]
+__all__ = ["distributions", "distribution", "weighted_draw", "jitter", "synthesize", "mix_real_synthetic"]

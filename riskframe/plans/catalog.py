@@ -7,16 +7,26 @@ digits for comparison.  Library operators themselves never round.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.functions.columns import haversine_km, round_floats
+from riskframe.functions.columns import age_years, haversine_km, round_floats, weekday_mon0
+from riskframe.operators import augment as ag
+from riskframe.operators import drift as dr
+from riskframe.operators import encode as en
 from riskframe.operators import features as fe
+from riskframe.operators import metrics as me
+from riskframe.operators import model as mo
 from riskframe.operators import profile as pr
-from riskframe.plans.oracle_sql import r6, with_views
+from riskframe.operators import sampling as sm
+from riskframe.plans.inputs import heuristic_predictions, year_halves
+from riskframe.plans.oracle_sql import PRED_CTE, drift_ctes, md5_key, quota_cte, r6, split_ctes, with_views
+from riskframe.session import ensure_checkpoint_dir
 from riskframe.sources.transactions import transactions
+from riskframe.streaming import jobs as st
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -66,7 +76,6 @@ def q_haversine(spark, sf_dir):
 def q_time_parts(spark, sf_dir):
     f = fe.parse_times(transactions(spark, sf_dir))
     ts = F.col("trans_date_trans_time")
-    from riskframe.functions.columns import age_years, weekday_mon0
     return f.select("trans_num", age_years(ts, "dob").alias("age"), F.hour(ts).alias("hour"),
                     weekday_mon0(ts).alias("dayofweek"), F.month(ts).alias("month"), "unix_time")
 
@@ -197,11 +206,6 @@ def q_city_tuples(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- sampling
-from riskframe.operators import encode as en  # noqa: E402
-from riskframe.operators import metrics as me  # noqa: E402
-from riskframe.operators import sampling as sm  # noqa: E402
-from riskframe.plans.inputs import heuristic_predictions, year_halves  # noqa: E402
-from riskframe.plans.oracle_sql import PRED_CTE, md5_key, quota_cte, split_ctes  # noqa: E402
 
 SAMPLE_N = 5000
 
@@ -333,8 +337,6 @@ def q_roc_auc(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- drift
-from riskframe.operators import drift as dr  # noqa: E402
-from riskframe.plans.oracle_sql import drift_ctes  # noqa: E402
 
 _DRIFT_NUM = ["cc_num", "amt", "zip", "city_pop", "age", "hour", "dayofweek", "month", "distance_km"]
 _DRIFT_CAT = ["merchant", "category", "gender", "state", "job"]
@@ -437,7 +439,6 @@ def q_drift_hist(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- models
-from riskframe.operators import model as mo  # noqa: E402
 
 
 @register("validate_predictions", with_views(
@@ -490,7 +491,6 @@ def q_fine_tune(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- augmentation
-from riskframe.operators import augment as ag  # noqa: E402
 
 _U = "CAST(('0x' || substr(md5(concat(CAST(trans_num AS VARCHAR), '-{tag}')), 1, 13)) AS BIGINT) / 4503599627370496.0"
 
@@ -554,13 +554,9 @@ def q_synthetic_mix(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- streaming
-import uuid  # noqa: E402
-
-from riskframe.streaming import jobs as st  # noqa: E402
 
 
 def _scratch(spark, name: str) -> str:
-    from riskframe.session import ensure_checkpoint_dir
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/{name}-{uuid.uuid4().hex}"
 
 

@@ -18,7 +18,7 @@ from riskframe.operators import drift as dr
 from riskframe.operators import encode as en
 from riskframe.operators import model as mo
 from riskframe.operators import sampling as sm
-from riskframe.operators.features import CATEGORICAL_COLUMNS, FEATURE_COLUMNS, KEY, LABEL, build_features
+from riskframe.operators.features import FEATURE_COLUMNS, KEY, LABEL, build_features
 from riskframe.session import ensure_checkpoint_dir
 from riskframe.sources import io
 
@@ -154,4 +154,4 @@ def run_monitoring(spark: SparkSession, reference: DataFrame, current: DataFrame
 
 
 __all__ = ["run_preprocessing", "run_training", "run_prediction", "run_validation", "validate_predictions",
-           "run_fine_tuning", "run_monitoring", "load_splits", "CATEGORICAL_COLUMNS"]
+           "run_fine_tuning", "run_monitoring", "load_splits"]
