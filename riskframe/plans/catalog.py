@@ -688,3 +688,46 @@ def q_score_stream(spark, sf_dir):
     st.run_available_now(scored.select("trans_num", "is_fraud", "is_fraud_pred", "fraud_score"),
                          f"{root}/out", f"{root}/ckpt")
     return spark.read.parquet(f"{root}/out")
+
+
+# ---------------------------------------------------------------- sources round trips
+@register("features_from_csv", ORACLE["features"])
+def q_features_from_csv(spark, sf_dir):
+    """Raw rows written as CSV with a pandas-style index column, read back with
+    the pinned schema (index dropped, card number and zip as text), then featurised."""
+    from riskframe.sources import io
+    root = _scratch(spark, "csv")
+    tx = transactions(spark, sf_dir)
+    raw = tx.select(F.col("trans_num").cast("string").alias("Unnamed: 0"), *[
+        F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c) if c == "trans_date_trans_time" else F.col(c)
+        for c in tx.columns])
+    io.write_frame(raw, f"{root}/raw", fmt="csv")
+    return fe.build_features(io.read_csv(spark, f"{root}/raw"))
+
+
+@register("versioned_roundtrip", ORACLE["encoder_apply"])
+def q_versioned_roundtrip(spark, sf_dir):
+    """Preprocess into a versioned dataset, then read the latest version's test split back."""
+    from riskframe.plans.jobs import load_splits, run_preprocessing
+    root = _scratch(spark, "versioned")
+    run_preprocessing(spark, transactions(spark, sf_dir), root, version="20240101_000000")
+    run_preprocessing(spark, transactions(spark, sf_dir), root, version="20240202_000000")
+    _, test = load_splits(spark, root)  # latest
+    return test.select("trans_num", *_ENC_COLS)
+
+
+@register("class_weight", with_views(
+    "SELECT trans_num, is_fraud, CAST(CASE WHEN is_fraud = 1 THEN 10.0 ELSE 1.0 END AS DOUBLE) AS weight FROM feats"))
+def q_class_weight(spark, sf_dir):
+    """Per-row class weight (positives weighted 10)."""
+    return fe.class_weight(feats(spark, sf_dir), 10.0).select("trans_num", "is_fraud", "weight")
+
+
+_MODEL_ORDER = ["Unnamed: 0", "amt", "category", "merchant", "distance_km", "hour", "age", "cc_num"]
+
+
+@register("align_features", with_views(
+    f"SELECT {r6('amt')} AS amt, category, merchant, {r6('distance_km')} AS distance_km, hour, age, cc_num, trans_num FROM feats"))
+def q_align_features(spark, sf_dir):
+    """Features reordered to a model's list (extras dropped, the index column not re-created)."""
+    return fe.align_features(feats(spark, sf_dir).withColumn("extra", F.lit(1)), _MODEL_ORDER, keep=["trans_num"])
