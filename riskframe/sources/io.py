@@ -103,7 +103,11 @@ def write_versioned(df: DataFrame, base: str, version: str, split: str, fmt: str
 
 def latest_version(spark: SparkSession, base: str) -> str:
     """Largest ``version`` present (lexical order = time order)."""
-    v = spark.read.parquet(base).select(F.max("version")).first()[0]
+    from pyspark.errors import AnalysisException
+    try:
+        v = spark.read.parquet(base).select(F.max("version")).first()[0]
+    except AnalysisException as e:  # missing or empty folder
+        raise FileNotFoundError(f"no versions under {base}") from e
     if v is None:
         raise FileNotFoundError(f"no versions under {base}")
     return v

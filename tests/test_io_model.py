@@ -90,3 +90,56 @@ def test_fine_tune_zero_rounds_equals_base(spark):
     cont2, info2 = mo.fine_tune(base, f, f, learning_rate=0.1, epochs=3, patience=3)
     h = info2["val_logloss_history"]
     assert info2["best_val_logloss"] <= h[0]
+
+
+def test_missing_path_raises(spark, scratch):
+    from pyspark.errors import AnalysisException
+    with pytest.raises(AnalysisException):
+        spark.read.parquet(os.path.join(scratch, "nope")).count()
+    os.makedirs(os.path.join(scratch, "empty"))
+    with pytest.raises(FileNotFoundError):
+        io.latest_version(spark, os.path.join(scratch, "empty"))
+
+
+def test_early_stopping_and_fallback(spark):
+    from riskframe.operators.features import build_features
+    f = build_features(transactions(spark, SF_SMALL)).drop("merchant", "category", "gender", "state", "job")
+    feats = ["cc_num", "amt", "zip", "city_pop", "age", "hour", "dayofweek", "month", "distance_km"]
+    tr, va = f.where("trans_num % 5 <> 0"), f.where("trans_num % 5 = 0")
+    m = mo.fit_gbt(tr, feats, preset="fast", validation=va, validation_tol=0.5)
+    assert m.stages[-1].getNumTrees < 150  # stopped before the preset's 150 rounds
+    fb = mo.retrain_fallback(tr, va, feats, epochs=3, learning_rate=0.1)
+    gbt = fb.stages[-1]
+    assert gbt.getOrDefault("maxDepth") == 4 and gbt.getOrDefault("stepSize") == 0.05
+    assert gbt.getNumTrees <= 9
+
+
+def test_fine_tune_falls_back_when_base_cannot_continue(spark, scratch):
+    tx = transactions(spark, SF_SMALL)
+    v = jobs.run_preprocessing(spark, tx, scratch)
+    # register a "model" trained on other feature names: the continuation cannot score the data
+    from riskframe.operators.features import build_features
+    other = build_features(tx).withColumnRenamed("amt", "amount")
+    base = mo.fit_gbt(other.drop("merchant", "category", "gender", "state", "job"),
+                      ["cc_num", "amount", "age"], preset="test")
+    mo.save_model(base, io.register_model(spark, scratch, "odd", "20240101_000000"))
+    ft = jobs.run_fine_tuning(spark, scratch, v, "odd", epochs=2)
+    assert ft["mode"] == "fallback" and ft["metrics"]["roc_auc"] > 0.5
+
+
+def test_monitor_writes_reports(spark, scratch):
+    from riskframe.operators.features import build_features
+    f = build_features(transactions(spark, SF_SMALL))
+    res = jobs.run_monitoring(spark, f.where("trans_num % 2 = 0"), f.where("trans_num % 2 = 1"), base=scratch,
+                              key="trans_num")
+    reports = os.listdir(os.path.join(scratch, "reports"))
+    assert len(reports) == 1
+    for part in ("table", "verdict", "histograms"):
+        assert spark.read.json(os.path.join(scratch, "reports", reports[0], part)).count() > 0
+    assert res["verdict"].first()["n_columns"] == 15  # 14 features + label (key excluded)
+
+
+def test_type_census(spark, raw_fixture):
+    from riskframe.operators.profile import type_census
+    d = {r["dtype"]: r["n_columns"] for r in type_census(raw_fixture).collect()}
+    assert d == {"string": 14, "double": 5, "bigint": 2, "int": 1}
