@@ -15,6 +15,8 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # checkpoint files of tables no longer referenced are removed by the cleaner
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -38,11 +40,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting names a shared file system folder and is used
-    as is.  Only when it is unset (local tests) a fresh scratch folder is
-    taken, so lineage cuts never land on a machine-local path in production.
+    as is; a cluster session without it is an error.  Only a local-mode
+    session (tests) without the setting gets a fresh scratch folder, so
+    lineage cuts never land on a machine-local path in production.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
+    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a shared folder (HDFS / object store) for cluster runs")
         d = tempfile.mkdtemp(prefix="riskframe-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:
