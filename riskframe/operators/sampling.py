@@ -93,16 +93,18 @@ def mark_by_hash_rank(df: DataFrame, key: str, seed: int, quota, by: str | None
     # strata with quota 0 select nothing; strata whose quota exceeds their size select all
     info = qdf.join(bound, g, "left").select(
         g, F.when(F.col("_quota") <= 0, F.lit(-1)).otherwise(F.col("_bound")).alias("_bound"),
-        F.when(F.col("_quota") <= 0, F.lit(0)).otherwise(F.col("_need")).alias("_need"))
+        F.when(F.col("_quota") <= 0, F.lit(0)).otherwise(F.col("_need")).alias("_need"),
+        F.lit(True).alias("_known"))
     # one row per stratum, and the strata are bounded (checked above / given by the caller)
     info = F.broadcast(info.checkpoint(eager=True))
-    j = d.join(info, g, "left")
+    # strata without a quota (not in the dict) select nothing
+    j = d.join(info, g, "left").withColumn("_known", F.coalesce(F.col("_known"), F.lit(False)))
     inner = j.where(F.col("_bound").isNull() | (F.col("_hb") != F.col("_bound"))).withColumn(
-        flag, F.col("_bound").isNull() | (F.col("_hb") < F.col("_bound")))
+        flag, F.col("_known") & (F.col("_bound").isNull() | (F.col("_hb") < F.col("_bound"))))
     edge = j.where(F.col("_hb") == F.col("_bound"))
     wr = Window.partitionBy(g, "_hb").orderBy("_h", key)
     edge = edge.withColumn(flag, F.row_number().over(wr) <= F.col("_need"))
-    out = inner.unionByName(edge).drop("_h", "_hb", "_bound", "_need")
+    out = inner.unionByName(edge).drop("_h", "_hb", "_bound", "_need", "_known")
     return out if by else out.drop(g)
 
 

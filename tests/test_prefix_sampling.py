@@ -70,6 +70,9 @@ def test_mark_by_hash_rank_matches_brute_force(spark):
     pdf["r"] = pdf.groupby("g").cumcount()
     exp = set(pdf[pdf.r < pdf.g.map(quota)].k)
     assert got == exp
+    # a stratum missing from the quotas selects nothing
+    part = {r["k"] for r in sm.mark_by_hash_rank(df, "k", 42, {0: 5}, by="g").where("_selected").collect()}
+    assert part == set(pdf[(pdf.g == 0) & (pdf.r < 5)].k)
 
 
 def test_split_is_exact_disjoint_and_partition_independent(spark):
