@@ -3,9 +3,10 @@
 Every random draw is a hash of (row key, seed, field), so results are
 reproducible and independent of partitioning.  A categorical draw from a
 weighted distribution is a range lookup ``lo <= u < hi`` done as a bucketed
-equi-join: the distribution is exploded over the 1/1024-wide buckets it
-overlaps (at most values + 1024 rows), rows join on their bucket, and the
-range predicate finishes the match — no nested-loop join, no collect.
+equi-join: the distribution is exploded over the equal-width buckets it
+overlaps (at most values + buckets rows, with at least 4 buckets per value),
+rows join on their bucket, and the range predicate finishes the match — no
+nested-loop join, no collect.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.functions.columns import col_, hash_unit
-from riskframe.functions.joins import sized_broadcast
+from riskframe.functions.joins import materialize_if_small, sized_broadcast
 from riskframe.functions.prefix import running_totals
 from riskframe.operators.sampling import sample_n
 from riskframe.session import ensure_checkpoint_dir
@@ -72,10 +73,17 @@ def gaussian_draw(key, seed, field: str) -> Column:
     return F.sqrt(F.lit(-2.0) * F.log(u1)) * F.cos(F.lit(2 * math.pi) * u2)
 
 
+def draw_buckets(n_values: int) -> int:
+    """Buckets for the range lookup: at least 1024 and 4 per value (a power of
+    two), so a distribution too big to broadcast still spreads a shuffle join
+    over many keys."""
+    return max(DRAW_BUCKETS, 1 << max(0, (4 * max(n_values, 1) - 1).bit_length()))
+
+
 def weighted_draw(df: DataFrame, dist: DataFrame, key: str, seed, field: str, out: str,
-                  checked: bool = False) -> DataFrame:
+                  checked: bool = False, n_values: int | None = None) -> DataFrame:
     """Add ``out``: the value whose [lo, hi) holds the row's hash uniform."""
-    b = DRAW_BUCKETS
+    b = draw_buckets(n_values if n_values is not None else dist.count())
     d = dist.select(F.col("value").alias(f"_val_{out}"), F.col("lo").alias("_lo"), F.col("hi").alias("_hi"),
                     F.explode(F.sequence(F.floor(F.col("lo") * b).cast("int"),
                                          F.least(F.ceil(F.col("hi") * b).cast("int") - 1, F.lit(b - 1))))
@@ -125,12 +133,15 @@ def synthesize(df: DataFrame, n: int, variability: float, key: str = "trans_num"
     weights.update({"merchant": False, "is_fraud": True, "city": False})
     # all value distributions in one aggregation, materialised once
     dists = distributions(df, fields, weights)
-    dists = sized_broadcast(dists)
+    small = materialize_if_small(dists)  # one size check for all fields
+    dists = small if small is not None else dists
+    # one row per field
+    sizes = {r["field"]: r["k"] for r in dists.groupBy("field").agg(F.count("*").alias("k")).collect()}
     out = base
     types = dict(df.dtypes)
     for f in fields:
         out = weighted_draw(out.drop(f), dists.where(F.col("field") == f).drop("field"), key, seed, f, f,
-                            checked=True).withColumn(f, F.col(f).cast(types[f]))
+                            checked=small is not None, n_values=sizes.get(f, 0)).withColumn(f, F.col(f).cast(types[f]))
     if full:
         u = lambda f: unit_draw(key, seed, f)
         lo, hi = RANDOM_AMOUNT

@@ -53,3 +53,15 @@ def test_entry_and_registry_contract(spark):
     qs, sqls = E.queries(), E.oracle_sql()
     assert set(sqls) <= set(qs)
     assert len(qs) >= 40
+
+
+def test_draws_without_broadcast_match(spark):
+    tx = transactions(spark, SF_SMALL)
+    a = sorted(tuple(r) for r in ag.synthesize(tx, 60, 0.5, as_of=F.lit("2024-01-01").cast("timestamp")).collect())
+    spark.conf.set("riskframe.broadcast.maxRows", "2")
+    try:
+        b = sorted(tuple(r) for r in ag.synthesize(tx, 60, 0.5, as_of=F.lit("2024-01-01").cast("timestamp")).collect())
+    finally:
+        spark.conf.unset("riskframe.broadcast.maxRows")
+    assert a == b
+    assert ag.draw_buckets(10) == 1024 and ag.draw_buckets(1_000_000) == 1 << 22
