@@ -53,3 +53,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(d)
     return spark.sparkContext.getCheckpointDir() or d
+
+
+def prepare_session(spark: SparkSession) -> SparkSession:
+    """Settings every operator assumes, applied to a session made elsewhere:
+    UTC session time (calendar parts and epoch seconds) and a checkpoint folder."""
+    if spark.conf.get("spark.sql.session.timeZone", None) != "UTC":
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    ensure_checkpoint_dir(spark)
+    return spark

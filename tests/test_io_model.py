@@ -143,3 +143,11 @@ def test_type_census(spark, raw_fixture):
     from riskframe.operators.profile import type_census
     d = {r["dtype"]: r["n_columns"] for r in type_census(raw_fixture).collect()}
     assert d == {"string": 14, "double": 5, "bigint": 2, "int": 1}
+
+
+def test_inline_records_to_features(spark, raw_fixture):
+    records = [r.asDict() for r in raw_fixture.collect()]
+    df = io.records_to_frame(spark, records)
+    from riskframe.operators.features import build_features
+    out = build_features(df)
+    assert out.count() == 4 and dict(out.dtypes)["cc_num"] == "bigint" and dict(out.dtypes)["zip"] == "int"
