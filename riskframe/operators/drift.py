@@ -91,7 +91,7 @@ def column_summary(vc: DataFrame) -> DataFrame:
     # second pass for a stable population variance (one row per column joined back)
     dev = vc.join(F.broadcast(s.select("column_name", "mean_ref")), "column_name").groupBy("column_name").agg(
         F.sqrt(F.sum(F.col("n_ref") * F.pow(F.col("num") - F.col("mean_ref"), 2)) / F.sum("n_ref")).alias("std_ref"))
-    return s.join(dev, "column_name")
+    return s.join(F.broadcast(dev), "column_name")  # one row per column on both sides
 
 
 def choose_test(summary: DataFrame, stattest: str | dict | None = None) -> DataFrame:
@@ -207,7 +207,8 @@ def drift_table(reference: DataFrame, current: DataFrame, columns: list[str] | N
     is_dist = F.col("test").isin(*DISTANCE_TESTS)
     thr = F.lit(threshold) if threshold is not None else F.when(is_dist, F.lit(DISTANCE_THRESHOLD)).otherwise(
         F.lit(P_THRESHOLD))
-    out = plan.select("column_name", "kind", "test").join(allsc, ["column_name", "test"], "left")
+    # per-column tables on both sides: bounded by the column count
+    out = plan.select("column_name", "kind", "test").join(F.broadcast(allsc), ["column_name", "test"], "left")
     out = out.withColumn("stattest_threshold", thr.cast("double"))
     flag = F.when(is_dist, F.col("score") >= F.col("stattest_threshold")).otherwise(
         F.col("score") < F.col("stattest_threshold"))
@@ -244,7 +245,8 @@ def drift_histograms(vc: DataFrame, bins: int = HIST_BINS) -> DataFrame:
     cnt = j.groupBy("column_name", "side", b.cast("int").alias("bin")).agg(F.sum("c").alias("k"))
     grid = rng.select("column_name", "side", "n", "lo", "hi", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
     w = (F.col("hi") - F.col("lo")) / bins
-    return grid.join(cnt, ["column_name", "side", "bin"], "left").select(
+    # at most columns x 2 sides x bins rows
+    return grid.join(F.broadcast(cnt), ["column_name", "side", "bin"], "left").select(
         "column_name", "side", "bin", (F.col("lo") + F.col("bin") * w).alias("bin_lo"),
         (F.col("lo") + (F.col("bin") + 1) * w).alias("bin_hi"),
         (F.coalesce(F.col("k"), F.lit(0)) / (F.col("n") * w)).alias("density"))

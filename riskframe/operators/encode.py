@@ -65,7 +65,9 @@ def apply_target_encoder(df: DataFrame, encoder: DataFrame, cols: list[str] | No
                          prior: float | None = None) -> DataFrame:
     """Replace each categorical column by its encoding; unseen/NULL -> prior."""
     cols = cols or CATEGORICAL_COLUMNS
-    prior_col = F.lit(float(prior)) if prior is not None else encoder_prior(encoder).scalar()
+    if prior is None:
+        prior = encoder_prior(encoder).first()["prior"]  # one number
+    prior_col = F.lit(float(prior)) if prior is not None else F.lit(None).cast("double")
     # one size check for the whole table: if it fits, every per-column slice does
     small = materialize_if_small(encoder.where(F.col("feature").isin(*cols)))
     out = df

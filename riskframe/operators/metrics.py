@@ -25,10 +25,15 @@ def per_class_metrics(df: DataFrame, y: str = "y_true", pred: str = "y_pred_bina
     """Rows ``(label, precision, recall, f1, support)``, one per class seen in
     either column; ill-defined ratios are 0 (sklearn ``zero_division`` default)."""
     conf = df.groupBy(F.col(y).alias("_y"), F.col(pred).alias("_p")).agg(F.count("*").alias("c"))
-    a = conf.groupBy(F.col("_y").alias("cls")).agg(
-        F.sum("c").alias("support"), F.sum(F.when(F.col("_y") == F.col("_p"), F.col("c")).otherwise(0)).alias("tp"))
-    b = conf.groupBy(F.col("_p").alias("cls")).agg(F.sum("c").alias("n_pred"))
-    per = a.join(b, "cls", "full").fillna(0, subset=["support", "tp", "n_pred"])
+    # each confusion cell counts once for its true class and once for its predicted class
+    roles = F.explode(F.array(
+        F.struct(F.col("_y").alias("cls"), F.col("c").alias("support"),
+                 F.when(F.col("_y") == F.col("_p"), F.col("c")).otherwise(F.lit(0)).alias("tp"),
+                 F.lit(0).cast("long").alias("n_pred")),
+        F.struct(F.col("_p").alias("cls"), F.lit(0).cast("long").alias("support"), F.lit(0).cast("long").alias("tp"),
+                 F.col("c").alias("n_pred"))))
+    per = conf.select(roles.alias("r")).select("r.*").groupBy("cls").agg(
+        F.sum("support").alias("support"), F.sum("tp").alias("tp"), F.sum("n_pred").alias("n_pred"))
     prec = _safe_div(F.col("tp"), F.col("n_pred"))
     rec = _safe_div(F.col("tp"), F.col("support"))
     per = per.withColumns({"precision": prec, "recall": rec})

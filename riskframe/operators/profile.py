@@ -60,7 +60,8 @@ def daily_counts(df: DataFrame, ts: str = "trans_date_trans_time", label: str =
     span = daily.agg(F.min("day").alias("lo"), F.max("day").alias("hi"))
     cal = span.select(F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 DAY"))).alias("day"))
     # calendar and daily table both have one row per day of the span
-    return (cal.join(daily, "day", "left")
+    # one row per day on both sides
+    return (cal.join(sized_broadcast(daily), "day", "left")
             .select("day", F.coalesce("n_pos", F.lit(0)).alias("n_pos"),
                     F.coalesce("n_rows", F.lit(0)).alias("n_rows")))
 
@@ -107,18 +108,18 @@ def box_stats(df: DataFrame, value: str = "amt", group: str = "category", exact:
         p = F.percentile_approx(F.col(value).cast("double"), [0.25, 0.5, 0.75], accuracy)
         qs = df.groupBy(group).agg(p.alias("_p")).select(
             group, F.col("_p")[0].alias("q1"), F.col("_p")[1].alias("median"), F.col("_p")[2].alias("q3"))
-    qs = qs.withColumn("iqr", F.col("q3") - F.col("q1"))
+    qs = sized_broadcast(qs.withColumn("iqr", F.col("q3") - F.col("q1")))  # one row per group
     v = F.col(value)
     lo_f = F.col("q1") - 1.5 * F.col("iqr")
     hi_f = F.col("q3") + 1.5 * F.col("iqr")
     # one row per group: bounded by the group count
-    j = df.select(group, value).join(sized_broadcast(qs), group)
+    j = df.select(group, value).join(qs, group)
     agg = j.groupBy(group).agg(
         F.count(v).alias("n"),
         F.min(F.when(v >= lo_f, v)).alias("whisker_lo"),
         F.max(F.when(v <= hi_f, v)).alias("whisker_hi"),
         F.sum(F.when((v < lo_f) | (v > hi_f), 1).otherwise(0)).cast("long").alias("n_outliers"))
-    return qs.join(agg, group).select(group, "n", "q1", "median", "q3", "iqr", "whisker_lo",
+    return agg.join(qs, group).select(group, "n", "q1", "median", "q3", "iqr", "whisker_lo",
                                       "whisker_hi", "n_outliers")
 
 
@@ -126,9 +127,12 @@ def class_histogram(df: DataFrame, value: str = "age", label: str = LABEL, bins:
     """Per-class density histogram on common equal-width bins (min..max of all
     rows; last bin closed). density = count / (class rows * bin width)."""
     v = F.col(value).cast("double")
-    # range of all rows: two uncorrelated scalar subqueries (merged into one job)
-    lo = df.select(F.min(v)).scalar()
-    hi = df.select(F.max(v)).scalar()
+    # range of all rows: one small aggregate, two numbers on the driver
+    r = df.agg(F.min(v).alias("lo"), F.max(v).alias("hi")).first()
+    if r["lo"] is None:
+        return df.sparkSession.createDataFrame([], f"{label} {dict(df.dtypes)[label]}, bin int, bin_lo double, "
+                                                   "bin_hi double, n long, density double")
+    lo, hi = F.lit(float(r["lo"])), F.lit(float(r["hi"]))
     ncls = df.groupBy(label).agg(F.count(v).alias("n_class"))
     width = (hi - lo) / F.lit(float(bins))
     b = F.least(F.floor((v - lo) / width), F.lit(bins - 1)).cast("int")

@@ -96,9 +96,14 @@ def mark_by_hash_rank(df: DataFrame, key: str, seed: int, quota, by: str | None
         F.when(F.col("_quota") <= 0, F.lit(0)).otherwise(F.col("_need")).alias("_need"),
         F.lit(True).alias("_known"))
     # one row per stratum, and the strata are bounded (checked above / given by the caller)
-    info = F.broadcast(info.checkpoint(eager=True))
-    # strata without a quota (not in the dict) select nothing
-    j = d.join(info, g, "left").withColumn("_known", F.coalesce(F.col("_known"), F.lit(False)))
+    info = info.checkpoint(eager=True)
+    if by:
+        j = d.join(F.broadcast(info), g, "left").withColumn("_known", F.coalesce(F.col("_known"), F.lit(False)))
+    else:
+        # a single stratum: its boundary is two numbers, used as literals (no join at all)
+        row = info.first()
+        j = d.withColumns({"_bound": F.lit(row["_bound"]).cast("int"), "_need": F.lit(row["_need"]).cast("long"),
+                           "_known": F.lit(True)})
     inner = j.where(F.col("_bound").isNull() | (F.col("_hb") != F.col("_bound"))).withColumn(
         flag, F.col("_known") & (F.col("_bound").isNull() | (F.col("_hb") < F.col("_bound"))))
     edge = j.where(F.col("_hb") == F.col("_bound"))

@@ -23,10 +23,19 @@ def con():
     return c
 
 
+FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin")
+
+
+def _check_plan(sdf):
+    plan = sdf._jdf.queryExecution().executedPlan().toString()
+    assert not [k for k in FORBIDDEN if k in plan]
+
+
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, con, name):
     sdf = E.queries()[name](spark, SF_SMALL)
     srows = [tuple(r) for r in sdf.collect()]
+    _check_plan(sdf)
     rel = con.sql(E.oracle_sql()[name])
     drows = rel.fetchall()
     assert sorted(sdf.columns) == sorted(rel.columns)
@@ -40,3 +49,10 @@ RANGE_SPLIT = ["roc_auc", "amount_box", "drift_wasserstein", "drift_ks_stat", "w
 @pytest.mark.parametrize("name", RANGE_SPLIT)
 def test_range_split_path_matches_oracle(spark, con, force_range_split, name):
     test_query_matches_oracle(spark, con, name)
+
+
+@pytest.mark.parametrize("name", ["synthetic_like", "synthetic_random", "synthetic_mix", "drift_small_sample"])
+def test_rows_only_queries_plan_shape(spark, name):
+    sdf = E.queries()[name](spark, SF_SMALL)
+    assert sdf.count() > 0
+    _check_plan(sdf)
