@@ -82,11 +82,16 @@ def running_totals(df: DataFrame, group_cols: list[str], order_col: str, sum_col
     cuts = (df.groupBy(*gkeys) if gkeys else df.groupBy())
     cuts = cuts.agg(F.percentile_approx(v, probs, accuracy).alias("_cuts"))
     if not gkeys:
-        cuts = cuts.withColumn("_g", F.lit(0))
+        # one group: its cut points are one bounded row, used as a literal array (no join)
+        row = cuts.first()
+        arr = (F.array(*[F.lit(float(x)) for x in row["_cuts"]]) if row is not None and row["_cuts"] is not None
+               else F.lit(None).cast("array<double>"))
         df = df.withColumn("_g", F.lit(0))
         gkeys = ["_g"]
-    # cut points: one row per group, so the broadcast is bounded by the group count
-    b = df.join(sized_broadcast(cuts), gkeys)
+        b = df.withColumn("_cuts", arr)
+    else:
+        # cut points: one row per group, so the broadcast is bounded by the group count
+        b = df.join(sized_broadcast(cuts), gkeys)
     # the step-wise search is materialised level by level to keep the tree small
     pos = "_b"
     b = b.withColumn(pos, F.lit(0))
