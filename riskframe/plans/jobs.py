@@ -17,8 +17,9 @@ from pyspark.sql import functions as F
 from riskframe.operators import drift as dr
 from riskframe.operators import encode as en
 from riskframe.operators import model as mo
+from riskframe.operators import profile as pr
 from riskframe.operators import sampling as sm
-from riskframe.operators.features import FEATURE_COLUMNS, KEY, LABEL, build_features
+from riskframe.operators.features import FEATURE_COLUMNS, KEY, LABEL, build_features, non_numeric_columns
 from riskframe.session import ensure_checkpoint_dir
 from riskframe.sources import io
 
@@ -70,11 +71,21 @@ def load_splits(spark: SparkSession, base: str, version: str | None = None, test
 
 
 def run_training(spark: SparkSession, base: str, version: str | None = None, preset: str = "test",
-                 model_name: str = "gbt", test_mode: bool = False, overrides: dict | None = None) -> dict:
-    """Fit on the train split (test split as validation), evaluate, save, log."""
+                 model_name: str = "gbt", test_mode: bool = False, overrides: dict | None = None,
+                 validation_fraction: float = 0.1) -> dict:
+    """Fit on the train split, evaluate on the test split, save, log.
+
+    With ``validation_fraction`` > 0 a stratified slice of the train split is
+    held out for early stopping, so the test split stays unseen until scoring.
+    """
     t0 = time.time()
     train, test = load_splits(spark, base, version, test_mode)
-    model = mo.fit_gbt(train, FEATURE_COLUMNS, LABEL, preset, overrides)
+    validation = None
+    if validation_fraction > 0:
+        cut = sm.stratified_split(train, KEY, LABEL, validation_fraction, seed=7, split_col="_part").checkpoint(eager=True)
+        train = cut.where("_part = 'train'").drop("_part")
+        validation = cut.where("_part = 'test'").drop("_part")
+    model = mo.fit_gbt(train, FEATURE_COLUMNS, LABEL, preset, overrides, validation=validation)
     scored = mo.score(model, test)
     report, summary = mo.evaluate_scored(scored)
     metrics = summary.first().asDict()
@@ -142,6 +153,20 @@ def run_fine_tuning(spark: SparkSession, base: str, version: str | None = None,
     return {"model_path": path, "mode": mode, "metrics": metrics, "info": info, "report": report}
 
 
+def run_data_checks(spark: SparkSession, base: str, version: str | None = None) -> dict:
+    """Checks of a preprocessed version: shapes and positives per split, type
+    census, text columns with many values, label balance per split."""
+    ds = io.read_versioned(spark, _p(base, "datasets"), version).drop("version")
+    feats = ds.drop("split", KEY)
+    shapes = ds.groupBy("split").agg(F.count("*").alias("n_rows"), F.sum(LABEL).cast("long").alias("n_pos"))
+    balance = ds.groupBy("split", LABEL).agg(F.count("*").alias("n"))
+    return {"shapes": shapes.withColumn("n_columns", F.lit(len(feats.columns) - 1)),
+            "types": pr.type_census(feats.drop(LABEL)),
+            "non_numeric": [c for c in non_numeric_columns(feats) if c != LABEL],
+            "cardinality": pr.cardinality(feats, approx=True).where("high_cardinality"),
+            "balance": balance}
+
+
 def run_monitoring(spark: SparkSession, reference: DataFrame, current: DataFrame, base: str | None = None,
                    key: str | None = None, drift_share: float = dr.DEFAULT_DRIFT_SHARE) -> dict:
     """Drift report; with ``base`` the table, verdict and histograms are written as JSON."""
@@ -154,4 +179,4 @@ def run_monitoring(spark: SparkSession, reference: DataFrame, current: DataFrame
 
 
 __all__ = ["run_preprocessing", "run_training", "run_prediction", "run_validation", "validate_predictions",
-           "run_fine_tuning", "run_monitoring", "load_splits"]
+           "run_fine_tuning", "run_monitoring", "run_data_checks", "load_splits"]

@@ -64,6 +64,9 @@ def test_jobs_end_to_end(spark, scratch):
     assert dict(ds.dtypes)["category"] == "double"  # encoded
     r = jobs.run_training(spark, scratch, v, "test")
     assert r["metrics"]["roc_auc"] > 0.8  # the label is learnable
+    checks = jobs.run_data_checks(spark, scratch, v)
+    assert {x["split"]: x["n_rows"] for x in checks["shapes"].collect()} == {"train": 1200, "test": 300}
+    assert checks["non_numeric"] == [] and checks["cardinality"].count() == 0
     val = jobs.run_validation(spark, scratch)
     assert abs(val["metrics"]["roc_auc"] - r["metrics"]["roc_auc"]) < 1e-12
     ft = jobs.run_fine_tuning(spark, scratch, v, "gbt", learning_rate=0.1, epochs=2)
