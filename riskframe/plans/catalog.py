@@ -731,3 +731,14 @@ _MODEL_ORDER = ["Unnamed: 0", "amt", "category", "merchant", "distance_km", "hou
 def q_align_features(spark, sf_dir):
     """Features reordered to a model's list (extras dropped, the index column not re-created)."""
     return fe.align_features(feats(spark, sf_dir).withColumn("extra", F.lit(1)), _MODEL_ORDER, keep=["trans_num"])
+
+
+@register("daily_fraud_stream", with_views(
+    "SELECT CAST(date_trunc('day', trans_date_trans_time) AS DATE) AS day, CAST(sum(is_fraud) AS BIGINT) AS n_pos, "
+    "count(*) AS n_rows FROM tx GROUP BY 1"))
+def q_daily_fraud_stream(spark, sf_dir):
+    """Watermarked daily positives over the transaction stream (days that have rows)."""
+    root = _scratch(spark, "daily")
+    st.run_updates_available_now(st.daily_label_counts(st.transactions_stream(spark, sf_dir)),
+                                 f"{root}/changes", f"{root}/ckpt")
+    return st.latest_state(spark.read.parquet(f"{root}/changes"), ["day"])

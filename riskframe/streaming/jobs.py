@@ -58,6 +58,15 @@ def daily_event_counts(events: DataFrame, ts: str = "ts", group: str = "event_ty
             .select(F.to_date(F.col("w.start")).alias("day"), group, "n", "value_sum"))
 
 
+def daily_label_counts(stream: DataFrame, ts: str = "trans_date_trans_time", label: str = "is_fraud",
+                       watermark: str = "1 day") -> DataFrame:
+    """Positives and rows per UTC day of a transaction stream (days with rows)."""
+    return (stream.withWatermark(ts, watermark)
+            .groupBy(F.window(ts, "1 day").alias("w"))
+            .agg(F.sum(label).cast("long").alias("n_pos"), F.count("*").alias("n_rows"))
+            .select(F.to_date(F.col("w.start")).alias("day"), "n_pos", "n_rows"))
+
+
 def run_available_now(df: DataFrame, sink: str, checkpoint: str, fmt: str = "parquet") -> str:
     """Append-mode stream to a file sink: process available input, then stop."""
     q = (df.writeStream.format(fmt).option("path", sink).option("checkpointLocation", checkpoint)
