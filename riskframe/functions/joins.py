@@ -26,8 +26,7 @@ def materialize_if_small(df: DataFrame, max_rows: int | None = None) -> DataFram
     return head if head.count() <= limit else None
 
 
-def sized_broadcast(df: DataFrame, max_rows: int | None = None, key_hint: str | None = None,
-                    materialize: bool = True) -> DataFrame:
+def sized_broadcast(df: DataFrame, max_rows: int | None = None, materialize: bool = True) -> DataFrame:
     """``broadcast`` of ``df`` when it has at most ``max_rows`` rows, else ``df``.
 
     At most ``max_rows + 1`` rows are computed once and checkpointed to the
