@@ -362,7 +362,7 @@ def _vc(spark, sf_dir):
 _TABLE_BODY = (
     "SELECT s.column_name, s.kind AS column_type, CASE s.test WHEN 'wasserstein' THEN 'Wasserstein distance (normed)' "
     "WHEN 'jensenshannon' THEN 'Jensen-Shannon distance' WHEN 'ks' THEN 'K-S p_value' WHEN 'chisquare' THEN "
-    "'chi-square p_value' ELSE 'Z-test p_value' END AS stattest_name, 0.1 AS stattest_threshold, "
+    "'chi-square p_value' ELSE 'Z-test p_value' END AS stattest_name, CAST(0.1 AS DOUBLE) AS stattest_threshold, "
     f"{r6('coalesce(wd.score, js.score)')} AS drift_score, coalesce(coalesce(wd.score, js.score) >= 0.1, false) AS drift_detected "
     "FROM summ s LEFT JOIN wd USING (column_name) LEFT JOIN js USING (column_name)")
 
@@ -408,7 +408,7 @@ def q_drift_ks_stat(spark, sf_dir):
 
 @register("drift_verdict", _drift_sql(
     f"SELECT CAST(count(*) AS INTEGER) AS n_columns, CAST(sum(CAST(d AS INTEGER)) AS INTEGER) AS n_drifted, "
-    f"{r6('sum(CAST(d AS INTEGER)) / count(*)')} AS share, 0.2 AS drift_share, "
+    f"{r6('sum(CAST(d AS INTEGER)) / count(*)')} AS share, CAST(0.2 AS DOUBLE) AS drift_share, "
     "sum(CAST(d AS INTEGER)) / count(*) >= 0.2 AS dataset_drift, "
     "coalesce(string_agg(CASE WHEN d THEN column_name END, ',' ORDER BY column_name), '') AS drifted_columns "
     "FROM (SELECT column_name, coalesce(coalesce(wd.score, js.score) >= 0.1, false) AS d FROM summ "
@@ -702,7 +702,8 @@ def q_features_from_csv(spark, sf_dir):
         F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c) if c == "trans_date_trans_time" else F.col(c)
         for c in tx.columns])
     io.write_frame(raw, f"{root}/raw", fmt="csv")
-    return fe.build_features(io.read_csv(spark, f"{root}/raw"))
+    # the row key arrives as text in the raw schema; compare it as the source's integer key
+    return fe.build_features(io.read_csv(spark, f"{root}/raw")).withColumn("trans_num", F.col("trans_num").cast("bigint"))
 
 
 @register("versioned_roundtrip", ORACLE["encoder_apply"])

@@ -24,6 +24,8 @@ def con():
 
 
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin")
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
+                 "boolean": "BOOLEAN", "timestamp": "TIMESTAMP WITH TIME ZONE", "float": "FLOAT"}
 
 
 def _check_plan(sdf):
@@ -39,6 +41,8 @@ def test_query_matches_oracle(spark, con, name):
     rel = con.sql(E.oracle_sql()[name])
     drows = rel.fetchall()
     assert sorted(sdf.columns) == sorted(rel.columns)
+    duck_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    assert {c: SPARK_TO_DUCK.get(t, t) for c, t in sdf.dtypes} == duck_types
     assert len(srows) == len(drows)
     assert digest(sdf.columns, srows)[0] == digest(rel.columns, drows)[0]
 
