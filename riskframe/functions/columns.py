@@ -32,13 +32,20 @@ def age_years(ts, dob) -> Column:
     return F.year(col_(ts)) - F.year(col_(dob))
 
 
+def key_text(key) -> Column:
+    """A row key as text; a list of columns is joined with '|' (composite key)."""
+    if isinstance(key, (list, tuple)):
+        return F.concat_ws("|", *[col_(k).cast("string") for k in key])
+    return col_(key).cast("string")
+
+
 def rank_hash(key, seed: int) -> Column:
     """Reproducible pseudo-random order key: md5 of ``key || '-' || seed``.
 
     The same text hashes identically in DuckDB, so sample membership is
     checkable against the SQL oracle.
     """
-    return F.md5(F.concat(col_(key).cast("string"), F.lit(f"-{seed}")))
+    return F.md5(F.concat(key_text(key), F.lit(f"-{seed}")))
 
 
 def hash_unit(key, seed: int) -> Column:

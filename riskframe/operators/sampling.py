@@ -58,16 +58,32 @@ def check_classes(counts: dict, min_per_class: int = 2) -> None:
         raise ValueError(f"Not enough examples in each class for stratified split: {counts}")
 
 
-def mark_by_hash_rank(df: DataFrame, key: str, seed: int, quota, by: str | None = None,
+def with_row_key(df: DataFrame, name: str = "_rowid") -> DataFrame:
+    """A unique id per row for tables without a key (copies of a row included):
+    assigned once on a checkpointed copy, so every later read sees the same ids."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.withColumn(name, F.monotonically_increasing_id()).checkpoint(eager=True)
+
+
+def mark_by_hash_rank(df: DataFrame, key, seed: int, quota, by: str | None = None,
                       flag: str = "_selected", max_strata: int = 10_000) -> DataFrame:
     """Add boolean ``flag``: rank of (md5(key-seed), key) within ``by`` < quota.
 
     ``quota`` is an int (no strata), a dict stratum -> int, or a callable
     mapping the stratum sizes (dict) to such a dict; the sizes come from the
     bucket counts, so no extra pass over ``df`` is needed for them.
+
+    ``key`` must identify rows: a column, a list of columns, or None (a row
+    id is assigned).  With a unique key every hash bucket holds ~n / 2**20
+    rows, so even a table made of many copies of one row never puts them all
+    in the one bucket that is ranked.
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
+    if key is None:
+        df = with_row_key(df)
+        key = "_rowid"
+    order_keys = list(key) if isinstance(key, (list, tuple)) else [key]
     g = by or "_stratum"
     d = df if by else df.withColumn(g, F.lit(0))
     d = d.withColumn("_h", rank_hash(key, seed))
@@ -107,9 +123,9 @@ def mark_by_hash_rank(df: DataFrame, key: str, seed: int, quota, by: str | None
     inner = j.where(F.col("_bound").isNull() | (F.col("_hb") != F.col("_bound"))).withColumn(
         flag, F.col("_known") & (F.col("_bound").isNull() | (F.col("_hb") < F.col("_bound"))))
     edge = j.where(F.col("_hb") == F.col("_bound"))
-    wr = Window.partitionBy(g, "_hb").orderBy("_h", key)
+    wr = Window.partitionBy(g, "_hb").orderBy("_h", *order_keys)
     edge = edge.withColumn(flag, F.row_number().over(wr) <= F.col("_need"))
-    out = inner.unionByName(edge).drop("_h", "_hb", "_bound", "_need", "_known")
+    out = inner.unionByName(edge).drop("_h", "_hb", "_bound", "_need", "_known", "_rowid")
     return out if by else out.drop(g)
 
 

@@ -115,3 +115,12 @@ def test_sample_n_and_balance(spark):
     assert sm.sample_n(df, 10**6, "k").count() == 3000
     cur = spark.range(0, 100).withColumnRenamed("id", "k")
     assert sm.balanced_reference(df, cur, "k").count() == 500
+
+
+def test_sampling_tables_of_copies(spark):
+    # 3000 rows: a third are copies of one row, the rest two more copy groups; no key column
+    df = spark.range(3000).select((F.col("id") % 3).alias("v"), F.lit("x").alias("t"))
+    s = sm.sample_n(df, 1000, None)
+    assert s.count() == 1000 and s.columns == ["v", "t"]
+    comp = spark.range(3000).select((F.col("id") % 3).alias("a"), (F.col("id") / 3).cast("long").alias("b"))
+    assert sm.sample_n(comp, 777, ["a", "b"]).count() == 777
