@@ -36,6 +36,7 @@ def fit_target_encoder(df: DataFrame, cols: list[str] | None = None, label: str
     not form a category: they (like unseen values) map to the prior on apply.
     """
     cols = cols or CATEGORICAL_COLUMNS
+    df = df.where(F.col(label).isNotNull())  # unlabelled rows carry no target information
     prior = df.select(F.avg(F.col(label).cast("double")).alias("prior"))
     long = df.select(label, *[F.col(c).cast("string").alias(c) for c in cols]).unpivot(
         [label], cols, "feature", "value").where(F.col("value").isNotNull())

@@ -24,7 +24,9 @@ def _safe_div(a, b):
 def per_class_metrics(df: DataFrame, y: str = "y_true", pred: str = "y_pred_binary") -> DataFrame:
     """Rows ``(label, precision, recall, f1, support)``, one per class seen in
     either column; ill-defined ratios are 0 (sklearn ``zero_division`` default)."""
-    conf = df.groupBy(F.col(y).alias("_y"), F.col(pred).alias("_p")).agg(F.count("*").alias("c"))
+    # rows without a label or a prediction are not scored
+    conf = df.where(F.col(y).isNotNull() & F.col(pred).isNotNull()).groupBy(
+        F.col(y).alias("_y"), F.col(pred).alias("_p")).agg(F.count("*").alias("c"))
     # each confusion cell counts once for its true class and once for its predicted class
     roles = F.explode(F.array(
         F.struct(F.col("_y").alias("cls"), F.col("c").alias("support"),
@@ -70,7 +72,7 @@ def classification_report(df: DataFrame, y: str = "y_true", pred: str = "y_pred_
 
 def roc_auc(df: DataFrame, y: str = "y_true", score: str = "y_pred_proba") -> DataFrame:
     """One row ``(roc_auc, n_pos, n_neg)``; AUC is NULL when a class is absent."""
-    s = df.where(F.col(score).isNotNull()).groupBy(F.col(score).cast("double").alias("s")).agg(
+    s = df.where(F.col(score).isNotNull() & F.col(y).isNotNull()).groupBy(F.col(score).cast("double").alias("s")).agg(
         F.sum(F.when(F.col(y) == 1, 1).otherwise(0)).cast("long").alias("pos"),
         F.sum(F.when(F.col(y) == 1, 0).otherwise(1)).cast("long").alias("neg"))
     rt = running_totals(s, [], "s", ["neg"])
