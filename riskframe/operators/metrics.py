@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.functions.prefix import running_totals
+from riskframe.session import ensure_checkpoint_dir
 
 # Fixed value: AUC reference point the fine-tune reply compares against.
 BASELINE_AUC = 0.74
@@ -52,7 +53,9 @@ def classification_report(df: DataFrame, y: str = "y_true", pred: str = "y_pred_
     The accuracy row carries the accuracy in ``f1`` (precision/recall NULL)
     and the total in ``support``, as in the text report.
     """
-    per = per_class_metrics(df, y, pred).cache()
+    # one row per class, read twice below: materialised once (no cache left behind)
+    ensure_checkpoint_dir(df.sparkSession)
+    per = per_class_metrics(df, y, pred).checkpoint(eager=True)
     tot = per.agg(F.sum("support").alias("n"), F.sum("tp").alias("tp"), F.count("*").alias("k"),
                   F.avg("precision").alias("mp"), F.avg("recall").alias("mr"), F.avg("f1").alias("mf"),
                   F.sum(F.col("precision") * F.col("support")).alias("wp"),
