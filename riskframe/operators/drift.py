@@ -192,17 +192,30 @@ def drift_table(reference: DataFrame, current: DataFrame, columns: list[str] | N
     vc = vc if vc is not None else value_counts(reference, current, columns)
     plan = choose_test(column_summary(vc), stattest)
     plan = plan.checkpoint(eager=True)  # one row per column
-    scores = (wasserstein_scores(vc, plan).withColumn("test", F.lit("wasserstein"))
-              .unionByName(js_scores(vc, plan).withColumn("test", F.lit("jensenshannon"))))
-    stats = (ks_statistics(vc, plan).withColumn("dof", F.lit(None).cast("long")).withColumn("test", F.lit("ks"))
-             .unionByName(chi2_statistics(vc, plan).withColumn("test", F.lit("chisquare")))
-             .unionByName(z_statistics(vc, plan).withColumn("dof", F.lit(None).cast("long"))
-                          .withColumn("test", F.lit("z"))))
-    stats = stats.join(F.broadcast(plan.select("column_name", "tot_ref", "tot_cur")), "column_name")
-    pvals = stats.select("column_name", "test", p_value_udf(
-        F.col("test"), F.col("stat").cast("double"), F.col("tot_ref"), F.col("tot_cur"),
-        F.col("dof").cast("double")).alias("score"))
-    allsc = scores.select("column_name", "test", "score").unionByName(pvals)
+    # only the tests some column uses are computed (at most five names)
+    used = {r["test"] for r in plan.select("test").distinct().collect()}
+    dist_parts = [fn(vc, plan).withColumn("test", F.lit(t))
+                  for t, fn in (("wasserstein", wasserstein_scores), ("jensenshannon", js_scores)) if t in used]
+    no_dof = F.lit(None).cast("long")
+    stat_parts = [fn(vc, plan).select("column_name", "stat", (F.col("dof") if t == "chisquare" else no_dof).alias("dof"))
+                  .withColumn("test", F.lit(t))
+                  for t, fn in (("ks", ks_statistics), ("chisquare", chi2_statistics), ("z", z_statistics))
+                  if t in used]
+    parts = [d.select("column_name", "test", F.col("score").cast("double").alias("score")) for d in dist_parts]
+    if stat_parts:
+        stats = stat_parts[0]
+        for x in stat_parts[1:]:
+            stats = stats.unionByName(x)
+        stats = stats.join(F.broadcast(plan.select("column_name", "tot_ref", "tot_cur")), "column_name")
+        parts.append(stats.select("column_name", "test", p_value_udf(
+            F.col("test"), F.col("stat").cast("double"), F.col("tot_ref"), F.col("tot_cur"),
+            F.col("dof").cast("double")).alias("score")))
+    if parts:
+        allsc = parts[0]
+        for x in parts[1:]:
+            allsc = allsc.unionByName(x)
+    else:
+        allsc = vc.sparkSession.createDataFrame([], "column_name string, test string, score double")
     names = F.create_map(*[x for k, v in STATTEST_NAMES.items() for x in (F.lit(k), F.lit(v))])
     is_dist = F.col("test").isin(*DISTANCE_TESTS)
     thr = F.lit(threshold) if threshold is not None else F.when(is_dist, F.lit(DISTANCE_THRESHOLD)).otherwise(
