@@ -58,21 +58,17 @@ def value_counts(reference: DataFrame, current: DataFrame, columns: list[str] |
     types = dict(reference.dtypes)
     num_cols = [c for c in columns if _is_numeric(types[c])]
     cat_cols = [c for c in columns if c not in num_cols]
-    sel = ([F.col(c).cast("double").alias(c) for c in num_cols]
-           + [F.col(c).cast("string").alias(c) for c in cat_cols])
-    both = (reference.select(F.lit(1).alias("_ref"), *sel)
-            .unionByName(current.select(F.lit(0).alias("_ref"), *sel)))
-    parts = []
-    if num_cols:
-        parts.append(both.unpivot(["_ref"], num_cols, "column_name", "num")
-                     .withColumn("cat", F.lit(None).cast("string")).withColumn("kind", F.lit("num")))
-    if cat_cols:
-        parts.append(both.unpivot(["_ref"], cat_cols, "column_name", "cat")
-                     .withColumn("num", F.lit(None).cast("double")).withColumn("kind", F.lit("cat")))
-    long = parts[0]
-    for p in parts[1:]:
-        long = long.unionByName(p)
-    long = long.where(F.col("num").isNotNull() | F.col("cat").isNotNull())
+    # one generator per row: a (column, kind, num, cat) struct per compared column,
+    # so each input is scanned once for numeric and text columns together
+    cells = ([F.struct(F.lit(c).alias("column_name"), F.lit("num").alias("kind"),
+                       F.col(c).cast("double").alias("num"), F.lit(None).cast("string").alias("cat"))
+              for c in num_cols]
+             + [F.struct(F.lit(c).alias("column_name"), F.lit("cat").alias("kind"),
+                         F.lit(None).cast("double").alias("num"), F.col(c).cast("string").alias("cat"))
+                for c in cat_cols])
+    both = (reference.select(F.lit(1).alias("_ref"), F.explode(F.array(*cells)).alias("x"))
+            .unionByName(current.select(F.lit(0).alias("_ref"), F.explode(F.array(*cells)).alias("x"))))
+    long = both.select("_ref", "x.*").where(F.col("num").isNotNull() | F.col("cat").isNotNull())
     vc = long.groupBy("column_name", "kind", "num", "cat").agg(
         F.sum("_ref").cast("long").alias("n_ref"), F.sum(1 - F.col("_ref")).cast("long").alias("n_cur"))
     if materialize:
