@@ -37,12 +37,19 @@ def fit_target_encoder(df: DataFrame, cols: list[str] | None = None, label: str
     """
     cols = cols or CATEGORICAL_COLUMNS
     df = df.where(F.col(label).isNotNull())  # unlabelled rows carry no target information
-    prior = df.select(F.avg(F.col(label).cast("double")).alias("prior"))
     long = df.select(label, *[F.col(c).cast("string").alias(c) for c in cols]).unpivot(
-        [label], cols, "feature", "value").where(F.col("value").isNotNull())
-    stats = long.groupBy("feature", "value").agg(
-        F.count("*").alias("n"), F.avg(F.col(label).cast("double")).alias("mean"))
-    # prior is a one-row aggregate, attached as an uncorrelated scalar subquery
+        [label], cols, "feature", "value")
+    # one aggregation; NULL values are kept here only so that any one column's
+    # groups cover every row, which gives the prior without a second scan
+    allstats = long.groupBy("feature", "value").agg(
+        F.count("*").alias("n"), F.sum(F.col(label).cast("double")).alias("_s"))
+    if materialize:
+        ensure_checkpoint_dir(df.sparkSession)
+        allstats = allstats.checkpoint(eager=True)
+    prior = allstats.where(F.col("feature") == cols[0]).select((F.sum("_s") / F.sum("n")).alias("prior"))
+    stats = allstats.where(F.col("value").isNotNull()).select(
+        "feature", "value", "n", (F.col("_s") / F.col("n")).alias("mean"))
+    # prior is a one-row aggregate of the small table, attached as an uncorrelated scalar subquery
     stats = stats.withColumn("prior", prior.scalar())
     n = F.col("n").cast("double")
     if method == "additive":
@@ -53,7 +60,6 @@ def fit_target_encoder(df: DataFrame, cols: list[str] | None = None, label: str
     if materialize:
         # fitting is an action, like any estimator: the small table is written
         # once to the shared checkpoint folder and reused by every apply
-        ensure_checkpoint_dir(df.sparkSession)
         fitted = fitted.checkpoint(eager=True)
     return fitted
 

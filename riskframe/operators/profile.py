@@ -66,14 +66,20 @@ def daily_counts(df: DataFrame, ts: str = "trans_date_trans_time", label: str =
                     F.coalesce("n_rows", F.lit(0)).alias("n_rows")))
 
 
-def exact_quantiles(df: DataFrame, value: str, group: str, probs: list[float]) -> DataFrame:
+def value_counts_by_group(df: DataFrame, value: str, group: str) -> DataFrame:
+    """``(group, value, c)`` for non-null values, materialised once."""
+    vc = df.groupBy(group, value).agg(F.count("*").alias("c")).where(F.col(value).isNotNull())
+    ensure_checkpoint_dir(df.sparkSession)
+    return vc.checkpoint(eager=True)
+
+
+def exact_quantiles(df: DataFrame | None, value: str, group: str, probs: list[float],
+                    vc: DataFrame | None = None) -> DataFrame:
     """Exact linear-interpolated quantiles per group, without holding a
     group's values in one task: count per (group, value), exact running
     counts (``running_totals``), then pick the two ranks around
     ``(n-1)*q`` by an equi-join on the group plus a range predicate."""
-    vc = df.groupBy(group, value).agg(F.count("*").alias("c")).where(F.col(value).isNotNull())
-    ensure_checkpoint_dir(df.sparkSession)
-    vc = vc.checkpoint(eager=True)  # read by the running counts and the group totals
+    vc = vc if vc is not None else value_counts_by_group(df, value, group)
     rt = running_totals(vc, [group], value, ["c"], materialize=False)
     ntot = vc.groupBy(group).agg(F.sum("c").alias("_n"))
     qs = F.array(*[F.lit(float(p)) for p in probs])
@@ -98,8 +104,10 @@ def exact_quantiles(df: DataFrame, value: str, group: str, probs: list[float]) -
 def box_stats(df: DataFrame, value: str = "amt", group: str = "category", exact: bool = True,
               accuracy: int = 10000) -> DataFrame:
     """Quartiles, 1.5 IQR whiskers (most extreme points inside) and outlier count."""
+    # every statistic below reads the per-(group, value) counts: one pass over the rows
+    vc = value_counts_by_group(df, value, group)
     if exact:
-        q = exact_quantiles(df, value, group, [0.25, 0.5, 0.75])
+        q = exact_quantiles(None, value, group, [0.25, 0.5, 0.75], vc=vc)
         qs = q.groupBy(group).agg(
             F.max(F.when(F.col("qi") == 0, F.col("quantile"))).alias("q1"),
             F.max(F.when(F.col("qi") == 1, F.col("quantile"))).alias("median"),
@@ -112,15 +120,14 @@ def box_stats(df: DataFrame, value: str = "amt", group: str = "category", exact:
     v = F.col(value)
     lo_f = F.col("q1") - 1.5 * F.col("iqr")
     hi_f = F.col("q3") + 1.5 * F.col("iqr")
-    # one row per group: bounded by the group count
-    j = df.select(group, value).join(qs, group)
+    j = vc.join(qs, group)
     agg = j.groupBy(group).agg(
-        F.count(v).alias("n"),
+        F.sum("c").alias("n"),
         F.min(F.when(v >= lo_f, v)).alias("whisker_lo"),
         F.max(F.when(v <= hi_f, v)).alias("whisker_hi"),
-        F.sum(F.when((v < lo_f) | (v > hi_f), 1).otherwise(0)).cast("long").alias("n_outliers"))
-    return agg.join(qs, group).select(group, "n", "q1", "median", "q3", "iqr", "whisker_lo",
-                                      "whisker_hi", "n_outliers")
+        F.sum(F.when((v < lo_f) | (v > hi_f), F.col("c")).otherwise(0)).cast("long").alias("n_outliers"))
+    return agg.join(qs, group).select(group, F.col("n").cast("long").alias("n"), "q1", "median", "q3", "iqr",
+                                      "whisker_lo", "whisker_hi", "n_outliers")
 
 
 def class_histogram(df: DataFrame, value: str = "age", label: str = LABEL, bins: int = 40) -> DataFrame:
