@@ -140,12 +140,15 @@ def class_histogram(df: DataFrame, value: str = "age", label: str = LABEL, bins:
         return df.sparkSession.createDataFrame([], f"{label} {dict(df.dtypes)[label]}, bin int, bin_lo double, "
                                                    "bin_hi double, n long, density double")
     lo, hi = F.lit(float(r["lo"])), F.lit(float(r["hi"]))
-    ncls = df.groupBy(label).agg(F.count(v).alias("n_class"))
     width = (hi - lo) / F.lit(float(bins))
     b = F.least(F.floor((v - lo) / width), F.lit(bins - 1)).cast("int")
     b = F.when(hi == lo, F.lit(0)).otherwise(b)
     h = (df.where(F.col(value).isNotNull())
          .groupBy(label, b.alias("bin")).agg(F.count("*").alias("n")))
+    # class sizes from the (small) histogram itself: no extra pass over the rows
+    ensure_checkpoint_dir(df.sparkSession)
+    h = h.checkpoint(eager=True)
+    ncls = h.groupBy(label).agg(F.sum("n").alias("n_class"))
     h = h.join(sized_broadcast(ncls), label)
     w = F.when(hi == lo, F.lit(1.0)).otherwise((hi - lo) / F.lit(float(bins)))
     return h.select(label, "bin",
