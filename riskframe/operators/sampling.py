@@ -129,12 +129,14 @@ def mark_by_hash_rank(df: DataFrame, key, seed: int, quota, by: str | None = Non
     return out if by else out.drop(g)
 
 
-def sample_n(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame:
-    """Uniform n-row sample without replacement (n capped by the row count)."""
+def sample_n(df: DataFrame, n: int, key, seed: int = 42) -> DataFrame:
+    """Uniform n-row sample without replacement (n capped by the row count).
+
+    ``key``: a unique column, a list of columns, or None (see ``mark_by_hash_rank``)."""
     return mark_by_hash_rank(df, key, seed, n).where("_selected").drop("_selected")
 
 
-def test_mode_samples(train: DataFrame, test: DataFrame, key: str, sample_size: int = 5000,
+def test_mode_samples(train: DataFrame, test: DataFrame, key, sample_size: int = 5000,
                       seed: int = 42) -> tuple[DataFrame, DataFrame]:
     """Quick-run subsets: ``sample_size`` training rows, a quarter as many test rows."""
     return sample_n(train, sample_size, key, seed), sample_n(test, sample_size // 4, key, seed)
@@ -154,7 +156,7 @@ def split_quotas(counts: dict, test_size: float | None = None, train_size: int |
     return {k: counts[k] - train_alloc[k] for k in counts}
 
 
-def stratified_split(df: DataFrame, key: str, label: str = "is_fraud", test_size: float = 0.2,
+def stratified_split(df: DataFrame, key, label: str = "is_fraud", test_size: float = 0.2,
                      seed: int = 42, split_col: str = "split", counts: dict | None = None) -> DataFrame:
     """Add ``split`` in {'train','test'}; class counts are exact per stratum."""
     def quotas(sizes: dict) -> dict:
@@ -165,7 +167,7 @@ def stratified_split(df: DataFrame, key: str, label: str = "is_fraud", test_size
     return m.withColumn(split_col, F.when(F.col("_t"), "test").otherwise("train")).drop("_t")
 
 
-def stratified_subset(df: DataFrame, key: str, label: str = "is_fraud", fraction: float = 0.95,
+def stratified_subset(df: DataFrame, key, label: str = "is_fraud", fraction: float = 0.95,
                       seed: int = 42, counts: dict | None = None) -> DataFrame:
     """Keep ``int(fraction * n)`` rows, stratified on ``label`` (the 'train' side)."""
     def quotas(sizes: dict) -> dict:
@@ -175,7 +177,7 @@ def stratified_subset(df: DataFrame, key: str, label: str = "is_fraud", fraction
     return m.where(~F.col("_t")).drop("_t")
 
 
-def rare_class_sample(df: DataFrame, key: str, label: str = "is_fraud", fraction: float = 0.95,
+def rare_class_sample(df: DataFrame, key, label: str = "is_fraud", fraction: float = 0.95,
                       rare_max: int = 5, seed: int = 42) -> DataFrame:
     """Fine-tune subset: if positives <= ``rare_max`` keep all of them plus
     sampled negatives up to ``int(fraction * n)``; else ``stratified_subset``."""
@@ -192,7 +194,7 @@ def rare_class_sample(df: DataFrame, key: str, label: str = "is_fraud", fraction
     return stratified_subset(df, key, label, fraction, seed, counts=counts)
 
 
-def balanced_reference(reference: DataFrame, current: DataFrame, key: str, ratio: int = 5,
+def balanced_reference(reference: DataFrame, current: DataFrame, key, ratio: int = 5,
                        seed: int = 42) -> DataFrame:
     """Down-sample the reference side to at most ``ratio`` times the current side."""
     n_ref, n_cur = reference.count(), current.count()
