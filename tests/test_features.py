@@ -69,3 +69,15 @@ def test_class_weight_and_non_numeric(raw_fixture):
     w = fe.class_weight(fe.build_features(raw_fixture), 10.0)
     assert sorted(r["weight"] for r in w.collect()) == [1.0, 1.0, 10.0, 10.0]
     assert set(fe.non_numeric_columns(fe.build_features(raw_fixture))) == {"merchant", "category", "gender", "state", "job", "trans_num"}
+
+
+def test_daily_counts_fill_empty_days_and_rate_order(spark):
+    from riskframe.operators import profile as pr
+    rows = [("2024-01-01 10:00:00", "a", 1), ("2024-01-01 11:00:00", "a", 0), ("2024-01-04 09:00:00", "b", 1),
+            ("2024-01-04 23:59:59", "b", 1), ("2024-01-02 00:00:00", "c", 0)]
+    df = spark.createDataFrame(rows, "ts string, category string, is_fraud int").withColumn(
+        "trans_date_trans_time", F.to_timestamp("ts"))
+    daily = {str(r["day"]): (r["n_pos"], r["n_rows"]) for r in pr.daily_counts(df).collect()}
+    assert daily == {"2024-01-01": (1, 2), "2024-01-02": (0, 1), "2024-01-03": (0, 0), "2024-01-04": (2, 2)}
+    order = [r["category"] for r in pr.rate_by_group(df, "category").collect()]
+    assert order == ["b", "a", "c"]
