@@ -154,3 +154,15 @@ def test_inline_records_to_features(spark, raw_fixture):
     from riskframe.operators.features import build_features
     out = build_features(df)
     assert out.count() == 4 and dict(out.dtypes)["cc_num"] == "bigint" and dict(out.dtypes)["zip"] == "int"
+
+
+def test_prediction_mode_applies_stored_encoder(spark, scratch):
+    tx = transactions(spark, SF_SMALL)
+    v = jobs.run_preprocessing(spark, tx, scratch, version="20240101_000000")
+    pv = jobs.run_preprocessing(spark, tx, scratch, for_prediction=True, encoder_version=v, version="20240102_000000")
+    enc = spark.read.parquet(os.path.join(scratch, "encoders")).where(F.col("version") == v)
+    stored = {r["value"]: r["enc"] for r in enc.where("feature = 'category'").collect()}
+    raw_cat = {r["trans_num"]: r["category"] for r in tx.select("trans_num", "category").collect()}
+    pred = io.read_versioned(spark, os.path.join(scratch, "datasets"), pv, "pred").select("trans_num", "category")
+    for r in pred.limit(50).collect():
+        assert abs(r["category"] - stored[raw_cat[r["trans_num"]]]) < 1e-12
