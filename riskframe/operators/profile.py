@@ -24,8 +24,11 @@ def class_counts(df: DataFrame, label: str = LABEL) -> DataFrame:
 
 def value_frequencies(df: DataFrame, col: str) -> DataFrame:
     """``value_counts(normalize=True)``: share of rows per value."""
-    total = df.select(F.count("*")).scalar()
-    return df.groupBy(col).agg(F.count("*").alias("n")).withColumn("freq", F.col("n") / total)
+    # one pass: the grouped counts are materialised and their sum is the total
+    ensure_checkpoint_dir(df.sparkSession)
+    g = df.groupBy(col).agg(F.count("*").alias("n")).checkpoint(eager=True)
+    total = g.agg(F.sum("n")).first()[0] or 0
+    return g.withColumn("freq", F.col("n") / F.lit(total))
 
 
 def positive_rate(df: DataFrame, label: str = LABEL) -> DataFrame:
