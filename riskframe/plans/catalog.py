@@ -593,8 +593,8 @@ def q_shape(spark, sf_dir):
 def q_split_class_freq(spark, sf_dir):
     """Label balance of each split (normalised value counts per split)."""
     sp = _split_feats(spark, sf_dir)
-    c = sp.groupBy("split", "is_fraud").agg(F.count("*").alias("n"))
-    tot = sp.groupBy("split").agg(F.count("*").alias("_t"))
+    c = sp.groupBy("split", "is_fraud").agg(F.count("*").alias("n")).checkpoint(eager=True)
+    tot = c.groupBy("split").agg(F.sum("n").alias("_t"))  # from the small table, no second pass
     return c.join(F.broadcast(tot), "split").select("split", "is_fraud", "n", (F.col("n") / F.col("_t")).alias("freq"))
 
 
