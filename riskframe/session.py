@@ -7,6 +7,7 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -61,4 +62,6 @@ def prepare_session(spark: SparkSession) -> SparkSession:
     if spark.conf.get("spark.sql.session.timeZone", None) != "UTC":
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     ensure_checkpoint_dir(spark)
+    # Python workers import the task functions of this package by name
+    spark.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
     return spark
