@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+from riskframe.llm import op9_mixing as op9
+from riskframe.llm import op10_decontamination as op10
 from riskframe.llm.op3_token_records import op3_token_records
 
 QUERIES = {
     "op3_token_records": op3_token_records,
+    "op9_mixing": op9.op9_mixing,
+    "op10_decontamination": op10.op10_decontamination,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op9_mixing": op9.ORACLE,
+    "op10_decontamination": op10.ORACLE,
+}
