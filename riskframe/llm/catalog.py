@@ -5,9 +5,11 @@ from __future__ import annotations
 from riskframe.llm import op9_mixing as op9
 from riskframe.llm import op10_decontamination as op10
 from riskframe.llm.op3_token_records import op3_token_records
+from riskframe.llm.op7_toxicity import op7_toxicity
 
 QUERIES = {
     "op3_token_records": op3_token_records,
+    "op7_toxicity": op7_toxicity,
     "op9_mixing": op9.op9_mixing,
     "op10_decontamination": op10.op10_decontamination,
 }

@@ -61,25 +61,29 @@ def slices(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]
         a = b
 
 
-def word_bounds(data: np.ndarray, offsets: np.ndarray, separator: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start and end of every word in ``data``, and the first word of each row (rows + 1 entries)."""
-    inside = ~separator[data]
-    edge = np.zeros(len(data) + 1, bool)  # a word may not run over a row's end
+def word_bounds(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end of every run of true entries, and the first run of each row (rows + 1 entries)."""
+    edge = np.zeros(len(inside) + 1, bool)  # a word may not run over a row's end
     edge[offsets] = True
     starts = np.flatnonzero(inside & (edge[:-1] | ~np.concatenate([[False], inside[:-1]])))
     ends = np.flatnonzero(inside & (edge[1:] | ~np.concatenate([inside[1:], [False]]))) + 1
     return starts, ends, np.searchsorted(starts, offsets)
 
 
+def places(starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For runs of ``lengths`` entries from ``starts``: (place of each entry, its number in its run)."""
+    number = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    return np.repeat(starts, lengths) + number, number
+
+
 def split_words(data: np.ndarray, offsets: np.ndarray, separator: np.ndarray) -> Words:
     """Hashes of the words of each row, A-Z lower-cased."""
-    starts, ends, first = word_bounds(data, offsets, separator)
+    starts, ends, first = word_bounds(~separator[data], offsets)
     if not len(starts):
         return Words(np.zeros(0, np.uint64), first)
     lengths = ends - starts
-    word = np.repeat(np.arange(len(starts)), lengths)
-    place = np.arange(len(word)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    codes = _CODE[LOWER[data[starts[word] + place]]] * powers(int(lengths.max()))[place]
+    place, number = places(starts, lengths)
+    codes = _CODE[LOWER[data[place]]] * powers(int(lengths.max()))[number]
     sums = np.add.reduceat(codes, np.cumsum(lengths) - lengths)
     return Words(mix(sums + lengths.astype(np.uint64)), first)
 
