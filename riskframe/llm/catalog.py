@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from riskframe.llm import op1_minhash as op1
 from riskframe.llm import op9_mixing as op9
 from riskframe.llm import op10_decontamination as op10
 from riskframe.llm.op3_token_records import op3_token_records
 from riskframe.llm.op7_toxicity import op7_toxicity
 
 QUERIES = {
+    "op1_minhash": op1.op1_minhash,
     "op3_token_records": op3_token_records,
     "op7_toxicity": op7_toxicity,
     "op9_mixing": op9.op9_mixing,
@@ -15,6 +17,7 @@ QUERIES = {
 }
 
 ORACLE: dict[str, str] = {
+    "op1_minhash": op1.ORACLE,
     "op9_mixing": op9.ORACLE,
     "op10_decontamination": op10.ORACLE,
 }
