@@ -235,6 +235,14 @@ def judge(docs: DataFrame, benchmark: DataFrame, share: int = SHARE) -> DataFram
                       ((F.col("n_hit") > 0) & (share * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"))
 
 
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, share: int = SHARE) -> DataFrame:
+    """The rows of ``docs`` whose documents aren't contaminated; same columns."""
+    gone = judge(docs, benchmark, share).where("contaminated").select(F.col("doc_id").alias("_gone"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").alias("_id"))
+    left = rows.join(gone, F.col("_id").eqNullSafe(F.col("_gone")), "left_anti")
+    return left.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = judge(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
     return judged.select("doc_id", "n_words", "n_hit", "n_items",
