@@ -1,45 +1,39 @@
-"""Join helpers: broadcast only behind a measured size bound."""
+"""Join helpers: broadcast only behind a measured size."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.session import ensure_checkpoint_dir
 
-# Rows above which a side is never broadcast; overridable per session with
-# the conf key below.  At ~100 bytes a row this keeps a broadcast under ~100 MB.
-DEFAULT_BROADCAST_ROWS = 1_000_000
-CONF_KEY = "riskframe.broadcast.maxRows"
-
 
 def broadcast_limit(df: DataFrame) -> int:
-    v = df.sparkSession.conf.get(CONF_KEY, None)
-    return int(v) if v else DEFAULT_BROADCAST_ROWS
+    """Bytes below which the planner itself broadcasts (``spark.sql.autoBroadcastJoinThreshold``)."""
+    return df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+
+
+def _row_bytes(df: DataFrame) -> Column:
+    """Bytes of a row: 8 a column, and the text of those of varying length."""
+    sized = [F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) for c, t in df.dtypes
+             if t in ("string", "binary") or t.startswith(("array", "map", "struct"))]
+    return reduce(lambda a, b: a + b, sized, F.lit(8 * len(df.columns))).cast("long")
 
 
-def materialize_if_small(df: DataFrame, max_rows: int | None = None) -> DataFrame | None:
-    """The whole of ``df`` checkpointed, if it has at most ``max_rows`` rows; else None."""
-    limit = broadcast_limit(df) if max_rows is None else max_rows
+def measured(df: DataFrame) -> tuple[DataFrame, int]:
+    """(``df`` checkpointed in the shared folder, its size in bytes)."""
     ensure_checkpoint_dir(df.sparkSession)
-    head = df.limit(limit + 1).checkpoint(eager=True)
-    return head if head.count() <= limit else None
+    stored = df.checkpoint(eager=True)
+    return stored, stored.agg(F.sum(_row_bytes(stored))).first()[0] or 0
 
 
-def sized_broadcast(df: DataFrame, max_rows: int | None = None, materialize: bool = True) -> DataFrame:
-    """``broadcast`` of ``df`` when it has at most ``max_rows`` rows, else ``df``.
+def sized_broadcast(df: DataFrame) -> DataFrame:
+    """``df`` computed once, and marked for broadcast if its measured bytes are below the planner's limit.
 
-    At most ``max_rows + 1`` rows are computed once and checkpointed to the
-    shared checkpoint folder; if that is the whole table the join broadcasts
-    the checkpointed copy (no recomputation of an expensive small side),
-    otherwise the caller's join stays a shuffle join (sort-merge, with AQE
-    skew splitting) on the original plan.  ``materialize=False`` is for cheap
-    sides such as a dimension table scan: count only, broadcast the plan.
+    Beyond it the join is left to the planner (sort-merge, with AQE's skew
+    splitting).  The copy keeps the partitions of ``df``: nothing is gathered.
     """
-    limit = broadcast_limit(df) if max_rows is None else max_rows
-    if not materialize:
-        # a plain table scan: counting reads no columns, and broadcasting the
-        # scan itself keeps column pruning and filter pushdown on it
-        return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
-    head = materialize_if_small(df, limit)
-    return F.broadcast(head) if head is not None else df
+    stored, size = measured(df)
+    return F.broadcast(stored) if size <= broadcast_limit(df) else stored

@@ -1,122 +1,51 @@
-"""Exact running sums without a single-partition window.
+"""Exact running sums within groups, without a window over a whole group.
 
 ``sum(x) over (partition by g order by v)`` puts every row of a group in one
 task; for a group holding most of the data (one drift column, one score
-column) that is the whole table.  ``running_totals`` splits each group into
-ordered ranges first:
+column) that is the whole table.  ``running_totals`` range-partitions the rows
+on (group columns, value) instead, whatever the size and type of the table:
 
-1. per group, ``percentile_approx`` gives ``B - 1`` cut points (a mergeable
-   sketch, bounded memory; only balance depends on its accuracy, never the
-   result);
-2. each row gets its range id by a binary search over the cut points
-   (``log2 B`` JVM-side ``CASE`` steps);
-3. per (group, range) totals are tiny: an ordered window over them gives the
-   exact offset of every range and the first value of the next range;
-4. a window partitioned by (group, range) adds the local running sum to the
-   offset, so no task holds more than about ``1/B`` of a group.
+1. a large group is cut into several ranges of its real values, so it spans
+   several partitions; the copy is checkpointed with its partition number;
+2. per (group, partition) totals are at most groups + partitions rows; an
+   ordered window over them gives the exact offset of every range and the
+   first value of the next one;
+3. a window within (group, partition) adds the local running sum.
 
-Input rows must be unique on (group columns, order column): aggregate first.
+The result is exact and doesn't depend on where the ranges are cut.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskframe.functions.joins import sized_broadcast
-from riskframe.session import ensure_checkpoint_dir
-
-DEFAULT_BUCKET_BITS = 8
-# Inputs with at most this many rows take one window per group (bounded by
-# construction); larger inputs are range-split.  Conf key overrides it.
-SMALL_INPUT_ROWS = 2_000_000
-SMALL_CONF_KEY = "riskframe.window.maxRows"
-
-
-def _order_surrogate(df: DataFrame, order_col: str):
-    """A double that never decreases along ``order_col`` (ties allowed):
-    the value itself for numbers; for text, its first 6 UTF-8 bytes read as
-    a base-256 number (byte order is Spark's string order)."""
-    t = dict(df.dtypes)[order_col]
-    if t == "string":
-        hx = F.rpad(F.substring(F.hex(F.col(order_col)), 1, 12), 12, "0")
-        return F.conv(hx, 16, 10).cast("double")
-    if t in ("date", "timestamp", "timestamp_ntz"):
-        return F.unix_micros(F.col(order_col).cast("timestamp")).cast("double")
-    return F.col(order_col).cast("double")
-
-
-def _direct(df: DataFrame, group_cols: list[str], order_col: str, sum_cols: list[str],
-            next_col: str | None) -> DataFrame:
-    """One ordered window per group: used only when the whole input is small."""
-    w = Window.partitionBy(*group_cols).orderBy(order_col) if group_cols else Window.orderBy(order_col)
-    out = df.withColumns({f"cum_{c}": F.sum(c).over(w.rowsBetween(Window.unboundedPreceding, 0))
-                          for c in sum_cols})
-    if next_col:
-        out = out.withColumn(next_col, F.lead(order_col).over(w))
-    return out
+from riskframe.functions.ordered import PART, range_split
 
 
 def running_totals(df: DataFrame, group_cols: list[str], order_col: str, sum_cols: list[str],
-                   bucket_bits: int = DEFAULT_BUCKET_BITS, accuracy: int = 10000,
-                   next_col: str | None = None, materialize: bool = True) -> DataFrame:
+                   next_col: str | None = None, partitions: int | None = None) -> DataFrame:
     """Add ``cum_<c>`` (inclusive running sum of ``c`` within the group, in
     ``order_col`` order) and, if ``next_col`` is given, the next larger
     ``order_col`` value of the group (NULL for the last row).
 
-    The input is read three times (cut points, range totals, final window);
-    ``materialize`` checkpoints it first so an aggregate feeding it is
-    computed once.  Pass ``False`` when the input is already cheap to read.
+    Rows must be unique on (group columns, order column): aggregate first.
+    NULL group values are a group; a NULL order value comes first.
     """
-    if materialize:
-        ensure_checkpoint_dir(df.sparkSession)
-        df = df.checkpoint(eager=True)
-    conf = df.sparkSession.conf.get(SMALL_CONF_KEY, None)
-    small = int(conf) if conf else SMALL_INPUT_ROWS
-    if df.limit(small + 1).count() <= small:
-        return _direct(df, group_cols, order_col, sum_cols, next_col)
-    n_b = 1 << bucket_bits
-    probs = [i / n_b for i in range(1, n_b)]
-    gkeys = list(group_cols)
-    v = _order_surrogate(df, order_col)
-    cuts = (df.groupBy(*gkeys) if gkeys else df.groupBy())
-    cuts = cuts.agg(F.percentile_approx(v, probs, accuracy).alias("_cuts"))
-    if not gkeys:
-        # one group: its cut points are one bounded row, used as a literal array (no join)
-        row = cuts.first()
-        arr = (F.array(*[F.lit(float(x)) for x in row["_cuts"]]) if row is not None and row["_cuts"] is not None
-               else F.lit(None).cast("array<double>"))
-        df = df.withColumn("_g", F.lit(0))
-        gkeys = ["_g"]
-        b = df.withColumn("_cuts", arr)
-    else:
-        # cut points: one row per group, so the broadcast is bounded by the group count
-        b = df.join(sized_broadcast(cuts), gkeys)
-    # the step-wise search is materialised level by level to keep the tree small
-    pos = "_b"
-    b = b.withColumn(pos, F.lit(0))
-    for lvl in range(bucket_bits - 1, -1, -1):
-        step = 1 << lvl
-        probe = F.element_at(F.col("_cuts"), F.col(pos) + F.lit(step))
-        b = b.withColumn(pos, F.when(probe <= v, F.col(pos) + F.lit(step)).otherwise(F.col(pos)))
-    b = b.drop("_cuts")
-    tot = b.groupBy(*gkeys, "_b").agg(
-        *[F.sum(c).alias(f"_t_{c}") for c in sum_cols], F.min(order_col).alias("_bmin"))
-    wb = Window.partitionBy(*gkeys).orderBy("_b")
-    tot = tot.select(
-        *gkeys, "_b",
-        *[(F.sum(f"_t_{c}").over(wb.rowsBetween(Window.unboundedPreceding, -1))).alias(f"_o_{c}")
-          for c in sum_cols],
-        F.lead("_bmin").over(wb).alias("_nextmin"))
-    tot = tot.fillna(0, subset=[f"_o_{c}" for c in sum_cols])
-    # (group, range) offsets: at most groups * 2**bits rows
-    j = b.join(sized_broadcast(tot), [*gkeys, "_b"])
-    wl = Window.partitionBy(*gkeys, "_b").orderBy(order_col)
-    out = j.withColumns({f"cum_{c}": F.col(f"_o_{c}") + F.sum(c).over(
-        wl.rowsBetween(Window.unboundedPreceding, 0)) for c in sum_cols})
+    keys = list(group_cols)
+    split = range_split(df, [*keys, order_col], partitions)
+    totals = split.groupBy(*keys, PART).agg(*[F.sum(c).alias(f"_t_{c}") for c in sum_cols], F.min(order_col).alias("_first"))
+    ranges = Window.partitionBy(*keys).orderBy(PART)
+    before = ranges.rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col(PART).alias("_k_part"),
+                            *[F.coalesce(F.sum(f"_t_{c}").over(before), F.lit(0)).alias(f"_o_{c}") for c in sum_cols],
+                            F.lead("_first").over(ranges).alias("_next"))
+    match = reduce(lambda a, k: a & F.col(k).eqNullSafe(F.col(f"_k_{k}")), keys, F.col(PART) == F.col("_k_part"))
+    within = Window.partitionBy(*keys, PART).orderBy(order_col)
+    out = split.join(offsets, match).withColumns(
+        {f"cum_{c}": F.col(f"_o_{c}") + F.sum(c).over(within.rowsBetween(Window.unboundedPreceding, 0)) for c in sum_cols})
     if next_col:
-        out = out.withColumn(next_col, F.coalesce(F.lead(order_col).over(wl), F.col("_nextmin")))
-    drop = ["_b", "_nextmin", *[f"_o_{c}" for c in sum_cols]]
-    if "_g" in out.columns and "_g" not in group_cols:
-        drop.append("_g")
-    return out.drop(*drop)
+        out = out.withColumn(next_col, F.coalesce(F.lead(order_col).over(within), F.col("_next")))
+    return out.select(*df.columns, *[f"cum_{c}" for c in sum_cols], *([next_col] if next_col else []))

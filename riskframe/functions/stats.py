@@ -7,6 +7,7 @@ over data rows.
 from __future__ import annotations
 
 import math
+from itertools import count
 
 import numpy as np
 import pandas as pd
@@ -14,6 +15,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+NORMAL_DOF = 1e6  # beyond it the gamma function's rounding is larger than the normal law's error
+EXACT_KS_ROWS = 10_000  # up to this many rows on the larger side the KS probability is exact (scipy's rule)
+
+
 def norm_two_sided_p(z: float) -> float:
     """P(|Z| >= |z|) for a standard normal Z."""
     if z is None or (isinstance(z, float) and math.isnan(z)):
@@ -25,7 +30,7 @@ def _gamma_p_series(a: float, x: float) -> float:
     term = 1.0 / a
     total = term
     ap = a
-    for _ in range(10000):
+    while True:  # some multiples of sqrt(a) terms
         ap += 1.0
         term *= x / ap
         total += term
@@ -40,7 +45,7 @@ def _gamma_q_cf(a: float, x: float) -> float:
     c = 1.0 / tiny
     d = 1.0 / b
     h = d
-    for i in range(1, 10000):
+    for i in count(1):
         an = -i * (i - a)
         b += 2.0
         d = an * d + b
@@ -50,7 +55,7 @@ def _gamma_q_cf(a: float, x: float) -> float:
         d = 1.0 / d
         delta = d * c
         h *= delta
-        if abs(delta - 1.0) < 1e-16:
+        if abs(delta - 1.0) < 4e-16:
             break
     return math.exp(-x + a * math.log(x) - math.lgamma(a)) * h
 
@@ -64,6 +69,9 @@ def chi2_sf(stat: float, dof: float) -> float:
     a, x = dof / 2.0, stat / 2.0
     if x <= 0:
         return 1.0
+    if dof > NORMAL_DOF:  # Wilson and Hilferty: the cube root is normal, with an error of the order of 1 / dof
+        z = ((stat / dof) ** (1 / 3) - (1 - 2 / (9 * dof))) / math.sqrt(2 / (9 * dof))
+        return 0.5 * math.erfc(z / math.sqrt(2.0))
     if x < a + 1.0:
         return max(0.0, 1.0 - _gamma_p_series(a, x))
     return min(1.0, _gamma_q_cf(a, x))
@@ -85,37 +93,37 @@ def kolmogorov_sf(z: float) -> float:
 
 
 def ks_exact_p(d: float, n1: int, n2: int) -> float:
-    """Exact two-sided P(D >= d) for two samples of sizes n1, n2 (no ties):
-    probability that a uniformly random lattice path leaves the band
-    |i/n1 - j/n2| < d.  O(n1 * n2); used for small samples."""
-    m, n = int(n1), int(n2)
+    """Exact two-sided P(D >= d) for two samples of sizes n1, n2 (no ties): the
+    share of lattice paths from (0, 0) to (n1, n2) that leave the band
+    |i/n1 - j/n2| < d.  Row i of the path counts is a running sum over the
+    places of row i - 1 that lie in the band, kept as a share of all paths."""
+    m, n = max(int(n1), int(n2)), min(int(n1), int(n2))
+    j = np.arange(n + 1)
     tol = 1e-12
-    prev = np.zeros(n + 1)
-    prev[0] = 1.0
-    jj = np.arange(n + 1)
-    for j in range(1, n + 1):
-        prev[j] = prev[j - 1] * (n - j + 1) / (m + n - j + 1) if abs(0 / m - j / n) < d - tol else 0.0
+    paths = (np.abs(j / n) < d - tol).cumprod().astype(float)  # one path along the edge, while inside
+    log_scale = 0.0
     for i in range(1, m + 1):
-        cur = np.zeros(n + 1)
-        inside = np.abs(i / m - jj / n) < d - tol
-        # from (i-1, j): a step in the first sample
-        down = prev * (m - i + 1) / (m - i + 1 + n - jj)
-        for j in range(n + 1):
-            v = down[j]
-            if j > 0:
-                v += cur[j - 1] * (n - j + 1) / (m - i + n - j + 1)
-            cur[j] = v if inside[j] else 0.0
-        prev = cur
-    return max(0.0, min(1.0, 1.0 - prev[n]))
-
-
-def ks_p_value(d: float, n1: int, n2: int, exact_max_cells: int = 2_000_000) -> float:
+        inside = np.abs(i / m - j / n) < d - tol
+        paths = np.where(inside, paths, 0.0)
+        low = int(inside.argmax()) if inside.any() else 0
+        paths = np.where(inside, np.cumsum(np.where(j >= low, paths, 0.0)), 0.0)
+        top = paths.max()
+        if top == 0:
+            return 1.0
+        if top > 1e100:
+            paths, log_scale = paths / top, log_scale + math.log(top)
+    if paths[n] <= 0:
+        return 1.0
+    log_all = math.lgamma(m + n + 1) - math.lgamma(m + 1) - math.lgamma(n + 1)
+    return max(0.0, min(1.0, -math.expm1(math.log(paths[n]) + log_scale - log_all)))
+
+
+def ks_p_value(d: float, n1: int, n2: int) -> float:
     if d is None or math.isnan(d) or not n1 or not n2:
         return float("nan")
-    if n1 * n2 <= exact_max_cells:
+    if max(n1, n2) <= EXACT_KS_ROWS:
         return ks_exact_p(d, n1, n2)
-    en = n1 * n2 / (n1 + n2)
-    return kolmogorov_sf(math.sqrt(en) * d)
+    return kolmogorov_sf(math.sqrt(n1 * n2 / (n1 + n2)) * d)
 
 
 @F.pandas_udf(T.DoubleType())

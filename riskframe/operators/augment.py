@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.functions.columns import col_, hash_unit
-from riskframe.functions.joins import materialize_if_small, sized_broadcast
+from riskframe.functions.joins import sized_broadcast
 from riskframe.functions.prefix import running_totals
 from riskframe.operators.sampling import sample_n
 from riskframe.session import ensure_checkpoint_dir
@@ -48,7 +48,7 @@ def distributions(df: DataFrame, fields: list[str], weighted: bool | dict = True
         vc = vc.withColumn("n", F.when(F.col("field").isin(*uniform), F.lit(1)).otherwise(F.col("n")).cast("long"))
     ensure_checkpoint_dir(df.sparkSession)
     vc = vc.checkpoint(eager=True)  # read by the running counts and the field totals
-    rt = running_totals(vc, ["field"], "value", ["n"], materialize=False)
+    rt = running_totals(vc, ["field"], "value", ["n"])
     totals = vc.groupBy("field").agg(F.sum("n").alias("_tot"))
     # one row per field
     rt = rt.join(F.broadcast(totals), "field")
@@ -81,7 +81,7 @@ def draw_buckets(n_values: int) -> int:
 
 
 def weighted_draw(df: DataFrame, dist: DataFrame, key: str, seed, field: str, out: str,
-                  checked: bool = False, n_values: int | None = None) -> DataFrame:
+                  n_values: int | None = None) -> DataFrame:
     """Add ``out``: the value whose [lo, hi) holds the row's hash uniform."""
     b = draw_buckets(n_values if n_values is not None else dist.count())
     d = dist.select(F.col("value").alias(f"_val_{out}"), F.col("lo").alias("_lo"), F.col("hi").alias("_hi"),
@@ -90,8 +90,8 @@ def weighted_draw(df: DataFrame, dist: DataFrame, key: str, seed, field: str, ou
                     .alias("_db"))
     u = unit_draw(key, seed, field)
     rows = df.withColumn("_u", u).withColumn("_db", F.floor(F.col("_u") * b).cast("int"))
-    # ``checked``: the caller already size-checked (and materialised) ``dist``
-    j = rows.join(F.broadcast(d) if checked else sized_broadcast(d), "_db").where((F.col("_u") >= F.col("_lo")) & (F.col("_u") < F.col("_hi")))
+    # the size that counts is that of the values spread over their buckets
+    j = rows.join(sized_broadcast(d), "_db").where((F.col("_u") >= F.col("_lo")) & (F.col("_u") < F.col("_hi")))
     return j.drop("_db", "_lo", "_hi", "_u").withColumnRenamed(f"_val_{out}", out)
 
 
@@ -132,16 +132,14 @@ def synthesize(df: DataFrame, n: int, variability: float, key: str = "trans_num"
     weights = {f: (not full) for f in CATEGORICAL_FIELDS}
     weights.update({"merchant": False, "is_fraud": True, "city": False})
     # all value distributions in one aggregation, materialised once
-    dists = distributions(df, fields, weights)
-    small = materialize_if_small(dists)  # one size check for all fields
-    dists = small if small is not None else dists
+    dists = distributions(df, fields, weights).checkpoint(eager=True)
     # one row per field
     sizes = {r["field"]: r["k"] for r in dists.groupBy("field").agg(F.count("*").alias("k")).collect()}
     out = base
     types = dict(df.dtypes)
     for f in fields:
         out = weighted_draw(out.drop(f), dists.where(F.col("field") == f).drop("field"), key, seed, f, f,
-                            checked=small is not None, n_values=sizes.get(f, 0)).withColumn(f, F.col(f).cast(types[f]))
+                            n_values=sizes.get(f, 0)).withColumn(f, F.col(f).cast(types[f]))
     if full:
         u = lambda f: unit_draw(key, seed, f)
         lo, hi = RANDOM_AMOUNT

@@ -110,8 +110,7 @@ def choose_test(summary: DataFrame, stattest: str | dict | None = None) -> DataF
 def _cdf_rows(vc: DataFrame, plan: DataFrame, test: str) -> DataFrame:
     sel = plan.where(F.col("test") == test).select("column_name", "tot_ref", "tot_cur", "std_ref")
     rows = vc.where(F.col("kind") == "num").join(F.broadcast(sel), "column_name")
-    # rows come from the checkpointed value counts plus a broadcast join: cheap to re-read
-    rt = running_totals(rows, ["column_name"], "num", ["n_ref", "n_cur"], next_col="nxt", materialize=False)
+    rt = running_totals(rows, ["column_name"], "num", ["n_ref", "n_cur"], next_col="nxt")
     gap = F.abs(F.col("cum_n_ref") / F.col("tot_ref") - F.col("cum_n_cur") / F.col("tot_cur"))
     return rt.withColumn("gap", gap)
 
@@ -131,14 +130,16 @@ def ks_statistics(vc: DataFrame, plan: DataFrame) -> DataFrame:
 
 
 def _binned(vc: DataFrame, plan: DataFrame, test: str) -> DataFrame:
-    """Counts per key: the value for text columns, one of 30 common
-    equal-width bins (last closed) for numeric ones."""
-    sel = plan.where(F.col("test") == test).select("column_name", "lo", "hi", "tot_ref", "tot_cur")
+    """Counts per key: the value for text columns and numeric ones of few values,
+    one of 30 common equal-width bins (last closed) for other numeric ones."""
+    sel = plan.where(F.col("test") == test).select("column_name", "lo", "hi", "tot_ref", "tot_cur", "n_distinct")
     r = vc.join(F.broadcast(sel), "column_name")
     span = F.col("hi") - F.col("lo")
     b = F.least(F.floor((F.col("num") - F.col("lo")) / span * JS_NUMERIC_BINS), F.lit(JS_NUMERIC_BINS - 1))
     b = F.when(span == 0, F.lit(JS_NUMERIC_BINS // 2)).otherwise(b)
-    key = F.when(F.col("kind") == "num", b.cast("string")).otherwise(F.col("cat"))
+    # few distinct values are categories, numeric or not; bins would join those that lie close together
+    key = F.when(F.col("kind") == "cat", F.col("cat")).when(
+        F.col("n_distinct") <= FEW_VALUES, F.col("num").cast("string")).otherwise(b.cast("string"))
     return r.groupBy("column_name", key.alias("key"), "tot_ref", "tot_cur").agg(
         F.sum("n_ref").alias("a"), F.sum("n_cur").alias("b"))
 

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.functions.joins import materialize_if_small, sized_broadcast
+from riskframe.functions.joins import broadcast_limit, measured
 from riskframe.operators.features import CATEGORICAL_COLUMNS, LABEL
 from riskframe.session import ensure_checkpoint_dir
 
@@ -76,12 +76,12 @@ def apply_target_encoder(df: DataFrame, encoder: DataFrame, cols: list[str] | No
         prior = encoder_prior(encoder).first()["prior"]  # one number
     prior_col = F.lit(float(prior)) if prior is not None else F.lit(None).cast("double")
     # one size check for the whole table: if it fits, every per-column slice does
-    small = materialize_if_small(encoder.where(F.col("feature").isin(*cols)))
+    stored, size = measured(encoder.where(F.col("feature").isin(*cols)))
+    small = size <= broadcast_limit(df)
     out = df
     for c in cols:
-        m = (small if small is not None else encoder).where(F.col("feature") == c).select(
-            F.col("value").alias(f"_v_{c}"), F.col("enc").alias(f"_e_{c}"))
-        m = F.broadcast(m) if small is not None else sized_broadcast(m)
+        m = stored.where(F.col("feature") == c).select(F.col("value").alias(f"_v_{c}"), F.col("enc").alias(f"_e_{c}"))
+        m = F.broadcast(m) if small else m
         out = out.join(m, out[c].cast("string") == F.col(f"_v_{c}"), "left")
         out = out.withColumn(c, F.coalesce(F.col(f"_e_{c}"), prior_col)).drop(f"_v_{c}", f"_e_{c}")
     return out

@@ -109,7 +109,7 @@ def drift_ctes(num_cols: list[str], cat_cols: list[str], ref: str, cur: str, sta
         "wd AS (SELECT column_name, sum(gap * (nxt - num)) / greatest(max(std_ref), 0.001) AS score FROM cdf "
         "WHERE test = 'wasserstein' GROUP BY 1), "
         "ks AS (SELECT column_name, max(gap) AS stat FROM cdf WHERE test = 'ks' GROUP BY 1), "
-        "jk AS (SELECT v.column_name, CASE WHEN v.kind = 'num' THEN CAST(CASE WHEN s.hi = s.lo THEN 15 ELSE "
+        "jk AS (SELECT v.column_name, CASE WHEN v.kind = 'num' AND s.n_distinct <= 5 THEN CAST(v.num AS VARCHAR) WHEN v.kind = 'num' THEN CAST(CASE WHEN s.hi = s.lo THEN 15 ELSE "
         "least(floor((v.num - s.lo) / (s.hi - s.lo) * 30), 29) END AS VARCHAR) ELSE v.cat END AS key, "
         "sum(v.n_ref) / max(s.tot_ref) AS p, sum(v.n_cur) / max(s.tot_cur) AS q FROM vc v JOIN summ s USING (column_name) "
         "WHERE s.test = 'jensenshannon' GROUP BY 1, 2), "

@@ -39,11 +39,3 @@ def raw_fixture(spark):
     ]
     from riskframe.sources.io import TX_SCHEMA
     return spark.createDataFrame(rows, TX_SCHEMA)
-
-
-@pytest.fixture()
-def force_range_split(spark):
-    """Make ``running_totals`` take its range-split path even on tiny inputs."""
-    spark.conf.set("riskframe.window.maxRows", "1")
-    yield
-    spark.conf.unset("riskframe.window.maxRows")

@@ -58,10 +58,11 @@ def test_entry_and_registry_contract(spark):
 def test_draws_without_broadcast_match(spark):
     tx = transactions(spark, SF_SMALL)
     a = sorted(tuple(r) for r in ag.synthesize(tx, 60, 0.5, as_of=F.lit("2024-01-01").cast("timestamp")).collect())
-    spark.conf.set("riskframe.broadcast.maxRows", "2")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         b = sorted(tuple(r) for r in ag.synthesize(tx, 60, 0.5, as_of=F.lit("2024-01-01").cast("timestamp")).collect())
     finally:
-        spark.conf.unset("riskframe.broadcast.maxRows")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
     assert a == b
     assert ag.draw_buckets(10) == 1024 and ag.draw_buckets(1_000_000) == 1 << 22

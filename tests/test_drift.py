@@ -40,7 +40,7 @@ def _wasserstein(u, v):
     return tot
 
 
-def test_wasserstein_normed_brute_force(spark, force_range_split):
+def test_wasserstein_normed_brute_force(spark):
     u = [float((i * 7) % 50) for i in range(1200)]
     v = [float((i * 11) % 60) + 0.5 for i in range(900)]
     ref = spark.createDataFrame([(x,) for x in u], "x double")
@@ -91,9 +91,25 @@ def test_histograms_and_monitor(spark):
     assert res["verdict"].first()["n_columns"] == 1
 
 
-def test_stattest_override_and_results_independent_of_partitions(spark, force_range_split):
+def test_stattest_override_and_results_independent_of_partitions(spark):
     a = spark.range(3000).select(((F.col("id") * 13) % 101).cast("double").alias("x"))
     b = spark.range(2500).select(((F.col("id") * 7) % 89).cast("double").alias("x"))
     s1 = _table(dr.drift_table(a.repartition(1), b.repartition(1), stattest="ks"))["x"]["drift_score"]
     s2 = _table(dr.drift_table(a.repartition(13), b.repartition(7), stattest="ks"))["x"]["drift_score"]
     assert s1 == s2
+
+
+def test_few_valued_numbers_are_compared_by_value(spark):
+    # 0 and 0.01 share any of 30 bins up to 100; the shift between them is strong
+    ref = spark.createDataFrame([(v,) for v in [0.0] * 900 + [0.01] * 100 + [100.0] * 200], "x double")
+    cur = spark.createDataFrame([(v,) for v in [0.0] * 100 + [0.01] * 900 + [100.0] * 200], "x double")
+    row = dr.drift_table(ref, cur).first()
+    assert row["stattest_name"] == "Jensen-Shannon distance" and row["drift_score"] > 0.3 and row["drift_detected"]
+
+
+def test_tails_at_large_sizes():
+    assert abs(stats.chi2_sf(1e9, 1e9) - 0.5) < 1e-4 and abs(stats.chi2_sf(1e8, 1e8) - 0.5) < 1e-4
+    # both sides of the limit law agree
+    assert abs(stats.chi2_sf(1.001e6, 0.999e6) - stats.chi2_sf(1.003001e6, 1.001e6)) < 2e-3
+    assert abs(stats.ks_exact_p(0.05, 1500, 1400) - stats.kolmogorov_sf((1500 * 1400 / 2900) ** 0.5 * 0.05)) < 0.01
+    assert stats.ks_exact_p(1.0, 3, 3) == 0.1 or abs(stats.ks_exact_p(1.0, 3, 3) - 0.1) < 1e-12

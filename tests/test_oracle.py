@@ -47,14 +47,6 @@ def test_query_matches_oracle(spark, con, name):
     assert digest(sdf.columns, srows)[0] == digest(rel.columns, drows)[0]
 
 
-RANGE_SPLIT = ["roc_auc", "amount_box", "drift_wasserstein", "drift_ks_stat", "weighted_draw", "validate_predictions"]
-
-
-@pytest.mark.parametrize("name", RANGE_SPLIT)
-def test_range_split_path_matches_oracle(spark, con, force_range_split, name):
-    test_query_matches_oracle(spark, con, name)
-
-
 @pytest.mark.parametrize("name", ["synthetic_like", "synthetic_random", "synthetic_mix", "drift_small_sample"])
 def test_rows_only_queries_plan_shape(spark, name):
     sdf = E.queries()[name](spark, SF_SMALL)

@@ -53,12 +53,13 @@ def test_large_encoder_tables_fall_back_to_shuffle_joins(spark):
     f = catalog.feats(spark, SF_SMALL)
     enc = en.fit_target_encoder(f)
     small = sorted(tuple(r) for r in en.apply_target_encoder(f, enc).select("trans_num", "merchant", "state").collect())
-    spark.conf.set("riskframe.broadcast.maxRows", "3")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         out = en.apply_target_encoder(f, enc)
         plan = _physical(out)
         big = sorted(tuple(r) for r in out.select("trans_num", "merchant", "state").collect())
     finally:
-        spark.conf.unset("riskframe.broadcast.maxRows")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
     assert "SortMergeJoin" in plan or "ShuffledHashJoin" in plan
     assert small == big

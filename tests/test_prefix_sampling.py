@@ -14,15 +14,15 @@ def _naive_running(pdf, group, order, col):
     return pdf
 
 
-def test_running_totals_matches_naive_window(spark, force_range_split):
+def test_running_totals_matches_naive_window(spark):
     rnd = random.Random(7)
     rows = []
     for g in range(3):
         vals = sorted({round(rnd.uniform(-50, 50), 3) for _ in range(400 * (g + 1))})
         rows += [(g, v, rnd.randint(1, 9)) for v in vals]
     df = spark.createDataFrame(rows, "g int, v double, c long").repartition(5)
-    for bits in (1, 3, 8):
-        got = running_totals(df, ["g"], "v", ["c"], bucket_bits=bits, next_col="nxt").toPandas()
+    for parts in (1, 3, 40):
+        got = running_totals(df, ["g"], "v", ["c"], partitions=parts, next_col="nxt").toPandas()
         exp = _naive_running(pd.DataFrame(rows, columns=["g", "v", "c"]), "g", "v", "c")
         m = got.merge(exp, on=["g", "v"])
         assert len(m) == len(rows)
@@ -30,22 +30,29 @@ def test_running_totals_matches_naive_window(spark, force_range_split):
         assert ((m["nxt_x"] == m["nxt_y"]) | (m["nxt_x"].isna() & m["nxt_y"].isna())).all()
 
 
-def test_running_totals_small_path_equals_split_path(spark):
-    df = spark.range(3000).select((F.col("id") % 3).alias("g"), (F.col("id") * 7 % 1000).cast("double").alias("v"),
-                                  F.lit(1).alias("c")).dropDuplicates(["g", "v"])
-    a = running_totals(df, ["g"], "v", ["c"], next_col="n").orderBy("g", "v").collect()
-    spark.conf.set("riskframe.window.maxRows", "1")
-    try:
-        b = running_totals(df, ["g"], "v", ["c"], next_col="n").orderBy("g", "v").collect()
-    finally:
-        spark.conf.unset("riskframe.window.maxRows")
-    assert [tuple(r) for r in a] == [tuple(r) for r in b]
+def test_text_with_a_common_prefix_spreads_over_ranges(spark):
+    from riskframe.functions.ordered import PART, range_split
+    df = spark.range(2000).select(F.lit("g").alias("g"), F.format_string("merchant_%05d", "id").alias("v"), F.lit(1).alias("c"))
+    sizes = [r["count"] for r in range_split(df, ["g", "v"], 8).groupBy(PART).count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 500
+    got = running_totals(df, ["g"], "v", ["c"], partitions=8, next_col="n").orderBy("v").collect()
+    assert [r["cum_c"] for r in got] == list(range(1, 2001))
+    assert [r["n"] for r in got] == [f"merchant_{i:05d}" for i in range(1, 2000)] + [None]
+
+
+def test_running_totals_of_nothing_and_of_nulls(spark):
+    empty = spark.createDataFrame([], "g int, v double, c long")
+    assert running_totals(empty, ["g"], "v", ["c"], next_col="n").collect() == []
+    rows = [(None, None, 1), (None, 2.0, 2), (1, None, 4), (1, 3.0, 8)]
+    got = running_totals(spark.createDataFrame(rows, "g int, v double, c long"), ["g"], "v", ["c"], next_col="n").collect()
+    assert sorted((r["cum_c"], r["n"]) for r in got if r["v"] is not None) == [(3, None), (12, None)]
+    assert sorted((r["cum_c"], r["n"]) for r in got if r["v"] is None) == [(1, 2.0), (4, 3.0)]
 
 
-def test_running_totals_text_order_and_no_group(spark, force_range_split):
+def test_running_totals_text_order_and_no_group(spark):
     words = sorted({"".join(random.Random(i).choices("abcxyz", k=5)) for i in range(300)})
     df = spark.createDataFrame([(w, 1) for w in words], "w string, c long")
-    got = running_totals(df, [], "w", ["c"], bucket_bits=4).orderBy("w").collect()
+    got = running_totals(df, [], "w", ["c"], partitions=16).orderBy("w").collect()
     assert [r["cum_c"] for r in got] == list(range(1, len(words) + 1))
 
 

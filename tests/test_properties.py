@@ -14,14 +14,10 @@ SETTINGS = settings(max_examples=6, deadline=None, suppress_health_check=list(He
 
 @SETTINGS
 @given(rows=st.lists(st.tuples(st.integers(0, 3), st.integers(-1000, 1000), st.integers(1, 5)), min_size=1, max_size=300),
-       bits=st.integers(1, 6))
-def test_running_totals_equal_naive(spark, rows, bits):
+       parts=st.integers(1, 20))
+def test_running_totals_equal_naive(spark, rows, parts):
     pdf = pd.DataFrame(rows, columns=["g", "v", "c"]).drop_duplicates(["g", "v"])
-    spark.conf.set("riskframe.window.maxRows", "1")
-    try:
-        got = running_totals(spark.createDataFrame(pdf), ["g"], "v", ["c"], bucket_bits=bits).toPandas()
-    finally:
-        spark.conf.unset("riskframe.window.maxRows")
+    got = running_totals(spark.createDataFrame(pdf), ["g"], "v", ["c"], partitions=parts).toPandas()
     exp = pdf.sort_values(["g", "v"]).assign(exp=lambda d: d.groupby("g")["c"].cumsum())
     m = got.merge(exp, on=["g", "v"])
     assert len(m) == len(pdf) and (m["cum_c"] == m["exp"]).all()
