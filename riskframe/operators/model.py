@@ -11,8 +11,10 @@ from __future__ import annotations
 
 import json
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressionModel, DecisionTreeRegressor
@@ -33,6 +35,7 @@ SEED = 42
 FINE_TUNE_DEPTH = 4
 FINE_TUNE_WEIGHT = 15.0
 CHECKPOINT_EVERY = 5
+AUC_BINS = 10_000  # thresholds of the AUC that decides when to stop
 
 
 def fit_gbt(train: DataFrame, features: list[str] | None = None, label: str = LABEL, preset: str = "test",
@@ -90,24 +93,29 @@ def fit_summary(summary: DataFrame, params: dict, baseline_auc: float = BASELINE
 
 
 # ---------------------------------------------------------------- continuation
+class IncompatibleModel(ValueError):
+    """A stored model that can't be continued on the given columns."""
+
+
 class BoostedContinuation:
     """A saved base model plus extra regression trees on the log-loss margin.
 
     Spark's GBT margin ``F`` gives ``p = 1 / (1 + exp(-2F))``; each extra
     round fits a tree to the negative gradient ``4y / (1 + exp(2yF))``
-    (``y`` in {-1, +1}) and adds ``lr * tree(x)``.
+    (``y`` in {-1, +1}) and adds ``rate * tree(x)``.  A continuation of a
+    continuation is one list of trees, each with its own rate.
     """
 
-    def __init__(self, base: PipelineModel, trees: list, lr: float):
-        self.base, self.trees, self.lr = base, list(trees), float(lr)
+    def __init__(self, base: PipelineModel, trees: list, rates: list[float], base_path: str | None = None):
+        self.base, self.trees, self.rates, self.base_path = base, list(trees), [float(r) for r in rates], base_path
 
     def margin(self, df: DataFrame) -> DataFrame:
         out = self.base.transform(df).withColumn("_margin", vector_to_array("rawPrediction")[1])
         out = out.drop("probability", "prediction", "rawPrediction")
-        for i, t in enumerate(self.trees):
+        for i, (t, rate) in enumerate(zip(self.trees, self.rates)):
             t = t.copy()
             t.setPredictionCol(f"_t{i}")
-            out = t.transform(out).withColumn("_margin", F.col("_margin") + F.lit(self.lr) * F.col(f"_t{i}")).drop(f"_t{i}")
+            out = t.transform(out).withColumn("_margin", F.col("_margin") + F.lit(rate) * F.col(f"_t{i}")).drop(f"_t{i}")
         return out
 
     def transform(self, df: DataFrame) -> DataFrame:
@@ -118,9 +126,10 @@ class BoostedContinuation:
                 .withColumn("rawPrediction", F.array(-F.col("_margin"), F.col("_margin"))))
 
     def save(self, path: str, base_path: str) -> None:
+        """``base_path``: where the base ``PipelineModel`` is (that of the first model of a chain)."""
         for i, t in enumerate(self.trees):
             t.write().overwrite().save(f"{path}/trees/{i}")
-        meta = {"base_path": base_path, "lr": self.lr, "n_trees": len(self.trees)}
+        meta = {"base_path": self.base_path or base_path, "rates": self.rates}
         s = SparkSession.getActiveSession()
         s.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1).write.mode("overwrite").text(f"{path}/meta")
 
@@ -128,31 +137,32 @@ class BoostedContinuation:
     def load(path: str) -> "BoostedContinuation":
         s = SparkSession.getActiveSession()
         meta = json.loads(s.read.text(f"{path}/meta").first()[0])
-        trees = [DecisionTreeRegressionModel.load(f"{path}/trees/{i}") for i in range(meta["n_trees"])]
-        return BoostedContinuation(PipelineModel.load(meta["base_path"]), trees, meta["lr"])
+        trees = [DecisionTreeRegressionModel.load(f"{path}/trees/{i}") for i in range(len(meta["rates"]))]
+        return BoostedContinuation(PipelineModel.load(meta["base_path"]), trees, meta["rates"], meta["base_path"])
 
 
-def _logloss(df: DataFrame, label: str) -> float:
-    p = F.lit(1.0) / (F.lit(1.0) + F.exp(F.lit(-2.0) * F.col("_margin")))
-    p = F.least(F.greatest(p, F.lit(1e-15)), F.lit(1 - 1e-15))
-    y = F.col(label).cast("double")
-    return df.select(F.avg(-(y * F.log(p) + (1 - y) * F.log(1 - p)))).first()[0]
+def _auc(df: DataFrame, label: str) -> float:
+    return BinaryClassificationEvaluator(rawPredictionCol="_margin", labelCol=label, numBins=AUC_BINS).evaluate(df)
 
 
-def fine_tune(base: PipelineModel, train: DataFrame, validation: DataFrame, label: str = LABEL,
+def fine_tune(base, train: DataFrame, validation: DataFrame, label: str = LABEL,
               learning_rate: float = 0.01, epochs: int = 10, depth: int = FINE_TUNE_DEPTH,
               weight: float = FINE_TUNE_WEIGHT, patience: int | None = None,
               min_instances: int = 1) -> tuple[BoostedContinuation, dict]:
-    """Continue boosting ``base`` for up to ``epochs`` rounds; stop after
-    ``patience`` (default ``max(2, epochs // 3)``) rounds without a lower
-    validation log-loss and keep the best prefix of rounds."""
+    """Continue boosting ``base`` (a ``PipelineModel`` or a continuation) for up to
+    ``epochs`` rounds; stop after ``patience`` (default ``max(2, epochs // 3)``)
+    rounds without a higher validation AUC and keep the best prefix of rounds."""
     spark = train.sparkSession
     ensure_checkpoint_dir(spark)
     patience = patience if patience is not None else max(2, epochs // 3)
-    cont = BoostedContinuation(base, [], learning_rate)
+    earlier = base if isinstance(base, BoostedContinuation) else BoostedContinuation(base, [], [])
+    missing = [c for c in earlier.base.stages[0].getInputCols() if c not in train.columns]
+    if missing:
+        raise IncompatibleModel(f"the model's features {missing} are not in the data")
+    cont = BoostedContinuation(earlier.base, earlier.trees, earlier.rates, earlier.base_path)
     d = class_weight(cont.margin(train), weight, label).checkpoint(eager=True)
     v = cont.margin(validation).checkpoint(eager=True)
-    best, best_n, since = _logloss(v, label), 0, 0
+    best, best_n, since = _auc(v, label), 0, 0
     history = [best]
     y = F.lit(2.0) * F.col(label).cast("double") - F.lit(1.0)
     for r in range(epochs):
@@ -161,21 +171,23 @@ def fine_tune(base: PipelineModel, train: DataFrame, validation: DataFrame, labe
                                      maxDepth=depth, minInstancesPerNode=min_instances, seed=SEED,
                                      predictionCol="_t").fit(d)
         cont.trees.append(tree)
+        cont.rates.append(float(learning_rate))
         d = tree.transform(d).withColumn("_margin", F.col("_margin") + F.lit(learning_rate) * F.col("_t")).drop("_t", "_resid")
         v = tree.transform(v).withColumn("_margin", F.col("_margin") + F.lit(learning_rate) * F.col("_t")).drop("_t")
         if (r + 1) % CHECKPOINT_EVERY == 0:
             d, v = d.checkpoint(eager=True), v.checkpoint(eager=True)
-        loss = _logloss(v, label)
-        history.append(loss)
-        if loss < best:
-            best, best_n, since = loss, r + 1, 0
+        auc = _auc(v, label)
+        history.append(auc)
+        if auc > best:
+            best, best_n, since = auc, r + 1, 0
         else:
             since += 1
             if since >= patience:
                 break
-    cont.trees = cont.trees[:best_n]
-    return cont, {"rounds_run": len(history) - 1, "rounds_kept": best_n, "best_val_logloss": best,
-                  "val_logloss_history": history}
+    kept = len(earlier.trees) + best_n
+    cont.trees, cont.rates = cont.trees[:kept], cont.rates[:kept]
+    return cont, {"rounds_run": len(history) - 1, "rounds_kept": best_n, "best_val_auc": best,
+                  "val_auc_history": history}
 
 
 def retrain_fallback(train: DataFrame, validation: DataFrame, features: list[str] | None = None,
@@ -193,10 +205,11 @@ def save_model(model, path: str) -> str:
 
 
 def load_model(path: str):
-    """A saved ``PipelineModel`` or ``BoostedContinuation``."""
-    s = SparkSession.getActiveSession()
+    """A saved ``PipelineModel`` or ``BoostedContinuation`` (which has a ``meta`` folder)."""
     try:
-        s.read.text(f"{path}/meta").first()
-        return BoostedContinuation.load(path)
-    except Exception:  # noqa: BLE001 - not a continuation folder
+        SparkSession.getActiveSession().read.text(f"{path}/meta")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return PipelineModel.load(path)
+    return BoostedContinuation.load(path)

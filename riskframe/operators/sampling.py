@@ -8,8 +8,9 @@ negative class holds ~99.6 % of rows); instead:
 1. the top 20 bits of the hash put every row in one of 2**20 ordered buckets;
 2. ``count`` per (stratum, bucket) and a window over those small counts find,
    per stratum, the bucket holding the quota-th row (the boundary);
-3. rows below the boundary are in, above it out; only the boundary bucket
-   (~n / 2**20 rows) is ranked exactly.
+3. the boundary bucket (~n / 2**20 rows) is ranked to find the stratum's last
+   selected (hash, key); the result is one comparison with it per row, without
+   a join, union or window over the input.
 
 Exact quotas, no driver collection of rows, no dependence on partitioning.
 """
@@ -43,13 +44,9 @@ def approximate_mode(counts: dict, n_draws: int) -> dict:
     return alloc
 
 
-def class_counts_small(df: DataFrame, label: str, max_classes: int = 10_000) -> dict:
-    """Class -> count, collected only after checking the class count is bounded."""
-    agg = df.groupBy(label).count()
-    rows = agg.limit(max_classes + 1).collect()
-    if len(rows) > max_classes:
-        raise ValueError(f"more than {max_classes} classes in {label}")
-    return {r[label]: r["count"] for r in rows}
+def class_sizes(df: DataFrame, label: str) -> dict:
+    """Class -> count (one row per class reaches the driver)."""
+    return {r[label]: r["count"] for r in df.groupBy(label).count().collect()}
 
 
 def check_classes(counts: dict, min_per_class: int = 2) -> None:
@@ -66,7 +63,7 @@ def with_row_key(df: DataFrame, name: str = "_rowid") -> DataFrame:
 
 
 def mark_by_hash_rank(df: DataFrame, key, seed: int, quota, by: str | None = None,
-                      flag: str = "_selected", max_strata: int = 10_000) -> DataFrame:
+                      flag: str = "_selected") -> DataFrame:
     """Add boolean ``flag``: rank of (md5(key-seed), key) within ``by`` < quota.
 
     ``quota`` is an int (no strata), a dict stratum -> int, or a callable
@@ -91,41 +88,37 @@ def mark_by_hash_rank(df: DataFrame, key, seed: int, quota, by: str | None = Non
     # at most strata x 2**20 rows, whatever the input size
     cnt = d.groupBy(g, "_hb").count().checkpoint(eager=True)
     if callable(quota):
-        sizes = cnt.groupBy(g).agg(F.sum("count").alias("n")).limit(max_strata + 1).collect()
-        if len(sizes) > max_strata:
-            raise ValueError(f"more than {max_strata} strata in {g}")
-        quotas = quota({r[g]: r["n"] for r in sizes})
+        quotas = quota({r[g]: r["n"] for r in cnt.groupBy(g).agg(F.sum("count").alias("n")).collect()})  # one row per stratum
     else:
         quotas = quota if isinstance(quota, dict) else {0: int(quota)}
     gtype = dict(d.dtypes)[g]
     qdf = spark.createDataFrame([(k, int(v)) for k, v in quotas.items()], f"{g} {gtype}, _quota long")
     w = Window.partitionBy(g).orderBy("_hb").rowsBetween(Window.unboundedPreceding, 0)
     cum = cnt.withColumn("_cum", F.sum("count").over(w)).join(F.broadcast(qdf), g)
-    bound = (cum.where(F.col("_cum") >= F.col("_quota"))
+    bound = (cum.where((F.col("_cum") >= F.col("_quota")) & (F.col("_quota") > 0))
              .groupBy(g).agg(F.min_by(F.struct(F.col("_hb").alias("b"),
                                                (F.col("_quota") - F.col("_cum") + F.col("count")).alias("need")),
                                       "_hb").alias("_bd"))
-             .select(g, F.col("_bd.b").alias("_bound"), F.col("_bd.need").alias("_need")))
-    # strata with quota 0 select nothing; strata whose quota exceeds their size select all
-    info = qdf.join(bound, g, "left").select(
-        g, F.when(F.col("_quota") <= 0, F.lit(-1)).otherwise(F.col("_bound")).alias("_bound"),
-        F.when(F.col("_quota") <= 0, F.lit(0)).otherwise(F.col("_need")).alias("_need"),
-        F.lit(True).alias("_known"))
-    # one row per stratum, and the strata are bounded (checked above / given by the caller)
-    info = info.checkpoint(eager=True)
+             .select(g, F.col("_bd.b").alias("_hb"), F.col("_bd.need").alias("_need")))
+    # the last selected row of each stratum: only the rows of its boundary bucket are ranked
+    last = F.struct("_h", *order_keys)
+    ranked = Window.partitionBy(g, "_hb").orderBy("_h", *order_keys)
+    cut = (d.join(F.broadcast(bound.checkpoint(eager=True)), [g, "_hb"]).withColumn("_rn", F.row_number().over(ranked))
+           .where(F.col("_rn") == F.col("_need")).select(g, last.alias("_cut")))
+    # one row per stratum: nothing selected for quota 0, all rows where there is no boundary
+    info = qdf.join(F.broadcast(cut), g, "left").select(g, (F.col("_quota") > 0).alias("_some"), "_cut").checkpoint(eager=True)
     if by:
-        j = d.join(F.broadcast(info), g, "left").withColumn("_known", F.coalesce(F.col("_known"), F.lit(False)))
+        j = d.join(F.broadcast(info), g, "left")
+        chosen = F.col("_some") & (F.col("_cut").isNull() | (last <= F.col("_cut")))
     else:
-        # a single stratum: its boundary is two numbers, used as literals (no join at all)
-        row = info.first()
-        j = d.withColumns({"_bound": F.lit(row["_bound"]).cast("int"), "_need": F.lit(row["_need"]).cast("long"),
-                           "_known": F.lit(True)})
-    inner = j.where(F.col("_bound").isNull() | (F.col("_hb") != F.col("_bound"))).withColumn(
-        flag, F.col("_known") & (F.col("_bound").isNull() | (F.col("_hb") < F.col("_bound"))))
-    edge = j.where(F.col("_hb") == F.col("_bound"))
-    wr = Window.partitionBy(g, "_hb").orderBy("_h", *order_keys)
-    edge = edge.withColumn(flag, F.row_number().over(wr) <= F.col("_need"))
-    out = inner.unionByName(edge).drop("_h", "_hb", "_bound", "_need", "_known", "_rowid")
+        # a single stratum: its boundary is one row, used as a literal (no join at all)
+        j, row = d, info.first()
+        types = dict(d.dtypes)
+        chosen = F.lit(bool(row["_some"]))
+        if row["_cut"] is not None:
+            limit = F.struct(*[F.lit(v).cast(types[c]).alias(c) for c, v in row["_cut"].asDict().items()])
+            chosen = chosen & (last <= limit)
+    out = j.withColumn(flag, F.coalesce(chosen, F.lit(False))).drop("_h", "_hb", "_some", "_cut", "_rowid")
     return out if by else out.drop(g)
 
 
@@ -181,7 +174,7 @@ def rare_class_sample(df: DataFrame, key, label: str = "is_fraud", fraction: flo
                       rare_max: int = 5, seed: int = 42) -> DataFrame:
     """Fine-tune subset: if positives <= ``rare_max`` keep all of them plus
     sampled negatives up to ``int(fraction * n)``; else ``stratified_subset``."""
-    counts = class_counts_small(df, label)
+    counts = class_sizes(df, label)
     npos = counts.get(1, 0)
     if npos < 2:
         raise ValueError("Not enough positive examples (need at least 2).")

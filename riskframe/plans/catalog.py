@@ -457,8 +457,7 @@ def q_validate_predictions(spark, sf_dir):
 
 def _encoded_splits(spark, sf_dir):
     sp = _split_feats(spark, sf_dir).checkpoint(eager=True)
-    enc = en.fit_target_encoder(sp.where("split = 'train'"))
-    out = en.apply_target_encoder(sp, enc).checkpoint(eager=True)
+    out = en.apply_target_encoder(sp, en.fit_target_encoder(sp.where("split = 'train'"))).checkpoint(eager=True)
     return out.where("split = 'train'").drop("split"), out.where("split = 'test'").drop("split")
 
 
@@ -481,13 +480,16 @@ def q_batch_score(spark, sf_dir):
 
 @register("fine_tune")
 def q_fine_tune(spark, sf_dir):
-    """Continue a fitted model for a few rounds on the stratified 95 % subset; summary row."""
+    """Continue a fitted model for up to 10 rounds on the stratified 95 % subset; summary row."""
     train, test = _encoded_splits(spark, sf_dir)
     base = mo.fit_gbt(train, fe.FEATURE_COLUMNS, preset="test")
     subset = sm.rare_class_sample(train, "trans_num").checkpoint(eager=True)
-    cont, info = mo.fine_tune(base, subset, test, learning_rate=0.1, epochs=3)
+    cut = sm.stratified_split(subset, "trans_num", "is_fraud", 0.1, seed=7, split_col="_part").checkpoint(eager=True)
+    fit, validation = (cut.where(F.col("_part") == s).drop("_part") for s in ("train", "test"))
+    cont, info = mo.fine_tune(base, fit, validation, learning_rate=0.01, epochs=10)
     _, summary = mo.evaluate_scored(mo.score(cont, test))
-    return mo.fit_summary(summary, {"learning_rate": 0.1, "epochs": 3, "rounds_kept": info["rounds_kept"]}).drop("params")
+    return mo.fit_summary(summary, {}).drop("params").withColumns(
+        {"rounds_run": F.lit(info["rounds_run"]), "rounds_kept": F.lit(info["rounds_kept"])})
 
 
 # ---------------------------------------------------------------- augmentation
@@ -680,9 +682,9 @@ def q_encode_stream(spark, sf_dir):
 @register("score_stream")
 def q_score_stream(spark, sf_dir):
     """Model fitted on the encoded train split scores the encoded transaction stream."""
-    train, _ = _encoded_splits(spark, sf_dir)
-    model = mo.fit_gbt(train, fe.FEATURE_COLUMNS, preset="test")
-    enc = en.fit_target_encoder(feats(spark, sf_dir))
+    raw = _split_feats(spark, sf_dir).where("split = 'train'").drop("split").checkpoint(eager=True)
+    enc = en.fit_target_encoder(raw)  # the stream is encoded as the training rows were
+    model = mo.fit_gbt(en.apply_target_encoder(raw, enc), fe.FEATURE_COLUMNS, preset="test")
     root = _scratch(spark, "score")
     scored = st.score_stream(st.encode_stream(st.features_stream(spark, sf_dir), enc), model)
     st.run_available_now(scored.select("trans_num", "is_fraud", "is_fraud_pred", "fraud_score"),

@@ -90,8 +90,8 @@ def run_training(spark: SparkSession, base: str, version: str | None = None, pre
     report, summary = mo.evaluate_scored(scored)
     metrics = summary.first().asDict()
     mv = io.new_version()
-    path = io.register_model(spark, base, model_name, mv)
-    mo.save_model(model, path)
+    path = mo.save_model(model, io.model_path(base, model_name, mv))
+    io.register_model(spark, base, model_name, mv)
     params = dict(mo.PRESETS[preset], **(overrides or {}), preset=preset)
     metrics["training_time"] = time.time() - t0
     io.log_run(spark, base, "train", params, metrics)
@@ -134,20 +134,24 @@ def run_fine_tuning(spark: SparkSession, base: str, version: str | None = None,
     subset = sm.rare_class_sample(train, KEY, LABEL).checkpoint(eager=True)
     base_path = io.resolve_model(spark, base, model_name, model_version)
     mode = "continue"
+    # the rounds are chosen on a slice of the subset; the test split is only scored
+    cut = sm.stratified_split(subset, KEY, LABEL, 0.1, seed=7, split_col="_part").checkpoint(eager=True)
+    fit, validation = (cut.where(F.col("_part") == s).drop("_part") for s in ("train", "test"))
+    base_model = mo.load_model(base_path)
     try:
-        base_model = mo.load_model(base_path)
-        model, info = mo.fine_tune(base_model, subset, test, LABEL, learning_rate, epochs)
-    except Exception as e:  # noqa: BLE001 - the reference keeps going with a retrain
-        mode, info = "fallback", {"error": str(e)[:200]}
-        model = mo.retrain_fallback(subset, test, FEATURE_COLUMNS, LABEL, learning_rate, epochs)
+        model, info = mo.fine_tune(base_model, fit, validation, LABEL, learning_rate, epochs)
+    except mo.IncompatibleModel as e:
+        mode, info = "fallback", {"error": str(e)}
+        model = mo.retrain_fallback(fit, validation, FEATURE_COLUMNS, LABEL, learning_rate, epochs)
     report, summary = mo.evaluate_scored(mo.score(model, test))
     metrics = summary.first().asDict()
     mv = io.new_version()
-    path = io.register_model(spark, base, new_name, mv)
+    path = io.model_path(base, new_name, mv)
     if mode == "continue":
         model.save(path, base_path)
     else:
         mo.save_model(model, path)
+    io.register_model(spark, base, new_name, mv)
     metrics["training_time"] = time.time() - t0
     io.log_run(spark, base, "fine_tune", {"mode": mode, "learning_rate": learning_rate, "epochs": epochs}, metrics)
     return {"model_path": path, "mode": mode, "metrics": metrics, "info": info, "report": report}

@@ -30,9 +30,18 @@ def read_stream(spark: SparkSession, folder: str, schema, fmt: str = "parquet",
     return r.load(folder)
 
 
+def is_folder(spark: SparkSession, path: str) -> bool:
+    """Asks the path's own Hadoop file system."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(p).isDirectory()
+
+
 def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One driver table read as a stream (new files in the folder are picked up)."""
-    schema = spark.read.parquet(table_path(sf_dir, name)).schema
+    path = table_path(sf_dir, name)
+    schema = spark.read.parquet(path).schema
+    if is_folder(spark, path):  # a table of part files
+        return read_stream(spark, path, schema, name_glob="*.parquet")
     return read_stream(spark, sf_dir, schema, name_glob=f"{name}.parquet")
 
 
@@ -76,10 +85,11 @@ def run_available_now(df: DataFrame, sink: str, checkpoint: str, fmt: str = "par
 
 
 def run_updates_available_now(df: DataFrame, sink: str, checkpoint: str) -> str:
-    """Update-mode aggregate: each micro-batch appends its changed rows with
-    the batch id to a parquet change log (``latest_state`` folds it)."""
+    """Update-mode aggregate: each micro-batch writes its changed rows to its own partition
+    (``_batch=id``) of a parquet change log, so a replayed batch replaces what it wrote before
+    (``latest_state`` folds the log)."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("_batch", F.lit(batch_id)).write.mode("append").parquet(sink)
+        batch.write.mode("overwrite").parquet(f"{sink}/_batch={batch_id}")
     q = (df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
          .outputMode("update").trigger(availableNow=True).start())
     q.awaitTermination()

@@ -91,8 +91,26 @@ def test_fine_tune_zero_rounds_equals_base(spark):
     b = {r["trans_num"]: r["fraud_score"] for r in mo.score(cont, f).collect()}
     assert info["rounds_kept"] == 0 and max(abs(a[k] - b[k]) for k in a) < 1e-9
     cont2, info2 = mo.fine_tune(base, f, f, learning_rate=0.1, epochs=3, patience=3)
-    h = info2["val_logloss_history"]
-    assert info2["best_val_logloss"] <= h[0]
+    assert info2["best_val_auc"] == max(info2["val_auc_history"]) and info2["rounds_kept"] == info2["val_auc_history"].index(info2["best_val_auc"])
+
+
+def test_a_continuation_can_be_continued(spark, scratch):
+    from riskframe.operators.features import build_features
+    f = build_features(transactions(spark, SF_SMALL)).drop("merchant", "category", "gender", "state", "job").checkpoint()
+    base = mo.fit_gbt(f, ["amt", "age", "hour"], preset="test", overrides={"maxIter": 2, "maxDepth": 2})
+    mo.save_model(base, f"{scratch}/base")
+    first, info1 = mo.fine_tune(base, f, f, learning_rate=0.2, epochs=4)
+    assert info1["rounds_kept"] > 0
+    first.save(f"{scratch}/first", f"{scratch}/base")
+    second, info2 = mo.fine_tune(mo.load_model(f"{scratch}/first"), f, f, learning_rate=0.1, epochs=4)
+    assert second.rates == [0.2] * info1["rounds_kept"] + [0.1] * info2["rounds_kept"]
+    second.save(f"{scratch}/second", f"{scratch}/first")
+    again = mo.load_model(f"{scratch}/second")
+    a, b = ({r["trans_num"]: r["fraud_score"] for r in mo.score(m, f).collect()} for m in (second, again))
+    assert a == b and again.base_path == f"{scratch}/base"
+    assert info2["best_val_auc"] >= info1["best_val_auc"] - 1e-9
+    with pytest.raises(mo.IncompatibleModel):
+        mo.fine_tune(again, f.drop("amt"), f.drop("amt"), epochs=1)
 
 
 def test_missing_path_raises(spark, scratch):

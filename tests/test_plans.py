@@ -32,12 +32,11 @@ def test_top_k_preview_limits_before_the_shuffle(spark):
     assert "WindowGroupLimit" in plan
 
 
-def test_split_shuffles_only_boundary_rows(spark):
-    f = catalog.feats(spark, SF_SMALL).checkpoint(eager=True)
-    plan = _physical(sm.stratified_split(f, "trans_num"))
-    # the only exchange feeds the boundary-bucket window, after the join on the boundary key
-    assert plan.count("Exchange hashpartitioning") == 1
-    assert "_bound" in plan and "Window" in plan
+def test_split_and_sample_read_the_input_once_and_shuffle_nothing(spark):
+    f = catalog.feats(spark, SF_SMALL)
+    for plan in (_physical(sm.stratified_split(f, "trans_num")), _physical(sm.sample_n(f, 100, "trans_num"))):
+        assert "Exchange hashpartitioning" not in plan and "Window" not in plan and "Union" not in plan
+        assert plan.count("orders.parquet") == 1
 
 
 def test_encoder_joins_are_broadcast(spark):
