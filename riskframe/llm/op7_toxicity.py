@@ -38,9 +38,11 @@ BUCKETS = 1 << 20
 DIM = 8
 GRAMS = (3, 4, 5, 6)
 BAG = 16
-MAX_TOXIC, MAX_OTHER = 3000, 6000
+MAX_TOXIC, MAX_OTHER = 2000, 6000
 FOLDS = 5  # rows with crc32(doc_id as text) mod FOLDS = 0 are held out
-EPOCHS, RANDOM_EPOCHS, BATCH, RATE = 16, 3, 256, 0.15
+EPOCHS, STEPS, BATCH, RATE = 12, 384, 256, 0.15  # so many rounds, and batches, at least
+RANDOM = 0.25  # of the rounds take random bags
+AT_ONCE = 1 << 18  # words whose bags are looked at together
 FIXED = 1 << 24  # word scores are summed as whole multiples of 1 / FIXED, so sums don't depend on their order
 _WORD = np.ones(128, bool)
 _WORD[:] = [chr(c).isalnum() for c in range(128)]
@@ -82,12 +84,12 @@ class Bags:
             new.append(part.hashes[part.new])
             known = np.union1d(known, new[-1])
         out = cls.__new__(cls)
-        order = np.argsort(np.concatenate(new))
-        size, buckets = np.concatenate(sizes), np.concatenate(buckets)
-        out.hashes, out.first = known, np.concatenate([[0], np.cumsum(np.concatenate(rows))])
-        out.word = np.searchsorted(known, np.concatenate(parts)).astype(np.int32)
-        out.buckets = buckets[W.places((np.cumsum(size) - size)[order], size[order])[0]]
-        out.bounds = np.concatenate([[0], np.cumsum(size[order])])
+        out.hashes = np.concatenate(new)  # words are numbered as they were met
+        order = np.argsort(out.hashes)
+        out.first = np.concatenate([[0], np.cumsum(np.concatenate(rows))])
+        out.word = np.concatenate([order[np.searchsorted(known, p)].astype(np.int32) for p in parts])
+        out.buckets = np.concatenate(buckets)
+        out.bounds = np.concatenate([[0], np.cumsum(np.concatenate(sizes))])
         return out
 
 
@@ -126,8 +128,13 @@ def _subwords(codes: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tup
 
 def row_worst(scores: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """By row: (largest mean of BAG neighbouring scores, first word and end of that bag); 0 for rows without words."""
-    total = np.concatenate([[0], np.cumsum(scores)])
     n = np.diff(first)
+    if len(scores) > AT_ONCE and len(n) > 1:  # in runs of rows, to keep the working arrays small
+        cut = max(1, min(len(n) - 1, int(np.searchsorted(first, len(scores) // 2))))
+        parts = [row_worst(scores[first[a]:first[b]], first[a:b + 1] - first[a]) for a, b in ((0, cut), (cut, len(n)))]
+        (x, at, end), (y, at_2, end_2) = parts
+        return np.concatenate([x, y]), np.concatenate([at, at_2 + first[cut]]), np.concatenate([end, end_2 + first[cut]])
+    total = np.concatenate([[0], np.cumsum(scores)])
     width = np.minimum(n, BAG)
     bags = np.where(n > 0, n - width + 1, 0)
     rows = np.repeat(np.arange(len(n)), bags)
@@ -153,8 +160,12 @@ class Model:
         """Score of each distinct word, as whole multiples of 1 / FIXED."""
         if len(bags.bounds) < 2:
             return np.zeros(0, np.int64)
-        sums = np.add.reduceat(self.buckets[bags.buckets], bags.bounds[:-1], dtype=np.float64)
-        return np.rint(sums / np.diff(bags.bounds) * FIXED).astype(np.int64)
+        parts = []
+        for low in range(0, len(bags.bounds) - 1, AT_ONCE // 16):
+            bounds = bags.bounds[low:low + AT_ONCE // 16 + 1]
+            sums = np.add.reduceat(self.buckets[bags.buckets[bounds[0]:bounds[-1]]], bounds[:-1] - bounds[0], dtype=np.float64)
+            parts.append(np.rint(sums / np.diff(bounds) * FIXED).astype(np.int64))
+        return np.concatenate(parts)
 
     def scores(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         bags = Bags(data, offsets)
@@ -162,6 +173,10 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(worst / FIXED + self.bias, -60, 60)))
 
 
+def _sums(group: np.ndarray, rows: np.ndarray, groups: int) -> np.ndarray:
+    return np.stack([np.bincount(group, column, groups) for column in rows.T], 1).astype(np.float32)
+
+
 def train(texts: list[str], toxic: np.ndarray, seed: int = 11) -> Model:
     """Fit embeddings and softmax jointly by Adagrad on bags of the texts."""
     toxic = np.asarray(toxic).astype(int)
@@ -180,13 +195,15 @@ def train(texts: list[str], toxic: np.ndarray, seed: int = 11) -> Model:
     def now() -> Model:
         return Model(vectors @ (softmax[:, 1] - softmax[:, 0]), float(bias[1] - bias[0]))
 
-    for epoch in range(EPOCHS):
+    batches = -(-len(rows) // BATCH)
+    epochs = max(EPOCHS, -(-STEPS // max(1, batches)))
+    for epoch in range(epochs if len(rows) else 0):
         width = np.minimum(n, BAG)
-        if epoch < RANDOM_EPOCHS:
+        if epoch < RANDOM * epochs:
             at = bags.first[:-1] + (rng.random(len(n)) * (n - width + 1)).astype(np.int64)
         else:
             _, at, _ = row_worst(now().word_scores(bags)[bags.word], bags.first)
-        for batch in np.array_split(rng.permutation(rows), -(-len(rows) // BATCH)):
+        for batch in np.array_split(rng.permutation(rows), batches):
             place, _ = W.places(at[batch], width[batch])
             bag = np.repeat(np.arange(len(batch)), width[batch])
             word, inverse = np.unique(bags.word[place], return_inverse=True)
@@ -203,11 +220,9 @@ def train(texts: list[str], toxic: np.ndarray, seed: int = 11) -> Model:
             d = (p * (weight[batch] / len(batch))[:, None]).astype(np.float32)
             steps = mean.T @ d, d.sum(0)
             to_mean = d @ softmax.T
-            to_word = np.zeros((len(word), DIM), np.float32)
-            np.add.at(to_word, inverse, to_mean[bag] * share[:, None])
+            to_word = _sums(inverse, to_mean[bag] * share[:, None], len(word))
             used, where = np.unique(bucket, return_inverse=True)
-            to_bucket = np.zeros((len(used), DIM), np.float32)
-            np.add.at(to_bucket, where, np.repeat(to_word / size[:, None], size, axis=0))
+            to_bucket = _sums(where, np.repeat(to_word / size[:, None], size, axis=0), len(used))
             grown[0][used] += (to_bucket ** 2).mean(1, keepdims=True)
             vectors[used] -= RATE * to_bucket / np.sqrt(grown[0][used])
             for x, g, s in zip((softmax, bias), grown[1:], steps):
@@ -231,8 +246,9 @@ def fit(docs: DataFrame, labels: DataFrame, max_toxic: int = MAX_TOXIC, max_othe
     ids = {r["doc_id"]: r["toxic"] for r in chosen.collect()}
     sample = docs.select("doc_id", "text").join(F.broadcast(docs.sparkSession.createDataFrame(list(ids.items()), "doc_id long, toxic int")), "doc_id")
     sample = sample.groupBy("doc_id", "toxic").agg(F.max(F.coalesce("text", F.lit(""))).alias("text"))
-    rows = sorted((r["doc_id"], r["text"], r["toxic"]) for r in sample.collect())
-    return train([r[1] for r in rows], np.array([int(r[2] == 1) for r in rows]))
+    rows = sorted((r["doc_id"], r["text"], r["toxic"]) for r in sample.toLocalIterator())
+    toxic = np.array([int(r[2] == 1) for r in rows])
+    return train([r[1] for r in rows], toxic)
 
 
 def _score(model, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -242,6 +258,7 @@ def _score(model, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             rest = [batch.column(i)[a:b] for i in range(batch.num_columns) if i != text]
             scores = model.value.scores(data, offsets)
             yield pa.RecordBatch.from_arrays([*rest, pa.array(scores)], names=[*(n for n in batch.schema.names if n != "_text"), "score"])
+    W.release()
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
