@@ -151,6 +151,7 @@ def _scan(sieve: np.ndarray, lengths: list[int], batches: Iterator[pa.RecordBatc
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0)[a:b], pa.array(np.diff(words.first)), pa.ListArray.from_arrays(pa.array(bounds), hits)],
                 names=["doc_id", "n_words", "hits"])
+    W.release()
 
 
 def _sieve(index: DataFrame) -> tuple[np.ndarray, list[int]]:

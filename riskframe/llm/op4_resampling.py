@@ -75,6 +75,7 @@ def _weigh(ratio, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0)[a:b], pa.array(np.bincount(row, minlength=b - a)), pa.array(sums / FIXED)],
                 names=["doc_id", "n_ngrams", "log_weight"])
+    W.release()
 
 
 def fit(docs: DataFrame, good: DataFrame, max_target: int = MAX_TARGET) -> np.ndarray:

@@ -7,6 +7,8 @@ random byte codes, so equal words have equal hashes in every task.
 
 from __future__ import annotations
 
+import ctypes
+import ctypes.util
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -29,11 +31,23 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A"):ord("Z") + 1] += 32
 
 
+_libc = ctypes.CDLL(ctypes.util.find_library("c")) if ctypes.util.find_library("c") else None
+if not hasattr(_libc, "malloc_trim"):
+    _libc = None
+
+
 class Words(NamedTuple):
     hashes: np.ndarray  # uint64, one per word, in text order
     first: np.ndarray  # int64, documents + 1: words of document d are first[d]:first[d + 1]
 
 
+def release() -> None:
+    """Give freed memory back to the system: Python workers outlive their tasks, and later stages need the room."""
+    pa.default_memory_pool().release_unused()
+    if _libc is not None:
+        _libc.malloc_trim(0)
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """Scramble 64-bit values (the finaliser of splitmix64)."""
     h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
