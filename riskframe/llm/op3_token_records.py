@@ -26,10 +26,11 @@ are not read.  No bound is set on a text's length.
 
 from __future__ import annotations
 
-import re
+import os
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import partial
 
@@ -40,6 +41,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from riskframe.functions.ordered import shuffle_partitions
+from riskframe.llm import words as W
 from riskframe.session import ensure_checkpoint_dir
 from riskframe.sources.tables import read_table
 
@@ -47,8 +49,7 @@ TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
 MASK = 0xA282EAD8
 NO_ID = -(1 << 63)
-CACHE_CHUNKS = 1_200_000  # distinct chunks of text kept per Python worker at most (some 200 MB)
-_LAST_POINT = re.compile(rb"(?<=[A-Za-z])([.,])(?=[ \t-\r]|\Z)")
+CACHE_CHUNKS = 600_000  # distinct chunks of text kept per Python worker at most (some 110 MB)
 _HEAD, _FOOT, _DOC = struct.Struct("<QI"), struct.Struct("<Ic"), struct.Struct("<qB")
 _encoders: dict = {}
 
@@ -82,37 +83,65 @@ class Encoder:
 
     The tokenizer drops white space and no token, normalisation or special
     string of it spans any, so the ids of a text are those of its chunks in
-    order (a test compares both ways).  A last comma or full stop after an
-    ASCII letter is a token of its own, so it's cut off first; a text of
-    ASCII alone is lower-cased first, as the tokenizer does.  Chunks seen
-    lately are kept in two generations of bounded size.
+    order.  A chunk of letters below U+0250 is one word to it, in lower case;
+    a comma or full stop after it is a word of its own.  Such words go straight
+    to the tokenizer's byte-level model, all others through all its steps (a
+    test compares both ways).  Chunks seen lately are kept in two generations
+    of bounded size.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-        self.tokenizer = Tokenizer.from_file(path)
+        from tokenizers import Tokenizer, pre_tokenizers
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+        self.tokenizer, self.words = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        self.words.normalizer = None
+        self.words.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.ids: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
 
     def _learn(self, chunks: list[bytes]) -> None:
-        dtype = f"<u{self.width}"
-        encoded = self.tokenizer.encode_batch_fast([c.decode() for c in chunks], add_special_tokens=False)
-        self.ids.update((c, np.array(e.ids, dtype).tobytes()) for c, e in zip(chunks, encoded))
+        words, whole, parts = {}, [], []
+        for chunk in chunks:
+            text = chunk.decode()
+            point = text[-1] if text[-1] in ",." else ""
+            word = text[:-1].lower() if point else text.lower()
+            if word.isalpha() and max(word) < "\u0250":
+                key = word.encode()
+                parts.append((chunk, key, point.encode()))
+                if key not in self.ids:
+                    words[key] = word
+            else:
+                whole.append((chunk, text))
+        for tokenizer, keys, texts in ((self.words, words, list(words.values())), (self.tokenizer, [c for c, _ in whole], [t for _, t in whole])):
+            for key, e in zip(keys, tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+                self.ids[key] = array("H" if self.width == 2 else "I", e.ids).tobytes()
+        points = {p for *_, p in parts if p and p not in self.ids}
+        if points:
+            self._learn_points(points)
+        self.ids.update((chunk, self.ids[key] + self.ids[p] if p else self.ids[key]) for chunk, key, p in parts)
+
+    def _learn_points(self, points: set[bytes]) -> None:
+        for p in points:
+            self.ids[p] = array("H" if self.width == 2 else "I", self.tokenizer.encode(p.decode(), add_special_tokens=False).ids).tobytes()
 
     def encode(self, text: str | None) -> bytes:
-        """The ids, END_ID last, as little-endian integers of ``width`` bytes."""
-        data = _LAST_POINT.sub(rb" \1", (text or "").encode())
-        if data.isascii() and b"<|" not in data:
-            data = data.lower()
-        chunks = data.split()
-        if new := [c for c in set(chunks) if c not in self.ids]:
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str | None]) -> list[bytes]:
+        """The ids of each text, END_ID last, as little-endian integers of ``width`` bytes."""
+        split = [(text or "").encode().split() for text in texts]
+        found = [list(map(self.ids.get, chunks)) for chunks in split]
+        new = {c for chunks, ids in zip(split, found) if None in ids for c, i in zip(chunks, ids) if i is None}
+        if new:
             if len(self.ids) + len(new) > CACHE_CHUNKS // 2:
                 self.older, self.ids = self.ids, {}
-                new = list(set(chunks))
+                new = {c for chunks in split for c in chunks}
             self.ids.update((c, self.older[c]) for c in new if c in self.older)
             self._learn([c for c in new if c not in self.ids])
-        return b"".join(map(self.ids.__getitem__, chunks)) + END_ID.to_bytes(self.width, "little")
+            found = [map(self.ids.__getitem__, chunks) for chunks in split]
+        end = END_ID.to_bytes(self.width, "little")
+        return [b"".join(ids) + end for ids in found]
 
 
 def _encoder(path: str) -> Encoder:
@@ -124,11 +153,11 @@ def _encoder(path: str) -> Encoder:
 def _encode(path: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     encoder = _encoder(path)
     for batch in batches:
-        rows = []
-        for doc_id, text in zip(batch.column(0), batch.column(1)):
-            i = doc_id.as_py()
-            rows.append(frame(_DOC.pack(NO_ID if i is None else i, encoder.width) + encoder.encode(text.as_py())))
-        yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], names=["record"])
+        for a, b, _, _ in W.slices(batch.column(1)):  # about a megabyte of text at once
+            ids = encoder.encode_all(batch.column(1)[a:b].to_pylist())
+            rows = [frame(_DOC.pack(NO_ID if i is None else i, encoder.width) + x) for i, x in zip(batch.column(0)[a:b].to_pylist(), ids)]
+            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], names=["record"])
+    W.release()
 
 
 def write_records(docs: DataFrame, out: str, tokenizer: str | None = None, shards: int | None = None) -> None:
