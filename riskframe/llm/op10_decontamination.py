@@ -11,7 +11,10 @@ occurrence of a benchmark window is found:
 2. these join the benchmark's fingerprints;
 3. each hit is extended on both sides: of the SLIDE windows that hold the
    fingerprint, those that are equal in document and item are occurrences;
-4. a document's occurrences give its hit words and its items.
+4. a row's occurrences give its hit words and its items.
+
+Rows are numbered in the checkpointed scan and judged one by one under that
+number; a ``doc_id`` only goes along.
 
 Items of fewer words than a window are one window of their own length; their
 hash is looked up for the runs of that length in the documents.
@@ -22,9 +25,9 @@ sieve; whatever it lets through by chance is settled by the join.  Its size,
 
 Defined results: null and empty texts have no words, no hits, and the hash of
 an empty list; an item without words matches nothing; items that repeat an
-``item_id`` count once; documents that repeat a ``doc_id`` are judged together
-(words added up, one result row), those with a null ``doc_id`` likewise; empty
-tables give no rows or no hits.  Other columns are not read.
+``item_id`` count once; rows that repeat a ``doc_id`` or have none are judged
+each by its own text; empty tables give no rows or no hits.  Other columns are
+not read.
 """
 
 from __future__ import annotations
@@ -117,7 +120,7 @@ def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _scan(sieve: np.ndarray, lengths: list[int], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents: doc_id, n_words, hits (kind, print, at, windows of those that pass the sieve)."""
+    """Documents: doc_id, text_hash, n_words, hits (kind, print, at, windows of those that pass the sieve)."""
     for batch in batches:
         for a, b, data, offsets in W.slices(batch.column(1)):
             words = W.split_words(data, offsets, W.NOT_WORD)
@@ -149,8 +152,9 @@ def _scan(sieve: np.ndarray, lengths: list[int], batches: Iterator[pa.RecordBatc
                 names=["kind", "print", "at", "windows"])
             bounds = np.searchsorted(row[order], np.arange(b - a + 1)).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0)[a:b], pa.array(np.diff(words.first)), pa.ListArray.from_arrays(pa.array(bounds), hits)],
-                names=["doc_id", "n_words", "hits"])
+                [batch.column(0)[a:b], batch.column(2)[a:b], pa.array(np.diff(words.first)),
+                 pa.ListArray.from_arrays(pa.array(bounds), hits)],
+                names=["doc_id", "text_hash", "n_words", "hits"])
     W.release()
 
 
@@ -192,24 +196,29 @@ def index_benchmark(benchmark: DataFrame) -> DataFrame:
     return index.drop("at").distinct().checkpoint(eager=True)
 
 
+def text_hash(text: str) -> Column:
+    return F.sha2(text, 256).alias("text_hash")
+
+
 def occurrences(docs: DataFrame, benchmark: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(documents, occurrences): doc_id and n_words of every row, and the distinct
-    (doc_id, item_id, first word, words) of all windows of items in documents."""
+    """(rows, occurrences): number (row), doc_id, text_hash and n_words of every row, and the
+    (row, item_id, first word, words) of all windows of items in rows."""
     spark = docs.sparkSession
     index = index_benchmark(benchmark)
     words, lengths = _sieve(index)
     scan = _Scan(spark.sparkContext.broadcast(words), lengths)
-    scanned = docs.select("doc_id", "text").mapInArrow(
-        scan, "doc_id long, n_words long, hits array<struct<kind:int,print:long,at:int,windows:array<long>>>").checkpoint(eager=True)
-    hits = scanned.select("doc_id", F.inline("hits"))
+    scanned = docs.select("doc_id", "text", text_hash("text")).mapInArrow(
+        scan, "doc_id long, text_hash string, n_words long, hits array<struct<kind:int,print:long,at:int,windows:array<long>>>")
+    scanned = scanned.withColumn("row", F.monotonically_increasing_id()).checkpoint(eager=True)
+    hits = scanned.select("row", F.inline("hits"))
     of_item = index.withColumnRenamed("windows", "item_windows")
     joined = hits.join(of_item, ["kind", "print"])
     same = F.array_compact(F.transform(F.arrays_zip("windows", "item_windows"), lambda w, j: F.when(
         (w["windows"] == w["item_windows"]) & (w["windows"] != 0), F.col("at") - j)))
     starts = F.when(F.col("kind") > 0, F.array(F.col("at"))).otherwise(same)
     length = F.when(F.col("kind") > 0, F.col("kind")).otherwise(F.lit(WINDOW))
-    found = joined.select("doc_id", "item_id", length.alias("words"), F.explode(starts).alias("first"))
-    return scanned.select("doc_id", "n_words"), found
+    found = joined.select("row", "item_id", length.alias("words"), F.explode(starts).alias("first"))
+    return scanned.select("row", "doc_id", "text_hash", "n_words"), found
 
 
 def covered(spans: Column) -> Column:
@@ -220,32 +229,40 @@ def covered(spans: Column) -> Column:
         F.greatest(s["end"], x["end"]).alias("end")), lambda s: s["n"])
 
 
-def judge(docs: DataFrame, benchmark: DataFrame, share: int = SHARE) -> DataFrame:
-    """Per document: doc_id, n_words, n_hit, n_items, items (sorted item_ids as text),
-    spans (first word and end of each occurrence), contaminated."""
+def judge_rows(docs: DataFrame, benchmark: DataFrame, share: int = SHARE) -> DataFrame:
+    """One row per row of ``docs``: row (a number), doc_id, text_hash, n_words, n_hit, n_items, items (sorted
+    item_ids as text), spans (first word and end of each occurrence), contaminated."""
     rows, found = occurrences(docs, benchmark)
     span = F.struct(F.col("first"), (F.col("first") + F.col("words")).alias("end"))
-    per_doc = found.groupBy("doc_id").agg(F.collect_set(span).alias("spans"),
-                                          F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("items"))
-    words = rows.groupBy("doc_id").agg(F.sum("n_words").alias("n_words"))
+    per_row = found.groupBy("row").agg(F.collect_set(span).alias("spans"),
+                                       F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("items"))
     none = F.array().cast("array<string>")
-    joined = words.withColumnRenamed("doc_id", "id").join(per_doc, F.col("id").eqNullSafe(F.col("doc_id")), "left")
-    out = joined.select(F.col("id").alias("doc_id"), "n_words", F.coalesce(covered(F.col("spans")), F.lit(0)).cast("long").alias("n_hit"),
-                        F.coalesce("items", none).alias("items"), "spans")
-    return out.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), "items", "spans",
+    out = rows.join(per_row, "row", "left").withColumns({
+        "n_hit": F.coalesce(covered(F.col("spans")), F.lit(0)).cast("long"), "items": F.coalesce("items", none)})
+    return out.select("row", "doc_id", "text_hash", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), "items", "spans",
                       ((F.col("n_hit") > 0) & (share * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"))
 
 
+def judge(docs: DataFrame, benchmark: DataFrame, share: int = SHARE) -> DataFrame:
+    """``judge_rows`` summed up by doc_id: doc_id, n_words, n_hit, n_items, items, contaminated (whether any of its rows is)."""
+    items = F.array_sort(F.array_distinct(F.flatten(F.collect_set("items"))))
+    by_id = judge_rows(docs, benchmark, share).groupBy("doc_id").agg(
+        F.sum("n_words").alias("n_words"), F.sum("n_hit").alias("n_hit"), items.alias("items"), F.bool_or("contaminated").alias("contaminated"))
+    return by_id.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), "items", "contaminated")
+
+
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, share: int = SHARE) -> DataFrame:
-    """The rows of ``docs`` whose documents aren't contaminated; same columns."""
-    gone = judge(docs, benchmark, share).where("contaminated").select(F.col("doc_id").alias("_gone"))
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").alias("_id"))
-    left = rows.join(gone, F.col("_id").eqNullSafe(F.col("_gone")), "left_anti")
+    """The rows of ``docs`` that aren't contaminated; same columns."""
+    # the verdict depends on the text alone, so rows of equal doc_id and text share it
+    gone = judge_rows(docs, benchmark, share).where("contaminated").select(F.col("doc_id").alias("_gone"), "text_hash").distinct()
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").alias("_id"),
+                       text_hash("text").alias("_hash"))
+    left = rows.join(gone, F.col("_id").eqNullSafe(F.col("_gone")) & (F.col("_hash") == F.col("text_hash")), "left_anti")
     return left.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    judged = judge(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    judged = judge_rows(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
     return judged.select("doc_id", "n_words", "n_hit", "n_items",
                          F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated")
 

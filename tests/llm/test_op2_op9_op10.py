@@ -176,3 +176,18 @@ def test_passages_awkward_and_empty(spark):
     assert op10.judge(frame(spark, []), bench(spark, items)).collect() == []
     none = op10.judge(df, bench(spark, [])).collect()
     assert len(none) == len({r[0] for r in rows}) and not any(r["contaminated"] for r in none)
+
+
+def test_rows_of_one_doc_id_are_judged_by_their_own_texts(spark):
+    passage = prose(70, 13)
+    dirty = f"{passage} {prose(80, 187)}"  # 13 of 200 words: contaminated
+    clean = [f"{prose(90 + i, 400)} {i}" for i in range(6)]
+    rows = [(d, dirty, None, None, i) for d in (1, None) for i in range(2)]  # twice the words, the same hits
+    rows += [(d, t, None, None, 9) for d in (1, 2, None) for t in clean]  # diluted by clean ones
+    df, items = frame(spark, rows, extra=True), bench(spark, [(1, passage)])
+    left = [(r["doc_id"], r["text"]) for r in op10.drop_contaminated(df, items).select("doc_id", "text").collect()]
+    assert sorted(left, key=str) == sorted(((d, t) for d in (1, 2, None) for t in clean), key=str)
+    got = op10.judge_rows(df, items)
+    assert Counter((r["doc_id"], r["n_words"], r["n_hit"], r["contaminated"]) for r in got.collect()) == Counter(
+        (d, len(words(t)), 13 if t == dirty else 0, t == dirty) for d, t, *_ in rows)
+    assert got.select("row").distinct().count() == len(rows)
