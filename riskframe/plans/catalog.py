@@ -461,15 +461,31 @@ def _encoded_splits(spark, sf_dir):
     return out.where("split = 'train'").drop("split"), out.where("split = 'test'").drop("split")
 
 
-@register("train_evaluate")
-def q_train_evaluate(spark, sf_dir):
-    """Fit boosted trees (test preset) on the encoded train split, report on the test split."""
+def _train_evaluate(spark, sf_dir, preset):
     train, test = _encoded_splits(spark, sf_dir)
-    model = mo.fit_gbt(train, fe.FEATURE_COLUMNS, preset="test")
+    model = mo.fit_gbt(train, fe.FEATURE_COLUMNS, preset=preset)
     report, _ = mo.evaluate_scored(mo.score(model, test))
     return report
 
 
+@register("train_evaluate")
+def q_train_evaluate(spark, sf_dir):
+    """Fit boosted trees (test preset) on the encoded train split, report on the test split."""
+    return _train_evaluate(spark, sf_dir, "test")
+
+
+@register("train_evaluate_fast")
+def q_train_evaluate_fast(spark, sf_dir):
+    """As train_evaluate, at the fast preset (150 rounds of depth 5)."""
+    return _train_evaluate(spark, sf_dir, "fast")
+
+
+@register("train_evaluate_full")
+def q_train_evaluate_full(spark, sf_dir):
+    """As train_evaluate, at the full preset (500 rounds of depth 6), that of a training run."""
+    return _train_evaluate(spark, sf_dir, "full")
+
+
 @register("batch_score")
 def q_batch_score(spark, sf_dir):
     """Score every test-split row: predicted class and probability of fraud."""

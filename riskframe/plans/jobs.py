@@ -70,7 +70,7 @@ def load_splits(spark: SparkSession, base: str, version: str | None = None, test
     return train, test
 
 
-def run_training(spark: SparkSession, base: str, version: str | None = None, preset: str = "test",
+def run_training(spark: SparkSession, base: str, version: str | None = None, preset: str = "full",
                  model_name: str = "gbt", test_mode: bool = False, overrides: dict | None = None,
                  validation_fraction: float = 0.1) -> dict:
     """Fit on the train split, evaluate on the test split, save, log.

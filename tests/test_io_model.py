@@ -184,3 +184,20 @@ def test_prediction_mode_applies_stored_encoder(spark, scratch):
     pred = io.read_versioned(spark, os.path.join(scratch, "datasets"), pv, "pred").select("trans_num", "category")
     for r in pred.limit(50).collect():
         assert abs(r["category"] - stored[raw_cat[r["trans_num"]]]) < 1e-12
+
+
+def test_training_runs_at_the_full_preset_unless_told_otherwise(spark, monkeypatch):
+    import inspect
+
+    from riskframe.plans import catalog
+    assert inspect.signature(jobs.run_training).parameters["preset"].default == "full"
+    fitted = []
+    fit = mo.fit_gbt
+
+    def few_rounds(*a, preset, **how):
+        fitted.append(preset)
+        return fit(*a, preset=preset, overrides={"maxIter": 2, "maxDepth": 2}, **how)
+    monkeypatch.setattr(mo, "fit_gbt", few_rounds)
+    for name in ("train_evaluate", "train_evaluate_fast", "train_evaluate_full"):
+        assert "1" in {r["label"] for r in catalog.QUERIES[name](spark, SF_SMALL).collect()}
+    assert fitted == ["test", "fast", "full"]
