@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 DEFAULT_CONF = {
@@ -65,3 +66,32 @@ def prepare_session(spark: SparkSession) -> SparkSession:
     # Python workers import the task functions of this package by name
     spark.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
     return spark
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder from whatever file system it is on; a missing one is no error."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+class Scratch:
+    """Tables written under the shared checkpoint folder and read again.
+
+    Like ``checkpoint()`` this cuts lineage, but the tables are compressed
+    columnar files, and each can be dropped as soon as the next one is written:
+    an iterative job holds two of its states on disk, not all of them.
+    """
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.folder, self.tables = spark, f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}", 0
+
+    def write(self, df: DataFrame) -> DataFrame:
+        path = f"{self.folder}/{self.tables}"
+        self.tables += 1
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop_before(self, keep: int) -> None:
+        """Delete all tables but the last ``keep``."""
+        for i in range(self.tables - keep):
+            delete_folder(self.spark, f"{self.folder}/{i}")
