@@ -8,11 +8,14 @@ from riskframe.llm import op2_line_dedup as op2
 from riskframe.llm import op6_dual_tree as op6
 from riskframe.llm import op9_mixing as op9
 from riskframe.llm import op10_decontamination as op10
+from riskframe.llm import op11_shallot as op11
+from riskframe.llm import op13_lemp as op13
 from riskframe.llm.op3_token_records import op3_token_records
 from riskframe.llm.op4_resampling import op4_resampling
 from riskframe.llm.op5_url_rules import op5_url_rules
 from riskframe.llm.op7_toxicity import op7_toxicity
 from riskframe.llm.op8_chat_repair import op8_chat_repair
+from riskframe.llm.op12_packing import op12_packing
 
 QUERIES = {
     "op1_minhash": op1.op1_minhash,
@@ -25,6 +28,9 @@ QUERIES = {
     "op8_chat_repair": op8_chat_repair,
     "op9_mixing": op9.op9_mixing,
     "op10_decontamination": op10.op10_decontamination,
+    "op11_shallot": op11.op11_shallot,
+    "op12_packing": op12_packing,
+    "op13_lemp": op13.op13_lemp,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -34,4 +40,6 @@ ORACLE: dict[str, str] = {
     "op6_dual_tree": op6.ORACLE,
     "op9_mixing": op9.ORACLE,
     "op10_decontamination": op10.ORACLE,
+    "op11_shallot": op11.ORACLE,
+    "op13_lemp": op13.ORACLE,
 }
