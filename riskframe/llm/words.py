@@ -62,15 +62,15 @@ def powers(n: int) -> np.ndarray:
     return _powers
 
 
-def slices(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first row, end row, bytes, row offsets into them) for runs of rows of about SLICE_BYTES; null is empty."""
+def slices(column: pa.Array, size: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first row, end row, bytes, row offsets into them) for runs of rows of about ``size`` bytes; null is empty."""
     column = column.fill_null("").cast(pa.large_binary())
     _, offsets, data = column.buffers()
     offsets = np.frombuffer(offsets, np.int64)[column.offset:column.offset + len(column) + 1] if len(column) else np.zeros(1, np.int64)
     data = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
     a = 0
     while a < len(column):
-        b = max(a + 1, int(np.searchsorted(offsets, offsets[a] + SLICE_BYTES, "right")) - 1)
+        b = max(a + 1, int(np.searchsorted(offsets, offsets[a] + size, "right")) - 1)
         yield a, b, data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a]
         a = b
 
