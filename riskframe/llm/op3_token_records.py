@@ -19,29 +19,32 @@ whole corpus, and number of ids; readers in shuffled order use it.
 
 Defined results: null text counts as empty; an empty text is one record with
 the end id alone; rows that repeat a ``doc_id`` are records of their own, in
-order of their texts; a null ``doc_id`` sorts first and is stored as the
+order of a hash of their texts; a null ``doc_id`` sorts first and is stored as the
 smallest int64; an empty table gives an index without rows.  Other columns
-are not read.  No bound is set on a text's length.
+are not read.  No bound is set on a text's length, but that a record, like a
+shard when it's read back, must fit into 2 GB.
 """
 
 from __future__ import annotations
 
-import os
+import json
 import struct
 import uuid
 import zlib
-from array import array
 from collections.abc import Iterator
 from functools import partial
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from riskframe.functions.ordered import shuffle_partitions
+from riskframe.llm import bpe
 from riskframe.llm import words as W
+from riskframe.llm.chunks import ChunkEncoder, ids_of, load
 from riskframe.session import ensure_checkpoint_dir
 from riskframe.sources.tables import read_table
 
@@ -49,9 +52,10 @@ TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
 MASK = 0xA282EAD8
 NO_ID = -(1 << 63)
-CACHE_CHUNKS = 600_000  # distinct chunks of text kept per Python worker at most (some 110 MB)
+SHARD_BYTES = 64 << 20  # text in a shard, about
 _HEAD, _FOOT, _DOC = struct.Struct("<QI"), struct.Struct("<Ic"), struct.Struct("<qB")
 _encoders: dict = {}
+_ranks: dict = {}
 
 
 def masked(data: bytes) -> int:
@@ -78,102 +82,118 @@ def unframe(data: bytes, at: int) -> tuple[memoryview, int]:
     return payload, end + _FOOT.size
 
 
-class Encoder:
-    """Ids of whole texts, each distinct chunk between ASCII white space encoded once.
-
-    The tokenizer drops white space and no token, normalisation or special
-    string of it spans any, so the ids of a text are those of its chunks in
-    order.  A chunk of letters below U+0250 is one word to it, in lower case;
-    a comma or full stop after it is a word of its own.  Such words go straight
-    to the tokenizer's byte-level model, all others through all its steps (a
-    test compares both ways).  Chunks seen lately are kept in two generations
-    of bounded size.
-    """
-
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer, pre_tokenizers
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        self.tokenizer, self.words = Tokenizer.from_file(path), Tokenizer.from_file(path)
-        self.words.normalizer = None
-        self.words.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
-        self.ids: dict[bytes, bytes] = {}
-        self.older: dict[bytes, bytes] = {}
-
-    def _learn(self, chunks: list[bytes]) -> None:
-        words, whole, parts = {}, [], []
-        for chunk in chunks:
-            text = chunk.decode()
-            point = text[-1] if text[-1] in ",." else ""
-            word = text[:-1].lower() if point else text.lower()
-            if word.isalpha() and max(word) < "\u0250":
-                key = word.encode()
-                parts.append((chunk, key, point.encode()))
-                if key not in self.ids:
-                    words[key] = word
-            else:
-                whole.append((chunk, text))
-        for tokenizer, keys, texts in ((self.words, words, list(words.values())), (self.tokenizer, [c for c, _ in whole], [t for _, t in whole])):
-            for key, e in zip(keys, tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
-                self.ids[key] = array("H" if self.width == 2 else "I", e.ids).tobytes()
-        points = {p for *_, p in parts if p and p not in self.ids}
-        if points:
-            self._learn_points(points)
-        self.ids.update((chunk, self.ids[key] + self.ids[p] if p else self.ids[key]) for chunk, key, p in parts)
-
-    def _learn_points(self, points: set[bytes]) -> None:
-        for p in points:
-            self.ids[p] = array("H" if self.width == 2 else "I", self.tokenizer.encode(p.decode(), add_special_tokens=False).ids).tobytes()
-
-    def encode(self, text: str | None) -> bytes:
-        return self.encode_all([text])[0]
-
-    def encode_all(self, texts: list[str | None]) -> list[bytes]:
-        """The ids of each text, END_ID last, as little-endian integers of ``width`` bytes."""
-        split = [(text or "").encode().split() for text in texts]
-        found = [list(map(self.ids.get, chunks)) for chunks in split]
-        new = {c for chunks, ids in zip(split, found) if None in ids for c, i in zip(chunks, ids) if i is None}
-        if new:
-            if len(self.ids) + len(new) > CACHE_CHUNKS // 2:
-                self.older, self.ids = self.ids, {}
-                new = {c for chunks in split for c in chunks}
-            self.ids.update((c, self.older[c]) for c in new if c in self.older)
-            self._learn([c for c in new if c not in self.ids])
-            found = [map(self.ids.__getitem__, chunks) for chunks in split]
-        end = END_ID.to_bytes(self.width, "little")
-        return [b"".join(ids) + end for ids in found]
-
-
-def _encoder(path: str) -> Encoder:
+#: The normalisation and the splitting rule that chunks and the short cut for plain words rely on
+RULES = {
+    "normalizer": {"type": "Sequence", "normalizers": [
+        {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {"type": "Sequence", "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]},
+}
+
+
+class Learner:
+    """Ids of an array of chunks.  White space is no token.  A chunk of letters below U+0100 is one word to the
+    tokenizer, in lower case; a comma or full stop after it is a word of its own.  Such words are encoded all at
+    once by their byte pairs alone (see ``bpe``), other chunks by all the tokenizer's steps (a test compares both)."""
+
+    def __init__(self, tokenizer, words):
+        self.tokenizer = tokenizer
+        self.words = bpe.encoding(words, r"[^\x00]+\x00", special=False)
+        self.last = np.zeros(max(words[0].values()) + 1, bool)  # ids that end a word
+        self.last[[i for token, i in words[0].items() if len(token) > 1 and token.endswith(bpe.END)]] = True
+        self.points = pa.array([",", "."])
+        self.point_ids = np.array([words[0][p.encode() + bpe.END] for p in (",", ".")], np.uint32)
+
+    def __call__(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        offsets = np.frombuffer(chunks.buffers()[1], np.int64)[chunks.offset:chunks.offset + len(chunks) + 1]
+        low = np.maximum.reduceat(np.frombuffer(chunks.buffers()[2], np.uint8)[:offsets[-1]], offsets[:-1]) < 0xC4
+        texts = chunks.cast(pa.large_string())
+        words = pc.utf8_lower(pc.utf8_trim(texts, " \t\n\v\f\r"))
+        ending = pc.utf8_slice_codeunits(words, -1)
+        pointed = pc.is_in(ending, value_set=self.points.cast(pa.large_string()))
+        words = pc.if_else(pointed, pc.utf8_slice_codeunits(words, 0, -1), words)
+        plain = low & pc.utf8_is_alpha(words).to_numpy(zero_copy_only=False)
+        others = self._other(texts.filter(pa.array(~plain)).to_pylist())
+        known = self._plain(words.filter(pa.array(plain)), pointed.filter(pa.array(plain)), ending.filter(pa.array(plain)))
+        sizes = np.empty(len(chunks), np.int64)
+        sizes[plain], sizes[~plain] = known[1], others[1]
+        starts = np.cumsum(sizes) - sizes
+        out = np.empty(int(sizes.sum()), np.uint32)
+        for mine, (ids, n) in ((plain, known), (~plain, others)):
+            out[W.places(starts[mine], n)[0]] = ids
+        return out, sizes
+
+    def _other(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        return ids_of(self.tokenizer, texts) if texts else (np.zeros(0, np.uint32), np.zeros(0, np.int64))
+
+    def _plain(self, words: pa.Array, pointed: pa.Array, ending: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        if not len(words):
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        ids = self.words.encode_to_numpy("\0".join(words.to_pylist()) + "\0", disallowed_special=())
+        sizes = np.diff(np.flatnonzero(self.last[ids]) + 1, prepend=0)
+        pointed = pointed.to_numpy(zero_copy_only=False)
+        whole = sizes + pointed  # with the point
+        ends = np.cumsum(whole)
+        out = np.empty(int(ends[-1]), np.uint32)
+        out[W.places(ends - whole, sizes)[0]] = ids
+        out[ends[pointed] - 1] = self.point_ids[(ending.filter(pa.array(pointed)).to_numpy(zero_copy_only=False) == ".").astype(int)]
+        return out, whole
+
+
+def word_ranks(path: str) -> tuple | None:
+    """Ranks of a tokenizer with ``RULES`` whose words can be encoded by their byte pairs, else None."""
+    if path not in _ranks:
+        with open(path, encoding="utf-8") as f:
+            file = json.load(f)
+        _ranks[path] = bpe.ranks(path) if all(file[k] == v for k, v in RULES.items()) and file["model"]["end_of_word_suffix"] else None
+    return _ranks[path]
+
+
+def encoder(path: str, words: tuple | None) -> ChunkEncoder:
+    """Of a tokenizer file and its ``word_ranks``; without these, whole texts are encoded instead of chunks."""
     if path not in _encoders:
-        _encoders[path] = Encoder(path)
+        tokenizer = load(path)
+        learn = Learner(tokenizer, words) if words else lambda texts: ids_of(tokenizer, texts.cast(pa.large_string()).to_pylist())
+        dtype = np.uint16 if tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
+        _encoders[path] = ChunkEncoder(learn, dtype, END_ID, whole=not words)
     return _encoders[path]
 
 
-def _encode(path: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    encoder = _encoder(path)
+def _encode(path: str, words, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    chunked = encoder(path, words.value)
+    width = chunked.dtype.itemsize
     for batch in batches:
-        for a, b, _, _ in W.slices(batch.column(1)):  # about a megabyte of text at once
-            ids = encoder.encode_all(batch.column(1)[a:b].to_pylist())
-            rows = [frame(_DOC.pack(NO_ID if i is None else i, encoder.width) + x) for i, x in zip(batch.column(0)[a:b].to_pylist(), ids)]
+        for a, b, ids, first in chunked.slices(batch.column(1)):
+            data, ends = ids.astype(chunked.dtype.newbyteorder("<"), copy=False).tobytes(), (first * width).tolist()
+            rows = [frame(_DOC.pack(NO_ID if i is None else i, width) + data[x:y])
+                    for i, x, y in zip(batch.column(0)[a:b].to_pylist(), ends[:-1], ends[1:])]
             yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], names=["record"])
     W.release()
 
 
 def write_records(docs: DataFrame, out: str, tokenizer: str | None = None, shards: int | None = None) -> None:
-    """Encode ``docs`` (doc_id, text) into ``out``/records, one file per shard, ascending doc_id."""
+    """Encode ``docs`` (doc_id, text) into ``out``/records, one file per shard, ascending doc_id.
+
+    Without a number of shards there are as many as shuffle partitions, or more if that keeps their text near
+    ``SHARD_BYTES``.  Rows that share a doc_id, however many, spread over several shards."""
     path = tokenizer or public_tokenizers.path(TOKENIZER)
-    rows = docs.select("doc_id", "text")
-    # the range bounds come from a sample of the ids; texts are encoded after the shuffle, once
-    ranged = rows.repartitionByRange(shards or shuffle_partitions(docs), "doc_id").sortWithinPartitions("doc_id", "text")
-    (ranged.mapInArrow(partial(_encode, path), "record binary").select(F.col("record").cast("string").alias("value"))
+    if shards is None:
+        size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        shards = max(shuffle_partitions(docs), -(-size // SHARD_BYTES))
+    order = ["doc_id", "_text", "_row"]
+    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("_text"), F.monotonically_increasing_id().alias("_row"))
+    # the range bounds come from a sample of the keys; texts are encoded after the shuffle, once
+    ranged = rows.repartitionByRange(shards, *order).sortWithinPartitions(*order).select("doc_id", "text")
+    words = docs.sparkSession.sparkContext.broadcast(word_ranks(path))  # of the size of the vocabulary
+    (ranged.mapInArrow(partial(_encode, path, words), "record binary").select(F.col("record").cast("string").alias("value"))
      .write.option("lineSep", "\n").mode("overwrite").text(f"{out}/records"))
 
 
 def _scan(with_ids: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for path, content in zip(batch.column(0), batch.column(1)):
-            data, at, before = content.as_buffer().to_pybytes(), 0, 0
+            data, at, before = memoryview(content.as_buffer()), 0, 0  # in place, not a copy
             shard = path.as_py().rpartition("/")[2]
             while at < len(data):
                 cols: list[list] = [[] for _ in range(8)]
@@ -204,9 +224,10 @@ def write_index(spark: SparkSession, out: str) -> DataFrame:
     found = scan_records(spark, out, with_ids=False).drop("ids")
     ensure_checkpoint_dir(spark)
     found = found.checkpoint(eager=True)
-    totals = found.groupBy("shard").agg(F.sum("n_tokens").alias("ids"))
-    # one row per shard: the shard names sort as the shards do
-    earlier = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    # one row per shard (a file of SHARD_BYTES of text or more), in the order of the numbers in their names
+    number = F.regexp_extract("shard", r"^part-(\d+)", 1).cast("long")
+    totals = found.groupBy("shard").agg(F.sum("n_tokens").alias("ids")).withColumn("number", number)
+    earlier = Window.orderBy("number").rowsBetween(Window.unboundedPreceding, -1)
     bases = totals.select("shard", F.coalesce(F.sum("ids").over(earlier), F.lit(0)).alias("base"))
     index = found.join(F.broadcast(bases), "shard").select(
         "doc_id", (F.col("base") + F.col("before")).alias("start"), "n_tokens", "ids_crc32", "shard", "offset", "length")
@@ -217,7 +238,7 @@ def write_index(spark: SparkSession, out: str) -> DataFrame:
 def _pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for content, places in zip(batch.column(0), batch.column(1)):
-            data, got = content.as_buffer().to_pybytes(), []
+            data, got = memoryview(content.as_buffer()), []
             for at in places.as_py():
                 payload, _ = unframe(data, at)
                 doc_id, width = _DOC.unpack_from(payload)

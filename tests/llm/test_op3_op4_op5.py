@@ -1,4 +1,5 @@
 import hashlib
+import json
 import math
 import random
 import struct
@@ -13,9 +14,11 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from riskframe.llm import bpe, chunks
 from riskframe.llm import op3_token_records as op3
 from riskframe.llm import op4_resampling as op4
 from riskframe.llm import op5_url_rules as op5
+from riskframe.llm import op12_packing as op12
 from riskframe.llm import words as W
 from tests.llm.helpers import awkward_rows, frame, prose
 
@@ -23,22 +26,91 @@ PATH = public_tokenizers.path(op3.TOKENIZER)
 
 
 # ---- records
-def test_chunks_give_the_ids_of_whole_texts():
-    plain, encoder, rnd = Tokenizer.from_file(PATH), op3.Encoder(PATH), random.Random(4)
-    letters = "aAbBzZ09.,;:!?'’ \t\n\r\x0b\x0c\x1c\x85  éÉ̸́ñßİıſΣςσ漢字🙂<|>‍-_"
+def encoded(encoder, texts):
+    """The ids of each text, in slices of an Arrow column that begins inside its buffers."""
+    column = pa.array(["left out", *texts])[1:]
+    return [ids[first[i]:first[i + 1]].tolist() for a, b, ids, first in encoder.slices(column) for i in range(b - a)]
+
+
+def wild_text(rnd):
+    letters = "aAbBzZ09.,;:!?'’ \t\n\r\x0b\x0c\x1c\x85\xa0\u1680\u2003\u2028\u3000\u200b  éÉ̸́ñßİıſΣςσ漢字🙂<|>‍-_" + 8 * " "
     pieces = ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "'s", "'LL", "the,", "end."]
-    for _ in range(4000):
-        text = "".join(rnd.choice(letters) if rnd.random() < 0.85 else rnd.choice(pieces) for _ in range(rnd.randint(0, 30)))
-        want = plain.encode(text, add_special_tokens=False).ids + [op3.END_ID]
-        assert np.frombuffer(encoder.encode(text), "<u2").tolist() == want, text
-
-
-def test_a_small_cache_changes_nothing(monkeypatch):
-    texts = [prose(s, 200) for s in range(30)]
-    want = [op3.Encoder(PATH).encode(t) for t in texts]
-    monkeypatch.setattr(op3, "CACHE_CHUNKS", 100)
-    encoder = op3.Encoder(PATH)
-    assert [encoder.encode(t) for t in texts] == want
+    return "".join(rnd.choice(letters) if rnd.random() < 0.85 else rnd.choice(pieces) for _ in range(rnd.randint(0, 30)))
+
+
+def new_encoder(path=PATH):
+    op3._encoders.clear()
+    return op3.encoder(path, op3.word_ranks(path))
+
+
+def test_chunks_give_the_ids_of_whole_texts():
+    rnd, plain, encoder = random.Random(4), Tokenizer.from_file(PATH), new_encoder()
+    assert not encoder.whole
+    texts = [wild_text(rnd) for _ in range(6000)] + ["Ünder ÉTÉ, ªº µ. ÿ ß ŁÓDŹ İs ǅ"]
+    for text, got in zip(texts, encoded(encoder, texts), strict=True):
+        assert got == plain.encode(text, add_special_tokens=False).ids + [op3.END_ID], repr(text)
+
+
+def test_byte_pairs_give_the_ids_of_the_tokenizer():
+    path, rnd = public_tokenizers.path(op12.TOKENIZER), random.Random(5)
+    plain, encode = Tokenizer.from_file(path), op12.encoder(path, op12.word_ranks(path))
+    texts = [wild_text(rnd) for _ in range(4000)] + [f"a{chr(c)}1 {chr(c)}" for c in range(0, 0x30000, 7) if not 0xD800 <= c < 0xE000]
+    ids, sizes = encode(texts)
+    for got, want in zip(np.split(ids, np.cumsum(sizes)[:-1]), plain.encode_batch(texts, add_special_tokens=False), strict=True):
+        assert got.tolist() == want.ids
+
+
+def test_unsound_vocabularies_are_refused(tmp_path):
+    def file(vocab, merges, **more):
+        out = tmp_path / "t.json"
+        out.write_text(json.dumps({"added_tokens": [], "model": {"type": "BPE", "vocab": vocab, "merges": merges, **more}}))
+        return str(out)
+
+    good = {"a": 0, "b": 1, "c": 2, "ab": 3, "abc": 4}
+    assert bpe.ranks(file(good, ["a b", "ab c"]))[0] == {k.encode(): v for k, v in good.items()}
+    # abc is made of (a, bc), but ab is merged first
+    assert bpe.ranks(file(good | {"bc": 5, "abc": 6, "x": 4}, ["a b", "b c", "a bc"])) is None
+    assert bpe.ranks(file({"a": 0, "b": 1, "c": 2, "bc": 4, "ab": 3}, ["b c", "a b"])) is None  # ids don't follow merges
+    assert bpe.ranks(file(good, ["a b", "ab c"], dropout=0.1)) is None
+
+
+def test_other_tokenizers_get_whole_texts():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    encoder, plain = new_encoder(path), Tokenizer.from_file(path)
+    texts = ["", "Two  words", " a", "x" * 1000]
+    assert encoder.whole and encoded(encoder, texts) == [plain.encode(t, add_special_tokens=False).ids + [2] for t in texts]
+    ids, _ = op12.encoder(PATH, op12.word_ranks(PATH))(["Two words"])
+    assert ids.tolist() == Tokenizer.from_file(PATH).encode("Two words", add_special_tokens=False).ids
+
+
+def test_small_slices_change_nothing(monkeypatch):
+    texts = [prose(s, 200) for s in range(30)] * 2
+    want = encoded(new_encoder(), texts)
+    monkeypatch.setattr(chunks, "SLICE", 3000)
+    assert encoded(new_encoder(), texts) == want
+
+
+def test_a_hot_id_spreads_over_shards(spark):
+    rows = spark.range(4000).select(F.when(F.col("id") % 2 == 0, F.col("id")).alias("doc_id"), F.lit("one two three").alias("text"))
+    out = op3.output_folder(spark)
+    op3.write_records(rows, out, shards=8)
+    sizes = [r["n"] for r in op3.scan_records(spark, out).groupBy("shard").agg(F.count("*").alias("n")).collect()]
+    assert sum(sizes) == 4000 and max(sizes) < 1500
+    index = op3.write_index(spark, out)
+    assert index.agg(F.count_distinct("start")).first()[0] == 4000
+
+
+def test_shards_follow_the_numbers_in_their_names(spark):
+    out = op3.output_folder(spark)
+    op3.write_records(spark.createDataFrame([(i, "a b") for i in range(30)], "doc_id long, text string"), out, shards=3)
+    files = {r["shard"] for r in op3.scan_records(spark, out).select("shard").distinct().collect()}
+    moved = {f: f.replace(f[5:10], n) for f, n in zip(sorted(files), ("99998", "99999", "100000"))}
+    fs = spark._jvm.org.apache.hadoop.fs
+    for f, to in moved.items():
+        old = fs.Path(f"{out}/records/{f}")
+        old.getFileSystem(spark._jsc.hadoopConfiguration()).rename(old, fs.Path(f"{out}/records/{to}"))
+    index = op3.write_index(spark, out).orderBy("start").collect()
+    assert [r["doc_id"] for r in index] == list(range(30))
 
 
 def test_records_round_trip(spark):
