@@ -8,10 +8,12 @@ classes.  A document is as toxic as its worst bag, so one insult isn't
 averaged away in a long text: all bags of the whole text are scored.
 
 Training sees at most ``MAX_TOXIC`` + ``MAX_OTHER`` labelled documents (those
-with the least md5 of doc_id), whatever the size of the table.  It first takes
-random bags of each document, then each document's worst bag under the model
-so far.  The fitted model is one number per bucket, since the softmax of a
-mean of vectors needs only each vector's difference of class scores.
+with the least md5 of doc_id) of at most ``MAX_TEXT`` bytes each and of
+``MAX_BYTES`` together, whatever the size of the table.  It runs in one task,
+which hands on the fitted model.  It first takes random bags of each document,
+then each document's worst bag under the model so far.  The fitted model is one
+number per bucket, since the softmax of a mean of vectors needs only each
+vector's difference of class scores.
 
 Defined results: null and empty texts are a bag without words, scored by the
 bias alone; labels that are null, or of documents that don't exist, are left
@@ -28,7 +30,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from riskframe.llm import words as W
@@ -39,6 +41,7 @@ DIM = 8
 GRAMS = (3, 4, 5, 6)
 BAG = 16
 MAX_TOXIC, MAX_OTHER = 2000, 6000
+MAX_TEXT, MAX_BYTES = 1 << 20, 48 << 20  # bytes of a text, and of all texts, of the training sample
 FOLDS = 5  # rows with crc32(doc_id as text) mod FOLDS = 0 are held out
 EPOCHS, STEPS, BATCH, RATE = 12, 384, 256, 0.15  # so many rounds, and batches, at least
 RANDOM = 0.25  # of the rounds take random bags
@@ -72,10 +75,10 @@ class Bags:
         self.buckets, self.bounds = subwords(codes, starts[at], lengths[at])
 
     @classmethod
-    def of_texts(cls, texts: list[str]) -> Bags:
+    def of_texts(cls, texts: pa.Array) -> Bags:
         """All rows of ``texts``, read in slices; each distinct word's buckets are held once."""
         parts, known, rows, buckets, sizes, new = [], np.zeros(0, np.uint64), [], [], [], []
-        for _, _, data, offsets in W.slices(pa.array(texts, pa.string())):
+        for _, _, data, offsets in W.slices(texts):
             part = cls(data, offsets, known)
             parts.append(part.hashes[part.word])
             rows.append(np.diff(part.first))
@@ -177,7 +180,7 @@ def _sums(group: np.ndarray, rows: np.ndarray, groups: int) -> np.ndarray:
     return np.stack([np.bincount(group, column, groups) for column in rows.T], 1).astype(np.float32)
 
 
-def train(texts: list[str], toxic: np.ndarray, seed: int = 11) -> Model:
+def train(texts: pa.Array, toxic: np.ndarray, seed: int = 11) -> Model:
     """Fit embeddings and softmax jointly by Adagrad on bags of the texts."""
     toxic = np.asarray(toxic).astype(int)
     if not len(toxic) or toxic.min() == toxic.max():
@@ -235,20 +238,39 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % FOLDS == 0
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_toxic: int = MAX_TOXIC, max_other: int = MAX_OTHER) -> Model:
-    """Train on a bounded sample of the labelled documents that aren't held out."""
+def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    table = pa.Table.from_batches(batches, pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("toxic", pa.int32())])).sort_by("doc_id")
+    model = train(table.column("text").combine_chunks(), table.column("toxic").to_numpy() == 1)
+    yield pa.RecordBatch.from_arrays([pa.array([model.buckets.astype("<f4").tobytes()], pa.binary()), pa.array([model.bias])],
+                                     names=["buckets", "bias"])
+    W.release()
+
+
+def sample(docs: DataFrame, labels: DataFrame, max_toxic: int = MAX_TOXIC, max_other: int = MAX_OTHER,
+           max_bytes: int = MAX_BYTES) -> DataFrame:
+    """(doc_id, text, toxic) of the bounded training sample: labelled documents that aren't held out."""
     usable = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    known = usable.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).join(docs.select("doc_id"), "doc_id", "left_semi")
+    sizes = docs.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).alias("size"))
+    known = usable.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).join(sizes, "doc_id")
+    known = known.groupBy("doc_id", "toxic").agg(F.max("size").alias("size")).where(F.col("size") <= MAX_TEXT)
     order = F.md5(F.col("doc_id").cast("string").cast("binary"))
-    # at most max_toxic + max_other rows
     chosen = (known.where("toxic = 1").orderBy(order, "doc_id").limit(max_toxic)
               .unionByName(known.where("toxic <> 1").orderBy(order, "doc_id").limit(max_other)))
-    ids = {r["doc_id"]: r["toxic"] for r in chosen.collect()}
-    sample = docs.select("doc_id", "text").join(F.broadcast(docs.sparkSession.createDataFrame(list(ids.items()), "doc_id long, toxic int")), "doc_id")
-    sample = sample.groupBy("doc_id", "toxic").agg(F.max(F.coalesce("text", F.lit(""))).alias("text"))
-    rows = sorted((r["doc_id"], r["text"], r["toxic"]) for r in sample.toLocalIterator())
-    toxic = np.array([int(r[2] == 1) for r in rows])
-    return train([r[1] for r in rows], toxic)
+    # at most max_toxic + max_other rows without their texts
+    chosen = chosen.withColumn("bytes", F.sum("size").over(Window.orderBy(order, "doc_id"))).where(F.col("bytes") <= max_bytes)
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")
+    # of rows that share a doc_id the greatest of the longest texts
+    return texts.groupBy("doc_id", "toxic").agg(F.max_by("text", F.struct(F.octet_length("text"), "text")).alias("text")).select(
+        "doc_id", "text", F.col("toxic").cast("int").alias("toxic"))
+
+
+def fit(docs: DataFrame, labels: DataFrame, max_toxic: int = MAX_TOXIC, max_other: int = MAX_OTHER, max_bytes: int = MAX_BYTES) -> Model:
+    """Train on a bounded sample of the labelled documents, in one task; only the model reaches the driver."""
+    rows = sample(docs, labels, max_toxic, max_other, max_bytes).repartition(1)
+    fitted = rows.mapInArrow(_train, "buckets binary, bias double").first()
+    if fitted is None:
+        return Model(np.zeros(BUCKETS, np.float32), -60.0)
+    return Model(np.frombuffer(fitted["buckets"], "<f4").astype(np.float32, copy=False), fitted["bias"])
 
 
 def _score(model, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

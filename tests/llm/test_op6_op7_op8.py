@@ -1,8 +1,10 @@
 import random
+import re
 from collections import Counter, defaultdict
 from itertools import product
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from riskframe.llm import op6_dual_tree as op6
@@ -84,12 +86,12 @@ def toxic_corpus(n, seed):
 
 def test_unseen_misspellings_are_found_in_long_texts():
     train, held = toxic_corpus(800, 1), toxic_corpus(300, 2)
-    model = op7.train([r[1] for r in train], np.array([r[2] for r in train]))
+    model = op7.train(pa.array([r[1] for r in train]), np.array([r[2] for r in train]))
     import pyarrow as pa
     scores = np.concatenate([model.scores(d, o) for _, _, d, o in W.slices(pa.array([r[1] for r in held]))])
     toxic = np.array([r[2] for r in held])
     assert ((scores >= 0.5) == toxic).mean() > 0.93  # 200 toxic examples
-    again = op7.train([r[1] for r in train], np.array([r[2] for r in train]))
+    again = op7.train(pa.array([r[1] for r in train]), np.array([r[2] for r in train]))
     assert (again.buckets == model.buckets).all()
 
 
@@ -117,8 +119,47 @@ def test_toxicity_without_both_classes(spark, toxic, score):
     assert op7.score(frame(spark, []), op7.fit(frame(spark, []), labels)).collect() == []
 
 
+def plain_score(model, text):
+    """A document's score by plain Python integers and lists."""
+    full, base = 2**64 - 1, int(W._BASE)
+
+    def mix(h):
+        h = (h ^ h >> 30) * 0xBF58476D1CE4E5B9 & full
+        h = (h ^ h >> 27) * 0x94D049BB133111EB & full
+        return h ^ h >> 31
+
+    words = re.findall("[0-9A-Za-z\x80-\U0010ffff]+", text or "")
+    scores = []
+    for w in words:
+        codes = [mix(ord(c) + 32 if "A" <= c <= "Z" else ord(c)) for c in f"<{w}>"]
+        found = [mix(sum(c * pow(base, i, 2**64) for i, c in enumerate(codes)) & full)]
+        for k in op7.GRAMS:
+            found += [mix(k + sum(c * pow(base, j + 8, 2**64) for j, c in enumerate(codes[i:i + k])) & full) for i in range(len(codes) - k + 1)]
+        scores.append(sum(float(model.buckets[h % op7.BUCKETS]) for h in found) / len(found))
+    n = min(len(scores), op7.BAG)
+    worst = max((sum(scores[i:i + n]) / n for i in range(len(scores) - n + 1)), default=0.0) if n else 0.0
+    return 1 / (1 + np.exp(-(worst + model.bias)))
+
+
+def test_scores_match_plain_python(spark):
+    rows = toxic_corpus(200, 5)
+    df = frame(spark, awkward_rows() + [(100 + i, t, None, None, 0) for i, t, _ in rows])
+    model = op7.fit(df, spark.createDataFrame([(100 + i, y) for i, _, y in rows], "doc_id long, toxic int"))
+    want = sorted(plain_score(model, r["text"]) for r in df.select("text").collect())
+    got = sorted(r["score"] for r in op7.score(df.select("doc_id", "text"), model).collect())
+    assert np.allclose(got, want, atol=1e-5) and max(got) > 0.9 > 0.1 > min(got)
+
+
+def test_training_sample_is_bounded_in_bytes(spark, monkeypatch):
+    rows = [(i, "x" * (10 * i), None, None, 0) for i in range(1, 100)] + [(200, "y" * 5000, None, None, 0), (7, "longer " * 20, None, None, 0)]
+    labels = spark.createDataFrame([(r[0], r[0] % 2) for r in rows], "doc_id long, toxic int")
+    monkeypatch.setattr(op7, "MAX_TEXT", 4000)
+    kept = {b: {r["doc_id"]: r["text"] for r in op7.sample(frame(spark, rows), labels, max_bytes=b).collect()} for b in (6000, 10**9)}
+    assert set(kept[6000]) < set(kept[10**9]) and 3000 < sum(map(len, kept[6000].values())) <= 6000
+    assert 200 not in kept[10**9] and kept[10**9][7] == "longer " * 20 and len(kept[10**9]) > 70
+
+
 def test_bags_match_plain_python():
-    import pyarrow as pa
     texts = ["Ab c,d é漢 x", "", "word", "a b c d e f g h i j k l m n o p q r s t"]
     for _, _, data, offsets in W.slices(pa.array(texts)):
         bags = op7.Bags(data, offsets)
