@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskframe.functions.ordered import running_sums
-from riskframe.session import ensure_checkpoint_dir
+from riskframe.session import Scratch, ensure_checkpoint_dir
 from riskframe.sources.tables import read_table
 
 SEED = 17
@@ -65,12 +65,13 @@ def source_targets(sizes: DataFrame, max_epochs: int = MAX_EPOCHS, cycle: int =
     return filled.select("source", "source_size", "before", target.alias("target"))
 
 
-def mix(docs: DataFrame, max_epochs: int = MAX_EPOCHS, cycle: int = CYCLE, seed: int = SEED) -> DataFrame:
+def mix(docs: DataFrame, max_epochs: int = MAX_EPOCHS, cycle: int = CYCLE, seed: int = SEED, number: str | None = None) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text, source): doc_id, source, text_hash, size,
-    source_size, target, copies (how often the mix takes it), taken (its words in the mix)."""
+    source_size, target, copies (how often the mix takes it), taken (its words in the mix), and
+    ``number``, a column that tells rows apart, if it's named."""
     ensure_checkpoint_dir(docs.sparkSession)
     sized = docs.select("doc_id", "source", F.xxhash64("text").alias("text_hash"), word_count(F.col("text")).alias("size"),
-                        shuffle_key(F.col("doc_id"), seed).alias("key")).checkpoint(eager=True)
+                        shuffle_key(F.col("doc_id"), seed).alias("key"), *([number] if number else [])).checkpoint(eager=True)
     sources = source_targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), max_epochs, cycle)
     sources = sources.checkpoint(eager=True)
     budget = sources.agg(F.sum("source_size")).first()[0] or 0
@@ -82,7 +83,7 @@ def mix(docs: DataFrame, max_epochs: int = MAX_EPOCHS, cycle: int = CYCLE, seed:
                     / F.col("target")).otherwise(F.lit(0.0))
     copies = placed.withColumn("round", F.explode(F.sequence(F.lit(1), F.lit(max_epochs)))).withColumn("finish", finish)
     served = running_sums(copies, ["finish", order[0], "round", "place"], {"total": "size"})
-    columns = ["doc_id", "source", "text_hash", "size", "source_size", "target"]
+    columns = ["doc_id", "source", "text_hash", "size", "source_size", "target", *([number] if number else [])]
     kept = F.count_if(F.col("total") <= F.lit(budget))
     return (served.groupBy("place").agg(*[F.first(c).alias(c) for c in columns], kept.alias("copies"))
             .select(*columns, "copies", (F.col("size") * F.col("copies")).alias("taken")))
@@ -90,13 +91,13 @@ def mix(docs: DataFrame, max_epochs: int = MAX_EPOCHS, cycle: int = CYCLE, seed:
 
 def apply_mix(docs: DataFrame, **how) -> DataFrame:
     """``docs`` with each row as often as ``mix`` takes it (rows taken 0 times are gone); same columns."""
-    text_hash = F.xxhash64("text")
-    taken = mix(docs, **how).groupBy("doc_id", "source", "text_hash").agg(F.sum("copies").alias("copies")).where("copies > 0")
-    # equal rows count as one row here, taken as often as all of them together
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").alias("i"),
-                       F.col("source").alias("s"), text_hash.alias("t")).dropDuplicates(["i", "s", "t"])
-    match = F.col("i").eqNullSafe(F.col("doc_id")) & F.col("s").eqNullSafe(F.col("source")) & F.col("t").eqNullSafe(F.col("text_hash"))
-    each = rows.join(taken, match).select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    # rows are numbered in a stored copy, so equal ones stay rows of their own, with all their columns
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    numbered = docs.select(row.alias("row"), F.monotonically_increasing_id().alias("number"))
+    numbered = Scratch(docs.sparkSession, "mixing").write(numbered)
+    parts = numbered.select("number", *[F.col("row").getField(c).alias(c) for c in ("doc_id", "text", "source")])
+    taken = mix(parts, **how, number="number").where("copies > 0").select("number", "copies")
+    each = numbered.join(taken, "number").select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
     return each.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
 
 

@@ -3,6 +3,7 @@ import re
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from riskframe.llm import op2_line_dedup as op2
 from riskframe.llm import op9_mixing as op9
@@ -100,6 +101,19 @@ def test_mix_reruns_agree_and_repeats_rows(spark):
     assert {d: t for d, t in a if t} == {d: n * len(rows[d][1].split()) for d, n in counts.items()}
 
 
+def test_rows_that_differ_in_other_columns_alone_stay_rows_of_their_own(spark):
+    one = [(None, "same text here", "en", "a", 1), (None, "same text here", "de", "a", 2), (5, "other", "en", "a", 3), (5, "other", "fr", "a", 4)]
+    got = Counter((r["doc_id"], r["text"], r["lang"], r["source"], r["n_chars"]) for r in op9.apply_mix(frame(spark, one, extra=True)).collect())
+    assert got == Counter(one)  # a lone source is taken once in full
+    two = one + [(6, f"more {i}", None, "b", i) for i in range(4)]
+    df = frame(spark, two)
+    due = Counter()
+    for r in op9.mix(df).collect():
+        due[r["doc_id"], r["text_hash"]] += r["copies"]
+    taken = Counter((r["doc_id"], r["h"]) for r in op9.apply_mix(df).select("doc_id", F.xxhash64("text").alias("h")).collect())
+    assert taken == +due
+
+
 def test_mix_of_nothing(spark):
     assert op9.mix(frame(spark, [])).collect() == [] and op9.apply_mix(frame(spark, [])).collect() == []
     got = op9.mix(frame(spark, [(1, None, None, None, None), (2, "", None, "a", 0)])).collect()
