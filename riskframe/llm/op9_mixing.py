@@ -16,8 +16,8 @@ so a source with most of the rows is spread over many tasks; only scalars
 
 Defined results: a null or empty text has size 0 and is taken 0 words; null is
 a source of its own, last in order; rows that repeat a ``doc_id`` are documents
-of their own; ties in finish time go by source, round, shuffle key, doc_id and
-size; if all sizes are 0, all targets are 0; an empty table gives no rows.
+of their own; ties in finish time go by source, round, shuffle key, doc_id, size
+and a hash of the text; if all sizes are 0, all targets are 0; an empty table gives no rows.
 Other columns are not read.
 """
 
@@ -75,7 +75,7 @@ def mix(docs: DataFrame, max_epochs: int = MAX_EPOCHS, cycle: int = CYCLE, seed:
     sources = source_targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), max_epochs, cycle)
     sources = sources.checkpoint(eager=True)
     budget = sources.agg(F.sum("source_size")).first()[0] or 0
-    order = [F.col("source").asc_nulls_last(), "key", "doc_id", "size"]
+    order = [F.col("source").asc_nulls_last(), "key", "doc_id", "size", "text_hash"]
     queued = running_sums(sized, order, {"through": "size"}, row_number="place")
     by_source = sources.withColumnRenamed("source", "of")
     placed = queued.join(by_source, F.col("source").eqNullSafe(F.col("of"))).drop("of")
