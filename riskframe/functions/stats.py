@@ -1,95 +1,84 @@
-"""Scalar distribution functions for test p-values (numpy, no scipy).
+"""p-values of the drift tests, as Column expressions over one-row-per-column summary tables.
 
-They run inside a pandas UDF over one-row-per-column summary tables, never
-over data rows.
+The chi-square and normal tails are regularised incomplete gamma functions,
+summed with ``aggregate`` over a sequence of as many terms as a row needs.
+Only the exact Kolmogorov-Smirnov probability, a recursion over lattice paths,
+is numpy in a pandas UDF; it sees a row per tested column, never data rows.
 """
 
 from __future__ import annotations
 
 import math
-from itertools import count
 
 import numpy as np
 import pandas as pd
+from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
+from pyspark.sql.types import DoubleType
 
 NORMAL_DOF = 1e6  # beyond it the gamma function's rounding is larger than the normal law's error
 EXACT_KS_ROWS = 10_000  # up to this many rows on the larger side the KS probability is exact (scipy's rule)
+TINY = 1e-300
+NAN = float("nan")
 
 
-def norm_two_sided_p(z: float) -> float:
-    """P(|Z| >= |z|) for a standard normal Z."""
-    if z is None or (isinstance(z, float) and math.isnan(z)):
-        return float("nan")
-    return math.erfc(abs(z) / math.sqrt(2.0))
-
-
-def _gamma_p_series(a: float, x: float) -> float:
-    term = 1.0 / a
-    total = term
-    ap = a
-    while True:  # some multiples of sqrt(a) terms
-        ap += 1.0
-        term *= x / ap
-        total += term
-        if abs(term) < abs(total) * 1e-16:
-            break
-    return total * math.exp(-x + a * math.log(x) - math.lgamma(a))
-
-
-def _gamma_q_cf(a: float, x: float) -> float:
-    tiny = 1e-300
-    b = x + 1.0 - a
-    c = 1.0 / tiny
-    d = 1.0 / b
-    h = d
-    for i in count(1):
-        an = -i * (i - a)
-        b += 2.0
-        d = an * d + b
-        d = tiny if abs(d) < tiny else d
-        c = b + an / c
-        c = tiny if abs(c) < tiny else c
-        d = 1.0 / d
-        delta = d * c
-        h *= delta
-        if abs(delta - 1.0) < 4e-16:
-            break
-    return math.exp(-x + a * math.log(x) - math.lgamma(a)) * h
-
-
-def chi2_sf(stat: float, dof: float) -> float:
-    """Upper tail of the chi-square distribution: Q(dof/2, stat/2)."""
-    if stat is None or math.isnan(stat) or dof is None or dof <= 0:
-        return float("nan")
-    if math.isinf(stat):
-        return 0.0
-    a, x = dof / 2.0, stat / 2.0
-    if x <= 0:
-        return 1.0
-    if dof > NORMAL_DOF:  # Wilson and Hilferty: the cube root is normal, with an error of the order of 1 / dof
-        z = ((stat / dof) ** (1 / 3) - (1 - 2 / (9 * dof))) / math.sqrt(2 / (9 * dof))
-        return 0.5 * math.erfc(z / math.sqrt(2.0))
-    if x < a + 1.0:
-        return max(0.0, 1.0 - _gamma_p_series(a, x))
-    return min(1.0, _gamma_q_cf(a, x))
+def _terms(a: Column) -> Column:
+    """1 .. as many terms as the sums below need for a shape ``a``: neighbours shrink like a normal law of variance a."""
+    return F.sequence(F.lit(1), (F.lit(80) + F.ceil(F.lit(10.0) * F.sqrt(a))).cast("int"))
 
 
-def kolmogorov_sf(z: float) -> float:
-    """Asymptotic Kolmogorov tail P(K > z) = 2 sum (-1)^(j-1) exp(-2 j^2 z^2)."""
-    if z <= 0:
-        return 1.0
-    if z < 0.27:
-        return 1.0
-    total = 0.0
-    for j in range(1, 101):
-        term = math.exp(-2.0 * j * j * z * z)
-        total += term if j % 2 else -term
-        if term < 1e-18:
-            break
-    return max(0.0, min(1.0, 2.0 * total))
+def lgamma(a: Column) -> Column:
+    """ln of the gamma function for a > 0, by Stirling's series ten places further up."""
+    z = a + 10.0
+    inverse = F.lit(1.0) / z
+    square = inverse * inverse
+    series = inverse * (F.lit(1 / 12) - square * (F.lit(1 / 360) - square * (F.lit(1 / 1260) - square * (F.lit(1 / 1680) - square / 1188))))
+    shift = sum((F.log(a + float(i)) for i in range(1, 10)), F.log(a))
+    return (z - 0.5) * F.log(z) - z + 0.5 * math.log(2 * math.pi) + series - shift
+
+
+def gamma_q(a: Column, x: Column) -> Column:
+    """Upper regularised incomplete gamma function Q(a, x): a power series below a + 1, a continued fraction above."""
+    scale = F.exp(a * F.log(x) - x - lgamma(a))
+    series = F.aggregate(_terms(a), F.struct((F.lit(1.0) / a).alias("term"), (F.lit(1.0) / a).alias("total")), lambda s, n: F.struct(
+        (s["term"] * x / (a + n)).alias("term"), (s["total"] + s["term"] * x / (a + n)).alias("total")), lambda s: s["total"])
+    clear = lambda v: F.when(F.abs(v) < TINY, F.lit(TINY)).otherwise(v)
+
+    def step(s: Column, n: Column) -> Column:
+        an = -n * (n - a)
+        b = x + 2.0 * n + 1.0 - a
+        c, d = clear(b + an / s["c"]), F.lit(1.0) / clear(b + an * s["d"])
+        return F.struct(c.alias("c"), d.alias("d"), (s["h"] * c * d).alias("h"))
+
+    first = F.lit(1.0) / clear(x + 1.0 - a)
+    start = F.struct(F.lit(1 / TINY).alias("c"), first.alias("d"), first.alias("h"))
+    fraction = F.aggregate(F.transform(_terms(a), lambda n: n.cast("double")), start, step, lambda s: s["h"])
+    q = F.when(x < a + 1.0, F.lit(1.0) - scale * series).otherwise(scale * fraction)
+    return F.when(x <= 0, F.lit(1.0)).when(x == float("inf"), F.lit(0.0)).otherwise(F.greatest(F.least(q, F.lit(1.0)), F.lit(0.0)))
+
+
+def norm_two_sided_p(z: Column) -> Column:
+    """P(|Z| >= |z|) of a standard normal Z: Q(1/2, z^2 / 2); NaN without a statistic."""
+    return F.when(z.isNull() | F.isnan(z), F.lit(NAN)).otherwise(gamma_q(F.lit(0.5), z * z / 2.0))
+
+
+def chi2_sf(stat: Column, dof: Column) -> Column:
+    """Upper tail of the chi-square distribution: Q(dof / 2, stat / 2); beyond ``NORMAL_DOF`` the cube root is
+    normal (Wilson and Hilferty), with an error of the order of 1 / dof."""
+    dof = dof.cast("double")
+    spread = F.lit(2.0) / (F.lit(9.0) * dof)
+    z = (F.pow(stat / dof, F.lit(1 / 3)) - (F.lit(1.0) - spread)) / F.sqrt(spread)
+    half = norm_two_sided_p(z) / 2.0
+    normal = F.when(z >= 0, half).otherwise(F.lit(1.0) - half)
+    exact = gamma_q(F.least(dof, F.lit(NORMAL_DOF)) / 2.0, stat / 2.0)
+    return F.when(stat.isNull() | F.isnan(stat) | dof.isNull() | (dof <= 0), F.lit(NAN)).when(dof > NORMAL_DOF, normal).otherwise(exact)
+
+
+def kolmogorov_sf(z: Column) -> Column:
+    """Asymptotic Kolmogorov tail P(K > z) = 2 sum (-1)^(j-1) exp(-2 j^2 z^2); 1 where it is to all digits."""
+    total = F.aggregate(F.sequence(F.lit(1), F.lit(101)), F.lit(0.0), lambda s, j: s + F.when(j % 2 == 1, 1.0).otherwise(-1.0) * F.exp(
+        F.lit(-2.0) * j * j * z * z))
+    return F.when(z < 0.2, F.lit(1.0)).otherwise(F.greatest(F.least(2.0 * total, F.lit(1.0)), F.lit(0.0)))
 
 
 def ks_exact_p(d: float, n1: int, n2: int) -> float:
@@ -118,27 +107,17 @@ def ks_exact_p(d: float, n1: int, n2: int) -> float:
     return max(0.0, min(1.0, -math.expm1(math.log(paths[n]) + log_scale - log_all)))
 
 
-def ks_p_value(d: float, n1: int, n2: int) -> float:
-    if d is None or math.isnan(d) or not n1 or not n2:
-        return float("nan")
-    if max(n1, n2) <= EXACT_KS_ROWS:
-        return ks_exact_p(d, n1, n2)
-    return kolmogorov_sf(math.sqrt(n1 * n2 / (n1 + n2)) * d)
-
-
-@F.pandas_udf(T.DoubleType())
-def p_value_udf(test: pd.Series, stat: pd.Series, n1: pd.Series, n2: pd.Series, dof: pd.Series) -> pd.Series:
-    """p-value per summary row: ``test`` in {'ks','chisquare','z'}."""
-    out = []
-    for t, s, a, b, k in zip(test, stat, n1, n2, dof):
-        if s is None or (isinstance(s, float) and math.isnan(s)):
-            out.append(float("nan"))
-        elif t == "ks":
-            out.append(ks_p_value(float(s), int(a), int(b)))
-        elif t == "chisquare":
-            out.append(chi2_sf(float(s), float(k)))
-        elif t == "z":
-            out.append(norm_two_sided_p(float(s)))
-        else:
-            out.append(float("nan"))
-    return pd.Series(out, dtype="float64")
+@F.pandas_udf(DoubleType())
+def ks_exact(d: pd.Series, n1: pd.Series, n2: pd.Series) -> pd.Series:
+    return pd.Series([NAN if pd.isna(x) else ks_exact_p(float(x), int(a), int(b)) for x, a, b in zip(d, n1, n2)], dtype="float64")
+
+
+def ks_p_value(d: Column, n1: Column, n2: Column, exact: bool = True) -> Column:
+    """Two-sided p-value of a KS statistic: exact up to ``EXACT_KS_ROWS`` rows a side unless told otherwise."""
+    known = d.isNotNull() & ~F.isnan(d) & (n1 > 0) & (n2 > 0)
+    limit = kolmogorov_sf(F.sqrt(n1 * (n2 / F.greatest(n1 + n2, F.lit(1)))) * d)
+    if not exact:
+        return F.when(known, limit).otherwise(NAN)
+    small = known & (F.greatest(n1, n2) <= EXACT_KS_ROWS)
+    # the recursion only gets the rows it is for
+    return F.when(small, ks_exact(F.when(small, d), n1, n2)).when(known, limit).otherwise(NAN)

@@ -11,8 +11,8 @@ n_cur)`` (partial aggregation before the shuffle, so hot values are cheap).
   from ``running_totals`` (range-split per column, no one-task window);
 * Jensen-Shannon, chi-square and Z use value (or bin) counts only.
 
-Summaries are one row per column and stay DataFrames; p-values are a pandas
-UDF over those rows.
+Summaries are one row per column and stay DataFrames; p-values are Column
+expressions over those rows (``functions.stats``).
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.functions.prefix import running_totals
-from riskframe.functions.stats import p_value_udf
+from riskframe.functions.stats import chi2_sf, ks_p_value, norm_two_sided_p
 from riskframe.operators.features import drop_index_columns
 from riskframe.session import ensure_checkpoint_dir
 
@@ -182,6 +182,26 @@ def z_statistics(vc: DataFrame, plan: DataFrame) -> DataFrame:
     return g.select("column_name", F.when(F.col("n_distinct") == 1, F.lit(0.0)).otherwise(z).alias("stat"))
 
 
+def p_values(vc: DataFrame, plan: DataFrame, used: set[str] | None = None, exact_ks: bool = True) -> DataFrame:
+    """(column_name, test, stat, p_value) of the columns that ``plan`` gives a KS, chi-square or Z test."""
+    used = used if used is not None else {r["test"] for r in plan.select("test").distinct().collect()}
+    no_dof = F.lit(None).cast("long")
+    parts = [fn(vc, plan).select("column_name", F.lit(t).alias("test"), F.col("stat").cast("double").alias("stat"),
+                                 (F.col("dof").cast("long") if t == "chisquare" else no_dof).alias("dof"))
+             for t, fn in (("ks", ks_statistics), ("chisquare", chi2_statistics), ("z", z_statistics)) if t in used]
+    if not parts:
+        return vc.sparkSession.createDataFrame([], "column_name string, test string, stat double, p_value double")
+    stats = parts[0]
+    for x in parts[1:]:
+        stats = stats.unionByName(x)
+    # a row per column on both sides; the statistics are stored, so that no p-value computes them again
+    stats = stats.join(F.broadcast(plan.select("column_name", "tot_ref", "tot_cur")), "column_name").checkpoint(eager=True)
+    p = (F.when(F.col("test") == "chisquare", chi2_sf(F.col("stat"), F.col("dof")))
+         .when(F.col("test") == "z", norm_two_sided_p(F.col("stat")))
+         .otherwise(ks_p_value(F.when(F.col("test") == "ks", F.col("stat")), F.col("tot_ref"), F.col("tot_cur"), exact_ks)))
+    return stats.select("column_name", "test", "stat", p.alias("p_value"))
+
+
 def drift_table(reference: DataFrame, current: DataFrame, columns: list[str] | None = None,
                 stattest: str | dict | None = None, threshold: float | None = None,
                 vc: DataFrame | None = None) -> DataFrame:
@@ -193,20 +213,9 @@ def drift_table(reference: DataFrame, current: DataFrame, columns: list[str] | N
     used = {r["test"] for r in plan.select("test").distinct().collect()}
     dist_parts = [fn(vc, plan).withColumn("test", F.lit(t))
                   for t, fn in (("wasserstein", wasserstein_scores), ("jensenshannon", js_scores)) if t in used]
-    no_dof = F.lit(None).cast("long")
-    stat_parts = [fn(vc, plan).select("column_name", "stat", (F.col("dof") if t == "chisquare" else no_dof).alias("dof"))
-                  .withColumn("test", F.lit(t))
-                  for t, fn in (("ks", ks_statistics), ("chisquare", chi2_statistics), ("z", z_statistics))
-                  if t in used]
     parts = [d.select("column_name", "test", F.col("score").cast("double").alias("score")) for d in dist_parts]
-    if stat_parts:
-        stats = stat_parts[0]
-        for x in stat_parts[1:]:
-            stats = stats.unionByName(x)
-        stats = stats.join(F.broadcast(plan.select("column_name", "tot_ref", "tot_cur")), "column_name")
-        parts.append(stats.select("column_name", "test", p_value_udf(
-            F.col("test"), F.col("stat").cast("double"), F.col("tot_ref"), F.col("tot_cur"),
-            F.col("dof").cast("double")).alias("score")))
+    if used & {"ks", "chisquare", "z"}:
+        parts.append(p_values(vc, plan, used).select("column_name", "test", F.col("p_value").alias("score")))
     if parts:
         allsc = parts[0]
         for x in parts[1:]:

@@ -1,27 +1,24 @@
-"""Boosted-tree models on ``spark.ml``: fit, score, evaluate, continue
-(fine-tune) an existing model, retrain fallback, validate.
+"""Boosted-tree models: fit, score, evaluate, continue (fine-tune) an existing
+model, retrain fallback, validate.
 
-Training data never leaves the executors: ``GBTClassifier`` and
-``DecisionTreeRegressor`` aggregate split statistics per partition; only
-trees (kilobytes) reach the driver.  Long boosting loops checkpoint the
-working table to the shared checkpoint folder every few rounds.
+Training data never leaves the executors: ``spark.ml`` aggregates split
+statistics per partition; only trees (kilobytes) reach the driver.
+``fit_boosted`` and ``fine_tune`` boost with regularised leaves and stop on
+AUC (``boosting``); ``fit_gbt`` is ``GBTClassifier`` as it is.
 """
 
 from __future__ import annotations
 
-import json
-
 from pyspark.errors import AnalysisException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import DecisionTreeRegressionModel, DecisionTreeRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.operators.features import FEATURE_COLUMNS, LABEL, class_weight
+from riskframe.operators.boosting import Boosted, boost
+from riskframe.operators.features import FEATURE_COLUMNS, LABEL, align_features, class_weight
 from riskframe.operators.metrics import BASELINE_AUC, classification_report, roc_auc
 from riskframe.session import ensure_checkpoint_dir
 
@@ -32,10 +29,12 @@ PRESETS = {
     "full": {"maxIter": 500, "stepSize": 0.05, "maxDepth": 6, "class_weight": 25.0},
 }
 SEED = 42
+PATIENCE = 50  # rounds without a higher AUC after which a fit stops
+L2 = 3.0  # of the leaves; the studied learner's default
 FINE_TUNE_DEPTH = 4
 FINE_TUNE_WEIGHT = 15.0
-CHECKPOINT_EVERY = 5
-AUC_BINS = 10_000  # thresholds of the AUC that decides when to stop
+FINE_TUNE_L2 = 10.0
+FINE_TUNE_BAGGING = 1.0
 
 
 def fit_gbt(train: DataFrame, features: list[str] | None = None, label: str = LABEL, preset: str = "test",
@@ -64,7 +63,10 @@ def fit_gbt(train: DataFrame, features: list[str] | None = None, label: str = LA
 
 
 def score(model, df: DataFrame, keep: list[str] | None = None) -> DataFrame:
-    """Append ``is_fraud_pred`` and ``fraud_score`` (probability of class 1)."""
+    """Append ``is_fraud_pred`` and ``fraud_score`` (probability of class 1).  The model's features are found
+    by name: further columns stay as they are, a missing one is an error that names it."""
+    if not isinstance(model, Boosted):
+        align_features(df, model.stages[0].getInputCols())
     out = model.transform(df)
     prob = F.col("probability") if dict(out.dtypes)["probability"].startswith("array") else vector_to_array("probability")
     out = out.withColumn("fraud_score", prob[1]).withColumn(
@@ -92,124 +94,73 @@ def fit_summary(summary: DataFrame, params: dict, baseline_auc: float = BASELINE
     return summary.withColumn("auc_improvement", F.col("roc_auc") - F.lit(float(baseline_auc))).withColumn("params", pm)
 
 
+def fit_boosted(train: DataFrame, validation: DataFrame | None, features: list[str] | None = None, label: str = LABEL,
+                preset: str = "full", overrides: dict | None = None, patience: int = PATIENCE) -> tuple[Boosted, dict]:
+    """Boosted trees at a preset, stopped by the AUC of the ``validation`` rows and cut at the best round;
+    also {rounds_run, best_round, best_auc, history, params}."""
+    p = {**PRESETS[preset], **(overrides or {})}
+    l2 = float(p.get("l2", L2))
+    model, info = boost(train, validation, features or FEATURE_COLUMNS, label, int(p["maxIter"]), float(p["stepSize"]),
+                        int(p["maxDepth"]), float(p["class_weight"]), l2, patience)
+    return model, info | {"params": p | {"preset": preset, "l2": l2, "early_stopping_rounds": patience}}
+
+
 # ---------------------------------------------------------------- continuation
 class IncompatibleModel(ValueError):
     """A stored model that can't be continued on the given columns."""
 
 
-class BoostedContinuation:
-    """A saved base model plus extra regression trees on the log-loss margin.
+def as_boosted(model) -> Boosted:
+    return model if isinstance(model, Boosted) else Boosted.of_pipeline(model)
 
-    Spark's GBT margin ``F`` gives ``p = 1 / (1 + exp(-2F))``; each extra
-    round fits a tree to the negative gradient ``4y / (1 + exp(2yF))``
-    (``y`` in {-1, +1}) and adds ``rate * tree(x)``.  A continuation of a
-    continuation is one list of trees, each with its own rate.
-    """
 
-    def __init__(self, base: PipelineModel, trees: list, rates: list[float], base_path: str | None = None):
-        self.base, self.trees, self.rates, self.base_path = base, list(trees), [float(r) for r in rates], base_path
-
-    def margin(self, df: DataFrame) -> DataFrame:
-        out = self.base.transform(df).withColumn("_margin", vector_to_array("rawPrediction")[1])
-        out = out.drop("probability", "prediction", "rawPrediction")
-        for i, (t, rate) in enumerate(zip(self.trees, self.rates)):
-            t = t.copy()
-            t.setPredictionCol(f"_t{i}")
-            out = t.transform(out).withColumn("_margin", F.col("_margin") + F.lit(rate) * F.col(f"_t{i}")).drop(f"_t{i}")
-        return out
-
-    def transform(self, df: DataFrame) -> DataFrame:
-        m = self.margin(df)
-        p1 = F.lit(1.0) / (F.lit(1.0) + F.exp(F.lit(-2.0) * F.col("_margin")))
-        return (m.withColumn("probability", F.array(F.lit(1.0) - p1, p1))
-                .withColumn("prediction", (F.col("_margin") > 0).cast("double"))
-                .withColumn("rawPrediction", F.array(-F.col("_margin"), F.col("_margin"))))
-
-    def save(self, path: str, base_path: str) -> None:
-        """``base_path``: where the base ``PipelineModel`` is (that of the first model of a chain)."""
-        for i, t in enumerate(self.trees):
-            t.write().overwrite().save(f"{path}/trees/{i}")
-        meta = {"base_path": self.base_path or base_path, "rates": self.rates}
-        s = SparkSession.getActiveSession()
-        s.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1).write.mode("overwrite").text(f"{path}/meta")
-
-    @staticmethod
-    def load(path: str) -> "BoostedContinuation":
-        s = SparkSession.getActiveSession()
-        meta = json.loads(s.read.text(f"{path}/meta").first()[0])
-        trees = [DecisionTreeRegressionModel.load(f"{path}/trees/{i}") for i in range(len(meta["rates"]))]
-        return BoostedContinuation(PipelineModel.load(meta["base_path"]), trees, meta["rates"], meta["base_path"])
-
-
-def _auc(df: DataFrame, label: str) -> float:
-    return BinaryClassificationEvaluator(rawPredictionCol="_margin", labelCol=label, numBins=AUC_BINS).evaluate(df)
-
-
-def fine_tune(base, train: DataFrame, validation: DataFrame, label: str = LABEL,
-              learning_rate: float = 0.01, epochs: int = 10, depth: int = FINE_TUNE_DEPTH,
-              weight: float = FINE_TUNE_WEIGHT, patience: int | None = None,
-              min_instances: int = 1) -> tuple[BoostedContinuation, dict]:
-    """Continue boosting ``base`` (a ``PipelineModel`` or a continuation) for up to
-    ``epochs`` rounds; stop after ``patience`` (default ``max(2, epochs // 3)``)
-    rounds without a higher validation AUC and keep the best prefix of rounds."""
-    spark = train.sparkSession
-    ensure_checkpoint_dir(spark)
+def fine_tune(base, train: DataFrame, validation: DataFrame, label: str = LABEL, learning_rate: float = 0.01,
+              epochs: int = 10, depth: int = FINE_TUNE_DEPTH, weight: float = FINE_TUNE_WEIGHT, patience: int | None = None,
+              l2: float = FINE_TUNE_L2, bagging: float = FINE_TUNE_BAGGING) -> tuple[Boosted, dict]:
+    """Continue boosting ``base`` (boosted trees or a ``GBTClassifier`` pipeline) for up to ``epochs`` rounds; stop after
+    ``patience`` (default ``max(2, epochs // 3)``) rounds without a higher validation AUC and keep the best prefix.
+    Features are taken by the model's names: further columns are ignored, a missing one is an error."""
+    model = as_boosted(base)
+    try:
+        align_features(train, model.features)
+        align_features(validation, model.features)
+    except ValueError as e:
+        raise IncompatibleModel(str(e)) from e
     patience = patience if patience is not None else max(2, epochs // 3)
-    earlier = base if isinstance(base, BoostedContinuation) else BoostedContinuation(base, [], [])
-    missing = [c for c in earlier.base.stages[0].getInputCols() if c not in train.columns]
-    if missing:
-        raise IncompatibleModel(f"the model's features {missing} are not in the data")
-    cont = BoostedContinuation(earlier.base, earlier.trees, earlier.rates, earlier.base_path)
-    d = class_weight(cont.margin(train), weight, label).checkpoint(eager=True)
-    v = cont.margin(validation).checkpoint(eager=True)
-    best, best_n, since = _auc(v, label), 0, 0
-    history = [best]
-    y = F.lit(2.0) * F.col(label).cast("double") - F.lit(1.0)
-    for r in range(epochs):
-        d = d.withColumn("_resid", F.lit(4.0) * y / (F.lit(1.0) + F.exp(F.lit(2.0) * y * F.col("_margin"))))
-        tree = DecisionTreeRegressor(featuresCol="features", labelCol="_resid", weightCol="weight",
-                                     maxDepth=depth, minInstancesPerNode=min_instances, seed=SEED,
-                                     predictionCol="_t").fit(d)
-        cont.trees.append(tree)
-        cont.rates.append(float(learning_rate))
-        d = tree.transform(d).withColumn("_margin", F.col("_margin") + F.lit(learning_rate) * F.col("_t")).drop("_t", "_resid")
-        v = tree.transform(v).withColumn("_margin", F.col("_margin") + F.lit(learning_rate) * F.col("_t")).drop("_t")
-        if (r + 1) % CHECKPOINT_EVERY == 0:
-            d, v = d.checkpoint(eager=True), v.checkpoint(eager=True)
-        auc = _auc(v, label)
-        history.append(auc)
-        if auc > best:
-            best, best_n, since = auc, r + 1, 0
-        else:
-            since += 1
-            if since >= patience:
-                break
-    kept = len(earlier.trees) + best_n
-    cont.trees, cont.rates = cont.trees[:kept], cont.rates[:kept]
-    return cont, {"rounds_run": len(history) - 1, "rounds_kept": best_n, "best_val_auc": best,
-                  "val_auc_history": history}
-
-
-def retrain_fallback(train: DataFrame, validation: DataFrame, features: list[str] | None = None,
-                     label: str = LABEL, learning_rate: float = 0.01, epochs: int = 10) -> PipelineModel:
-    """From-scratch model used when a continuation is impossible: 3x rounds,
-    half the learning rate, depth 4, positive weight 15."""
-    return fit_gbt(train, features, label, "test",
-                   {"maxIter": 3 * epochs, "stepSize": 0.5 * learning_rate, "maxDepth": FINE_TUNE_DEPTH,
-                    "class_weight": FINE_TUNE_WEIGHT}, validation=validation)
+    tuned, info = boost(train, validation, model.features, label, epochs, learning_rate, depth, weight, l2, patience, start=model,
+                        bagging=bagging)
+    params = {"learning_rate": learning_rate, "epochs": epochs, "depth": depth, "class_weight": weight, "l2": l2,
+              "bagging_temperature": bagging, "early_stopping_rounds": patience}
+    return tuned, info | {"rounds_kept": info["best_round"], "params": params}
+
+
+def retrain_fallback(train: DataFrame, validation: DataFrame, features: list[str] | None = None, label: str = LABEL,
+                     learning_rate: float = 0.01, epochs: int = 10) -> tuple[Boosted, dict]:
+    """From-scratch model used when a continuation is impossible: 3x rounds, half the learning rate, depth 4,
+    positive weight 15, the same regularisation; stopped after ``epochs`` rounds without a higher AUC."""
+    params = {"learning_rate": 0.5 * learning_rate, "epochs": 3 * epochs, "depth": FINE_TUNE_DEPTH, "class_weight": FINE_TUNE_WEIGHT,
+              "l2": FINE_TUNE_L2, "bagging_temperature": FINE_TUNE_BAGGING, "early_stopping_rounds": epochs}
+    model, info = boost(train, validation, features or FEATURE_COLUMNS, label, 3 * epochs, 0.5 * learning_rate, FINE_TUNE_DEPTH,
+                        FINE_TUNE_WEIGHT, FINE_TUNE_L2, epochs, bagging=FINE_TUNE_BAGGING)
+    return model, info | {"params": params}
 
 
+# ---------------------------------------------------------------- stored models
 def save_model(model, path: str) -> str:
-    model.write().overwrite().save(path)
+    """Boosted trees or a ``PipelineModel``."""
+    if isinstance(model, Boosted):
+        model.save(path)
+    else:
+        model.write().overwrite().save(path)
     return path
 
 
 def load_model(path: str):
-    """A saved ``PipelineModel`` or ``BoostedContinuation`` (which has a ``meta`` folder)."""
+    """A saved ``Boosted`` (it has a ``meta`` file) or ``PipelineModel``."""
     try:
         SparkSession.getActiveSession().read.text(f"{path}/meta")
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
         return PipelineModel.load(path)
-    return BoostedContinuation.load(path)
+    return Boosted.load(path)

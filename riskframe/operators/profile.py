@@ -7,6 +7,11 @@ Each is one or two aggregations with map-side combine; results are small
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import partial
+
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -181,6 +186,28 @@ def cardinality(df: DataFrame, approx: bool = False, high: int = 100) -> DataFra
         "high_cardinality", (F.col("dtype") == "string") & (F.col("n_distinct") > high))
 
 
+def high_cardinality(df: DataFrame, high: int = 100, rsd: float = 0.02) -> DataFrame:
+    """(column_name, n_distinct, exact, high_cardinality) of every column: whether it has more than ``high`` distinct
+    values, exactly, from sketches.
+
+    One pass makes a HyperLogLog sketch per column; only columns whose estimate is within ten standard errors of the
+    limit are counted exactly, by distinct (column, value) pairs.  ``n_distinct`` is that count, else the estimate."""
+    names = df.columns
+    schema = "column_name string, n_distinct long, exact boolean, high_cardinality boolean"
+    if not names:
+        return df.sparkSession.createDataFrame([], schema)
+    wide = df.agg(*[F.approx_count_distinct(F.col(f"`{c}`"), rsd).alias(f"c{i}") for i, c in enumerate(names)]).first()
+    found = dict(zip(names, wide))
+    near = [c for c in names if high * (1 - 10 * rsd) <= found[c] <= high * (1 + 10 * rsd)]
+    exact: dict[str, int] = {}
+    if near:
+        pairs = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").cast("string").alias("value"))
+                                              for c in near])).alias("x")).select("x.*").where(F.col("value").isNotNull())
+        exact = {r["column_name"]: r["count"] for r in pairs.distinct().groupBy("column_name").count().collect()}  # a row a column
+    counts = {c: exact.get(c, 0) if c in near else found[c] for c in names}
+    return df.sparkSession.createDataFrame([(c, n, c in near, n > high) for c, n in counts.items()], schema)
+
+
 def type_census(df: DataFrame) -> DataFrame:
     """Columns per data type (schema metadata only)."""
     spark = df.sparkSession
@@ -190,19 +217,31 @@ def type_census(df: DataFrame) -> DataFrame:
     return spark.createDataFrame(sorted(rows.items()), "dtype string, n_columns long")
 
 
+def _least_distinct(k: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    kept: dict[str, pa.Array] = {}
+    for batch in batches:
+        for name, column in zip(batch.schema.names, batch.columns):
+            values = pa.concat_arrays([kept[name], column]) if name in kept else column
+            values = values.drop_null().unique()
+            # bytes sort as Spark sorts strings
+            order = pc.array_sort_indices(values.cast(pa.binary()))
+            kept[name] = values.take(order[:k])
+    for name, values in kept.items():
+        yield pa.RecordBatch.from_arrays([pa.array([name] * len(values), pa.string()), values], names=["column_name", "value"])
+
+
 def value_preview(df: DataFrame, cols: list[str] | None = None, k: int = 5) -> DataFrame:
     """First ``k`` distinct values (in sort order) of each text column.
 
-    The ``row_number() <= k`` filter is planned with a partial per-partition
-    group limit before the shuffle, so each column moves at most k rows per task.
-    """
+    A task keeps the k least distinct values of each column that it meets, so it hands on at most k rows a column,
+    however many values there are and however often one occurs."""
     cols = cols or [c for c, t in df.dtypes if t == "string"]
-    long = df.select(*[F.col(c).cast("string").alias(c) for c in cols]).unpivot(
-        [], cols, "column_name", "value").where(F.col("value").isNotNull())
-    d = long.groupBy("column_name", "value").agg(F.count("*").alias("n"))
+    if not cols:
+        return df.sparkSession.createDataFrame([], "column_name string, pos int, value string")
+    text = df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in cols])
+    least = text.mapInArrow(partial(_least_distinct, k), "column_name string, value string").distinct()
     w = Window.partitionBy("column_name").orderBy("value")
-    return d.withColumn("pos", F.row_number().over(w)).where(F.col("pos") <= k).select(
-        "column_name", "pos", "value")
+    return least.withColumn("pos", F.row_number().over(w)).where(F.col("pos") <= k).select("column_name", "pos", "value")
 
 
 def distinct_values(df: DataFrame, col: str) -> DataFrame:

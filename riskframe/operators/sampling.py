@@ -23,9 +23,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskframe.functions.columns import rank_hash
+from riskframe.functions.joins import sized_broadcast
 from riskframe.session import ensure_checkpoint_dir
 
 HASH_BUCKET_HEX = 5  # 20 bits
+BOTTOM_K = 50_000  # rows that one task may gather of a sample, from each group
+MERGE_GROUPS = 64
 
 
 def approximate_mode(counts: dict, n_draws: int) -> dict:
@@ -93,8 +96,9 @@ def mark_by_hash_rank(df: DataFrame, key, seed: int, quota, by: str | None = Non
         quotas = quota if isinstance(quota, dict) else {0: int(quota)}
     gtype = dict(d.dtypes)[g]
     qdf = spark.createDataFrame([(k, int(v)) for k, v in quotas.items()], f"{g} {gtype}, _quota long")
+    small = sized_broadcast if by else F.broadcast  # a row a stratum; without strata one row
     w = Window.partitionBy(g).orderBy("_hb").rowsBetween(Window.unboundedPreceding, 0)
-    cum = cnt.withColumn("_cum", F.sum("count").over(w)).join(F.broadcast(qdf), g)
+    cum = cnt.withColumn("_cum", F.sum("count").over(w)).join(small(qdf), g)
     bound = (cum.where((F.col("_cum") >= F.col("_quota")) & (F.col("_quota") > 0))
              .groupBy(g).agg(F.min_by(F.struct(F.col("_hb").alias("b"),
                                                (F.col("_quota") - F.col("_cum") + F.col("count")).alias("need")),
@@ -103,12 +107,12 @@ def mark_by_hash_rank(df: DataFrame, key, seed: int, quota, by: str | None = Non
     # the last selected row of each stratum: only the rows of its boundary bucket are ranked
     last = F.struct("_h", *order_keys)
     ranked = Window.partitionBy(g, "_hb").orderBy("_h", *order_keys)
-    cut = (d.join(F.broadcast(bound.checkpoint(eager=True)), [g, "_hb"]).withColumn("_rn", F.row_number().over(ranked))
+    cut = (d.join(sized_broadcast(bound), [g, "_hb"]).withColumn("_rn", F.row_number().over(ranked))
            .where(F.col("_rn") == F.col("_need")).select(g, last.alias("_cut")))
     # one row per stratum: nothing selected for quota 0, all rows where there is no boundary
-    info = qdf.join(F.broadcast(cut), g, "left").select(g, (F.col("_quota") > 0).alias("_some"), "_cut").checkpoint(eager=True)
+    info = qdf.join(cut, g, "left").select(g, (F.col("_quota") > 0).alias("_some"), "_cut").checkpoint(eager=True)
     if by:
-        j = d.join(F.broadcast(info), g, "left")
+        j = d.join(small(info), g, "left")
         chosen = F.col("_some") & (F.col("_cut").isNull() | (last <= F.col("_cut")))
     else:
         # a single stratum: its boundary is one row, used as a literal (no join at all)
@@ -122,10 +126,26 @@ def mark_by_hash_rank(df: DataFrame, key, seed: int, quota, by: str | None = Non
     return out if by else out.drop(g)
 
 
+def bottom_k(df: DataFrame, n: int, key, seed: int = 42) -> DataFrame:
+    """The ``n`` rows of least (md5(key-seed), key), from one pass over ``df``.
+
+    Bottom-k sets merge: every task keeps its n least rows (Spark's window group limit), ``MERGE_GROUPS`` groups of
+    tasks keep theirs, and a top-n takes the rest."""
+    keys = list(key) if isinstance(key, (list, tuple)) else [key]
+    order = ["_h", *keys]
+    tasks = df.withColumns({"_h": rank_hash(key, seed), "_group": F.spark_partition_id() % MERGE_GROUPS})
+    least = Window.partitionBy("_group").orderBy(*order)
+    kept = tasks.withColumn("_rn", F.row_number().over(least)).where(F.col("_rn") <= n)
+    return kept.orderBy(*order).limit(n).drop("_h", "_group", "_rn")
+
+
 def sample_n(df: DataFrame, n: int, key, seed: int = 42) -> DataFrame:
     """Uniform n-row sample without replacement (n capped by the row count).
 
-    ``key``: a unique column, a list of columns, or None (see ``mark_by_hash_rank``)."""
+    ``key``: a unique column, a list of columns, or None (see ``mark_by_hash_rank``).  Samples of up to ``BOTTOM_K``
+    rows take one pass, larger ones the passes of ``mark_by_hash_rank``; both give the same rows."""
+    if key is not None and n <= BOTTOM_K:
+        return bottom_k(df, n, key, seed)
     return mark_by_hash_rank(df, key, seed, n).where("_selected").drop("_selected")
 
 
@@ -187,9 +207,9 @@ def rare_class_sample(df: DataFrame, key, label: str = "is_fraud", fraction: flo
     return stratified_subset(df, key, label, fraction, seed, counts=counts)
 
 
-def balanced_reference(reference: DataFrame, current: DataFrame, key, ratio: int = 5,
+def balanced_reference(reference: DataFrame, current: DataFrame, key, ratio: float = 5,
                        seed: int = 42) -> DataFrame:
     """Down-sample the reference side to at most ``ratio`` times the current side."""
     n_ref, n_cur = reference.count(), current.count()
-    n = min(n_ref, ratio * n_cur)
+    n = min(n_ref, int(ratio * n_cur))
     return reference if n >= n_ref else sample_n(reference, n, key, seed)

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskframe.functions.columns import age_years, haversine_km, round_floats, weekday_mon0
+from riskframe.operators import boosting as bo
 from riskframe.operators import augment as ag
 from riskframe.operators import drift as dr
 from riskframe.operators import encode as en
@@ -180,6 +181,13 @@ def q_cardinality(spark, sf_dir):
     return pr.cardinality(transactions(spark, sf_dir))
 
 
+@register("high_cardinality", with_views(" UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, count(DISTINCT \"{c}\") > 100 AS high_cardinality FROM tx" for c in _TX_COLS)))
+def q_high_cardinality(spark, sf_dir):
+    """Columns with over 100 distinct values, from one pass of sketches and exact counts near the limit."""
+    return pr.high_cardinality(transactions(spark, sf_dir)).select("column_name", "high_cardinality")
+
+
 _PREVIEW_COLS = ["merchant", "category", "first", "last", "gender", "street", "city", "state", "job"]
 
 
@@ -236,8 +244,7 @@ def q_stratified_split(spark, sf_dir):
 @register("stratified_subset", with_views(
     f"SELECT f.trans_num, f.is_fraud FROM feats f JOIN q USING (is_fraud) "
     f"QUALIFY row_number() OVER (PARTITION BY f.is_fraud ORDER BY {md5_key('f.trans_num')}, f.trans_num) > q.quota",
-    quota_cte("q", "feats", "CAST(floor(CAST(0.95 AS DOUBLE) * sum(n)) AS BIGINT)").replace(
-        "sum(n) - (CAST(floor", "(CAST(floor", 1).replace("AS BIGINT)) AS n_keep", "AS BIGINT)) AS n_keep", 1)))
+    quota_cte("q", "feats", "sum(n) - CAST(floor(CAST(0.95 AS DOUBLE) * sum(n)) AS BIGINT)")))
 def q_stratified_subset(spark, sf_dir):
     """Stratified 95 % subset (fine-tune training rows)."""
     return sm.stratified_subset(feats(spark, sf_dir), "trans_num").select("trans_num", "is_fraud")
@@ -261,6 +268,36 @@ def q_balanced_reference(spark, sf_dir):
     return sm.balanced_reference(ref, cur, "trans_num").select("trans_num")
 
 
+_FEW_GROUP = ("grp AS (SELECT state, category, count(*) AS n, sum(is_fraud) AS n_pos FROM feats GROUP BY 1, 2 "
+              "HAVING sum(is_fraud) BETWEEN 2 AND 5 ORDER BY 1, 2 LIMIT 1)")
+
+
+@register("rare_class_sample_few", with_views(
+    "SELECT f.trans_num, f.is_fraud FROM feats f JOIN grp USING (state, category) QUALIFY f.is_fraud = 1 OR "
+    f"row_number() OVER (PARTITION BY f.is_fraud ORDER BY {md5_key('f.trans_num')}, f.trans_num) "
+    "<= least(CAST(floor(CAST(0.95 AS DOUBLE) * n) AS BIGINT) - n_pos, n - n_pos)", _FEW_GROUP))
+def q_rare_class_sample_few(spark, sf_dir):
+    """The rare branch: the first (state, category) with two to five positives keeps all of them, and negatives up to 95 %."""
+    f = feats(spark, sf_dir).select("trans_num", "is_fraud", "state", "category")
+    some = f.groupBy("state", "category").agg(F.sum("is_fraud").alias("n_pos")).where("n_pos between 2 and 5")
+    group = some.orderBy("state", "category").first()  # one row
+    if group is None:
+        return f.where("false").select("trans_num", "is_fraud")
+    mine = f.where((F.col("state") == group["state"]) & (F.col("category") == group["category"]))
+    return sm.rare_class_sample(mine, "trans_num").select("trans_num", "is_fraud")
+
+
+@register("balanced_reference_down", with_views(
+    f"SELECT trans_num FROM r QUALIFY row_number() OVER (ORDER BY {md5_key('trans_num')}, trans_num) <= "
+    "(SELECT least((SELECT count(*) FROM r), 2 * (SELECT count(*) FROM c)))",
+    "r AS (SELECT * FROM tx WHERE category <> '1-URGENT'), c AS (SELECT * FROM tx WHERE category = '1-URGENT')"))
+def q_balanced_reference_down(spark, sf_dir):
+    """Reference rows (not urgent) really down-sampled, to twice the urgent ones."""
+    tx = transactions(spark, sf_dir)
+    urgent = F.col("category") == "1-URGENT"
+    return sm.balanced_reference(tx.where(~urgent), tx.where(urgent), "trans_num", ratio=2).select("trans_num")
+
+
 # ---------------------------------------------------------------- encoder
 _ENC_COLS = fe.CATEGORICAL_COLUMNS
 _UNPIVOT_SQL = " UNION ALL ".join(
@@ -420,18 +457,21 @@ def q_drift_verdict(spark, sf_dir):
     return v.withColumn("drifted_columns", F.array_join("drifted_columns", ","))
 
 
-@register("drift_hist", _drift_sql(
+_HIST_CTES = (
+    "sd AS (SELECT column_name, num, 'reference' AS side, n_ref AS c FROM vc WHERE kind = 'num' AND n_ref > 0 "
+    "UNION ALL SELECT column_name, num, 'current', n_cur FROM vc WHERE kind = 'num' AND n_cur > 0), "
+    "rg AS (SELECT column_name, side, sum(c) AS n, CASE WHEN min(num) = max(num) THEN min(num) - 0.5 ELSE min(num) END AS lo, "
+    "CASE WHEN min(num) = max(num) THEN max(num) + 0.5 ELSE max(num) END AS hi FROM sd GROUP BY 1, 2), "
+    "h AS (SELECT column_name, side, CAST(least(floor((num - lo) / (hi - lo) * 10), 9) AS INTEGER) AS bin, sum(c) AS k "
+    "FROM sd JOIN rg USING (column_name, side) GROUP BY 1, 2, 3)")
+
+
+@register("drift_hist", with_views(
     f"SELECT column_name, side, bin, {r6('lo + bin * (hi - lo) / 10')} AS bin_lo, "
     f"{r6('lo + (bin + 1) * (hi - lo) / 10')} AS bin_hi, {r6('coalesce(k, 0) / (n * (hi - lo) / 10)')} AS density "
     "FROM (SELECT g.*, h.k FROM (SELECT rg.*, CAST(unnest(range(0, 10)) AS INTEGER) AS bin FROM rg) g "
     "LEFT JOIN h USING (column_name, side, bin)) z",
-) .replace("SELECT column_name, side, bin", "SELECT column_name, side, bin", 1)
-    .replace("js AS (", "sd AS (SELECT column_name, num, 'reference' AS side, n_ref AS c FROM vc WHERE kind = 'num' AND n_ref > 0 "
-             "UNION ALL SELECT column_name, num, 'current', n_cur FROM vc WHERE kind = 'num' AND n_cur > 0), "
-             "rg AS (SELECT column_name, side, sum(c) AS n, CASE WHEN min(num) = max(num) THEN min(num) - 0.5 ELSE min(num) END AS lo, "
-             "CASE WHEN min(num) = max(num) THEN max(num) + 0.5 ELSE max(num) END AS hi FROM sd GROUP BY 1, 2), "
-             "h AS (SELECT column_name, side, CAST(least(floor((num - lo) / (hi - lo) * 10), 9) AS INTEGER) AS bin, sum(c) AS k "
-             "FROM sd JOIN rg USING (column_name, side) GROUP BY 1, 2, 3), js AS (", 1))
+    _YEAR_FEATS + ", " + drift_ctes(_DRIFT_NUM, _DRIFT_CAT, "fr", "fc") + ", " + _HIST_CTES))
 def q_drift_hist(spark, sf_dir):
     """10-bin density histograms per numeric column and side."""
     ref, cur, vc = _vc(spark, sf_dir)
@@ -463,14 +503,18 @@ def _encoded_splits(spark, sf_dir):
 
 def _train_evaluate(spark, sf_dir, preset):
     train, test = _encoded_splits(spark, sf_dir)
-    model = mo.fit_gbt(train, fe.FEATURE_COLUMNS, preset=preset)
+    # a stratified tenth of the train split stops the boosting; the test split is only scored
+    cut = sm.stratified_split(train, "trans_num", "is_fraud", 0.1, seed=7, split_col="_part").checkpoint(eager=True)
+    fit, validation = (cut.where(F.col("_part") == s).drop("_part") for s in ("train", "test"))
+    model, info = mo.fit_boosted(fit, validation, fe.FEATURE_COLUMNS, preset=preset)
     report, _ = mo.evaluate_scored(mo.score(model, test))
-    return report
+    return report.withColumns({"best_round": F.lit(info["best_round"]), "rounds_run": F.lit(info["rounds_run"]),
+                               "best_val_auc": F.lit(info["best_auc"]).cast("double")})
 
 
 @register("train_evaluate")
 def q_train_evaluate(spark, sf_dir):
-    """Fit boosted trees (test preset) on the encoded train split, report on the test split."""
+    """Fit boosted trees (test preset) on the encoded train split, report on the test split, with the best round."""
     return _train_evaluate(spark, sf_dir, "test")
 
 
@@ -482,7 +526,7 @@ def q_train_evaluate_fast(spark, sf_dir):
 
 @register("train_evaluate_full")
 def q_train_evaluate_full(spark, sf_dir):
-    """As train_evaluate, at the full preset (500 rounds of depth 6), that of a training run."""
+    """As train_evaluate, at the full preset (up to 500 rounds of depth 6, 50 of patience), that of a training run."""
     return _train_evaluate(spark, sf_dir, "full")
 
 
@@ -508,6 +552,97 @@ def q_fine_tune(spark, sf_dir):
         {"rounds_run": F.lit(info["rounds_run"]), "rounds_kept": F.lit(info["rounds_kept"])})
 
 
+#: an ensemble stated in full, as (feature, limit, left, right) or a leaf, and its rate
+_FIXED_FEATURES = ["amt", "distance_km", "month", "age"]
+_FIXED_TREES = [
+    (("amt", 12.0, ("month", 6.0, -1.25, -0.5), ("age", 30.0, 0.75, 1.5)), 0.5),
+    (("distance_km", 5000.0, ("month", 3.0, -0.5, 0.25), ("amt", 12.25, 0.125, 1.0)), 0.25),
+    (("age", 40.0, 0.375, ("amt", 12.4, -0.75, 0.625)), 1.0),
+]
+
+
+def _fixed_model() -> bo.Boosted:
+    def grow(nodes, x):
+        here = len(nodes)
+        nodes.append((-1, 0.0, -1, -1, float(x) if not isinstance(x, tuple) else 0.0))
+        if isinstance(x, tuple):
+            left = grow(nodes, x[2])
+            right = grow(nodes, x[3])
+            nodes[here] = (_FIXED_FEATURES.index(x[0]), x[1], left, right, 0.0)
+        return here
+    trees = []
+    for shape, _ in _FIXED_TREES:
+        nodes: list = []
+        grow(nodes, shape)
+        trees.append(bo.tree_of(nodes))
+    return bo.Boosted(_FIXED_FEATURES, trees, [r for _, r in _FIXED_TREES])
+
+
+def _case(x) -> str:
+    return f"(CASE WHEN {x[0]} <= {x[1]} THEN {_case(x[2])} ELSE {_case(x[3])} END)" if isinstance(x, tuple) else f"CAST({x} AS DOUBLE)"
+
+
+def _leaf_case(x, first: int = 0) -> tuple[str, int]:
+    """The number of the leaf that a row reaches, and the next free number."""
+    if not isinstance(x, tuple):
+        return str(first), first + 1
+    left, n = _leaf_case(x[2], first)
+    right, n = _leaf_case(x[3], n)
+    return f"(CASE WHEN {x[0]} <= {x[1]} THEN {left} ELSE {right} END)", n
+
+
+_STAGES = [" + ".join(f"{r} * {_case(x)}" for x, r in _FIXED_TREES[:i]) for i in range(1, len(_FIXED_TREES) + 1)]
+_SCORED = f"SELECT trans_num, is_fraud, {_STAGES[-1]} AS m FROM feats"
+_SCORE_COLS = (f"trans_num, is_fraud, CAST(m > 0 AS INTEGER) AS is_fraud_pred, {r6('1 / (1 + exp(-m))')} AS fraud_score, {r6('m')} AS margin")
+
+
+@register("score_fixed_trees", with_views(f"SELECT {_SCORE_COLS} FROM s", f"s AS ({_SCORED})"))
+def q_score_fixed_trees(spark, sf_dir):
+    """Every transaction scored by a stated ensemble: margin, probability and class."""
+    model, f = _fixed_model(), feats(spark, sf_dir)
+    scored = mo.score(model, f.withColumn("margin", model.margin(f)))
+    return scored.select("trans_num", "is_fraud", "is_fraud_pred", "fraud_score", "margin")
+
+
+@register("score_fixed_stream", with_views(f"SELECT {_SCORE_COLS.rsplit(', ', 2)[0]} FROM s", f"s AS ({_SCORED})"))
+def q_score_fixed_stream(spark, sf_dir):
+    """The stated ensemble, stored, loaded and applied to the transaction stream."""
+    root = _scratch(spark, "score-fixed")
+    mo.save_model(_fixed_model(), f"{root}/model")
+    scored = st.score_stream(st.features_stream(spark, sf_dir), mo.load_model(f"{root}/model"))
+    st.run_available_now(scored.select("trans_num", "is_fraud", "is_fraud_pred", "fraud_score"), f"{root}/out", f"{root}/ckpt")
+    return spark.read.parquet(f"{root}/out")
+
+
+@register("staged_auc", with_views(
+    "SELECT CAST(stage AS INTEGER) AS stage, CASE WHEN n_pos = 0 OR n_neg = 0 THEN NULL ELSE "
+    f"{r6('u / (CAST(n_pos AS DOUBLE) * n_neg)')} END AS roc_auc, CAST(n_pos AS BIGINT) AS n_pos, CAST(n_neg AS BIGINT) AS n_neg FROM ("
+    "SELECT stage, sum(pos * (before + 0.5 * neg)) AS u, sum(pos) AS n_pos, sum(neg) AS n_neg FROM ("
+    "SELECT *, sum(neg) OVER (PARTITION BY stage ORDER BY m) - neg AS before FROM ("
+    "SELECT stage, m, sum(is_fraud) AS pos, sum(1 - is_fraud) AS neg FROM st GROUP BY 1, 2) a) b GROUP BY 1) c",
+    "st AS (" + " UNION ALL ".join(f"SELECT {i} AS stage, is_fraud, {x} AS m FROM feats" for i, x in enumerate(_STAGES, 1)) + ")"))
+def q_staged_auc(spark, sf_dir):
+    """AUC after each tree of the stated ensemble, all from one running sum."""
+    model, f = _fixed_model(), feats(spark, sf_dir)
+    return me.staged_auc(f.select("is_fraud", model.staged_margins(f).alias("m")), "m", "is_fraud").select(
+        F.col("stage").cast("int").alias("stage"), "roc_auc", "n_pos", "n_neg")
+
+
+_REFIT = (f"s AS (SELECT is_fraud AS y, 1 / (1 + exp(-({_STAGES[1]}))) AS p, CASE WHEN is_fraud = 1 THEN 15.0 ELSE 1.0 END AS w, "
+          f"{_leaf_case(_FIXED_TREES[2][0])[0]} AS leaf FROM feats)")
+
+
+@register("refit_leaves", with_views(
+    f"SELECT CAST(leaf AS INTEGER) AS leaf, {r6('sum(w * (y - p)) / (sum(w * p * (1 - p)) + 10)')} AS value FROM s GROUP BY 1", _REFIT))
+def q_refit_leaves(spark, sf_dir):
+    """Leaves of the third stated tree, re-fitted by a Newton step with L2 = 10 on top of the first two."""
+    model, f = _fixed_model(), feats(spark, sf_dir)
+    base = bo.Boosted(model.features, model.trees[:2], model.rates[:2])
+    step = bo.Boosted(model.features, [model.trees[2].with_leaves(range(len(model.trees[2].leaves)))], [1.0])
+    rows = fe.class_weight(f, 15.0).select("is_fraud", "weight", base.margin(f).alias("margin"), step.margin(f).cast("int").alias("leaf"))
+    return bo.leaf_values(rows, "leaf", "margin", "is_fraud", "weight", 10.0)
+
+
 # ---------------------------------------------------------------- augmentation
 
 _U = "CAST(('0x' || substr(md5(concat(CAST(trans_num AS VARCHAR), '-{tag}')), 1, 13)) AS BIGINT) / 4503599627370496.0"
@@ -675,6 +810,26 @@ def q_drift_z_stat(spark, sf_dir):
     return dr.z_statistics(vc, dr.choose_test(dr.column_summary(vc), _Z_TESTS))
 
 
+# P(a, x) as the plain sum of its power series; enough terms for each row
+_GAMMA_P = ("list_sum(list_transform(range(0, CAST(x + 20 * sqrt(x) + 100 AS BIGINT)), "
+            "lambda n: exp((a + n) * ln(x) - x - lgamma(a + n + 1))))")
+_P_TESTS = {c: "ks" for c in _DRIFT_NUM} | {c: "z" if c == "gender" else "chisquare" for c in _DRIFT_CAT}
+
+
+@register("drift_p_values", _drift_sql(
+    f"SELECT column_name, test, {r6('stat')} AS stat, {r6('CASE WHEN x <= 0 THEN 1 ELSE 1 - ' + _GAMMA_P + ' END')} AS p_value FROM ("
+    "SELECT column_name, 'chisquare' AS test, stat, dof / 2.0 AS a, stat / 2 AS x FROM chi UNION ALL "
+    "SELECT column_name, 'z', stat, 0.5, stat * stat / 2 FROM zt) g UNION ALL "
+    f"SELECT column_name, 'ks', {r6('stat')}, {r6('CASE WHEN z < 0.2 THEN 1 ELSE least(1, greatest(0, 2 * list_sum(list_transform(range(1, 102), lambda j: (CASE WHEN j % 2 = 1 THEN 1 ELSE -1 END) * exp(-2 * j * j * z * z))))) END')} "
+    "FROM (SELECT k.column_name, k.stat, sqrt(s.tot_ref * s.tot_cur / (s.tot_ref + s.tot_cur)) * k.stat AS z "
+    "FROM ks k JOIN summ s USING (column_name)) h", _P_TESTS))
+def q_drift_p_values(spark, sf_dir):
+    """p-values of chi-square and z tests on text columns and of the KS statistic's limit law on numeric ones."""
+    ref, cur, vc = _vc(spark, sf_dir)
+    plan = dr.choose_test(dr.column_summary(vc), _P_TESTS).checkpoint(eager=True)
+    return dr.p_values(vc, plan, exact_ks=False)
+
+
 @register("drift_small_sample")
 def q_drift_small_sample(spark, sf_dir):
     """p-value tests (KS for numeric, chi-square / Z for text) forced on every column."""
@@ -735,6 +890,19 @@ def q_versioned_roundtrip(spark, sf_dir):
     return test.select("trans_num", *_ENC_COLS)
 
 
+@register("version_commits", with_views(
+    "SELECT '20240101_000000' AS version, split, count(*) AS n_rows, CAST(sum(is_fraud) AS BIGINT) AS n_pos FROM sp GROUP BY split "
+    "UNION ALL SELECT '20240202_000000', 'pred', count(*), CAST(sum(is_fraud) AS BIGINT) FROM feats", split_ctes()))
+def q_version_commits(spark, sf_dir):
+    """Two versions are written, one of them for prediction; the commit table tells their splits, rows and positives."""
+    from riskframe.plans.jobs import run_preprocessing
+    from riskframe.sources import io
+    root = _scratch(spark, "commits")
+    run_preprocessing(spark, transactions(spark, sf_dir), root, version="20240101_000000")
+    run_preprocessing(spark, transactions(spark, sf_dir), root, for_prediction=True, version="20240202_000000")
+    return io.commits(spark, f"{root}/datasets").select("version", "split", "n_rows", "n_pos")
+
+
 @register("class_weight", with_views(
     "SELECT trans_num, is_fraud, CAST(CASE WHEN is_fraud = 1 THEN 10.0 ELSE 1.0 END AS DOUBLE) AS weight FROM feats"))
 def q_class_weight(spark, sf_dir):

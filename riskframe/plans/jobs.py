@@ -46,17 +46,25 @@ def run_preprocessing(spark: SparkSession, raw: DataFrame, base: str, log_amt: b
         else:
             enc = en.fit_target_encoder(feats)
         out = en.apply_target_encoder(feats, enc)
-        io.write_versioned(out, _p(base, "datasets"), version, "pred")
+        io.write_versioned(out, _p(base, "datasets"), version, "pred", label=LABEL)
         return version
     # class sizes come from the split's own hash-bucket counts; the class guard runs on them
     split = sm.stratified_split(feats, KEY, LABEL, test_size, seed).checkpoint(eager=True)
     enc = en.fit_target_encoder(split.where("split = 'train'"))
     enc.withColumn("version", F.lit(version)).write.mode("overwrite").option(
         "partitionOverwriteMode", "dynamic").partitionBy("version").parquet(_p(base, "encoders"))
-    out = en.apply_target_encoder(split, enc).withColumn("version", F.lit(version))
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("version", "split").parquet(_p(base, "datasets")))
-    return version
+    return io.write_versioned(en.apply_target_encoder(split, enc), _p(base, "datasets"), version, label=LABEL)
+
+
+def _dataset_facts(spark: SparkSession, base: str, version: str | None, split: str = "train") -> dict:
+    """What a run's log says of its data: version, rows and positive rate of the split, from the commit table."""
+    ds = _p(base, "datasets")
+    v = io.check_version(version) or io.latest_version(spark, ds)
+    row = io.commits(spark, ds).where((F.col("version") == v) & (F.col("split") == split)).first()
+    facts = {"dataset_version": v}
+    if row is not None and row["n_rows"]:
+        facts |= {f"{split}_rows": row["n_rows"]} | ({"positive_rate": row["n_pos"] / row["n_rows"]} if row["n_pos"] is not None else {})
+    return facts
 
 
 def load_splits(spark: SparkSession, base: str, version: str | None = None, test_mode: bool = False,
@@ -85,17 +93,14 @@ def run_training(spark: SparkSession, base: str, version: str | None = None, pre
         cut = sm.stratified_split(train, KEY, LABEL, validation_fraction, seed=7, split_col="_part").checkpoint(eager=True)
         train = cut.where("_part = 'train'").drop("_part")
         validation = cut.where("_part = 'test'").drop("_part")
-    model = mo.fit_gbt(train, FEATURE_COLUMNS, LABEL, preset, overrides, validation=validation)
-    scored = mo.score(model, test)
-    report, summary = mo.evaluate_scored(scored)
-    metrics = summary.first().asDict()
-    mv = io.new_version()
-    path = mo.save_model(model, io.model_path(base, model_name, mv))
-    io.register_model(spark, base, model_name, mv)
-    params = dict(mo.PRESETS[preset], **(overrides or {}), preset=preset)
+    model, info = mo.fit_boosted(train, validation, FEATURE_COLUMNS, LABEL, preset, overrides)
+    report, summary = mo.evaluate_scored(mo.score(model, test))
+    reply = mo.fit_summary(summary, info["params"]).checkpoint(eager=True)
+    metrics = summary.first().asDict() | {"best_round": info["best_round"], "rounds_run": info["rounds_run"]}
+    path, mv = io.publish_model(spark, base, model_name, lambda p: mo.save_model(model, p))
     metrics["training_time"] = time.time() - t0
-    io.log_run(spark, base, "train", params, metrics)
-    return {"model_path": path, "model_version": mv, "metrics": metrics, "report": report}
+    io.log_run(spark, base, "train", info["params"] | _dataset_facts(spark, base, version) | {"model_name": model_name, "model_version": mv}, metrics)
+    return {"model_path": path, "model_version": mv, "metrics": metrics, "report": report, "summary": reply, "info": info}
 
 
 def run_prediction(spark: SparkSession, base: str, data: DataFrame, out_path: str, model_name: str | None = None,
@@ -141,34 +146,34 @@ def run_fine_tuning(spark: SparkSession, base: str, version: str | None = None,
     try:
         model, info = mo.fine_tune(base_model, fit, validation, LABEL, learning_rate, epochs)
     except mo.IncompatibleModel as e:
-        mode, info = "fallback", {"error": str(e)}
-        model = mo.retrain_fallback(fit, validation, FEATURE_COLUMNS, LABEL, learning_rate, epochs)
+        mode = "fallback"
+        model, info = mo.retrain_fallback(fit, validation, FEATURE_COLUMNS, LABEL, learning_rate, epochs)
+        info["error"] = str(e)
     report, summary = mo.evaluate_scored(mo.score(model, test))
-    metrics = summary.first().asDict()
-    mv = io.new_version()
-    path = io.model_path(base, new_name, mv)
-    if mode == "continue":
-        model.save(path, base_path)
-    else:
-        mo.save_model(model, path)
-    io.register_model(spark, base, new_name, mv)
+    reply = mo.fit_summary(summary, info["params"]).checkpoint(eager=True)
+    metrics = summary.first().asDict() | {"best_round": info["best_round"], "rounds_run": info["rounds_run"]}
+    path, mv = io.publish_model(spark, base, new_name, lambda p: mo.save_model(model, p))
     metrics["training_time"] = time.time() - t0
-    io.log_run(spark, base, "fine_tune", {"mode": mode, "learning_rate": learning_rate, "epochs": epochs}, metrics)
-    return {"model_path": path, "mode": mode, "metrics": metrics, "info": info, "report": report}
+    params = info["params"] | {"mode": mode, "base_model": base_path, "model_name": new_name, "model_version": mv}
+    io.log_run(spark, base, "fine_tune", params | _dataset_facts(spark, base, version), metrics)
+    return {"model_path": path, "mode": mode, "metrics": metrics, "info": info, "report": report, "summary": reply}
 
 
 def run_data_checks(spark: SparkSession, base: str, version: str | None = None) -> dict:
     """Checks of a preprocessed version: shapes and positives per split, type
-    census, text columns with many values, label balance per split."""
+    census, text columns with many values and the first of each, label balance
+    per split as counts and frequencies."""
     ds = io.read_versioned(spark, _p(base, "datasets"), version).drop("version")
     feats = ds.drop("split", KEY)
     shapes = ds.groupBy("split").agg(F.count("*").alias("n_rows"), F.sum(LABEL).cast("long").alias("n_pos"))
-    balance = ds.groupBy("split", LABEL).agg(F.count("*").alias("n"))
+    balance = ds.groupBy("split", LABEL).agg(F.count("*").alias("n")).checkpoint(eager=True)
+    total = balance.groupBy("split").agg(F.sum("n").alias("_n"))  # a row a split
+    balance = balance.join(F.broadcast(total), "split").select("split", LABEL, "n", (F.col("n") / F.col("_n")).alias("freq"))
     return {"shapes": shapes.withColumn("n_columns", F.lit(len(feats.columns) - 1)),
             "types": pr.type_census(feats.drop(LABEL)),
             "non_numeric": [c for c in non_numeric_columns(feats) if c != LABEL],
-            "cardinality": pr.cardinality(feats, approx=True).where("high_cardinality"),
-            "balance": balance}
+            "cardinality": pr.high_cardinality(feats.select(*[c for c, t in feats.dtypes if t == "string"])).where("high_cardinality"),
+            "preview": pr.value_preview(feats.drop(LABEL)), "balance": balance}
 
 
 def run_monitoring(spark: SparkSession, reference: DataFrame, current: DataFrame, base: str | None = None,

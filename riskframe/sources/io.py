@@ -3,17 +3,20 @@ reports, a run log and a model registry — all plain DataFrame reads/writes
 against one ``base_uri`` (``file:``, ``s3a:``, ``gs:`` ... resolved by Hadoop).
 
 Datasets are one parquet folder partitioned by ``version=`` / ``split=``:
-choosing a version or split is a partition filter (pruned at planning), the
-latest version is ``max(version)`` (``YYYYmmdd_HHMMSS`` sorts by time).
+choosing a version or split is a partition filter (pruned at planning).  What
+was written whole is recorded in a small commit table beside the data, which
+tells the latest version (``YYYYmmdd_HHMMSS`` sorts by time) and its splits.
 """
 
 from __future__ import annotations
 
 import re
 import uuid
+from collections.abc import Callable
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,6 +26,7 @@ from riskframe.operators.features import INDEX_PREFIX, drop_index_columns
 VERSION_FORMAT = "%Y%m%d_%H%M%S"
 VERSION_PATTERN = r"^\d{8}_\d{6}$"
 LATEST_ALIASES = (None, "", "latest")
+SPLITS = ("train", "test", "pred")
 
 TX_SCHEMA = T.StructType([
     T.StructField("trans_date_trans_time", T.StringType()),
@@ -93,21 +97,66 @@ def records_to_frame(spark: SparkSession, records: list[dict], schema: T.StructT
     return spark.createDataFrame(rows, schema)
 
 
-def write_versioned(df: DataFrame, base: str, version: str, split: str, fmt: str = "parquet") -> str:
-    """Write one (version, split) partition; other partitions are untouched."""
-    out = df.withColumn("version", F.lit(version)).withColumn("split", F.lit(split))
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+COMMITS_SCHEMA = "version string, split string, n_rows long, n_pos long, ts timestamp"
+
+
+def commit_version(spark: SparkSession, base: str, version: str, splits: dict[str, tuple[int, int | None]]) -> None:
+    """Record written splits {split: (rows, positives)} of a version in ``{base}/_commits`` (append-only): readers
+    see what is recorded here, so a version whose write failed half-way is none."""
+    now = datetime.now(timezone.utc).replace(tzinfo=None)
+    rows = [(version, split, n, pos, now) for split, (n, pos) in splits.items()]
+    spark.createDataFrame(rows, COMMITS_SCHEMA).coalesce(1).write.mode("append").parquet(f"{base}/_commits")
+
+
+def write_versioned(df: DataFrame, base: str, version: str, split: str | None = None, fmt: str = "parquet", label: str | None = None) -> str:
+    """Write (version, split) partitions and record them; other partitions are untouched.
+
+    Without ``split`` the rows bring a column of that name.  Rows and positives (of ``label``) are counted while
+    they're written."""
+    out = df.withColumn("version", F.lit(version))
+    out = out if split is None else out.withColumn("split", F.lit(split))
+    names = [split] if split else list(SPLITS)
+    seen = Observation()
+    is_pos = (F.col(label) == 1) if label else F.lit(False)
+    counts = [x for i, s in enumerate(names) for x in (
+        F.count_if(F.col("split") == s).alias(f"n{i}"), F.count_if((F.col("split") == s) & is_pos).alias(f"p{i}"))]
+    (out.observe(seen, *counts).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("version", "split").format(fmt).save(base))
+    got = seen.get
+    commit_version(df.sparkSession, base, version, {s: (got[f"n{i}"], got[f"p{i}"] if label else None)
+                                                    for i, s in enumerate(names) if split or got[f"n{i}"]})
     return version
 
 
-def latest_version(spark: SparkSession, base: str) -> str:
-    """Largest ``version`` present (lexical order = time order)."""
-    from pyspark.errors import AnalysisException
+def _not_found(e: AnalysisException) -> bool:
+    return e.getCondition() == "PATH_NOT_FOUND"
+
+
+def _folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder; none if it's missing."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [f.getPath().getName() for f in fs.listStatus(folder) if f.isDirectory()] if fs.exists(folder) else []
+
+
+def commits(spark: SparkSession, base: str) -> DataFrame:
+    """(version, split, n_rows, n_pos, ts): the last record of each written split.  No dataset file is opened; of a
+    dataset that has no records the names of its partition folders are listed."""
     try:
-        v = spark.read.parquet(base).select(F.max("version")).first()[0]
-    except AnalysisException as e:  # missing or empty folder
-        raise FileNotFoundError(f"no versions under {base}") from e
+        found = spark.read.schema(COMMITS_SCHEMA).parquet(f"{base}/_commits")
+    except AnalysisException as e:
+        if not _not_found(e):
+            raise
+        named = [(v[8:], s[6:], None, None, None) for v in _folders(spark, base) if v.startswith("version=")
+                 for s in _folders(spark, f"{base}/{v}") if s.startswith("split=")]
+        return spark.createDataFrame(named, COMMITS_SCHEMA)
+    last = F.max_by(F.struct("n_rows", "n_pos", "ts"), "ts").alias("r")
+    return found.groupBy("version", "split").agg(last).select("version", "split", "r.*")
+
+
+def latest_version(spark: SparkSession, base: str) -> str:
+    """Largest recorded ``version`` (lexical order = time order)."""
+    v = commits(spark, base).agg(F.max("version")).first()[0]
     if v is None:
         raise FileNotFoundError(f"no versions under {base}")
     return v
@@ -124,9 +173,9 @@ def read_versioned(spark: SparkSession, base: str, version: str | None = None, s
 
 
 def read_eval_split(spark: SparkSession, base: str, version: str | None = None) -> DataFrame:
-    """Evaluation rows: the 'test' split, else the 'pred' split, else an error."""
+    """Evaluation rows: the 'test' split, else the 'pred' split, else an error; which there are is recorded."""
     v = check_version(version) or latest_version(spark, base)
-    splits = {r[0] for r in spark.read.parquet(base).where(F.col("version") == v).select("split").distinct().collect()}
+    splits = {r["split"] for r in commits(spark, base).where(F.col("version") == v).select("split").collect()}
     for s in ("test", "pred"):
         if s in splits:
             return read_versioned(spark, base, v, s)
@@ -170,24 +219,41 @@ def model_path(base: str, model_name: str, version: str) -> str:
     return f"{base.rstrip('/')}/models/{model_name}/version={version}"
 
 
-def register_model(spark: SparkSession, base: str, model_name: str, version: str) -> str:
+def register_model(spark: SparkSession, base: str, model_name: str, version: str, path: str | None = None) -> str:
     """Record a saved model in ``{base}/models/_registry`` (append-only)."""
-    p = model_path(base, model_name, version)
+    p = path or model_path(base, model_name, version)
     spark.createDataFrame([(model_name, version, p, datetime.now(timezone.utc).replace(tzinfo=None))],
-                          REGISTRY_SCHEMA).write.mode("append").parquet(f"{base.rstrip('/')}/models/_registry")
+                          REGISTRY_SCHEMA).coalesce(1).write.mode("append").parquet(f"{base.rstrip('/')}/models/_registry")
     return p
 
 
+def publish_model(spark: SparkSession, base: str, model_name: str, save: Callable[[str], object],
+                  version: str | None = None) -> tuple[str, str]:
+    """Save a model aside, under a folder of its own, and register it once it's whole: (path, version).
+
+    The registry row is the commit: a failed save is never resolved, nothing published is overwritten, and of two
+    models of one second the one registered last is the latest."""
+    version = version or new_version()
+    path = f"{model_path(base, model_name, version)}/{uuid.uuid4().hex}"
+    save(path)
+    return register_model(spark, base, model_name, version, path), version
+
+
 def resolve_model(spark: SparkSession, base: str, model_name: str | None = None, version: str | None = None) -> str:
     """Path of a model: a given version, or the latest one (by version, then
     by name descending when no name is given)."""
-    reg = spark.read.parquet(f"{base.rstrip('/')}/models/_registry")
+    try:
+        reg = spark.read.schema(REGISTRY_SCHEMA).parquet(f"{base.rstrip('/')}/models/_registry")
+    except AnalysisException as e:
+        if not _not_found(e):
+            raise
+        raise FileNotFoundError(f"no models under {base}") from e
     if model_name:
         reg = reg.where(F.col("model_name") == model_name)
     v = check_version(version)
     if v:
         reg = reg.where(F.col("version") == v)
-    row = reg.orderBy(F.desc("version"), F.desc("model_name"), F.desc("ts")).select("path").first()
+    row = reg.orderBy(F.desc("version"), F.desc("model_name"), F.desc("ts"), F.desc("path")).select("path").first()
     if row is None:
         raise FileNotFoundError(f"no model {model_name or '*'} version {version or 'latest'} under {base}")
     return row[0]
