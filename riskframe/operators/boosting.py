@@ -212,7 +212,9 @@ def boost(train: DataFrame, validation: DataFrame | None, features: list[str], l
     assembler = VectorAssembler(inputCols=inputs, outputCol="_features")
     kept = kept.withColumns({i: _present(F.col(f"`{c}`").cast("double")) for i, c in zip(inputs, features)})
     d = assembler.transform(kept).select("_features", "_margin", "_w", y.alias("_y"), F.monotonically_increasing_id().alias("_id"))
-    d = d.checkpoint(eager=True)
+    # every round reads these rows some ten times: use all cores, however few partitions they came in
+    cores = train.sparkSession.sparkContext.defaultParallelism
+    d = (d.repartition(cores) if d.rdd.getNumPartitions() < cores else d).checkpoint(eager=True)
     v, start_auc = None, None
     if validation is not None:
         v = validation.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in features], y.alias("_y"), earlier.margin(validation).alias("_margin"))
