@@ -5,9 +5,15 @@ Spark's FP-growth finds token combinations that are frequent among them, and
 those that imply allow or block with enough support and confidence are kept.
 For the other URLs the most confident rule whose tokens a URL has decides.
 
+Tokens that stand in exactly the same examples are one item to the mining: a
+long URL, or one that occurs often, would else give a rule for each of the 2^n
+subsets of its n tokens, all of one support and confidence.  A URL has an item
+if it has one of its tokens, and the rule then counts all of them that it has;
+this gives the verdicts of all those rules.
+
 Rules are matched by an inverted index: each rule is filed under the rarest of
-its tokens, tokens of URLs look it up, and candidates are confirmed on all
-their tokens.  URLs with the same tokens are judged once.
+its items, items of URLs look it up, and candidates are confirmed on all their
+items.  URLs with the same tokens are judged once.
 
 Tokens: the host's words with their place (the last label apart), path
 segments but for the last, the kind of the last segment, names of query
@@ -71,23 +77,31 @@ def url_tokens(host: Column, path: Column, rest: Column) -> Column:
         F.when(rest.contains("#"), F.array(F.lit("fragment"))).otherwise(F.array().cast("array<string>")))))
 
 
-def mine_rules(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
-    """From (tokens, verdict): antecedent, verdict, confidence, support, key (the rarest token)."""
-    baskets = labelled.select(F.concat("tokens", F.array(F.concat(F.lit("="), F.col("verdict")))).alias("items"))
-    # tokens that stand in every basket only double the item sets
-    n = baskets.count()
-    seen = baskets.select(F.explode("items").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
-    useful = seen.where((F.col("n") >= min_support * n) & ((F.col("n") < n) | F.col("token").startswith("=")))
-    always = [r["token"] for r in seen.where((F.col("n") >= n) & ~F.col("token").startswith("=")).collect()]  # at most one URL's tokens
-    if always:
-        baskets = baskets.select(F.array_except("items", F.array(*[F.lit(t) for t in always])).alias("items"))
+def token_items(labelled: DataFrame, min_support: float) -> DataFrame:
+    """(token, item, n) of the frequent tokens of (row, tokens): tokens that stand in exactly the same rows are one
+    item, named by the least of them.  Tokens of every row are left out: they only double the item sets."""
+    seen = labelled.select("row", F.explode("tokens").alias("token")).groupBy("token").agg(
+        F.count(F.lit(1)).alias("n"), *[F.bit_xor(F.xxhash64("row", F.lit(i))).alias(f"x{i}") for i in (1, 2)])
+    total = labelled.count()
+    frequent = seen.where((F.col("n") >= min_support * total) & (F.col("n") < total)).checkpoint(eager=True)
+    same = ["n", "x1", "x2"]  # rows by their number and 128 bits of hashes
+    return frequent.join(frequent.groupBy(*same).agg(F.min("token").alias("item")), same).select("token", "item", "n").checkpoint(eager=True)
+
+
+def mine_rules(labelled: DataFrame, items: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
+    """From (row, tokens, verdict): antecedent (items), verdict, confidence, support, key (the rarest item)."""
+    parts = labelled.select("row", F.explode("tokens").alias("token")).join(items, "token")
+    found = parts.groupBy("row").agg(F.collect_set("item").alias("items"))
+    label = F.array(F.concat(F.lit("="), F.col("verdict")))
+    baskets = labelled.join(found, "row", "left").select(F.coalesce(F.concat("items", label), label).alias("items"))
     model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(baskets)
     rules = model.associationRules.where(F.col("consequent")[0].startswith("=")).where(
         ~F.exists("antecedent", lambda x: x.startswith("=")))
     rules = rules.select("antecedent", F.substring(F.col("consequent")[0], 2, 99).alias("verdict"), "confidence", "support",
                          F.monotonically_increasing_id().alias("rule_id")).checkpoint(eager=True)
-    parts = rules.select("rule_id", F.explode("antecedent").alias("token")).join(useful, "token")
-    keys = parts.groupBy("rule_id").agg(F.min_by("token", F.struct("n", "token")).alias("key"))
+    counts = items.select("item", "n").distinct()
+    parts = rules.select("rule_id", F.explode("antecedent").alias("item")).join(counts, "item")
+    keys = parts.groupBy("rule_id").agg(F.min_by("item", F.struct("n", "item")).alias("key"))
     return rules.join(keys, "rule_id").drop("rule_id")
 
 
@@ -100,13 +114,21 @@ def judge(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES, min_suppo
     rule, verdict = fixed_rule(F.col("host"), F.col("path"), rules)
     rows = rows.select("page_id", "host", "path", rule.alias("rule"), verdict.alias("fixed"),
                        url_tokens(F.col("host"), F.col("path"), F.col("rest")).alias("tokens")).checkpoint(eager=True)
-    labelled = rows.where("fixed is not null").select("tokens", F.col("fixed").alias("verdict"))
+    labelled = rows.where("fixed is not null").select(F.monotonically_increasing_id().alias("row"), "tokens", F.col("fixed").alias("verdict"))
+    labelled = labelled.checkpoint(eager=True)
     if labelled.isEmpty():
         return rows.select("page_id", "host", "path", "rule", F.lit(DEFAULT).alias("verdict"), F.lit(None).cast("array<string>").alias("mined"))
-    mined = mine_rules(labelled, min_support, min_confidence).checkpoint(eager=True)
+    items = token_items(labelled, min_support)
+    mined = mine_rules(labelled, items, min_support, min_confidence).checkpoint(eager=True)
+    # an item is there if one of its tokens is; all of them that are count in the rule
     kinds = rows.where("fixed is null").select("tokens").distinct()
-    found = (kinds.withColumn("key", F.explode("tokens")).join(mined, "key")
-             .where(F.size(F.array_except("antecedent", "tokens")) == 0))
+    mine = kinds.select("tokens", F.explode("tokens").alias("token")).join(items, "token")
+    mine = mine.groupBy("tokens", "item").agg(F.collect_list("token").alias("of")).groupBy("tokens").agg(
+        F.map_from_entries(F.collect_list(F.struct("item", "of"))).alias("held"))
+    found = mine.withColumn("key", F.explode(F.map_keys("held"))).join(mined, "key")
+    found = found.where(F.size(F.array_except("antecedent", F.map_keys("held"))) == 0)
+    tokens = F.array_sort(F.flatten(F.transform("antecedent", lambda i: F.col("held")[i])))
+    found = found.select("tokens", "verdict", "confidence", "support", tokens.alias("antecedent"))
     good = F.struct("confidence", "support", F.size("antecedent").alias("n"), (F.col("verdict") == "block").alias("b"))
     best = found.groupBy(F.col("tokens").alias("of")).agg(F.max_by(F.struct("verdict", "antecedent"), good).alias("best"))
     out = rows.join(best, (F.col("tokens") == F.col("of")) & F.col("fixed").isNull(), "left")

@@ -248,3 +248,17 @@ def test_urls_without_labels_and_empty(spark):
     got = op5.judge(pages(spark, ["http://x.org/en/1", None])).collect()
     assert [r["verdict"] for r in got] == [op5.DEFAULT] * 2
     assert op5.judge(pages(spark, [])).collect() == []
+
+
+def test_urls_of_many_arguments_are_mined_at_once(spark):
+    """2^40 subsets of one URL's tokens are all frequent; tokens of equal rows are one item."""
+    import time
+    long = "http://a.net/es/p.html?" + "&".join(f"arg{i}=1" for i in range(40))
+    urls = [long] * 3 + [f"http://b{i}.com/d/{i}" for i in range(120)] + ["http://q.org/x?arg7=2&arg9=3", "http://q.org/x?other=1"]
+    started = time.time()
+    got = {r["page_id"]: r for r in op5.judge(pages(spark, urls)).collect()}
+    assert time.time() - started < 60
+    assert [got[i]["verdict"] for i in range(3)] == ["block"] * 3
+    # any of its tokens marks the rule, and those that a URL has are the rule's
+    assert got[123]["verdict"] == "block" and got[123]["mined"] == ["arg:arg7", "arg:arg9"]
+    assert got[124]["verdict"] == op5.DEFAULT
