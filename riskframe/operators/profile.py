@@ -62,12 +62,16 @@ def daily_counts(df: DataFrame, ts: str = "trans_date_trans_time", label: str =
     day = F.to_date(F.col(ts))
     daily = df.groupBy(day.alias("day")).agg(F.sum(F.col(label)).cast("long").alias("n_pos"),
                                               F.count("*").alias("n_rows"))
+    return fill_days(daily)
+
+
+def fill_days(daily: DataFrame) -> DataFrame:
+    """(day, n_pos, n_rows) with every day from the first to the last, those without rows as 0."""
     # one row per day: materialised once, read by the span and the join
-    ensure_checkpoint_dir(df.sparkSession)
+    ensure_checkpoint_dir(daily.sparkSession)
     daily = daily.checkpoint(eager=True)
     span = daily.agg(F.min("day").alias("lo"), F.max("day").alias("hi"))
     cal = span.select(F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 DAY"))).alias("day"))
-    # calendar and daily table both have one row per day of the span
     # one row per day on both sides
     return (cal.join(sized_broadcast(daily), "day", "left")
             .select("day", F.coalesce("n_pos", F.lit(0)).alias("n_pos"),

@@ -14,8 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskframe.functions.columns import age_years, haversine_km, round_floats, weekday_mon0
-from riskframe.operators import boosting as bo
 from riskframe.operators import augment as ag
+from riskframe.operators import boosting as bo
 from riskframe.operators import drift as dr
 from riskframe.operators import encode as en
 from riskframe.operators import features as fe
@@ -23,6 +23,7 @@ from riskframe.operators import metrics as me
 from riskframe.operators import model as mo
 from riskframe.operators import profile as pr
 from riskframe.operators import sampling as sm
+from riskframe.operators import score_drift as sd
 from riskframe.plans.inputs import heuristic_predictions, year_halves
 from riskframe.plans.oracle_sql import PRED_CTE, drift_ctes, md5_key, quota_cte, r6, split_ctes, with_views
 from riskframe.session import ensure_checkpoint_dir
@@ -732,6 +733,27 @@ def q_events_daily_stream(spark, sf_dir):
     return st.latest_state(spark.read.parquet(f"{root}/changes"), ["day", "event_type"])
 
 
+_QS, _GRID = (25, 50, 75, 95), range(1, 20)
+
+
+@register("score_drift_months", with_views(
+    "SELECT w.w AS \"window\", w.n AS n_rows, w.n_pos, " + f"{r6('w.mean')} AS mean_score, {r6('CAST(w.n_pos AS DOUBLE) / w.n')} AS pos_rate, "
+    + ", ".join(f"{r6(f'w.p{q}')} AS p{q}" for q in _QS) + f", {r6('g.gap')} AS distance, g.gap >= 0.1 AS drift FROM w JOIN g USING (w)",
+    PRED_CTE + ", s AS (SELECT CAST(date_trunc('month', t.trans_date_trans_time) AS DATE) AS w, p.y_true, p.y_pred_proba AS x "
+    "FROM preds p JOIN tx t USING (trans_num)), "
+    "o AS (SELECT *, row_number() OVER (PARTITION BY w ORDER BY x) AS i, count(*) OVER (PARTITION BY w) AS m FROM s), "
+    "w AS (SELECT w, count(*) AS n, CAST(sum(y_true) AS BIGINT) AS n_pos, avg(x) AS mean, "
+    + ", ".join(f"max(x) FILTER (WHERE i = ceil({q} * m / 100.0)) AS p{q}" for q in _QS) + " FROM o GROUP BY 1), "
+    "grid AS (SELECT x FROM o, (SELECT unnest(range(1, 20)) AS q) WHERE w = (SELECT min(w) FROM s) AND i = ceil(5 * q * m / 100.0)), "
+    "f AS (SELECT s.w, grid.x, avg(CASE WHEN s.x <= grid.x THEN 1.0 ELSE 0.0 END) AS r FROM s, (SELECT DISTINCT x FROM grid) grid GROUP BY 1, 2), "
+    "g AS (SELECT f.w, max(abs(f.r - b.r)) AS gap FROM f JOIN f b ON b.x = f.x AND b.w = (SELECT min(w) FROM s) GROUP BY 1)"))
+def q_score_drift_months(spark, sf_dir):
+    """Scores per month from daily sketches: mean, quantiles, distance from the first month."""
+    tx = transactions(spark, sf_dir)
+    days = sd.daily_scores(heuristic_predictions(tx, keep=["trans_date_trans_time"]), score="y_pred_proba", label="y_true")
+    return sd.score_drift(sd.merged(days, "month"))
+
+
 # ---------------------------------------------------------------- more checks
 @register("shape", with_views("SELECT count(*) AS n_rows, 22 AS n_columns FROM tx"))
 def q_shape(spark, sf_dir):
@@ -929,3 +951,12 @@ def q_daily_fraud_stream(spark, sf_dir):
     st.run_updates_available_now(st.daily_label_counts(st.transactions_stream(spark, sf_dir)),
                                  f"{root}/changes", f"{root}/ckpt")
     return st.latest_state(spark.read.parquet(f"{root}/changes"), ["day"])
+
+
+@register("daily_fraud_stream_filled", ORACLE["daily_fraud"])
+def q_daily_fraud_stream_filled(spark, sf_dir):
+    """The streamed daily positives with empty days as 0: the change log's last state, filled to a calendar."""
+    root = _scratch(spark, "daily-filled")
+    st.run_updates_available_now(st.daily_label_counts(st.transactions_stream(spark, sf_dir)), f"{root}/changes", f"{root}/ckpt")
+    filled = pr.fill_days(st.latest_state(spark.read.parquet(f"{root}/changes"), ["day"]))
+    return filled.select(*QUERIES["daily_fraud"](spark, sf_dir).columns)

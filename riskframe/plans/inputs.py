@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def heuristic_predictions(tx: DataFrame) -> DataFrame:
+def heuristic_predictions(tx: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """A pre-computed prediction table ``(trans_num, y_true, y_pred_proba,
     y_pred_binary)`` from a fixed logistic rule on amount and priority.
 
@@ -16,7 +16,7 @@ def heuristic_predictions(tx: DataFrame) -> DataFrame:
     z = (F.log1p("amt") - F.lit(12.5)) * F.lit(3.0)
     p = F.lit(1.0) / (F.lit(1.0) + F.exp(-z)) * F.when(F.col("category") == "1-URGENT", 1.0).otherwise(0.5)
     p = F.round(p, 6)
-    return tx.select("trans_num", F.col("is_fraud").alias("y_true"), p.alias("y_pred_proba")).withColumn(
+    return tx.select("trans_num", F.col("is_fraud").alias("y_true"), p.alias("y_pred_proba"), *(keep or [])).withColumn(
         "y_pred_binary", (F.col("y_pred_proba") >= 0.5).cast("int"))
 
 

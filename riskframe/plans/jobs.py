@@ -19,6 +19,7 @@ from riskframe.operators import encode as en
 from riskframe.operators import model as mo
 from riskframe.operators import profile as pr
 from riskframe.operators import sampling as sm
+from riskframe.operators import score_drift as sd
 from riskframe.operators.features import FEATURE_COLUMNS, KEY, LABEL, build_features, non_numeric_columns
 from riskframe.session import ensure_checkpoint_dir
 from riskframe.sources import io
@@ -187,5 +188,15 @@ def run_monitoring(spark: SparkSession, reference: DataFrame, current: DataFrame
     return res
 
 
-__all__ = ["run_preprocessing", "run_training", "run_prediction", "run_validation", "validate_predictions",
+def track_scores(spark: SparkSession, base: str, scored: DataFrame, window: str = "month", reference: str | None = None,
+                 **columns) -> DataFrame:
+    """Store the daily sketches of newly scored rows (whole days; a day stored again replaces what was there) and
+    compare the windows of all days so far with the reference window."""
+    days = sd.daily_scores(scored, **columns)
+    (days.withColumn("of", F.col("day")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("of").parquet(_p(base, "score_days")))
+    return sd.score_drift(sd.merged(spark.read.parquet(_p(base, "score_days")).drop("of"), window), reference)
+
+
+__all__ = ["track_scores", "run_preprocessing", "run_training", "run_prediction", "run_validation", "validate_predictions",
            "run_fine_tuning", "run_monitoring", "run_data_checks", "load_splits"]
