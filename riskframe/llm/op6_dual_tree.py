@@ -1,7 +1,12 @@
 """Exact top-k by inner product with dual-tree search over cover trees.
 
-Vectors are dealt into blocks and queries into groups, both by a hash of their
-ids and of bounded size, so copies of one vector spread out.  Each task gets
+Vectors and queries fall into cells, each that of the nearest of at most
+``PIVOTS`` pivots (vectors with the least hashed ids); cells are the top level
+of the trees.  A cell is dealt into blocks of vectors, or groups of queries, of
+bounded size, by a hash of row numbers, so copies of one vector spread out.
+Every group first meets one block of its own cell.  That gives its queries a
+worst k-th score, and of the other blocks only those are shuffled to the group
+whose pivots and radii allow a higher one (the bound below).  Each task gets
 one block and one group.  It builds a cover tree of either (a node's centre is
 one of its points; its children's centres are chosen farthest first, so they
 lie far apart; a node keeps the exact radius that covers its points) and
@@ -26,6 +31,7 @@ with fewer than k candidates all are returned; empty tables give no rows.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import partial
 
 import numpy as np
@@ -40,6 +46,7 @@ K = 10
 SCALE = 1024.0
 EVERY = 100  # ids divisible by this are queries
 BLOCK, GROUP = 8192, 2048  # vectors and queries a task gets, about
+PIVOTS = 256
 LEAF, FANOUT = 128, 12
 EXACT = float(1 << 53)
 LOW, HIGH = -(1 << 63), (1 << 63) - 1
@@ -75,8 +82,10 @@ def cover_tree(x: np.ndarray, points: np.ndarray | None = None, first: int | Non
 class Search:
     """The k best of rows ``d`` (with ids) for every row of ``q``, by score, then id."""
 
-    def __init__(self, q: np.ndarray, q_ids: np.ndarray, d: np.ndarray, d_ids: np.ndarray, k: int):
+    def __init__(self, q: np.ndarray, q_ids: np.ndarray, d: np.ndarray, d_ids: np.ndarray, k: int, least: np.ndarray | None = None):
+        """``least``: scores below these (one per row of ``q``) aren't wanted."""
         self.q, self.q_ids, self.d, self.d_ids, self.k = q, q_ids, d, d_ids, k
+        self.least = np.full(len(q), -np.inf) if least is None else least
         self.scores, self.ids = np.full((len(q), k), -np.inf), np.full((len(q), k), HIGH)
         self.products = 0
         # distances and bounds are rounded; this much covers it
@@ -89,7 +98,7 @@ class Search:
         return float(a.centre @ b.centre) + a.radius * b.norm + b.radius * a.norm + a.radius * b.radius + self.slack
 
     def visit(self, a: Node, b: Node) -> None:
-        if self.bound(a, b) < self.scores[a.points, -1].min():
+        if self.bound(a, b) < np.maximum(self.scores[a.points, -1], self.least[a.points]).min():
             return
         if not a.children and not b.children:
             self.score(a.points, b.points)
@@ -127,15 +136,16 @@ def _unbounded(q: np.ndarray, q_ids: np.ndarray, d: np.ndarray, d_ids: np.ndarra
     return out
 
 
-def top_k(q: np.ndarray, q_ids: np.ndarray, d: np.ndarray, d_ids: np.ndarray, k: int) -> list[tuple[int, int, int]]:
+def top_k(q: np.ndarray, q_ids: np.ndarray, d: np.ndarray, d_ids: np.ndarray, k: int,
+          least: np.ndarray | None = None) -> list[tuple[int, int, int]]:
     """(query id, id, score) of the k best rows of ``d`` for each row of ``q``."""
     if np.abs(q).max(initial=0) * np.abs(d).max(initial=0) * max(q.shape[1], 1) >= EXACT:
         return _unbounded(q, q_ids, d, d_ids, k)
-    return Search(q, q_ids, d, d_ids, k).rows()
+    return Search(q, q_ids, d, d_ids, k, least).rows()
 
 
-def _by_length(table: pa.Table) -> dict[int, tuple[np.ndarray, np.ndarray]]:
-    """ids and vectors of a table (id, v, ...) by length of the vectors."""
+def _by_length(table: pa.Table) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """ids, vectors and row numbers of a table (id, v, ...) by length of the vectors."""
     ids = table.column("id").to_numpy()
     column = table.column("v").combine_chunks()
     column = column.chunk(0) if isinstance(column, pa.ChunkedArray) else column
@@ -144,7 +154,7 @@ def _by_length(table: pa.Table) -> dict[int, tuple[np.ndarray, np.ndarray]]:
     out = {}
     for n in np.unique(lengths):
         rows = np.flatnonzero(lengths == n)
-        out[int(n)] = ids[rows], values[start[rows][:, None] + np.arange(n)].astype(np.float64)
+        out[int(n)] = ids[rows], values[start[rows][:, None] + np.arange(n)].astype(np.float64), rows
     return out
 
 
@@ -153,29 +163,89 @@ def _search(k: int, left: pa.Table, right: pa.Table) -> pa.Table:
     found = []
     if left.num_rows and right.num_rows:
         candidates = _by_length(left)
-        for n, (q_ids, q) in _by_length(right).items():
+        least = right.column("least").to_numpy(zero_copy_only=False).astype(np.float64)
+        for n, (q_ids, q, rows) in _by_length(right).items():
             if n in candidates:
-                found += top_k(q, q_ids, candidates[n][1], candidates[n][0], k)
+                found += top_k(q, q_ids, candidates[n][1], candidates[n][0], k, np.nan_to_num(least[rows], nan=-np.inf))
     columns = list(zip(*found)) or [[], [], []]
     return pa.table({n: pa.array(c, pa.int64()) for n, c in zip(("query_id", "vec_id", "score"), columns)})
 
 
-def search(vectors: DataFrame, queries: DataFrame, k: int = K, block: int = BLOCK, group: int = GROUP) -> DataFrame:
-    """The ``k`` rows of ``vectors`` with the largest inner product for each row of ``queries`` (both: id,
-    v array of whole-numbered doubles): query_id, rank, vec_id, score."""
-    ensure_checkpoint_dir(vectors.sparkSession)
-    vectors = vectors.select("id", "v").checkpoint(eager=True)
-    queries = queries.groupBy("id").agg(F.min("v").alias("v")).checkpoint(eager=True)
-    blocks, groups = (max(1, -(-df.count() // n)) for df, n in ((vectors, block), (queries, group)))
-    deal = lambda n, seed: F.pmod(F.xxhash64(F.col("id"), F.lit(seed)), F.lit(n))
-    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
-    # each block meets each group of the stated queries; nothing else is replicated
-    left = vectors.select("id", "v", deal(blocks, 1).alias("b"), every(groups).alias("g"))
-    right = queries.select("id", "v", every(blocks).alias("b"), deal(groups, 2).alias("g"))
-    found = left.groupBy("b", "g").cogroup(right.groupBy("b", "g")).applyInArrow(
+def _nearest(pivots, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Adds to (id, v, row) the cell, by the nearest pivot of as many components (without one: by their number alone)."""
+    for batch in batches:
+        cell, away = np.zeros(batch.num_rows, np.int64), np.full(batch.num_rows, np.inf)
+        for n, (_, x, rows) in _by_length(pa.Table.from_batches([batch])).items():
+            mine = [i for i, p in enumerate(pivots.value) if len(p) == n]
+            cell[rows] = -n - 1
+            if mine:
+                c = np.array([pivots.value[i] for i in mine])
+                with np.errstate(over="ignore", invalid="ignore"):
+                    best = ((x ** 2).sum(1)[:, None] - 2 * x @ c.T + (c ** 2).sum(1)).argmin(1)
+                    cell[rows], away[rows] = np.array(mine)[best], np.sqrt(((x - c[best]) ** 2).sum(1))
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell), pa.array(away)], names=[*batch.schema.names, "cell", "away"])
+
+
+def _dealt(rows: DataFrame, size: int, prefix: str) -> tuple[DataFrame, DataFrame]:
+    """(rows with their part of the cell, a row per part: cell, part, radius), parts of about ``size`` rows."""
+    parts = rows.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / size).alias("parts"))
+    rows = rows.join(parts, "cell").withColumn("part", F.pmod(F.xxhash64("row"), F.col("parts"))).drop("parts")
+    rows = rows.withColumnsRenamed({"cell": f"{prefix}cell", "part": f"{prefix}part"}).checkpoint(eager=True)
+    return rows, rows.groupBy(f"{prefix}cell", f"{prefix}part").agg(F.max("away").alias(f"{prefix}radius")).checkpoint(eager=True)
+
+
+def useful_pairs(blocks: DataFrame, groups: DataFrame, pivots: list[list[float]]) -> DataFrame:
+    """The (block, group) pairs in which a score of the group's ``worst`` or more is possible."""
+    spark = blocks.sparkSession
+    norm = [float(np.linalg.norm(p)) for p in pivots]
+    near = [(i, j, float(np.dot(a, b)), norm[i], norm[j]) for i, a in enumerate(pivots) for j, b in enumerate(pivots) if len(a) == len(b)]
+    # at most PIVOTS squared rows
+    centres = spark.createDataFrame(near, "gcell long, bcell long, product double, gnorm double, bnorm double")
+    r, q = F.col("bradius"), F.col("gradius")
+    bound = F.col("product") + q * F.col("bnorm") + r * F.col("gnorm") + q * r
+    size = F.abs("product") + (F.col("bnorm") + r) * (F.col("gnorm") + q)
+    met = groups.join(centres, "gcell").join(blocks, "bcell").withColumn("bound", bound + size * 1e-9)
+    met = met.where(F.col("worst").isNull() | F.isnan("bound") | (F.col("bound") >= F.col("worst")))
+    alone = groups.where("gcell < 0").join(blocks, F.col("gcell") == F.col("bcell"))  # vectors of a length without a pivot
+    keys = ["bcell", "bpart", "gcell", "gpart"]
+    return met.select(*keys).union(alone.select(*keys))
+
+
+def _meet(vectors: DataFrame, queries: DataFrame, pairs: DataFrame, k: int) -> DataFrame:
+    keys = ["bcell", "bpart", "gcell", "gpart"]
+    left = vectors.join(pairs, ["bcell", "bpart"]).select("id", "v", *[F.col(c).alias(f"l{c}") for c in keys])
+    right = queries.join(pairs, ["gcell", "gpart"]).select("id", "v", "least", *[F.col(c).alias(f"r{c}") for c in keys])
+    return left.groupBy(*[f"l{c}" for c in keys]).cogroup(right.groupBy(*[f"r{c}" for c in keys])).applyInArrow(
         partial(_search, k), "query_id long, vec_id long, score long")
-    best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+def search(vectors: DataFrame, queries: DataFrame, k: int = K, block: int = BLOCK, group: int = GROUP, stats: dict | None = None) -> DataFrame:
+    """The ``k`` rows of ``vectors`` with the largest inner product for each row of ``queries`` (both: id,
+    v array of whole-numbered doubles): query_id, rank, vec_id, score.  ``stats`` takes the numbers of blocks,
+    groups and pairs searched."""
+    spark = vectors.sparkSession
+    ensure_checkpoint_dir(spark)
+    numbered = lambda df: df.select("id", "v", F.monotonically_increasing_id().alias("row")).checkpoint(eager=True)
+    vectors, queries = numbered(vectors), numbered(queries.groupBy("id").agg(F.min("v").alias("v")))
+    wanted = min(PIVOTS, -(-vectors.count() // block))
+    pivots = [r["v"] for r in vectors.orderBy(F.xxhash64("id"), "id", "v").limit(wanted).select("v").collect()]  # at most PIVOTS rows
+    placed = partial(_nearest, spark.sparkContext.broadcast(pivots))
+    schema = "id long, v array<double>, row long, cell long, away double"
+    vectors, blocks = _dealt(vectors.mapInArrow(placed, schema), block, "b")
+    queries, groups = _dealt(queries.mapInArrow(placed, schema), group, "g")
+    keys, best = ["bcell", "bpart", "gcell", "gpart"], Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    ranked = lambda found: found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+
+    own = groups.join(blocks.where("bpart = 0"), F.col("gcell") == F.col("bcell")).select(*keys).checkpoint(eager=True)
+    first = _meet(vectors, queries.withColumn("least", F.lit(None).cast("double")), own, k).checkpoint(eager=True)
+    kth = ranked(first).where(F.col("rank") == k).select(F.col("query_id").alias("of"), F.col("score").cast("double").alias("s"))
+    kth = kth.select("of", (F.col("s") - F.abs("s") * 1e-9).alias("least"))
+    queries = queries.join(kth, queries["id"] == kth["of"], "left").drop("of").checkpoint(eager=True)
+    worst = queries.groupBy("gcell", "gpart").agg(F.when(F.count("least") == F.count(F.lit(1)), F.min("least")).alias("worst"))
+    pairs = useful_pairs(blocks, groups.join(worst, ["gcell", "gpart"]), pivots).join(own, keys, "left_anti").checkpoint(eager=True)
+    if stats is not None:
+        stats |= {"blocks": blocks.count(), "groups": groups.count(), "pairs": own.count() + pairs.count()}
+    return ranked(first.union(_meet(vectors, queries, pairs, k))).select("query_id", "rank", "vec_id", "score")
 
 
 def whole_numbered(embeddings: DataFrame, scale: float = SCALE) -> DataFrame:

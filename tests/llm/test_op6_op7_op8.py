@@ -70,6 +70,17 @@ def test_trees_cover_and_prune():
     assert (search.scores == want).all()
 
 
+def test_cells_and_bounds_leave_out_blocks_before_the_shuffle(spark):
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(24, 8)) * 4
+    rows = [(i, [float(x) for x in centres[rng.integers(24)] + 0.02 * rng.normal(size=8)]) for i in range(2400)]
+    v = op6.whole_numbered(spark.createDataFrame(rows, "vec_id long, embedding array<float>"))
+    stats = {}
+    got = sorted(tuple(r) for r in op6.search(v, v.where("id % 100 = 0"), block=100, group=4, stats=stats).collect())
+    assert got == best(rows)
+    assert stats["blocks"] >= 24 and stats["pairs"] < 0.5 * stats["blocks"] * stats["groups"]
+
+
 # ---- toxicity
 def toxic_corpus(n, seed):
     """Documents over one vocabulary; toxic ones hold a few words of three stems with endings of their own."""
