@@ -98,7 +98,6 @@ def toxic_corpus(n, seed):
 def test_unseen_misspellings_are_found_in_long_texts():
     train, held = toxic_corpus(800, 1), toxic_corpus(300, 2)
     model = op7.train(pa.array([r[1] for r in train]), np.array([r[2] for r in train]))
-    import pyarrow as pa
     scores = np.concatenate([model.scores(d, o) for _, _, d, o in W.slices(pa.array([r[1] for r in held]))])
     toxic = np.array([r[2] for r in held])
     assert ((scores >= 0.5) == toxic).mean() > 0.93  # 200 toxic examples
