@@ -45,7 +45,7 @@ def merged(daily: DataFrame, window: str = "month") -> DataFrame:
 
 
 def score_drift(windows: DataFrame, reference: str | None = None, threshold: float = DISTANCE_THRESHOLD) -> DataFrame:
-    """Per window: rows, positives, mean score, quantiles, distance from the ``reference`` window (its date, else the
+    """Per window: rows, positives, sum and mean of the scores, quantiles, distance from the ``reference`` window (its date, else the
     earliest) and whether that is drift."""
     ensure_checkpoint_dir(windows.sparkSession)
     windows = windows.checkpoint(eager=True)  # a row a window
@@ -61,7 +61,7 @@ def score_drift(windows: DataFrame, reference: str | None = None, threshold: flo
     grid = [float(x) for x in points[:len(GRID)]]
     base = row.select(*[below(x).alias(f"r{i}") for i, x in enumerate(grid)]).first() or [0.0] * len(grid)
     gaps = [F.abs(below(x) - F.lit(float(r))) for x, r in zip(grid, base)]
-    return windows.select("window", "n_rows", "n_pos", (F.col("score_sum") / F.col("n_rows")).alias("mean_score"),
+    return windows.select("window", *SUMS, (F.col("score_sum") / F.col("n_rows")).alias("mean_score"),
                           (F.col("n_pos") / F.col("n_rows")).alias("pos_rate"),
                           *[at(q).alias(f"p{round(100 * q)}") for q in QUANTILES], F.greatest(*gaps).alias("distance")).withColumn(
         "drift", F.col("distance") >= F.lit(float(threshold)))
