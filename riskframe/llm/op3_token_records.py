@@ -147,6 +147,8 @@ def word_ranks(path: str) -> tuple | None:
         with open(path, encoding="utf-8") as f:
             file = json.load(f)
         _ranks[path] = bpe.ranks(path) if all(file[k] == v for k, v in RULES.items()) and file["model"]["end_of_word_suffix"] else None
+        del file
+        W.tidy()
     return _ranks[path]
 
 

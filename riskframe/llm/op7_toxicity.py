@@ -268,6 +268,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_toxic: int = MAX_TOXIC, max_othe
     """Train on a bounded sample of the labelled documents, in one task; only the model reaches the driver."""
     rows = sample(docs, labels, max_toxic, max_other, max_bytes).repartition(1)
     fitted = rows.mapInArrow(_train, "buckets binary, bias double").first()
+    W.tidy()
     if fitted is None:
         return Model(np.zeros(BUCKETS, np.float32), -60.0)
     return Model(np.frombuffer(fitted["buckets"], "<f4").astype(np.float32, copy=False), fitted["bias"])

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import ctypes
 import ctypes.util
+import gc
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -48,6 +49,13 @@ def release() -> None:
         _libc.malloc_trim(0)
 
 
+def tidy() -> None:
+    """For the driver between the phases of a long job: drop handles of plans and tables that are done with (Spark
+    keeps what they stand for until then), and give the memory back."""
+    gc.collect()
+    release()
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """Scramble 64-bit values (the finaliser of splitmix64)."""
     h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
