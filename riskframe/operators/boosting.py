@@ -1,9 +1,15 @@
 """Boosted trees with regularised leaves, stopped by the AUC of held-out rows.
 
-A round fits one ``spark.ml`` regression tree to the gradient of the weighted
-log loss; Spark aggregates its split statistics, no row leaves the executors.
-The tree's leaves are then re-fitted by one Newton step with L2: the sums of
-gradients and hessians per leaf, one small aggregate, give the leaf
+A round fits one regression tree to the gradient of the weighted log loss; no
+row leaves the executors.  The limits between the bins of each feature are
+found once, by the rule and from the sample of ``spark.ml``'s trees; all rows
+are then kept as blocks of bin numbers with their margins.  A level of a tree is
+one job: tasks add up weights and gradients by (node, feature, bin), and their
+sums choose the splits with the largest loss of variance; levels that repeat
+those of the tree before share a job.  (With ``bagging`` the
+limits follow the weights of each round, so a round there is a ``spark.ml`` fit.)
+The leaves are fitted by one Newton step with L2: the sums of gradients and
+hessians per leaf give the leaf
 
     sum(w g) / (sum(w h) + l2)        g = y - p,  h = p (1 - p),  p = 1 / (1 + exp(-margin))
 
@@ -21,16 +27,21 @@ from __future__ import annotations
 
 import json
 import re
+from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyspark import RDD, StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskframe.functions.ordered import shuffle_partitions
 from riskframe.operators.features import LABEL, align_features
 from riskframe.operators.metrics import staged_auc
 from riskframe.session import ensure_checkpoint_dir
@@ -38,6 +49,15 @@ from riskframe.session import ensure_checkpoint_dir
 SEED = 42
 EVERY = 10  # rounds between two looks at the held-out rows
 STORE_EVERY = 5  # rounds after which the margins are checkpointed
+BINS = 32  # of a feature, as in ``spark.ml``'s trees
+SAMPLE = 10_000  # rows (about) whose values give the limits between bins, as in ``spark.ml``'s trees; all rows are binned
+SAMPLE_SEED = 444206279  # what they make of ``SEED``
+BLOCK = 1 << 15  # rows in a block
+TASK_ROWS = 1 << 16, 1 << 22  # a task has at least, where there are more cores, and at most so many rows
+KEEP_EVERY = 25  # rounds after which the blocks are checkpointed
+PURE = 2.0 ** -52  # a node of less variance isn't split
+ROUNDING = 1e-13  # share of the squares that is no variance
+RANGE_ROWS = 1 << 17  # margins that one task sorts at least to find the AUC
 LOWEST = -1e300  # stands for a missing value: it is less than any other (infinite ones are cut to its size)
 NODES = "tree int, node int, feature int, threshold double, left int, right int, value double"
 _BRANCH = re.compile(r"\s*(If|Else) \(feature (\d+) (?:<=|>) ([-+.\dEeInfity]+)\)")
@@ -193,6 +213,316 @@ def _present(x: Column) -> Column:
     return F.when(x.isNull() | F.isnan(x), F.lit(LOWEST)).otherwise(F.greatest(F.least(x, F.lit(-LOWEST)), F.lit(LOWEST)))
 
 
+# ---------------------------------------------------------------- trees from histograms
+class Block(NamedTuple):
+    """Rows of one task: bin numbers (features, rows), labels, weights and margins."""
+    bins: np.ndarray
+    y: np.ndarray
+    w: np.ndarray
+    margin: np.ndarray
+
+
+class Binned(NamedTuple):
+    """A tree on bin numbers, level by level: a row goes from a node to ``child``, or to the next node if its bin of
+    ``feature`` is above ``cut``; a leaf is its own child."""
+    feature: np.ndarray
+    cut: np.ndarray
+    child: np.ndarray
+
+    def walked(self, bins: np.ndarray, levels: int) -> Iterator[np.ndarray]:
+        """The nodes of all rows at each of so many levels."""
+        n = bins.shape[1]
+        node, rows, flat, start = np.zeros(n, np.int64), np.arange(n), bins.ravel(), self.feature * n
+        for level in range(levels):
+            if level:
+                node = self.child[node] + (flat[start[node] + rows] > self.cut[node])
+            yield node
+
+    def reached(self, bins: np.ndarray, depth: int) -> np.ndarray:
+        """The leaves of all rows."""
+        for node in self.walked(bins, depth + 1):
+            pass
+        return node
+
+
+def limits_of(values: np.ndarray, weights: np.ndarray, rows: int, expected: float, bins: int = BINS) -> list[float]:
+    """Limits between the bins of one feature by the rule of ``spark.ml``: halfway between neighbouring values, all of them
+    if they're few, else those nearest to equal weights.  ``values`` are distinct and not 0; the rest of the ``expected``
+    weight is that of 0."""
+    zero = expected - weights.sum()
+    if len(values) and zero > PURE * rows * 100:
+        values, weights = np.append(values, 0.0), np.append(weights, zero)
+    order = np.argsort(values)
+    values, reached = values[order], np.cumsum(weights[order])
+    halfway = [float(a + b) / 2.0 for a, b in zip(values, values[1:])]
+    if len(halfway) < bins:
+        return halfway
+    stride, found = expected / bins, []
+    for i, limit in enumerate(halfway):
+        target = stride * (len(found) + 1)
+        if abs(reached[i] - target) < abs(reached[i + 1] - target):
+            found.append(limit)
+    return found
+
+
+def bin_limits(d: DataFrame, n: int, weight: float, features: int) -> list[np.ndarray]:
+    """Limits between the bins of each feature; ``n`` and ``weight`` are the sums of the rows and of their weights."""
+    spark, share = d.sparkSession, min(1.0, SAMPLE / n)
+    if share < 1:
+        rows = d._jdf.toJavaRDD().sample(False, share, SAMPLE_SEED)  # the very rows that spark.ml's trees take
+        d = DataFrame(spark._jsparkSession.createDataFrame(rows, d._jdf.schema()), spark)
+    cells = d.select("_w", F.posexplode(vector_to_array("_features")).alias("feature", "value")).where("value <> 0")
+    counts = cells.groupBy("feature", "value").agg(F.sum("_w").alias("w"), F.count(F.lit(1)).alias("n"))
+
+    def limits(g: pd.DataFrame) -> pd.DataFrame:
+        found = limits_of(g["value"].to_numpy(), g["w"].to_numpy(), int(g["n"].sum()), share * weight)
+        return pd.DataFrame({"feature": [g["feature"].iloc[0]], "limits": [found]})
+
+    found = {r["feature"]: r["limits"] for r in counts.groupBy("feature").applyInPandas(limits, "feature int, limits array<double>").collect()}
+    return [np.array(found.get(f, []), np.float64) for f in range(features)]
+
+
+def pack(batches: Iterable[pa.RecordBatch], limits: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """Batches of (x, _y, _w, _margin) as rows of bytes, each a block."""
+    kept, rows = [], 0
+
+    def block() -> pa.RecordBatch:
+        bins, *rest = (np.concatenate(part, axis=-1) for part in zip(*kept))
+        return pa.RecordBatch.from_pydict({k: [np.ascontiguousarray(v).tobytes()] for k, v in zip(Block._fields, (bins, *rest))})
+
+    for b in batches:
+        y, w, margin = (b.column(i).to_numpy(zero_copy_only=False).astype(np.float64) for i in (1, 2, 3))
+        if np.isnan(y).any():
+            raise ValueError("labels must not be null or NaN")
+        x = b.column(0).flatten().to_numpy(zero_copy_only=False).reshape(len(y), len(limits))
+        kept.append((np.stack([np.searchsorted(t, x[:, f]) for f, t in enumerate(limits)]).astype(np.uint8), y, w, margin))
+        rows += len(y)
+        if rows >= BLOCK:
+            yield block()
+            kept, rows = [], 0
+    if rows:
+        yield block()
+
+
+def unpack(row, features: int) -> Block:
+    y, w, margin = (np.frombuffer(bytes(row[c])) for c in Block._fields[1:])
+    return Block(np.frombuffer(bytes(row["bins"]), np.uint8).reshape(features, -1), y, w, margin)
+
+
+def histograms(blocks: Iterable[Block], tree: Binned, slots: np.ndarray, centre: np.ndarray, width: int, depth: int,
+               counted: bool) -> list[tuple]:
+    """Sums over rows by the open nodes they come to: ``slots`` has the slot of an open node at its level, else -1;
+    ``width``: bins of a feature.
+
+    By (node, feature, bin): weights, gradients, hessians (above the deepest leaves only), if ``counted`` rows; by node:
+    hessians and squared gradients, all but the rows weighted.  Gradients are taken from their node's ``centre``, so that
+    rounding doesn't look like variance."""
+    cells = by_node = None
+    for b in blocks:
+        with np.errstate(over="ignore"):
+            p = 1.0 / (1.0 + np.exp(-b.margin))
+        gradient, hessian = b.y - p, b.w * (p * (1.0 - p))
+        if cells is None:
+            cells, by_node = np.zeros((3 + counted, len(centre), len(b.bins), width)), np.zeros((2, len(centre)))
+        for level, node in enumerate(tree.walked(b.bins, len(slots))):
+            at = slots[level][node]
+            live = np.flatnonzero(at >= 0)
+            if not len(live):
+                continue
+            bins, w, g, h = b.bins, b.w, gradient, hessian
+            if len(live) < len(at):
+                at, bins, w, g, h = at[live], bins.take(live, axis=1), w[live], g[live], h[live]
+            g = g - centre[at]
+            first, beyond = int(at.min()), int(at.max()) + 1  # the slots of a level are next to each other
+            at, here = at - first, slice(first, beyond)
+            by_node[:, here] += [np.bincount(at, h, beyond - first), np.bincount(at, w * g * g, beyond - first)]
+            sums = {0: w, 1: w * g} | ({2: h} if level == depth - 1 else {}) | ({3: None} if counted else {})
+            at = at * width
+            for f in range(len(bins)):
+                cell = at + bins[f]
+                for k, v in sums.items():
+                    cells[k, here, f] += np.bincount(cell, v, (beyond - first) * width).reshape(-1, width)
+    return [] if cells is None else [(cells, by_node)]
+
+
+def best_splits(cells: np.ndarray, min_instances: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(gain, feature, bin) of each node's split with the largest loss of variance, the first of equal ones; a gain of 0 or
+    less is no split."""
+    below = np.cumsum(cells, axis=-1)
+    left, every = below[..., :-1], below[..., -1:]
+    right = every - left
+    fits = (left[0] > 0) & (right[0] > 0)
+    if min_instances > 1:
+        fits &= (left[-1] >= min_instances) & (right[-1] >= min_instances)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        gain = (left[1] ** 2 / left[0] + right[1] ** 2 / right[0] - every[1] ** 2 / every[0]) / every[0]
+    cuts = gain.shape[-1]
+    gain = np.where(fits, gain, -np.inf).reshape(len(gain), -1)
+    best = gain.argmax(axis=1)
+    return gain[np.arange(len(gain)), best], best // cuts, best % cuts
+
+
+class Growing:
+    """A tree on bin numbers while its splits are chosen."""
+
+    def __init__(self, width: int):
+        self.width, self.feature, self.cut, self.child, self.level, self.centre, self.value = width, [], [], [], [], [], []
+        self.add(0, 0.0)
+
+    def add(self, level: int, centre: float) -> None:
+        self.feature.append(0), self.cut.append(self.width), self.child.append(len(self.child))
+        self.level.append(level), self.centre.append(centre), self.value.append(0.0)
+
+    def split(self, node: int, feature: int, cut: int, centres: list[float]) -> None:
+        """Gives a node its split; children that it has by the same split stay."""
+        if self.child[node] == node or (self.feature[node], self.cut[node]) != (feature, cut):
+            self.feature[node], self.cut[node], self.child[node] = feature, cut, len(self.child)
+            for c in centres:
+                self.add(self.level[node] + 1, c)
+
+    def leaf(self, node: int) -> None:
+        self.feature[node], self.cut[node], self.child[node] = 0, self.width, node
+
+    def children(self, node: int) -> list[int]:
+        return [] if self.child[node] == node else [self.child[node], self.child[node] + 1]
+
+    def nodes(self) -> list[int]:
+        """Level by level, the children of a node next to each other."""
+        found = [0]
+        for node in found:
+            found += self.children(node)
+        return found
+
+    def compact(self, deepest: int) -> Growing:
+        """A copy without the nodes that nothing leads to and without those below a level."""
+        out = Growing(self.width)
+        out.centre[0] = self.centre[0]
+        pairs = [(0, 0)]
+        for old, new in pairs:
+            if self.children(old) and self.level[old] < deepest:
+                out.split(new, self.feature[old], self.cut[old], [self.centre[c] for c in self.children(old)])
+                pairs += zip(self.children(old), out.children(new))
+            out.value[new] = self.value[old]
+        return out
+
+    def binned(self) -> Binned:
+        return Binned(*(np.array(x) for x in (self.feature, self.cut, self.child)))
+
+    def tree(self, limits: list[np.ndarray]) -> Tree:
+        rows: list[list] = []
+
+        def write(node: int) -> int:
+            here = len(rows)
+            rows.append([-1, 0.0, -1, -1, self.value[node]])
+            if self.children(node):
+                f = self.feature[node]
+                rows[here] = [f, float(limits[f][self.cut[node]]), -1, -1, 0.0]
+                rows[here][2:4] = [write(c) for c in self.children(node)]
+            return here
+
+        write(0)
+        return tree_of([tuple(r) for r in rows])
+
+
+def grow(blocks: RDD, tree: Growing, depth: int, l2: float, min_instances: int) -> Growing:
+    """One tree on the blocks.  ``tree`` is a guess, such as the upper levels of the tree before: the first job adds up the
+    sums of all of its nodes, and those whose splits prove to be the best ones need no job of their own; from the others on,
+    a job a level."""
+    width, counted, merge = tree.width, min_instances > 1, 1 if blocks.getNumPartitions() <= 64 else 2
+    settled: set[int] = set()
+    opened = tree.nodes()
+
+    def newton(g: float, h: float) -> float:
+        return float(g / (h + l2)) if h + l2 > 0 else 0.0
+
+    while opened:
+        slots = np.full((max(tree.level[n] for n in opened) + 1, len(tree.level)), -1)
+        opened.sort(key=lambda n: tree.level[n])
+        for s, node in enumerate(opened):
+            slots[tree.level[node], node] = s
+        centres = np.array([tree.centre[n] for n in opened])
+        found = blocks.mapPartitions(lambda it, t=tree.binned(), s=slots, c=centres: histograms(it, t, s, c, width, depth, counted))
+        cells, (hessian, squares) = found.treeReduce(lambda a, b: (a[0] + b[0], a[1] + b[1]), merge)
+        weight, total = cells[:2, :, 0].sum(axis=-1)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            pure = squares - total ** 2 / weight < np.maximum(PURE * weight, ROUNDING * squares)
+        gain, by, at = best_splits(cells, min_instances)
+        slot, opened, todo = {n: s for s, n in enumerate(opened)}, [], [0]
+        for node in todo:
+            if node not in settled:
+                if node not in slot:
+                    opened.append(node)
+                    continue
+                s = slot[node]
+                settled.add(node)
+                tree.value[node] = newton(total[s] + tree.centre[node] * weight[s], hessian[s])
+                if tree.level[node] >= depth or gain[s] <= 0 or pure[s]:
+                    tree.leaf(node)
+                else:
+                    bins, last = cells[:3, s, by[s]], tree.level[node] == depth - 1
+                    sides = [part.sum(axis=-1) for part in (bins[:, :at[s] + 1], bins[:, at[s] + 1:])]
+                    tree.split(node, int(by[s]), int(at[s]), [tree.centre[node] + g / w for w, g, _ in sides])
+                    if last:
+                        settled.update(tree.children(node))
+                        for c, (w, g, h) in zip(tree.children(node), sides):
+                            tree.value[c] = newton(g + tree.centre[node] * w, h)
+                tree.centre[node] += total[s] / weight[s]
+            todo += tree.children(node)
+    return tree
+
+
+def trees_of_histograms(d: DataFrame, features: int, rate: float, depth: int, l2: float, min_instances: int) -> Iterator[Tree]:
+    """Tree after tree on ``d`` (_features, _margin, _w, _y)."""
+    n, weight = d.agg(F.count(F.lit(1)), F.sum("_w")).first()
+    if not n:
+        raise ValueError("no rows to train on")
+    limits = bin_limits(d, n, weight, features)
+    rows = d.select(vector_to_array("_features").alias("x"), "_y", "_w", "_margin")
+    packed = rows.mapInArrow(lambda batches: pack(batches, limits), ", ".join(f"{c} binary" for c in Block._fields)).rdd
+    few, most = (-(-n // k) for k in TASK_ROWS)
+    tasks = max(min(few, d.sparkSession.sparkContext.defaultParallelism), most)
+    blocks = packed.coalesce(tasks).map(lambda row: unpack(row, features)).persist(StorageLevel.MEMORY_AND_DISK)
+    before, done, tree = None, 0, Growing(max(2, *(len(t) + 1 for t in limits)))
+    try:
+        while True:
+            tree = grow(blocks, tree.compact(max(0, depth - 2)), depth, l2, min_instances).compact(depth)
+            if before:
+                before.unpersist()  # the first job of the tree has stored the blocks after it
+            yield tree.tree(limits)
+            done += 1
+            steps = rate * np.array(tree.value)
+            before, blocks = blocks, blocks.map(lambda b, t=tree.binned(), s=steps: b._replace(margin=b.margin + s[t.reached(b.bins, depth)]))
+            blocks.persist(StorageLevel.MEMORY_AND_DISK)
+            if done % KEEP_EVERY == 0:
+                blocks.checkpoint()
+    finally:
+        for b in (before, blocks):
+            if b is not None:
+                b.unpersist()
+
+
+def trees_of_fits(d: DataFrame, rate: float, depth: int, l2: float, min_instances: int, bagging: float) -> Iterator[Tree]:
+    """Tree after tree on ``d`` (_features, _margin, _w, _y, _id), each a ``spark.ml`` fit on bootstrapped weights."""
+    learner = DecisionTreeRegressor(featuresCol="_features", labelCol="_g", weightCol="_seen", maxDepth=depth, seed=SEED,
+                                    minInstancesPerNode=min_instances, predictionCol="_t", leafCol="_leaf")
+    gradient = F.col("_y") - F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col("_margin")))
+    done = 0
+    while True:
+        u = (F.pmod(F.xxhash64("_id", F.lit(done), F.lit(SEED)), F.lit(1 << 52)) + 0.5) / F.lit(float(1 << 52))
+        seen = F.col("_w") * F.pow(-F.log(u), F.lit(float(bagging)))
+        fitted = learner.fit(d.select("_features", gradient.alias("_g"), seen.alias("_seen")))
+        tree = parse_tree(fitted.toDebugString)
+        d = fitted.transform(d).drop("_t")
+        sums = {int(r["_leaf"]): r["value"] for r in leaf_values(d, "_leaf", "_margin", "_y", "_w", l2).collect()}  # a row a leaf
+        values = [sums.get(i, 0.0) for i in range(len(tree.leaves))]
+        step = F.element_at(F.array(*[F.lit(rate * x) for x in values]), F.col("_leaf").cast("int") + 1)
+        d = d.withColumn("_margin", F.col("_margin") + step).drop("_leaf")
+        done += 1
+        if done % STORE_EVERY == 0:
+            d = d.checkpoint(eager=True)
+        yield tree.with_leaves(values)
+
+
 def boost(train: DataFrame, validation: DataFrame | None, features: list[str], label: str = LABEL, rounds: int = 10,
           rate: float = 0.1, depth: int = 3, weight: float = 1.0, l2: float = 3.0, patience: int | None = 50,
           start: Boosted | None = None, min_instances: int = 1, bagging: float = 0.0) -> tuple[Boosted, dict]:
@@ -219,33 +549,23 @@ def boost(train: DataFrame, validation: DataFrame | None, features: list[str], l
     if validation is not None:
         v = validation.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in features], y.alias("_y"), earlier.margin(validation).alias("_margin"))
         v = v.checkpoint(eager=True)
+        held = v.count()
         start_auc = staged_auc(v.select("_y", F.array("_margin").alias("m")), "m", "_y").first()["roc_auc"] if earlier.trees else None
     trees, history, done = [], [], False
-    learner = DecisionTreeRegressor(featuresCol="_features", labelCol="_g", weightCol="_seen", maxDepth=depth, seed=SEED,
-                                    minInstancesPerNode=min_instances, predictionCol="_t", leafCol="_leaf")
-    gradient = F.col("_y") - F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col("_margin")))
+    grown = (trees_of_fits(d, rate, depth, l2, min_instances, bagging) if bagging
+             else trees_of_histograms(d, len(features), rate, depth, l2, min_instances))
     while len(trees) < rounds and not done:
-        u = (F.pmod(F.xxhash64("_id", F.lit(len(trees)), F.lit(SEED)), F.lit(1 << 52)) + 0.5) / F.lit(float(1 << 52))
-        seen = F.col("_w") * F.pow(-F.log(u), F.lit(float(bagging))) if bagging else F.col("_w")
-        fitted = learner.fit(d.select("_features", gradient.alias("_g"), seen.alias("_seen")))
-        tree = parse_tree(fitted.toDebugString)
-        d = fitted.transform(d).drop("_t")
-        sums = {int(r["_leaf"]): r["value"] for r in leaf_values(d, "_leaf", "_margin", "_y", "_w", l2).collect()}  # a row a leaf
-        values = [sums.get(i, 0.0) for i in range(len(tree.leaves))]
-        tree = tree.with_leaves(values)
-        trees.append(tree)
-        step = F.element_at(F.array(*[F.lit(rate * x) for x in values]), F.col("_leaf").cast("int") + 1)
-        d = d.withColumn("_margin", F.col("_margin") + step).drop("_leaf")
-        if len(trees) % STORE_EVERY == 0:
-            d = d.checkpoint(eager=True)
+        trees.append(next(grown))
         if v is not None and (len(trees) % EVERY == 0 or len(trees) == rounds):
             new = Boosted(features, trees[len(history):], [rate] * (len(trees) - len(history)))
             staged = v.select("_y", *features, "_margin", new.staged_margins(v).alias("_new"))
             staged = staged.withColumn("_stages", F.transform("_new", lambda x: x + F.col("_margin"))).checkpoint(eager=True)
-            found = {r["stage"]: r["roc_auc"] for r in staged_auc(staged, "_stages", "_y").collect()}  # a row a round
+            ranges = max(1, min(shuffle_partitions(v), held * len(new.trees) // RANGE_ROWS))
+            found = {r["stage"]: r["roc_auc"] for r in staged_auc(staged, "_stages", "_y", ranges).collect()}  # a row a round
             history += [found.get(i) for i in range(1, len(new.trees) + 1)]
             v = staged.withColumn("_margin", F.element_at("_stages", -1)).drop("_new", "_stages")
             _, done = best_round(history, patience, start_auc)
+    grown.close()
     best, _ = best_round(history, patience, start_auc)
     measured = any(a is not None for a in history)
     keep = best if measured else len(trees)

@@ -88,14 +88,14 @@ def roc_auc(df: DataFrame, y: str = "y_true", score: str = "y_pred_proba") -> Da
                        F.col("n_neg").cast("long").alias("n_neg"))
 
 
-def staged_auc(df: DataFrame, stages: str, y: str = "y_true") -> DataFrame:
+def staged_auc(df: DataFrame, stages: str, y: str = "y_true", partitions: int | None = None) -> DataFrame:
     """(stage, roc_auc, n_pos, n_neg) for each place of an array column of scores, from 1 on: the exact AUC of
-    all stages from one running sum grouped by stage.  Rows without a label don't count."""
+    all stages from one running sum grouped by stage, in so many ``partitions``.  Rows without a label don't count."""
     rows = df.where(F.col(y).isNotNull()).select(F.col(y).alias("y"), F.posexplode(stages).alias("stage", "s"))
     ones = F.sum(F.when(F.col("y") == 1, 1).otherwise(0)).cast("long")
     counts = rows.where(F.col("s").isNotNull()).groupBy((F.col("stage") + 1).alias("stage"), F.col("s").cast("double").alias("s")).agg(
         ones.alias("pos"), (F.count(F.lit(1)) - ones).alias("neg"))
-    rt = running_totals(counts, ["stage"], "s", ["neg"])
+    rt = running_totals(counts, ["stage"], "s", ["neg"], partitions=partitions)
     part = rt.groupBy("stage").agg(F.sum(F.col("pos") * (F.col("cum_neg") - 0.5 * F.col("neg"))).alias("u"),
                                    F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"))
     pairs = F.col("n_pos").cast("double") * F.col("n_neg").cast("double")
