@@ -4,17 +4,18 @@ A round fits one regression tree to the gradient of the weighted log loss; no
 row leaves the executors.  The limits between the bins of each feature are
 found once, by the rule and from the sample of ``spark.ml``'s trees; all rows
 are then kept as blocks of bin numbers with their margins.  A level of a tree is
-one job: tasks add up weights and gradients by (node, feature, bin), and their
-sums choose the splits with the largest loss of variance; levels that repeat
-those of the tree before share a job.  (With ``bagging`` the
+at most one job: tasks add up weights and gradients by (node, feature, bin), and
+their sums choose the splits with the largest loss of variance.  A job also
+guesses the levels below from the trees before; those guessed right need no job.
+(With ``bagging`` the
 limits follow the weights of each round, so a round there is a ``spark.ml`` fit.)
 The leaves are fitted by one Newton step with L2: the sums of gradients and
 hessians per leaf give the leaf
 
     sum(w g) / (sum(w h) + l2)        g = y - p,  h = p (1 - p),  p = 1 / (1 + exp(-margin))
 
-Every ``EVERY`` rounds the held-out rows get their margins after each new
-tree, as one array column, and ``metrics.staged_auc`` takes the exact AUC after
+Every ``EVERY`` rounds (or later, where that can't stop the boosting yet) the
+held-out rows get their margins after each new tree, as one array column, and ``metrics.staged_auc`` takes the exact AUC after
 each tree from one grouped running sum.  Boosting stops once the best AUC is
 ``patience`` rounds old, and the trees after the best one are dropped.
 
@@ -28,6 +29,7 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterable, Iterator
+from functools import reduce
 from typing import NamedTuple
 
 import numpy as np
@@ -47,13 +49,16 @@ from riskframe.operators.metrics import staged_auc
 from riskframe.session import ensure_checkpoint_dir
 
 SEED = 42
-EVERY = 10  # rounds between two looks at the held-out rows
+EVERY = 10  # rounds between two looks at the held-out rows; looks that can't stop the boosting yet are taken together
+LOOK = 1 << 22  # margins of held-out rows (about) that one look takes, if it's not of ``EVERY`` rounds
 STORE_EVERY = 5  # rounds after which the margins are checkpointed
 BINS = 32  # of a feature, as in ``spark.ml``'s trees
 SAMPLE = 10_000  # rows (about) whose values give the limits between bins, as in ``spark.ml``'s trees; all rows are binned
 SAMPLE_SEED = 444206279  # what they make of ``SEED``
 BLOCK = 1 << 15  # rows in a block
 TASK_ROWS = 1 << 16, 1 << 22  # a task has at least, where there are more cores, and at most so many rows
+SEEN = 1 << 16  # nodes of earlier trees that serve as guesses
+MARGINS_EVERY = 5  # rounds after which the blocks are stored with new margins; the tasks walk the trees since then
 KEEP_EVERY = 25  # rounds after which the blocks are checkpointed
 PURE = 2.0 ** -52  # a node of less variance isn't split
 ROUNDING = 1e-13  # share of the squares that is no variance
@@ -229,19 +234,12 @@ class Binned(NamedTuple):
     cut: np.ndarray
     child: np.ndarray
 
-    def walked(self, bins: np.ndarray, levels: int) -> Iterator[np.ndarray]:
-        """The nodes of all rows at each of so many levels."""
+    def reached(self, bins: np.ndarray, levels: int) -> np.ndarray:
+        """The nodes of all rows after so many levels."""
         n = bins.shape[1]
         node, rows, flat, start = np.zeros(n, np.int64), np.arange(n), bins.ravel(), self.feature * n
-        for level in range(levels):
-            if level:
-                node = self.child[node] + (flat[start[node] + rows] > self.cut[node])
-            yield node
-
-    def reached(self, bins: np.ndarray, depth: int) -> np.ndarray:
-        """The leaves of all rows."""
-        for node in self.walked(bins, depth + 1):
-            pass
+        for _ in range(levels):
+            node = self.child[node] + (flat[start[node] + rows] > self.cut[node])
         return node
 
 
@@ -309,45 +307,68 @@ def unpack(row, features: int) -> Block:
     return Block(np.frombuffer(bytes(row["bins"]), np.uint8).reshape(features, -1), y, w, margin)
 
 
-def histograms(blocks: Iterable[Block], tree: Binned, slots: np.ndarray, centre: np.ndarray, width: int, depth: int,
+def histograms(blocks: Iterable[Block], tree: Binned, slots: np.ndarray, levels: int, centre: np.ndarray, width: int, kinds: int,
                counted: bool) -> list[tuple]:
-    """Sums over rows by the open nodes they come to: ``slots`` has the slot of an open node at its level, else -1;
+    """Sums over rows by the open nodes they come to after so many levels: ``slots`` has the slot of an open node, else -1;
     ``width``: bins of a feature.
 
-    By (node, feature, bin): weights, gradients, hessians (above the deepest leaves only), if ``counted`` rows; by node:
-    hessians and squared gradients, all but the rows weighted.  Gradients are taken from their node's ``centre``, so that
-    rounding doesn't look like variance."""
+    By (node, feature, bin): weights, gradients, with 3 ``kinds`` hessians, if ``counted`` rows; by node: hessians and
+    squared gradients, all but the rows weighted.  Gradients are taken from their node's ``centre``, so that rounding
+    doesn't look like variance."""
     cells = by_node = None
     for b in blocks:
+        at = slots[tree.reached(b.bins, levels)]
+        live = np.flatnonzero(at >= 0)
+        if not len(live):
+            continue
+        bins, y, w, margin = b
+        if len(live) < len(at):
+            at, bins, y, w, margin = at[live], bins.take(live, axis=1), y[live], w[live], margin[live]
         with np.errstate(over="ignore"):
-            p = 1.0 / (1.0 + np.exp(-b.margin))
-        gradient, hessian = b.y - p, b.w * (p * (1.0 - p))
+            p = 1.0 / (1.0 + np.exp(-margin))
+        g, h = y - p - centre[at], w * (p * (1.0 - p))
         if cells is None:
-            cells, by_node = np.zeros((3 + counted, len(centre), len(b.bins), width)), np.zeros((2, len(centre)))
-        for level, node in enumerate(tree.walked(b.bins, len(slots))):
-            at = slots[level][node]
-            live = np.flatnonzero(at >= 0)
-            if not len(live):
-                continue
-            bins, w, g, h = b.bins, b.w, gradient, hessian
-            if len(live) < len(at):
-                at, bins, w, g, h = at[live], bins.take(live, axis=1), w[live], g[live], h[live]
-            g = g - centre[at]
-            first, beyond = int(at.min()), int(at.max()) + 1  # the slots of a level are next to each other
-            at, here = at - first, slice(first, beyond)
-            by_node[:, here] += [np.bincount(at, h, beyond - first), np.bincount(at, w * g * g, beyond - first)]
-            sums = {0: w, 1: w * g} | ({2: h} if level == depth - 1 else {}) | ({3: None} if counted else {})
-            at = at * width
-            for f in range(len(bins)):
-                cell = at + bins[f]
-                for k, v in sums.items():
-                    cells[k, here, f] += np.bincount(cell, v, (beyond - first) * width).reshape(-1, width)
+            cells, by_node = np.zeros((3 + counted, len(centre), len(bins), width)), np.zeros((2, len(centre)))
+        weighted = w * g
+        by_node += [np.bincount(at, h, len(centre)), np.bincount(at, weighted * g, len(centre))]
+        sums = dict(enumerate((w, weighted, h)[:kinds])) | ({3: None} if counted else {})
+        at = at * width
+        for f in range(len(bins)):
+            cell = at + bins[f]
+            for k, v in sums.items():
+                cells[k, :, f] += np.bincount(cell, v, len(centre) * width).reshape(-1, width)
     return [] if cells is None else [(cells, by_node)]
 
 
-def best_splits(cells: np.ndarray, min_instances: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(gain, feature, bin) of each node's split with the largest loss of variance, the first of equal ones; a gain of 0 or
-    less is no split."""
+class Sums(NamedTuple):
+    """Of one node: those of ``histograms``, gradients taken from ``centre``; ``size`` is that of the terms in ``squares``."""
+    cells: np.ndarray
+    hessian: float
+    squares: float
+    size: float
+    centre: float
+
+
+def joined(parts: list[Sums], centre: float) -> Sums:
+    """Sums of a node from those of its children."""
+    cells, hessian, squares, size = 0.0, 0.0, 0.0, 0.0
+    for part in parts:
+        shift = part.centre - centre
+        moved = part.cells.copy()
+        moved[1] += shift * moved[0]
+        weight, gradient = part.cells[:2, 0].sum(axis=-1)
+        cells, hessian, size = cells + moved, hessian + part.hessian, size + part.size + shift ** 2 * weight
+        squares += part.squares + 2.0 * shift * gradient + shift ** 2 * weight
+    return Sums(cells, hessian, squares, size, centre)
+
+
+def added(a: tuple, b: tuple) -> tuple:
+    return a[0] + b[0], a[1] + b[1]
+
+
+def best_splits(cells: np.ndarray, min_instances: int) -> tuple[np.ndarray, np.ndarray]:
+    """(gain, bin) by node and feature: the split with the largest loss of variance, the first of equal ones; a gain of 0
+    or less is no split."""
     below = np.cumsum(cells, axis=-1)
     left, every = below[..., :-1], below[..., -1:]
     right = every - left
@@ -356,29 +377,30 @@ def best_splits(cells: np.ndarray, min_instances: int) -> tuple[np.ndarray, np.n
         fits &= (left[-1] >= min_instances) & (right[-1] >= min_instances)
     with np.errstate(divide="ignore", invalid="ignore"):
         gain = (left[1] ** 2 / left[0] + right[1] ** 2 / right[0] - every[1] ** 2 / every[0]) / every[0]
-    cuts = gain.shape[-1]
-    gain = np.where(fits, gain, -np.inf).reshape(len(gain), -1)
-    best = gain.argmax(axis=1)
-    return gain[np.arange(len(gain)), best], best // cuts, best % cuts
+    gain = np.where(fits, gain, -np.inf)
+    return gain.max(axis=-1), gain.argmax(axis=-1)
 
 
 class Growing:
-    """A tree on bin numbers while its splits are chosen."""
+    """A tree on bin numbers while its splits are chosen.  A node's ``path`` stands for the splits above it, its ``hints``
+    are splits that promised most there."""
 
     def __init__(self, width: int):
         self.width, self.feature, self.cut, self.child, self.level, self.centre, self.value = width, [], [], [], [], [], []
-        self.add(0, 0.0)
+        self.path, self.hints = [], []
+        self.add(0, 0.0, 0, [])
 
-    def add(self, level: int, centre: float) -> None:
+    def add(self, level: int, centre: float, path: int, hints: list) -> None:
         self.feature.append(0), self.cut.append(self.width), self.child.append(len(self.child))
         self.level.append(level), self.centre.append(centre), self.value.append(0.0)
+        self.path.append(path), self.hints.append(hints)
 
-    def split(self, node: int, feature: int, cut: int, centres: list[float]) -> None:
+    def split(self, node: int, feature: int, cut: int, centres: list[float], hints: list) -> None:
         """Gives a node its split; children that it has by the same split stay."""
         if self.child[node] == node or (self.feature[node], self.cut[node]) != (feature, cut):
             self.feature[node], self.cut[node], self.child[node] = feature, cut, len(self.child)
-            for c in centres:
-                self.add(self.level[node] + 1, c)
+            for side, c in enumerate(centres):
+                self.add(self.level[node] + 1, c, hash((self.path[node], feature, cut, side)), hints)
 
     def leaf(self, node: int) -> None:
         self.feature[node], self.cut[node], self.child[node] = 0, self.width, node
@@ -386,21 +408,27 @@ class Growing:
     def children(self, node: int) -> list[int]:
         return [] if self.child[node] == node else [self.child[node], self.child[node] + 1]
 
-    def nodes(self) -> list[int]:
-        """Level by level, the children of a node next to each other."""
-        found = [0]
-        for node in found:
-            found += self.children(node)
+    def guess(self, node: int, seen: dict, deepest: int) -> list[int]:
+        """Splits a node and those below it, down to a level, as the last tree with the same splits above did, else by the
+        hints.  Returns them all, a node before its children."""
+        found = [node]
+        for n in found:
+            self.centre[n], *split = seen.get(self.path[n], (self.centre[n], -1, 0))
+            hints = self.hints[n]
+            if split[0] < 0 and hints:
+                split, hints = hints[0], hints[1:]
+            if split[0] >= 0 and self.level[n] < deepest:
+                self.split(n, *split, [self.centre[n]] * 2, hints)
+                found += self.children(n)
         return found
 
-    def compact(self, deepest: int) -> Growing:
-        """A copy without the nodes that nothing leads to and without those below a level."""
+    def compact(self) -> Growing:
+        """A copy without the nodes that nothing leads to."""
         out = Growing(self.width)
-        out.centre[0] = self.centre[0]
         pairs = [(0, 0)]
         for old, new in pairs:
-            if self.children(old) and self.level[old] < deepest:
-                out.split(new, self.feature[old], self.cut[old], [self.centre[c] for c in self.children(old)])
+            if self.children(old):
+                out.split(new, self.feature[old], self.cut[old], [0.0, 0.0], [])
                 pairs += zip(self.children(old), out.children(new))
             out.value[new] = self.value[old]
         return out
@@ -424,51 +452,68 @@ class Growing:
         return tree_of([tuple(r) for r in rows])
 
 
-def grow(blocks: RDD, tree: Growing, depth: int, l2: float, min_instances: int) -> Growing:
-    """One tree on the blocks.  ``tree`` is a guess, such as the upper levels of the tree before: the first job adds up the
-    sums of all of its nodes, and those whose splits prove to be the best ones need no job of their own; from the others on,
-    a job a level."""
-    width, counted, merge = tree.width, min_instances > 1, 1 if blocks.getNumPartitions() <= 64 else 2
-    settled: set[int] = set()
-    opened = tree.nodes()
+def stepped(block: Block, steps: Iterable[tuple[Binned, np.ndarray]], depth: int) -> Block:
+    """A block with its margins after further trees."""
+    margin = block.margin
+    for tree, values in steps:
+        margin = margin + values[tree.reached(block.bins, depth)]
+    return block._replace(margin=margin)
+
+
+def grow(blocks: RDD, width: int, depth: int, l2: float, min_instances: int, seen: dict) -> Growing:
+    """One tree on the blocks.  A job adds up the sums of the open nodes and of guessed nodes below them: rows are counted
+    at the lowest ones, whose sums give those above.  Where the guessed splits prove to be the best ones, the nodes below
+    need no job of their own; the others are open in the next job.  ``seen``: (centre, feature, bin) of the nodes of the
+    trees before, by path; a guess never changes the tree."""
+    tree, opened, counted, few = Growing(width), [0], min_instances > 1, blocks.getNumPartitions() <= 64
 
     def newton(g: float, h: float) -> float:
         return float(g / (h + l2)) if h + l2 > 0 else 0.0
 
     while opened:
-        slots = np.full((max(tree.level[n] for n in opened) + 1, len(tree.level)), -1)
-        opened.sort(key=lambda n: tree.level[n])
-        for s, node in enumerate(opened):
-            slots[tree.level[node], node] = s
-        centres = np.array([tree.centre[n] for n in opened])
-        found = blocks.mapPartitions(lambda it, t=tree.binned(), s=slots, c=centres: histograms(it, t, s, c, width, depth, counted))
-        cells, (hessian, squares) = found.treeReduce(lambda a, b: (a[0] + b[0], a[1] + b[1]), merge)
+        nodes = [n for node in opened for n in tree.guess(node, seen, depth - 1)]
+        lowest = [n for n in nodes if not tree.children(n)]
+        slots, centres = np.full(len(tree.level), -1), np.array([tree.centre[n] for n in lowest])
+        slots[lowest] = np.arange(len(lowest))
+        levels = [tree.level[n] for n in lowest]
+        found = blocks.mapPartitions(lambda it, a=(tree.binned(), slots, max(levels), centres, width, 2 + (depth - 1 in levels), counted):
+                                     histograms(it, *a))
+        cells, (hessian, squares) = (reduce(added, found.collect()) if few else found.treeReduce(added))  # a row a task
+        sums = {n: Sums(cells[:, s], hessian[s], squares[s], squares[s], centres[s]) for s, n in enumerate(lowest)}
+        for n in reversed(nodes):
+            if n not in sums:
+                sums[n] = joined([sums[c] for c in tree.children(n)], tree.centre[n])
+        cells = np.stack([sums[n].cells for n in nodes], axis=1)
         weight, total = cells[:2, :, 0].sum(axis=-1)
         with np.errstate(divide="ignore", invalid="ignore"):
-            pure = squares - total ** 2 / weight < np.maximum(PURE * weight, ROUNDING * squares)
-        gain, by, at = best_splits(cells, min_instances)
-        slot, opened, todo = {n: s for s, n in enumerate(opened)}, [], [0]
+            pure = (np.array([sums[n].squares for n in nodes]) - total ** 2 / weight
+                    < np.maximum(PURE * weight, ROUNDING * np.array([sums[n].size for n in nodes])))
+        gains, cuts = best_splits(cells, min_instances)
+        slot, todo, opened = {n: s for s, n in enumerate(nodes)}, opened, []
         for node in todo:
-            if node not in settled:
-                if node not in slot:
-                    opened.append(node)
-                    continue
-                s = slot[node]
-                settled.add(node)
-                tree.value[node] = newton(total[s] + tree.centre[node] * weight[s], hessian[s])
-                if tree.level[node] >= depth or gain[s] <= 0 or pure[s]:
-                    tree.leaf(node)
+            if node not in slot:
+                opened.append(node)
+                continue
+            s, split, here = slot[node], (-1, 0), tree.centre[node]
+            tree.value[node] = newton(total[s] + here * weight[s], sums[node].hessian)
+            order = np.argsort(-gains[s], kind="stable")
+            if tree.level[node] >= depth or gains[s][order[0]] <= 0 or pure[s]:
+                tree.leaf(node)
+            else:
+                hints = [(int(f), int(cuts[s][f])) for f in order if gains[s][f] > 0]
+                split, bins, last = hints[0], cells[:3, s, order[0]], tree.level[node] == depth - 1
+                sides = [part.sum(axis=-1) for part in (bins[:, :split[1] + 1], bins[:, split[1] + 1:])]
+                tree.split(node, *split, [here + g / w for w, g, _ in sides], hints[1:])
+                if last:
+                    for c, (w, g, h) in zip(tree.children(node), sides):
+                        tree.value[c] = newton(g + here * w, h)
                 else:
-                    bins, last = cells[:3, s, by[s]], tree.level[node] == depth - 1
-                    sides = [part.sum(axis=-1) for part in (bins[:, :at[s] + 1], bins[:, at[s] + 1:])]
-                    tree.split(node, int(by[s]), int(at[s]), [tree.centre[node] + g / w for w, g, _ in sides])
-                    if last:
-                        settled.update(tree.children(node))
-                        for c, (w, g, h) in zip(tree.children(node), sides):
-                            tree.value[c] = newton(g + tree.centre[node] * w, h)
-                tree.centre[node] += total[s] / weight[s]
-            todo += tree.children(node)
-    return tree
+                    todo += tree.children(node)
+            seen.pop(tree.path[node], None)
+            seen[tree.path[node]] = (here + total[s] / weight[s] if weight[s] > 0 else 0.0, *split)
+    while len(seen) > SEEN:
+        del seen[next(iter(seen))]
+    return tree.compact()
 
 
 def trees_of_histograms(d: DataFrame, features: int, rate: float, depth: int, l2: float, min_instances: int) -> Iterator[Tree]:
@@ -482,23 +527,24 @@ def trees_of_histograms(d: DataFrame, features: int, rate: float, depth: int, l2
     few, most = (-(-n // k) for k in TASK_ROWS)
     tasks = max(min(few, d.sparkSession.sparkContext.defaultParallelism), most)
     blocks = packed.coalesce(tasks).map(lambda row: unpack(row, features)).persist(StorageLevel.MEMORY_AND_DISK)
-    before, done, tree = None, 0, Growing(max(2, *(len(t) + 1 for t in limits)))
+    done, steps, seen, width = 0, [], {}, max(2, *(len(t) + 1 for t in limits))
+    kept = [blocks]  # the last stored blocks; those before go once a job has stored the new ones
     try:
         while True:
-            tree = grow(blocks, tree.compact(max(0, depth - 2)), depth, l2, min_instances).compact(depth)
-            if before:
-                before.unpersist()  # the first job of the tree has stored the blocks after it
+            tree = grow(kept[-1].map(lambda b, s=tuple(steps): stepped(b, s, depth)), width, depth, l2, min_instances, seen)
+            while len(kept) > 1:
+                kept.pop(0).unpersist()
             yield tree.tree(limits)
             done += 1
-            steps = rate * np.array(tree.value)
-            before, blocks = blocks, blocks.map(lambda b, t=tree.binned(), s=steps: b._replace(margin=b.margin + s[t.reached(b.bins, depth)]))
-            blocks.persist(StorageLevel.MEMORY_AND_DISK)
-            if done % KEEP_EVERY == 0:
-                blocks.checkpoint()
+            steps.append((tree.binned(), rate * np.array(tree.value)))
+            if done % MARGINS_EVERY == 0:
+                kept.append(kept[-1].map(lambda b, s=tuple(steps): stepped(b, s, depth)).persist(StorageLevel.MEMORY_AND_DISK))
+                steps = []
+                if done % KEEP_EVERY == 0:
+                    kept[-1].checkpoint()
     finally:
-        for b in (before, blocks):
-            if b is not None:
-                b.unpersist()
+        for b in kept:
+            b.unpersist()
 
 
 def trees_of_fits(d: DataFrame, rate: float, depth: int, l2: float, min_instances: int, bagging: float) -> Iterator[Tree]:
@@ -551,12 +597,13 @@ def boost(train: DataFrame, validation: DataFrame | None, features: list[str], l
         v = v.checkpoint(eager=True)
         held = v.count()
         start_auc = staged_auc(v.select("_y", F.array("_margin").alias("m")), "m", "_y").first()["roc_auc"] if earlier.trees else None
-    trees, history, done = [], [], False
+    trees, history, best, done = [], [], 0, False
     grown = (trees_of_fits(d, rate, depth, l2, min_instances, bagging) if bagging
              else trees_of_histograms(d, len(features), rate, depth, l2, min_instances))
     while len(trees) < rounds and not done:
         trees.append(next(grown))
-        if v is not None and (len(trees) % EVERY == 0 or len(trees) == rounds):
+        if v is not None and (len(trees) == rounds or len(trees) % EVERY == 0 and (
+                len(trees) - best >= (rounds if patience is None else patience) or (len(trees) + EVERY - len(history)) * held > LOOK)):
             new = Boosted(features, trees[len(history):], [rate] * (len(trees) - len(history)))
             staged = v.select("_y", *features, "_margin", new.staged_margins(v).alias("_new"))
             staged = staged.withColumn("_stages", F.transform("_new", lambda x: x + F.col("_margin"))).checkpoint(eager=True)
@@ -564,9 +611,8 @@ def boost(train: DataFrame, validation: DataFrame | None, features: list[str], l
             found = {r["stage"]: r["roc_auc"] for r in staged_auc(staged, "_stages", "_y", ranges).collect()}  # a row a round
             history += [found.get(i) for i in range(1, len(new.trees) + 1)]
             v = staged.withColumn("_margin", F.element_at("_stages", -1)).drop("_new", "_stages")
-            _, done = best_round(history, patience, start_auc)
+            best, done = best_round(history, patience, start_auc)
     grown.close()
-    best, _ = best_round(history, patience, start_auc)
     measured = any(a is not None for a in history)
     keep = best if measured else len(trees)
     model = Boosted(features, earlier.trees + trees[:keep], earlier.rates + [rate] * keep)
