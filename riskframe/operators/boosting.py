@@ -7,17 +7,18 @@ are then kept as blocks of bin numbers with their margins.  A level of a tree is
 at most one job: tasks add up weights and gradients by (node, feature, bin), and
 their sums choose the splits with the largest loss of variance.  A job also
 guesses the levels below from the trees before; those guessed right need no job.
-(With ``bagging`` the
-limits follow the weights of each round, so a round there is a ``spark.ml`` fit.)
+(With ``bagging`` the limits follow the weights of each round, so a round there is
+a ``spark.ml`` fit.)
 The leaves are fitted by one Newton step with L2: the sums of gradients and
 hessians per leaf give the leaf
 
     sum(w g) / (sum(w h) + l2)        g = y - p,  h = p (1 - p),  p = 1 / (1 + exp(-margin))
 
 Every ``EVERY`` rounds (or later, where that can't stop the boosting yet) the
-held-out rows get their margins after each new tree, as one array column, and ``metrics.staged_auc`` takes the exact AUC after
-each tree from one grouped running sum.  Boosting stops once the best AUC is
-``patience`` rounds old, and the trees after the best one are dropped.
+held-out rows get their margins after each new tree, as one array column, and
+``metrics.staged_auc`` takes the exact AUC after each tree from one grouped
+running sum.  Boosting stops once the best AUC is ``patience`` rounds old, and the
+trees after the best one are dropped.
 
 A fitted ensemble is a list of small arrays (feature, threshold, children,
 value).  Rows are scored by an Arrow UDF that walks all trees with numpy; a
