@@ -221,7 +221,7 @@ def _present(x: Column) -> Column:
 
 # ---------------------------------------------------------------- trees from histograms
 class Block(NamedTuple):
-    """Rows of one task: bin numbers (features, rows), labels, weights and margins."""
+    """Rows of one task: bin numbers (features, rows), labels, weights (both in the narrowest type) and margins."""
     bins: np.ndarray
     y: np.ndarray
     w: np.ndarray
@@ -243,6 +243,26 @@ class Binned(NamedTuple):
             node = self.child[node] + (flat[start[node] + rows] > self.cut[node])
         return node
 
+    def arrived(self, bins: np.ndarray, levels: int, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The rows that come to a node with a slot after so many levels, ascending, and these slots.  Rows from which
+        no such node can be reached any more are left on the way."""
+        leads, met, inner = slots >= 0, np.arange(len(slots)) == 0, self.child != np.arange(len(slots))
+        for _ in range(levels):
+            leads[inner] |= leads[self.child[inner]] | leads[self.child[inner] + 1]
+            below = self.child[met & inner]
+            met[below] = met[below + 1] = True
+        every, n = leads[met].all(), bins.shape[1]
+        node, rows, flat, start = np.zeros(n, np.int64), np.arange(n), bins.ravel(), self.feature * n
+        for _ in range(levels):
+            node = self.child[node] + (flat[start[node] + rows] > self.cut[node])
+            if not every:
+                on = leads[node]
+                if 4 * np.count_nonzero(on) < 3 * len(on):
+                    node, rows = node[on], rows[on]
+        at = slots[node]
+        live = at >= 0
+        return (rows, at) if live.all() else (rows[live], at[live])
+
 
 def limits_of(values: np.ndarray, weights: np.ndarray, rows: int, expected: float, bins: int = BINS) -> list[float]:
     """Limits between the bins of one feature by the rule of ``spark.ml``: halfway between neighbouring values, all of them
@@ -303,28 +323,39 @@ def pack(batches: Iterable[pa.RecordBatch], limits: list[np.ndarray]) -> Iterato
         yield block()
 
 
+def narrow(values: np.ndarray) -> np.ndarray:
+    """The same numbers in the narrowest type: every job reads the blocks again."""
+    for kind in (np.uint8, np.float32):
+        with np.errstate(invalid="ignore", over="ignore"):
+            found = values.astype(kind)
+        if (found == values).all():
+            return found
+    return values
+
+
 def unpack(row, features: int) -> Block:
     y, w, margin = (np.frombuffer(bytes(row[c])) for c in Block._fields[1:])
-    return Block(np.frombuffer(bytes(row["bins"]), np.uint8).reshape(features, -1), y, w, margin)
+    return Block(np.frombuffer(bytes(row["bins"]), np.uint8).reshape(features, -1), narrow(y), narrow(w), margin)
 
 
 def histograms(blocks: Iterable[Block], tree: Binned, slots: np.ndarray, levels: int, centre: np.ndarray, width: int, kinds: int,
-               counted: bool) -> list[tuple]:
+               counted: bool, steps: Iterable[tuple[Binned, np.ndarray]] = (), depth: int = 0) -> list[tuple]:
     """Sums over rows by the open nodes they come to after so many levels: ``slots`` has the slot of an open node, else -1;
-    ``width``: bins of a feature.
+    ``width``: bins of a feature; ``steps``: trees (of so much ``depth``) that the margins lack, added to those of the
+    rows that count.
 
     By (node, feature, bin): weights, gradients, with 3 ``kinds`` hessians, if ``counted`` rows; by node: hessians and
     squared gradients, all but the rows weighted.  Gradients are taken from their node's ``centre``, so that rounding
     doesn't look like variance."""
     cells = by_node = None
     for b in blocks:
-        at = slots[tree.reached(b.bins, levels)]
-        live = np.flatnonzero(at >= 0)
+        live, at = tree.arrived(b.bins, levels, slots)
         if not len(live):
             continue
-        bins, y, w, margin = b
-        if len(live) < len(at):
-            at, bins, y, w, margin = at[live], bins.take(live, axis=1), y[live], w[live], margin[live]
+        if len(live) < len(b.y):
+            b = Block(b.bins.take(live, axis=1), b.y[live], b.w[live], b.margin[live])
+        bins, y, w, margin = stepped(b, steps, depth)
+        y, w = y.astype(np.float64), w.astype(np.float64)
         with np.errstate(over="ignore"):
             p = 1.0 / (1.0 + np.exp(-margin))
         g, h = y - p - centre[at], w * (p * (1.0 - p))
@@ -461,11 +492,13 @@ def stepped(block: Block, steps: Iterable[tuple[Binned, np.ndarray]], depth: int
     return block._replace(margin=margin)
 
 
-def grow(blocks: RDD, width: int, depth: int, l2: float, min_instances: int, seen: dict) -> Growing:
+def grow(blocks: RDD, width: int, depth: int, l2: float, min_instances: int, seen: dict,
+         steps: Iterable[tuple[Binned, np.ndarray]] = ()) -> Growing:
     """One tree on the blocks.  A job adds up the sums of the open nodes and of guessed nodes below them: rows are counted
     at the lowest ones, whose sums give those above.  Where the guessed splits prove to be the best ones, the nodes below
     need no job of their own; the others are open in the next job.  ``seen``: (centre, feature, bin) of the nodes of the
-    trees before, by path; a guess never changes the tree."""
+    trees before, by path; a guess never changes the tree.  ``steps``: trees that the blocks' margins lack; a job walks
+    them with the rows that it counts alone."""
     tree, opened, counted, few = Growing(width), [0], min_instances > 1, blocks.getNumPartitions() <= 64
 
     def newton(g: float, h: float) -> float:
@@ -477,7 +510,8 @@ def grow(blocks: RDD, width: int, depth: int, l2: float, min_instances: int, see
         slots, centres = np.full(len(tree.level), -1), np.array([tree.centre[n] for n in lowest])
         slots[lowest] = np.arange(len(lowest))
         levels = [tree.level[n] for n in lowest]
-        found = blocks.mapPartitions(lambda it, a=(tree.binned(), slots, max(levels), centres, width, 2 + (depth - 1 in levels), counted):
+        found = blocks.mapPartitions(lambda it, a=(tree.binned(), slots, max(levels), centres, width, 2 + (depth - 1 in levels), counted,
+                                                 tuple(steps), depth):
                                      histograms(it, *a))
         cells, (hessian, squares) = (reduce(added, found.collect()) if few else found.treeReduce(added))  # a row a task
         sums = {n: Sums(cells[:, s], hessian[s], squares[s], squares[s], centres[s]) for s, n in enumerate(lowest)}
@@ -532,7 +566,7 @@ def trees_of_histograms(d: DataFrame, features: int, rate: float, depth: int, l2
     kept = [blocks]  # the last stored blocks; those before go once a job has stored the new ones
     try:
         while True:
-            tree = grow(kept[-1].map(lambda b, s=tuple(steps): stepped(b, s, depth)), width, depth, l2, min_instances, seen)
+            tree = grow(kept[-1], width, depth, l2, min_instances, seen, steps)
             while len(kept) > 1:
                 kept.pop(0).unpersist()
             yield tree.tree(limits)

@@ -193,3 +193,47 @@ def test_guessed_splits_never_change_a_tree(spark, monkeypatch):
     for here, there in zip(*found):
         assert here.feature.tolist() == there.feature.tolist() and here.threshold.tolist() == there.threshold.tolist()
         assert np.abs(here.value - there.value).max() < 1e-9
+
+
+def test_a_job_walks_the_trees_since_then_with_the_rows_that_it_counts_alone(monkeypatch):
+    rng = np.random.default_rng(7)
+    n, width, depth = 4000, 8, 4
+
+    def tree():
+        grown, todo = bo.Growing(width), [0]
+        for node in todo:
+            if grown.level[node] < depth:
+                grown.split(node, int(rng.integers(3)), int(rng.integers(1, width - 1)), [0.0, 0.0], [])
+                todo += grown.children(node)
+        return grown
+
+    block = bo.Block(rng.integers(0, width, (3, n)).astype(np.uint8), (rng.random(n) < 0.2).astype(float), rng.choice([1.0, 25.0], n),
+                     rng.normal(size=n))
+    steps = [(t.binned(), rng.normal(size=len(t.level))) for t in (tree(), tree())]
+    grown = tree()
+    binned, last = grown.binned(), [i for i, level in enumerate(grown.level) if level == depth]
+    met = binned.reached(block.bins, depth)
+    walked, reached = [], bo.Binned.reached
+    for opened in (last, last[3:5], [i for i in last if not (met == i).any()], [grown.children(0)[0]]):
+        levels = max((grown.level[i] for i in opened), default=0)
+        slots = np.full(len(grown.level), -1)
+        slots[opened] = np.arange(len(opened))
+        args = (binned._replace(child=np.where(slots >= 0, np.arange(len(slots)), binned.child),
+                                cut=np.where(slots >= 0, width, binned.cut)), slots, levels, np.zeros(len(opened)), width, 3, True)
+        rows = np.isin(args[0].reached(block.bins, levels), opened).sum()
+        want = bo.histograms([bo.stepped(block, steps, depth)], *args)
+        monkeypatch.setattr(bo.Binned, "reached", lambda t, bins, levels: walked.append(bins.shape[1]) or reached(t, bins, levels))
+        got = bo.histograms([block], *args, steps, depth)
+        monkeypatch.undo()
+        assert len(got) == len(want) and all((a == b).all() for x, y in zip(got, want) for a, b in zip(x, y))
+        assert walked == [rows] * (2 if rows else 0)
+        walked.clear()
+
+
+def test_labels_and_weights_of_blocks_are_narrow_and_keep_their_values():
+    for values, kind in (([0.0, 1.0, 25.0], np.uint8), ([0.5, -1.0, 300.0], np.float32), ([0.1, 1.0], np.float64), ([np.inf], np.float32)):
+        found = bo.narrow(np.array(values))
+        assert found.dtype == kind and found.astype(np.float64).tolist() == values
+    row = {c: np.array(v, t).tobytes() for c, v, t in zip(bo.Block._fields, ([[1, 2]] * 3, [0, 1], [1, 25], [0.5, 0.1]), ("u1", "f8", "f8", "f8"))}
+    block = bo.unpack(row, 3)
+    assert sum(a.nbytes for a in block) == 6 + 2 + 2 + 16 and block.w.tolist() == [1, 25]
